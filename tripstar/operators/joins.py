@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side is broadcast only when it has at most this many rows.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when ``df`` is proven small, else leave the choice to AQE.
+
+    The check reads at most ``max_rows + 1`` rows of ``df``; use it for lookup
+    tables (zones), not for sides derived from the big table.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
