@@ -223,3 +223,36 @@ def reject_report(standard: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFra
     wide = standard.agg(*aggs)
     stack = ", ".join(f"'{name}', r{i}" for i, (name, _) in enumerate(rules))
     return wide.selectExpr(f"stack({len(rules)}, {stack}) as (rule, failing_rows)")
+
+
+# --- per-step views over the union (for inspection and testing) ------------------------
+def step_trip_key(union: DataFrame, zones: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    return with_trip_id(with_pickup_zone(union, zones), cfg).select(*ROW_KEY, "trip_id")
+
+
+def step_trip_times(union: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    return union.select(*ROW_KEY, *[c.alias(n) for n, c in time_columns(cfg).items()])
+
+
+def step_trip_metrics(union: DataFrame) -> DataFrame:
+    return union.select(*ROW_KEY, *[c.alias(n) for n, c in metric_columns().items()])
+
+
+def step_code_labels(union: DataFrame) -> DataFrame:
+    return union.select(
+        *ROW_KEY, "payment_type", "rate_code_id", *[c.alias(n) for n, c in label_columns().items()]
+    )
+
+
+def step_zone_enriched(union: DataFrame, zones: DataFrame) -> DataFrame:
+    both = with_dropoff_zone(with_pickup_zone(union.select(*ROW_KEY), zones), zones)
+    return both.select(*ROW_KEY, *PICKUP_ZONE_COLUMNS, *DROPOFF_ZONE_COLUMNS)
+
+
+def step_trip_flags(union: DataFrame) -> DataFrame:
+    m = metric_columns()
+    return union.select(
+        *ROW_KEY,
+        labels.duration_flag(m["trip_duration_seconds"]).alias("duration_flag"),
+        labels.speed_flag(m["avg_speed_mph"]).alias("speed_flag"),
+    )
