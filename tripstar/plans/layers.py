@@ -14,7 +14,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, PipelineConfig
-from ..operators import bronze, gold, silver
+from ..operators import bronze, gold, quality, silver
+from . import layout
 from ..sources import fixture
 
 
@@ -70,3 +71,104 @@ class Lakehouse:
     @cached_property
     def fact(self) -> DataFrame:
         return gold.fct_trips(self.silver, self.dims, self.cfg)
+
+
+# --- materialised layers (N1 / N2) ------------------------------------------------------
+DIM_NAMES = [
+    "dim_date_pickup", "dim_date_dropoff", "dim_time_pickup", "dim_time_dropoff", "dim_zone_pickup",
+    "dim_zone_dropoff", "dim_vendor", "dim_rate_code", "dim_payment_type", "dim_service_type",
+    "dim_trip_type",
+]
+# Row groups of the clustered fact: small enough for min/max pruning inside a file.
+FACT_ROW_GROUP_BYTES = 32 * 1024 * 1024
+
+
+@dataclass
+class Tables:
+    """Layer tables written under ``root`` (one directory per table)."""
+
+    spark: SparkSession
+    root: str
+    cfg: PipelineConfig = DEFAULT
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(name))
+
+    @property
+    def bronze_yellow(self) -> DataFrame:
+        return self.read("bronze_yellow")
+
+    @property
+    def bronze_green(self) -> DataFrame:
+        return self.read("bronze_green")
+
+    @property
+    def bronze_zones(self) -> DataFrame:
+        return self.read("bronze_zones")
+
+    @property
+    def silver(self) -> DataFrame:
+        return self.read("silver")
+
+    @property
+    def dims(self) -> gold.Dimensions:
+        return gold.Dimensions(*[self.read(n) for n in DIM_NAMES])
+
+    @property
+    def fact(self) -> DataFrame:
+        return self.read("fct_trips")
+
+    def lakehouse(self) -> "Lakehouse":
+        """A lazy pipeline whose raw layer is this bronze (for per-step views)."""
+        lk = Lakehouse(self.spark, None, None, None, self.cfg)
+        lk.__dict__["bronze_yellow"] = self.bronze_yellow
+        lk.__dict__["bronze_green"] = self.bronze_green
+        lk.__dict__["bronze_zones"] = self.bronze_zones
+        return lk
+
+
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def build_bronze(lake: Lakehouse, tables: Tables) -> None:
+    _write(lake.bronze_yellow, tables.path("bronze_yellow"))
+    _write(lake.bronze_green, tables.path("bronze_green"))
+    _write(lake.bronze_zones, tables.path("bronze_zones"))
+
+
+def build_silver(tables: Tables, on_fail: str = "raise") -> DataFrame:
+    """Silver from the bronze tables; returns the evaluated silver data-test report."""
+    lk = tables.lakehouse()
+    _write(lk.silver, tables.path("silver"))
+    report = quality.run_checks(tables.silver, quality.silver_checks()).cache()
+    quality.assert_quality(report, on_fail)
+    return report
+
+
+def build_gold(tables: Tables, on_fail: str = "raise") -> DataFrame:
+    """Dimensions, then the clustered fact (it needs them); returns the fact's report."""
+    s = tables.silver
+    for name, dim in gold.build_dimensions(s).as_dict().items():
+        # Dimensions are small: one sorted file each.
+        _write(dim.coalesce(1), tables.path(name))
+    dims = tables.dims
+    fact = gold.fct_trips(s, dims, tables.cfg)
+    files = int(tables.spark.conf.get("spark.sql.shuffle.partitions"))
+    layout.write_clustered(fact, tables.path("fct_trips"), tables.cfg, files=files,
+                           row_group_bytes=FACT_ROW_GROUP_BYTES)
+    report = quality.run_checks(tables.fact, quality.fact_checks(), dims.as_dict()).cache()
+    quality.assert_quality(report, on_fail)
+    return report
+
+
+def run_pipeline(lake: Lakehouse, root: str, on_fail: str = "raise") -> Tables:
+    """Raw -> bronze -> silver (+tests) -> gold (+tests), in order."""
+    tables = Tables(lake.spark, root.rstrip("/"), lake.cfg)
+    build_bronze(lake, tables)
+    build_silver(tables, on_fail)
+    build_gold(tables, on_fail)
+    return tables
