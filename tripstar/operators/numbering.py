@@ -80,27 +80,33 @@ def number_within_key(
     )
 
     # 3. running sum of copies inside (key, bucket); bucket bases for hot keys.
+    # Rows are hash-partitioned by (key hash, bucket) once; that distribution
+    # satisfies both the window (partitioned by hash, bucket and the key itself)
+    # and the join with the bucket bases below, so the big side shuffles once.
     order = [F.col(c).asc_nulls_last() for c in order_cols]
-    before = Window.partitionBy(*key_cols, _BUCKET).orderBy(*order).rowsBetween(
+    before = Window.partitionBy(_KH, _BUCKET, *key_cols).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    numbered = tagged.withColumn(_OFFSET, F.coalesce(F.sum(_COPIES).over(before), F.lit(0)))
+    numbered = tagged.repartition(_KH, _BUCKET).withColumn(
+        _OFFSET, F.coalesce(F.sum(_COPIES).over(before), F.lit(0))
+    )
 
     bases = (
         tagged.where(F.col(_NB).isNotNull())
-        .groupBy(*key_cols, _BUCKET)
+        .groupBy(_KH, *key_cols, _BUCKET)
         .agg(F.sum(_COPIES).alias("_tot"))
     )
-    lower = Window.partitionBy(*key_cols).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    lower = Window.partitionBy(_KH, *key_cols).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     bases = bases.select(
+        F.col(_KH).alias("_b_kh"),
         *[F.col(c).alias(f"_b_{c}") for c in key_cols],
         F.col(_BUCKET).alias("_b_bucket"),
         F.coalesce(F.sum("_tot").over(lower), F.lit(0)).alias(_BASE),
     )
     cond = reduce(
         lambda a, b: a & b,
-        [numbered[c].eqNullSafe(bases[f"_b_{c}"]) for c in key_cols]
-        + [numbered[_BUCKET] == bases["_b_bucket"]],
+        [numbered[_KH] == bases["_b_kh"], numbered[_BUCKET] == bases["_b_bucket"]]
+        + [numbered[c].eqNullSafe(bases[f"_b_{c}"]) for c in key_cols],
     )
     numbered = numbered.join(bases, cond, "left").withColumn(
         _OFFSET, F.col(_OFFSET) + F.coalesce(F.col(_BASE), F.lit(0))
