@@ -56,3 +56,12 @@ def test_entry_contract(spark):
     # every query builds on the smallest tables
     for name, fn in qs.items():
         assert fn(spark, SF001).schema is not None, name
+
+
+def test_register_named_tables(spark, tables01):
+    from tripstar.plans.layers import register
+
+    names = register(tables01, as_views=True, prefix="t01_")
+    assert "t01_taxis_gold_fct_trips" in names
+    assert spark.table("t01_taxis_gold_fct_trips").count() == 46748
+    assert spark.table("t01_taxis_silver_silver").count() == 50967

@@ -26,15 +26,20 @@ class Lakehouse:
     raw_green: DataFrame
     raw_zones: DataFrame
     cfg: PipelineConfig = DEFAULT
+    # Both services' raw rows in one frame with a SERVICE column, when the
+    # source produces them together (the fixture); written once by build_bronze.
+    raw_combined: DataFrame | None = None
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = DEFAULT) -> "Lakehouse":
+        rows = fixture.trip_rows(spark, sf_dir, cfg)
         return cls(
             spark,
-            fixture.raw_trips(spark, sf_dir, "yellow", cfg),
-            fixture.raw_trips(spark, sf_dir, "green", cfg),
+            fixture.raw_from_rows(rows, "yellow"),
+            fixture.raw_from_rows(rows, "green"),
             fixture.raw_zones(spark, sf_dir),
             cfg,
+            raw_combined=rows,
         )
 
     # bronze
@@ -123,7 +128,7 @@ class Tables:
 
     def lakehouse(self) -> "Lakehouse":
         """A lazy pipeline whose raw layer is this bronze (for per-step views)."""
-        lk = Lakehouse(self.spark, None, None, None, self.cfg)
+        lk = Lakehouse(self.spark, None, None, None, self.cfg, None)
         lk.__dict__["bronze_yellow"] = self.bronze_yellow
         lk.__dict__["bronze_green"] = self.bronze_green
         lk.__dict__["bronze_zones"] = self.bronze_zones
@@ -135,8 +140,16 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def build_bronze(lake: Lakehouse, tables: Tables) -> None:
-    _write(lake.bronze_yellow, tables.path("bronze_yellow"))
-    _write(lake.bronze_green, tables.path("bronze_green"))
+    """Raw -> bronze.  A combined raw source is written once, partitioned by
+    service, so each bronze table reads only its own partition."""
+    by, bg = lake.bronze_yellow, lake.bronze_green
+    if lake.raw_combined is not None:
+        lake.raw_combined.write.mode("overwrite").partitionBy("SERVICE").parquet(tables.path("raw_trips"))
+        raw = tables.read("raw_trips")
+        by = bronze.bronze_yellow(fixture.raw_from_rows(raw, "yellow"))
+        bg = bronze.bronze_green(fixture.raw_from_rows(raw, "green"))
+    _write(by, tables.path("bronze_yellow"))
+    _write(bg, tables.path("bronze_green"))
     _write(lake.bronze_zones, tables.path("bronze_zones"))
 
 
@@ -154,7 +167,7 @@ def build_gold(tables: Tables, on_fail: str = "raise") -> DataFrame:
     s = tables.silver
     for name, dim in gold.build_dimensions(s).as_dict().items():
         # Dimensions are small: one sorted file each.
-        _write(dim.coalesce(1), tables.path(name))
+        _write(dim.coalesce(1).sortWithinPartitions(dim.columns[0]), tables.path(name))
     dims = tables.dims
     fact = gold.fct_trips(s, dims, tables.cfg)
     files = int(tables.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -172,3 +185,39 @@ def run_pipeline(lake: Lakehouse, root: str, on_fail: str = "raise") -> Tables:
     build_silver(tables, on_fail)
     build_gold(tables, on_fail)
     return tables
+
+
+# --- catalog (A6 / B4) --------------------------------------------------------------------
+LAYER_DATABASES = {
+    "taxis": ["raw_trips"],
+    "taxis_bronze": ["bronze_yellow", "bronze_green", "bronze_zones"],
+    "taxis_silver": ["silver"],
+    "taxis_gold": [*DIM_NAMES, "fct_trips"],
+}
+
+
+def register(tables: Tables, as_views: bool = False, prefix: str = "") -> list[str]:
+    """Expose the layer tables by name so queries can ``spark.table(...)`` them.
+
+    Tables are external tables over the written folders (``CREATE TABLE IF NOT
+    EXISTS ... USING parquet LOCATION``); with ``as_views`` they are temporary
+    views instead (the reference's default materialisation).
+    """
+    import os
+
+    spark, names = tables.spark, []
+    for db, layer_tables in LAYER_DATABASES.items():
+        db = f"{prefix}{db}"
+        if not as_views:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        for t in layer_tables:
+            path = tables.path(t)
+            if not os.path.exists(path.removeprefix("file:")) and path.startswith(("/", "file:")):
+                continue
+            if as_views:
+                tables.read(t).createOrReplaceTempView(f"{db}_{t}")
+                names.append(f"{db}_{t}")
+            else:
+                spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t} USING parquet LOCATION '{path}'")
+                names.append(f"{db}.{t}")
+    return names

@@ -84,9 +84,14 @@ def trip_rows(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = DEFAULT) -
 
 def raw_trips(spark: SparkSession, sf_dir: str, service: str, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Raw table of one service with the canonical upper-case schema (B1)."""
+    return raw_from_rows(trip_rows(spark, sf_dir, cfg), service)
+
+
+def raw_from_rows(rows: DataFrame, service: str) -> DataFrame:
+    """Project ``trip_rows`` (or its written copy) onto one service's raw schema."""
     prefix = "TPEP" if service == "yellow" else "LPEP"
     schema = RAW_YELLOW if service == "yellow" else RAW_GREEN
-    rows = trip_rows(spark, sf_dir, cfg).where(F.col("SERVICE") == service)
+    rows = rows.where(F.col("SERVICE") == service)
     rows = rows.withColumnsRenamed(
         {"PICKUP_NS": f"{prefix}_PICKUP_DATETIME", "DROPOFF_NS": f"{prefix}_DROPOFF_DATETIME"}
     )
