@@ -45,3 +45,11 @@ def test_gate_raises_or_warns(spark):
     with pytest.raises(DataQualityError):
         assert_quality(report)
     assert assert_quality(report, on_fail="warn") == [("t", "id", "not_null", 1)]
+
+
+def test_duplicated_values_exact(spark):
+    from tripstar.operators.quality import duplicated_values
+
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,), ("c",), ("c",), ("c",)], "id string")
+    got = sorted((r.id, r.occurrences) for r in duplicated_values(df, "id").collect())
+    assert got == [("a", 2), ("c", 3)]
