@@ -170,7 +170,7 @@ def build_gold(tables: Tables, on_fail: str = "raise") -> DataFrame:
         _write(dim.coalesce(1).sortWithinPartitions(dim.columns[0]), tables.path(name))
     dims = tables.dims
     fact = gold.fct_trips(s, dims, tables.cfg)
-    files = int(tables.spark.conf.get("spark.sql.shuffle.partitions"))
+    files = layout.files_for(tables.spark, tables.path("silver"))
     layout.write_clustered(fact, tables.path("fct_trips"), tables.cfg, files=files,
                            row_group_bytes=FACT_ROW_GROUP_BYTES)
     report = quality.run_checks(tables.fact, quality.fact_checks(), dims.as_dict()).cache()

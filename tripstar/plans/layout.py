@@ -23,10 +23,30 @@ def clustered(df: DataFrame, keys: list[str] | tuple[str, ...], files: int) -> D
     return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
 
 
+# Target compressed bytes per clustered output file.
+BYTES_PER_FILE = 256 * 1024 * 1024
+
+
 def file_count(rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
     return max(1, -(-rows // rows_per_file))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def files_for(spark: SparkSession, input_path: str, bytes_per_file: int = BYTES_PER_FILE) -> int:
+    """Output files for a table derived from ``input_path``: one per
+    ``bytes_per_file`` of input, and at least one per core so that the range
+    partitioning still spreads the sort."""
+    by_size = -(-path_bytes(spark, input_path) // bytes_per_file)
+    return max(int(by_size), spark.sparkContext.defaultParallelism, 1)
+
+
 def write_clustered(
     df: DataFrame,
     path: str,
