@@ -95,3 +95,22 @@ def test_zone_csv_na_and_overwrite(spark, tmp_path):
     assert got == [(1, "EWR", "Newark Airport", "EWR"), (264, "Unknown", None, None),
                    (265, None, "Outside of NYC", None)]
     assert z.where(F.col("Borough").isNotNull()).count() == 2
+
+
+def test_cli_load_build_query(spark, tmp_path, capsys):
+    from tripstar.__main__ import main
+
+    land = _landing(tmp_path)
+    # a green month too, so both services exist
+    green = _month_table(1, 4, drift=False).rename_columns(
+        [c.replace("tpep_", "lpep_") for c in _month_table(1, 4, drift=False).column_names])
+    pq.write_table(green, land / "green_tripdata_2015-01.parquet")
+    zones = tmp_path / "zones.csv"
+    zones.write_text("LocationID,Borough,Zone,service_zone\n1,Manhattan,A,Yellow Zone\n2,Queens,B,Boro Zone\n")
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    main(["load", "--source", str(land), "--raw", raw, "--zones", str(zones)])
+    main(["build", "--raw", raw, "--lake", lake])
+    main(["query", "--lake", lake, "top_zones_pickup"])
+    out = capsys.readouterr().out
+    assert "yellow: 2 month(s) loaded" in out and "green: 1 month(s) loaded" in out
+    assert "total_de_viajes" in out

@@ -42,6 +42,19 @@ class Lakehouse:
             raw_combined=rows,
         )
 
+    @classmethod
+    def from_raw_tables(cls, spark: SparkSession, raw_root: str, cfg: PipelineConfig = DEFAULT) -> "Lakehouse":
+        """Production source: the raw tables written by :mod:`tripstar.plans.loader`."""
+        from . import loader
+
+        return cls(
+            spark,
+            loader.read_raw(spark, raw_root, "yellow"),
+            loader.read_raw(spark, raw_root, "green"),
+            spark.read.parquet(f"{raw_root.rstrip('/')}/raw_zones"),
+            cfg,
+        )
+
     # bronze
     @cached_property
     def bronze_yellow(self) -> DataFrame:
