@@ -16,3 +16,12 @@ def test_matches_builtin_percentile(spark):
     for g in exp:
         assert abs(got[g][0] - exp[g][0]) < 1e-9 and abs(got[g][1] - exp[g][1]) < 1e-9, g
     assert got["a"] == (2.5, 3.7)
+
+
+def test_weighted_counts_equal_rows(spark):
+    rows = [("g", float(v % 13)) for v in range(400)] + [("h", 1.0), ("h", 9.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    counts = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("w"))
+    a = {r.g: r.p for r in percentile_cont(df, ["g"], "v", {"p": 0.9}).collect()}
+    b = {r.g: r.p for r in percentile_cont(counts, ["g"], "v", {"p": 0.9}, weight_col="w").collect()}
+    assert a == b

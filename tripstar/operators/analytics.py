@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from .percentiles import percentile_cont
+from .percentiles import percentile_cont, value_counts
 
 TOP_ZONES = 10
 PEAK_HOURS_PER_DAY = 2
@@ -88,14 +88,17 @@ def duration_percentiles(fact: DataFrame, zone_dim: DataFrame) -> DataFrame:
     location's distinct durations (:mod:`.percentiles`), so a location with a
     third of all trips is spread over many tasks instead of one.
     """
+    # Reduce the fact to (zone key, duration) counts on two narrow columns
+    # first; the zone attributes are joined onto that small table.
+    counts = value_counts(fact, ["pickup_zone_sk"], "trip_duration_seconds")
     star = _star(
-        fact.select("pickup_zone_sk", "trip_duration_seconds"),
+        counts,
         (zone_dim.select("pickup_zone_sk", "pickup_location_id", "pickup_borough", "pickup_zone"),
          "pickup_zone_sk", False),
     )
     return percentile_cont(
         star, ["pickup_location_id", "pickup_borough", "pickup_zone"], "trip_duration_seconds",
-        {"p50_duration_sec": 0.5, "p90_duration_sec": 0.9},
+        {"p50_duration_sec": 0.5, "p90_duration_sec": 0.9}, weight_col="_n",
     ).orderBy("pickup_location_id")
 
 

@@ -18,14 +18,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def value_counts(df: DataFrame, group_cols: list[str], value_col: str, weight_col: str | None = None) -> DataFrame:
+    """``(group, value, _n)``: rows (or summed weights) per distinct value."""
+    n = F.sum(weight_col) if weight_col else F.count(F.lit(1))
+    return df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(n.alias("_n"))
+
+
 def percentile_cont(df: DataFrame, group_cols: list[str], value_col: str,
-                    probs: dict[str, float]) -> DataFrame:
-    """One row per group with a column per entry of ``probs`` (name -> p)."""
-    counts = (
-        df.where(F.col(value_col).isNotNull())
-        .groupBy(*group_cols, value_col)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+                    probs: dict[str, float], weight_col: str | None = None) -> DataFrame:
+    """One row per group with a column per entry of ``probs`` (name -> p).
+
+    With ``weight_col`` each input row stands for that many rows (input that
+    is already reduced to value counts).
+    """
+    counts = value_counts(df, group_cols, value_col, weight_col)
     whole = Window.partitionBy(*group_cols)
     upto = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumns({"_total": F.sum("_n").over(whole), "_cum": F.sum("_n").over(upto)})
