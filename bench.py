@@ -121,17 +121,33 @@ def main() -> None:
         q[f"{name}_clustered"] = best_of(lambda: clustered_df.where(cond).agg(*agg).collect())
         q[f"{name}_unclustered"] = best_of(lambda: fact_u.where(cond).agg(*agg).collect())
 
-    def stat_eq(col, v):
-        return lambda s: s[col] is None or not s[col].has_min_max or s[col].min <= v <= s[col].max
-
-    pruning["f1_pickup_date"] = {
-        "clustered": row_groups_read(spark, tables.path("fct_trips"), stat_eq("pickup_date_sk", day)),
-        "unclustered": row_groups_read(spark, unclustered, stat_eq("pickup_date_sk", day)),
-    }
-    pruning["f5_dropoff_date"] = {
-        "clustered_by_pickup": row_groups_read(spark, tables.path("fct_trips"), stat_eq("dropoff_date_sk", drop_day)),
-        "clustered_by_dropoff": row_groups_read(spark, by_dropoff, stat_eq("dropoff_date_sk", drop_day)),
+    def admits(ranges):
+        """Row-group predicate: every (column, lo, hi) range overlaps the min/max."""
+        def ok(stats):
+            for col, lo, hi in ranges:
+                st = stats.get(col)
+                if st is not None and st.has_min_max and (st.max < lo or st.min > hi):
+                    return False
+            return True
+        return ok
+
+    ranges = {
+        "f1_pickup_date": [("pickup_date_sk", day, day)],
+        "f2_pickup_zone": [("pickup_zone_sk", zone, zone)],
+        "f3_date_zone": [("pickup_date_sk", day, day), ("pickup_zone_sk", zone, zone)],
+        "f4_month_zone": [("pickup_date_sk", month_lo, month_hi), ("pickup_zone_sk", zone, zone)],
+        "f5_dropoff_date": [("dropoff_date_sk", drop_day, drop_day)],
+        "f6_date_zone_service": [("pickup_date_sk", day, day), ("pickup_zone_sk", zone, zone),
+                                 ("service_type_sk", svc, svc)],
     }
+    for name, r in ranges.items():
+        clustered_path = by_dropoff if name == "f5_dropoff_date" else tables.path("fct_trips")
+        pruning[name] = {
+            "clustered": row_groups_read(spark, clustered_path, admits(r)),
+            "unclustered": row_groups_read(spark, unclustered, admits(r)),
+        }
+    pruning["f5_dropoff_date"]["clustered_by_pickup"] = row_groups_read(
+        spark, tables.path("fct_trips"), admits(ranges["f5_dropoff_date"]))
 
     d = tables.dims
     business = {

@@ -65,3 +65,17 @@ def test_register_named_tables(spark, tables01):
     assert "t01_taxis_gold_fct_trips" in names
     assert spark.table("t01_taxis_gold_fct_trips").count() == 46748
     assert spark.table("t01_taxis_silver_silver").count() == 50967
+
+
+def test_golden_percentiles_and_flags(spark, tables01):
+    from tripstar.operators import analytics
+
+    d = tables01.dims
+    p = {r.pickup_location_id: (r.p50_duration_sec, round(r.p90_duration_sec, 4))
+         for r in analytics.duration_percentiles(tables01.fact, d.zone_pickup).collect()}
+    assert p[1] == (2823.0, 4868.5) and p[2] == (2803.0, 4809.8) and p[3] == (2856.0, 4832.6)
+    flags = {(r.duration_flag, r.speed_flag): r["count"]
+             for r in tables01.silver.groupBy("duration_flag", "speed_flag").count().collect()}
+    assert flags[("Normal trip", "Normal speed")] == 26364
+    assert flags[("Very short trip (<1min)", "Low speed")] == 1
+    assert analytics.top_zones(tables01.fact, d.zone_pickup, d.date_pickup, "pickup").count() == 122
