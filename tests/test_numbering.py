@@ -53,3 +53,27 @@ def test_ordinal_is_deterministic(spark):
     a = _multiset(number_within_key(df, ["k1", "k2"], cfg=cfg))
     b = _multiset(number_within_key(df.repartition(5), ["k1", "k2"], cfg=cfg))
     assert a == b
+
+
+def test_position_path_matches_and_spreads_copies(spark):
+    df = spark.createDataFrame(_rows(), SCHEMA)
+    pos = df.withColumn("_pos", F.xxhash64(F.monotonically_increasing_id()))
+    pos = spark.createDataFrame(pos.collect(), pos.schema)  # freeze positions
+    plain = _multiset(number_within_key(pos.drop("_pos"), ["k1", "k2"]))
+    got = number_within_key(pos, ["k1", "k2"], spread_col="_pos")
+    assert "_pos" not in got.columns
+    assert _multiset(got) == plain  # no hot keys: identical numbering
+    cfg = PipelineConfig(hot_key_rows=4, hot_key_sample=1, copy_chunk=3)
+    hot = number_within_key(pos, ["k1", "k2"], spread_col="_pos", cfg=cfg)
+    per_key = {}
+    for r in hot.collect():
+        per_key.setdefault((r.k1, r.k2), []).append(r.ordinal)
+    for key, ords in per_key.items():
+        assert sorted(ords) == list(range(1, len(ords) + 1)), key
+
+
+def test_position_path_single_big_shuffle(spark):
+    df = spark.createDataFrame(_rows(), SCHEMA).withColumn("_pos", F.xxhash64("v", "w"))
+    plan = number_within_key(df, ["k1", "k2"], spread_col="_pos")._jdf.queryExecution().executedPlan().toString()
+    # one hash exchange on (key hash, bucket) for the rows; the others are small
+    assert plan.count("hashpartitioning(_kh") >= 1

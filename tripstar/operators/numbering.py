@@ -20,17 +20,28 @@ remaining columns — with bounded work per task:
 4. **Expand copies** into ordinals with a generator, in chunks of
    ``copy_chunk`` ordinals.
 
+That path shuffles the big side twice (the collapse aggregate and the
+window partitioning).  When every row carries a stable *position* (``spread_col``,
+e.g. a hash of ``_metadata.file_path`` and ``_metadata.row_index`` of the scan
+that produced it) one shuffle suffices: hot keys are estimated from a 1-in-R
+position sample (rows, copies included), a hot key's rows — its copies too —
+are spread over buckets by position, and a single ``repartition(key hash,
+bucket)`` then satisfies the copy-collapsing aggregate, the window and the
+bucket-offset join without further exchanges.
+
 For keys below the threshold (bucket 0) the order is exactly "remaining
 columns ascending, nulls last"; inside a hot key it is (bucket, remaining
 columns) — still a deterministic total order, which is all the reference
-promises (its ORDER BY is constant inside the partition).
+promises (its ORDER BY is constant inside the partition).  Salts and samples
+are hashes of content or file positions, never random numbers, so a retried
+task reproduces the same buckets.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
@@ -46,67 +57,97 @@ def number_within_key(
     order_cols: list[str] | None = None,
     ordinal_col: str = "ordinal",
     cfg: PipelineConfig = DEFAULT,
+    spread_col: str | None = None,
 ) -> DataFrame:
     """Return ``df`` with ``ordinal_col`` = 1..n inside each group of ``key_cols``.
 
     ``order_cols`` defaults to all other columns; keys compare null-safely.
+    ``spread_col`` names a stable per-row position (not part of the content;
+    dropped from the result) that enables the single-shuffle plan.
     """
-    all_cols = list(df.columns)
+    content = [c for c in df.columns if c != spread_col]
     if order_cols is None:
-        order_cols = [c for c in all_cols if c not in key_cols]
-    R, T, C = cfg.hot_key_sample, cfg.hot_key_rows, cfg.copy_chunk
-
-    # 1. identical rows -> one row with a copy count (map-side combine).
-    distinct = (
-        df.groupBy(*all_cols)
-        .agg(F.count(F.lit(1)).alias(_COPIES))
-        .withColumn(_KH, F.xxhash64(*key_cols))
-        .withColumn(_RH, F.xxhash64(*all_cols, F.lit("tripstar-row")))
+        order_cols = [c for c in content if c not in key_cols]
+    R, T = cfg.hot_key_sample, cfg.hot_key_rows
+
+    def hot_table(sample: DataFrame) -> DataFrame:
+        # keys whose estimated size exceeds T; at most N / T rows (broadcast bound)
+        return (
+            sample.groupBy(_KH)
+            .agg((F.count(F.lit(1)) * R).alias("_est"))
+            .where(F.col("_est") > T)
+            .select(_KH, F.ceil(F.col("_est") / F.lit(T)).cast("long").alias(_NB))
+        )
+
+    def bucket(spread) -> Column:
+        return F.when(F.col(_NB).isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(spread), F.col(_NB)))
+
+    if spread_col is None:
+        # 1. identical rows -> one row with a copy count (map-side combine).
+        distinct = (
+            df.groupBy(*content)
+            .agg(F.count(F.lit(1)).alias(_COPIES))
+            .withColumn(_KH, F.xxhash64(*key_cols))
+            .withColumn(_RH, F.xxhash64(*content, F.lit("tripstar-row")))
+        )
+        # 2. hot keys from a deterministic content-hash sample of distinct rows.
+        hot = hot_table(distinct.where(F.pmod(F.col(_RH), F.lit(R)) == 0))
+        pre = distinct.join(F.broadcast(hot), _KH, "left").withColumn(_BUCKET, bucket(F.col(_RH)))
+        tagged = pre.repartition(_KH, _BUCKET)
+        weight = F.col(_COPIES)
+    else:
+        # 1'. hot keys from a 1-in-R position sample (counts every row, copies too).
+        base = df.withColumn(_KH, F.xxhash64(*key_cols))
+        hot = hot_table(base.where(F.pmod(F.col(spread_col), F.lit(R)) == 0))
+        pre = base.join(F.broadcast(hot), _KH, "left").withColumn(_BUCKET, bucket(F.col(spread_col)))
+        # 2'. the only big shuffle; the aggregate below needs no further exchange
+        # because its grouping keys include (key hash, bucket).
+        tagged = (
+            pre.repartition(_KH, _BUCKET)
+            .groupBy(_KH, _BUCKET, _NB, *content)
+            .agg(F.count(F.lit(1)).alias(_COPIES))
+        )
+        weight = F.lit(1)
+    # Bucket totals of hot keys come from the rows *before* the repartition, so
+    # partial aggregation reduces them map-side to one row per (key, bucket, task).
+    totals = (
+        pre.where(F.col(_NB).isNotNull())
+        .groupBy(_KH, *key_cols, _BUCKET)
+        .agg(F.sum(weight).cast("long").alias("_tot"))
     )
+    return _number_tagged(tagged, totals, content, key_cols, order_cols, ordinal_col, cfg)
 
-    # 2. hot keys from a deterministic content-hash sample; <= N / T rows.
-    hot = (
-        distinct.where(F.pmod(F.col(_RH), F.lit(R)) == 0)
-        .groupBy(_KH)
-        .agg((F.count(F.lit(1)) * R).alias("_est"))
-        .where(F.col("_est") > T)
-        .select(_KH, F.ceil(F.col("_est") / F.lit(T)).cast("long").alias(_NB))
-    )
-    tagged = distinct.join(F.broadcast(hot), _KH, "left").withColumn(
-        _BUCKET,
-        F.when(F.col(_NB).isNull(), F.lit(0).cast("long")).otherwise(
-            F.pmod(F.xxhash64(F.col(_RH)), F.col(_NB))
-        ),
-    )
 
+def _number_tagged(tagged: DataFrame, totals: DataFrame, content: list[str], key_cols: list[str],
+                   order_cols: list[str], ordinal_col: str, cfg: PipelineConfig) -> DataFrame:
+    """Steps 3-4 on distinct rows hash-partitioned by (key hash, bucket)."""
+    C = cfg.copy_chunk
     # 3. running sum of copies inside (key, bucket); bucket bases for hot keys.
-    # Rows are hash-partitioned by (key hash, bucket) once; that distribution
-    # satisfies both the window (partitioned by hash, bucket and the key itself)
-    # and the join with the bucket bases below, so the big side shuffles once.
+    # The (key hash, bucket) partitioning satisfies both the window (partitioned
+    # by hash, bucket and the key itself) and the join with the bucket bases.
     order = [F.col(c).asc_nulls_last() for c in order_cols]
     before = Window.partitionBy(_KH, _BUCKET, *key_cols).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    numbered = tagged.repartition(_KH, _BUCKET).withColumn(
-        _OFFSET, F.coalesce(F.sum(_COPIES).over(before), F.lit(0))
-    )
+    numbered = tagged.withColumn(_OFFSET, F.coalesce(F.sum(_COPIES).over(before), F.lit(0)))
 
-    bases = (
-        tagged.where(F.col(_NB).isNotNull())
-        .groupBy(_KH, *key_cols, _BUCKET)
-        .agg(F.sum(_COPIES).alias("_tot"))
-    )
     lower = Window.partitionBy(_KH, *key_cols).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    bases = bases.select(
+    bases = totals.select(
         F.col(_KH).alias("_b_kh"),
         *[F.col(c).alias(f"_b_{c}") for c in key_cols],
         F.col(_BUCKET).alias("_b_bucket"),
         F.coalesce(F.sum("_tot").over(lower), F.lit(0)).alias(_BASE),
     )
+    # Equi-join only on (key hash, bucket) — exactly the partitioning the rows
+    # already have, so only the small side moves.  The full key is compared as
+    # a residual: two struct inequalities (null fields compare equal in struct
+    # ordering) are an exact null-safe equality that the planner does not turn
+    # into extra join keys.
+    mine = F.struct(*[numbered[c] for c in key_cols])
+    theirs = F.struct(*[bases[f"_b_{c}"] for c in key_cols])
     cond = reduce(
         lambda a, b: a & b,
-        [numbered[_KH] == bases["_b_kh"], numbered[_BUCKET] == bases["_b_bucket"]]
-        + [numbered[c].eqNullSafe(bases[f"_b_{c}"]) for c in key_cols],
+        [numbered[_KH] == bases["_b_kh"], numbered[_BUCKET] == bases["_b_bucket"], mine <= theirs, mine >= theirs],
     )
     numbered = numbered.join(bases, cond, "left").withColumn(
         _OFFSET, F.col(_OFFSET) + F.coalesce(F.col(_BASE), F.lit(0))
@@ -114,7 +155,7 @@ def number_within_key(
 
     # 4. expand copies into ordinals, chunk by chunk.
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(_COPIES) / F.lit(C)).cast("long") - 1))
-    expanded = numbered.select(*all_cols, _OFFSET, _COPIES, chunk.alias("_chunk"))
+    expanded = numbered.select(*content, _OFFSET, _COPIES, chunk.alias("_chunk"))
     lo = F.col(_OFFSET) + F.col("_chunk") * C + 1
     hi = F.least(F.col(_OFFSET) + F.col(_COPIES), F.col(_OFFSET) + (F.col("_chunk") + 1) * C)
-    return expanded.select(*all_cols, F.explode(F.sequence(lo, hi)).alias(ordinal_col))
+    return expanded.select(*content, F.explode(F.sequence(lo, hi)).alias(ordinal_col))

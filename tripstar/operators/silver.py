@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions import labels
@@ -60,15 +61,38 @@ SILVER_COLUMNS = [
 
 
 # --- C7 / D1 / I1 -------------------------------------------------------------
-def _aligned(bronze: DataFrame, prefix: str) -> DataFrame:
+POSITION = "_pos"
+
+
+def with_position(scan: DataFrame) -> DataFrame | None:
+    """Add ``_pos``, a stable hash of each row's file and row index.
+
+    Only a DataFrame that is directly a file scan has ``_metadata``; for
+    anything else this returns None and callers fall back to content hashes.
+    """
+    try:
+        return scan.withColumn(
+            POSITION, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        )
+    except AnalysisException:
+        return None
+
+
+def _aligned(bronze: DataFrame, prefix: str, extra: list[str] | None = None) -> DataFrame:
     pick, drop = f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"
     renamed = bronze.where(F.col(pick).isNotNull() & F.col(drop).isNotNull()).withColumnsRenamed(
         {pick: "pickup_datetime", drop: "dropoff_datetime", "ratecode_id": "rate_code_id"}
     )
-    return renamed.select(*UNION_COLUMNS)
+    return renamed.select(*UNION_COLUMNS, *(extra or []))
 
 
-def trips_union(bronze_yellow: DataFrame, bronze_green: DataFrame) -> DataFrame:
+def trips_union(bronze_yellow: DataFrame, bronze_green: DataFrame, with_positions: bool = False) -> DataFrame:
+    """C7/D1/I1.  With ``with_positions`` and file-scan inputs, rows also carry
+    ``_pos`` (used by the duplicate ordinal for its single-shuffle plan)."""
+    if with_positions:
+        y, g = with_position(bronze_yellow), with_position(bronze_green)
+        if y is not None and g is not None:
+            return _aligned(g, "lpep", [POSITION]).unionByName(_aligned(y, "tpep", [POSITION]))
     return _aligned(bronze_green, "lpep").unionByName(_aligned(bronze_yellow, "tpep"))
 
 
@@ -128,7 +152,8 @@ def with_dropoff_zone(trips: DataFrame, zones: DataFrame) -> DataFrame:
 # --- G1 / C16 -----------------------------------------------------------------
 def with_trip_id(trips: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Duplicate ordinal over the natural key, then the MD5 trip key."""
-    numbered = number_within_key(trips, NATURAL_KEY, ordinal_col="trip_ordinal", cfg=cfg)
+    spread = POSITION if POSITION in trips.columns else None
+    numbered = number_within_key(trips, NATURAL_KEY, ordinal_col="trip_ordinal", cfg=cfg, spread_col=spread)
     types = {f.name: f.dataType for f in trips.schema.fields}
     parts = [(F.col(c), types[c]) for c in NATURAL_KEY]
     return numbered.withColumn("trip_id", trip_key(parts, F.col("trip_ordinal")))

@@ -75,7 +75,9 @@ class Lakehouse:
 
     @cached_property
     def standardized(self) -> DataFrame:
-        return silver.standardized(self.union, self.bronze_zones, self.cfg)
+        # Positioned union when bronze are file scans: one shuffle for the ordinal.
+        union = silver.trips_union(self.bronze_yellow, self.bronze_green, with_positions=True)
+        return silver.standardized(union, self.bronze_zones, self.cfg)
 
     @cached_property
     def silver(self) -> DataFrame:
