@@ -79,3 +79,15 @@ def test_golden_percentiles_and_flags(spark, tables01):
     assert flags[("Normal trip", "Normal speed")] == 26364
     assert flags[("Very short trip (<1min)", "Low speed")] == 1
     assert analytics.top_zones(tables01.fact, d.zone_pickup, d.date_pickup, "pickup").count() == 122
+
+
+def test_silver_shuffles_trip_rows_once(spark, tables01):
+    """Only one exchange in the silver plan carries all trip rows: the
+    duplicate ordinal's (key hash, bucket) repartition.  The others move a
+    1-in-1000 sample or per-bucket totals."""
+    plan = tables01.lakehouse().silver._jdf.queryExecution().executedPlan().toString()
+    big = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len(big) == 1 and "hashpartitioning(_kh" in big[0]
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    for j in joins:  # the offsets join is co-partitioned on (key hash, bucket)
+        assert "[_kh" in j and "_bucket" in j
