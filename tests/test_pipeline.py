@@ -91,3 +91,25 @@ def test_silver_shuffles_trip_rows_once(spark, tables01):
     joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
     for j in joins:  # the offsets join is co-partitioned on (key hash, bucket)
         assert "[_kh" in j and "_bucket" in j
+
+
+def test_sql_questions_match_dataframe_versions(spark, tables01):
+    from tripstar.operators import analytics
+    from tripstar.plans import questions
+    from tripstar.plans.layers import register
+
+    register(tables01, prefix="q01_")
+    d, f = tables01.dims, tables01.fact
+    frames = {
+        "top_zones_pickup": analytics.top_zones(f, d.zone_pickup, d.date_pickup, "pickup"),
+        "revenue_tips_dropoff": analytics.revenue_tips(f, d.zone_dropoff, d.date_dropoff, "dropoff"),
+        "speed_by_band_pickup": analytics.speed_by_band(f, d.zone_pickup, d.time_pickup, "pickup"),
+        "duration_percentiles": analytics.duration_percentiles(f, d.zone_pickup),
+        "demand_dow_hour": analytics.demand_dow_hour(f, d.date_pickup, d.time_pickup),
+    }
+    for name, df in frames.items():
+        sql = questions.run(spark, name, db="q01_taxis_gold")
+        assert sql.columns == df.columns, name
+        a = sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in sql.collect())
+        b = sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.collect())
+        assert a == b, name
