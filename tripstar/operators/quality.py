@@ -90,7 +90,7 @@ FACT_EXPRESSIONS = [
 ]
 
 
-def silver_checks(table: str = "stg_newyork_taxistrips_silver") -> list[Check]:
+def silver_checks(table: str = "silver_trips") -> list[Check]:
     checks = [Check(table, c, "not_null") for c in SILVER_NOT_NULL]
     checks.append(Check(table, "trip_id", "unique"))
     checks += [Check(table, c, "expression_is_true", e) for c, e in SILVER_EXPRESSIONS]
