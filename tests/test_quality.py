@@ -53,3 +53,15 @@ def test_duplicated_values_exact(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,), ("c",), ("c",), ("c",)], "id string")
     got = sorted((r.id, r.occurrences) for r in duplicated_values(df, "id").collect())
     assert got == [("a", 2), ("c", 3)]
+
+
+def test_doubled_zone_lookup_fires_unique(spark):
+    from tripstar.operators.quality import zone_checks
+
+    zones = spark.createDataFrame([(1, "A"), (2, "B")], "LOCATIONID int, BOROUGH string")
+    doubled = zones.unionAll(zones)
+    ok = {r.test: r.failing_rows for r in run_checks(zones, zone_checks()).collect()}
+    bad = {r.test: r.failing_rows for r in run_checks(doubled, zone_checks()).collect()}
+    assert ok == {"not_null": 0, "unique": 0} and bad == {"not_null": 0, "unique": 2}
+    with pytest.raises(DataQualityError):
+        assert_quality(run_checks(doubled, zone_checks()))

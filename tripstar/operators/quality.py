@@ -106,6 +106,45 @@ def fact_checks(table: str = "fct_trips") -> list[Check]:
     return checks
 
 
+def zone_checks(table: str = "bronze_zones") -> list[Check]:
+    """A doubled lookup would fan every trip out in the zone joins."""
+    return [Check(table, "LOCATIONID", "not_null"), Check(table, "LOCATIONID", "unique")]
+
+
+# surrogate key and, for zone dimensions, the natural key the fact joins on
+DIM_KEYS = {
+    "dim_date_pickup": ["pickup_date_sk"], "dim_date_dropoff": ["dropoff_date_sk"],
+    "dim_time_pickup": ["pickup_time_sk"], "dim_time_dropoff": ["dropoff_time_sk"],
+    "dim_zone_pickup": ["pickup_zone_sk", "pickup_location_id"],
+    "dim_zone_dropoff": ["dropoff_zone_sk", "dropoff_location_id"],
+    "dim_vendor": ["vendor_sk"], "dim_rate_code": ["rate_code_sk"], "dim_payment_type": ["payment_type_sk"],
+    "dim_service_type": ["service_type_sk"], "dim_trip_type": ["trip_type_sk"],
+}
+
+
+def dim_checks() -> list[Check]:
+    checks = []
+    for dim, keys in DIM_KEYS.items():
+        checks.append(Check(dim, keys[0], "not_null"))
+        checks += [Check(dim, k, "unique") for k in keys]
+    return checks
+
+
+def all_checks() -> list[Check]:
+    return zone_checks() + silver_checks() + dim_checks() + fact_checks()
+
+
+def run_table_checks(tables: dict[str, DataFrame], checks: list[Check],
+                     parents: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """``run_checks`` for checks spread over several tables, one report."""
+    reports = []
+    for name, df in tables.items():
+        mine = [c for c in checks if c.table == name]
+        if mine:
+            reports.append(run_checks(df, mine, parents))
+    return reduce(DataFrame.unionByName, reports) if reports else None
+
+
 # --- evaluation -----------------------------------------------------------------------
 def _failing(check: Check, parent_marker: str | None = None) -> Column:
     c = F.col(check.column)

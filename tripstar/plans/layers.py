@@ -170,9 +170,12 @@ def build_bronze(lake: Lakehouse, tables: Tables) -> None:
 
 def build_silver(tables: Tables, on_fail: str = "raise") -> DataFrame:
     """Silver from the bronze tables; returns the evaluated silver data-test report."""
+    # The zone lookup is checked first: duplicated ids would multiply trips.
+    zones = quality.run_checks(tables.bronze_zones, quality.zone_checks()).cache()
+    quality.assert_quality(zones, on_fail)
     lk = tables.lakehouse()
     _write(lk.silver, tables.path("silver"))
-    report = quality.run_checks(tables.silver, quality.silver_checks()).cache()
+    report = quality.run_checks(tables.silver, quality.silver_checks()).unionByName(zones).cache()
     quality.assert_quality(report, on_fail)
     return report
 
@@ -188,7 +191,9 @@ def build_gold(tables: Tables, on_fail: str = "raise") -> DataFrame:
     files = layout.files_for(tables.spark, tables.path("silver"))
     layout.write_clustered(fact, tables.path("fct_trips"), tables.cfg, files=files,
                            row_group_bytes=FACT_ROW_GROUP_BYTES)
-    report = quality.run_checks(tables.fact, quality.fact_checks(), dims.as_dict()).cache()
+    report = quality.run_table_checks(
+        {"fct_trips": tables.fact, **dims.as_dict()}, quality.fact_checks() + quality.dim_checks(), dims.as_dict()
+    ).cache()
     quality.assert_quality(report, on_fail)
     return report
 
