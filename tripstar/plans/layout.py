@@ -18,9 +18,19 @@ from ..config import DEFAULT, PipelineConfig
 ROWS_PER_FILE = 2_000_000
 
 
-def clustered(df: DataFrame, keys: list[str] | tuple[str, ...], files: int) -> DataFrame:
+def clustered(df: DataFrame, keys: list[str] | tuple[str, ...], files: int,
+              tiebreak: str | None = None) -> DataFrame:
+    """Range-partition and sort by ``keys``.
+
+    Range partitioning never splits one key value, so a single (date, zone,
+    service) holding a third of all rows would be one task and one file.  A
+    well-spread ``tiebreak`` column (the trip id, an MD5) as the last range key
+    lets such a value span several files; each file still covers a narrow,
+    sorted key range.
+    """
     keys = list(keys)
-    return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    range_keys = keys + ([tiebreak] if tiebreak and tiebreak in df.columns else [])
+    return df.repartitionByRange(files, *range_keys).sortWithinPartitions(*range_keys)
 
 
 # Target compressed bytes per clustered output file.
@@ -54,12 +64,13 @@ def write_clustered(
     files: int | None = None,
     keys: list[str] | tuple[str, ...] | None = None,
     row_group_bytes: int | None = None,
+    tiebreak: str | None = "trip_id",
 ) -> None:
     """Overwrite ``path`` with ``df`` clustered by ``keys`` (default: the fact keys)."""
     keys = keys or cfg.cluster_keys
     if files is None:
         files = max(df.sparkSession.sparkContext.defaultParallelism, 1)
-    writer = clustered(df, keys, files).write.mode("overwrite")
+    writer = clustered(df, keys, files, tiebreak).write.mode("overwrite")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", str(row_group_bytes))
     writer.parquet(path)
