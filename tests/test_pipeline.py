@@ -125,3 +125,14 @@ def test_hot_cluster_key_spreads_over_files(spark, tmp_path):
     files = back.where("pickup_date_sk = 20200101").select(F.input_file_name()).distinct().count()
     assert files >= 3  # the hot key value is not forced into a single file
     assert back.count() == 4010
+
+
+def test_balanced_percentiles_equal_builtin(tables01):
+    from tripstar.operators import analytics
+
+    a = {r.pickup_location_id: (r.p50_duration_sec, r.p90_duration_sec) for r in
+         analytics.duration_percentiles(tables01.fact, tables01.dims.zone_pickup).collect()}
+    b = {r.pickup_location_id: (r.p50_duration_sec, r.p90_duration_sec) for r in
+         analytics.duration_percentiles_builtin(tables01.fact, tables01.dims.zone_pickup).collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k][0] - b[k][0]) < 1e-9 and abs(a[k][1] - b[k][1]) < 1e-9 for k in a)

@@ -14,10 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, PipelineConfig
 
-# Target rows per output file; row groups inside a file keep the sort order.
-ROWS_PER_FILE = 2_000_000
-
-
 def clustered(df: DataFrame, keys: list[str] | tuple[str, ...], files: int,
               tiebreak: str | None = None) -> DataFrame:
     """Range-partition and sort by ``keys``.
@@ -37,10 +33,6 @@ def clustered(df: DataFrame, keys: list[str] | tuple[str, ...], files: int,
 BYTES_PER_FILE = 256 * 1024 * 1024
 
 
-def file_count(rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
-    return max(1, -(-rows // rows_per_file))
-
-
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (any Hadoop file system)."""
     jvm = spark.sparkContext._jvm
@@ -75,6 +67,3 @@ def write_clustered(
         writer = writer.option("parquet.block.size", str(row_group_bytes))
     writer.parquet(path)
 
-
-def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -78,6 +78,3 @@ PASSENGERS = T.StructType(
 def raw_schema(service: str) -> T.StructType:
     return RAW_YELLOW if service == "yellow" else RAW_GREEN
 
-
-def time_prefix(service: str) -> str:
-    return "TPEP" if service == "yellow" else "LPEP"

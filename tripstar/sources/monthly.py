@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions.timecols import epoch_ntz, month_index
-from ..schemas import LOAD_METADATA, raw_schema, time_prefix
+from ..schemas import LOAD_METADATA, raw_schema
 
 DRIFT_COLUMNS_TO_DROP = ("cbd_congestion_fee",)
 FILE_NAME_PATTERN = r"^(yellow|green)_tripdata_(\d{4})-(\d{2})\.parquet$"
@@ -143,7 +143,3 @@ def batch_labels(df_with_metadata: DataFrame, batch_rows: int) -> DataFrame:
     batch = F.floor(F.col("_metadata.row_index") / F.lit(batch_rows)).cast("long") + 1
     return df_with_metadata.select(F.col("_metadata.file_name").alias("file_name"), batch.alias("lote"))
 
-
-def time_columns_for(service: str) -> tuple[str, str]:
-    p = time_prefix(service)
-    return f"{p}_PICKUP_DATETIME", f"{p}_DROPOFF_DATETIME"
