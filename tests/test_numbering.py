@@ -77,3 +77,15 @@ def test_position_path_single_big_shuffle(spark):
     plan = number_within_key(df, ["k1", "k2"], spread_col="_pos")._jdf.queryExecution().executedPlan().toString()
     # one hash exchange on (key hash, bucket) for the rows; the others are small
     assert plan.count("hashpartitioning(_kh") >= 1
+
+
+def test_distributed_surrogate_keys_are_dense_and_ordered(spark):
+    from tripstar.operators.gold import _surrogate
+
+    vals = [(i * 7 % 1000,) for i in range(1000)] + [(None,)]
+    df = spark.createDataFrame(vals, "v int").repartition(7)
+    out = _surrogate(df, "sk", [F.col("v").asc_nulls_last()]).collect()
+    by_sk = sorted((r.sk, r.v) for r in out)
+    assert [sk for sk, _ in by_sk] == list(range(1, 1002))
+    assert [v for _, v in by_sk[:-1]] == sorted(v for (v,) in vals if v is not None)
+    assert by_sk[-1][1] is None  # nulls last

@@ -1,11 +1,10 @@
 """Gold star schema: eleven dimensions and the trip fact.
 
-Dimensions are ``distinct`` / ``group by`` over silver followed by a surrogate
-key.  Their sizes are bounded by construction — dates by the validity window
-(< 4,100), times by the clock (86,400), labels by their fixed value lists —
-or by the zone lookup and code domains; the global ``row_number`` therefore
-runs on a few hundred to a few tens of thousands of rows after the distinct
-has been computed with map-side partial aggregation.
+Dimensions are ``distinct`` / ``group by`` over silver (map-side partial
+aggregation) followed by a surrogate key, numbered without moving all members
+to one task (see ``_surrogate``).  Sizes are bounded by construction — dates
+by the validity window (< 4,100), times by the clock (86,400), labels by their
+fixed value lists — or by the zone lookup and the code domains.
 
 The fact computes the date and time surrogate keys arithmetically: they are
 pure functions of the timestamp (``YYYYMMDD`` / ``HHMMSS``) and every fact
@@ -24,14 +23,31 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, PipelineConfig
 from ..functions import labels
 from ..functions.timecols import date_key, time_key, time_text
+from ..session import checkpoint_dir
 
 ROLES = ("pickup", "dropoff")
 
 
 def _surrogate(df: DataFrame, sk: str, order: list[Column]) -> DataFrame:
-    """``row_number`` over the natural key, nulls last, as a long."""
-    w = Window.orderBy(*order)
-    return df.select(F.row_number().over(w).cast("long").alias(sk), *df.columns)
+    """``row_number()`` over the natural key (nulls last) as a long.
+
+    A global ``row_number`` window would move every member to one task.
+    Instead the members are range-partitioned in key order (partition i holds
+    keys below partition i+1), the partitioning is pinned with a reliable
+    checkpoint in the shared checkpoint folder, rows are numbered inside each
+    partition, and each partition's offset — the sizes of the partitions before
+    it, a table of at most #partitions rows — is broadcast and added.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    parts = max(spark.sparkContext.defaultParallelism, 1)
+    ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    numbered = local.join(F.broadcast(offsets), "_part")
+    return numbered.select((F.col("_offset") + F.col("_rn")).cast("long").alias(sk), *df.columns)
 
 
 # --- date / time ------------------------------------------------------------------
