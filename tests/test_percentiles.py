@@ -25,3 +25,12 @@ def test_weighted_counts_equal_rows(spark):
     a = {r.g: r.p for r in percentile_cont(df, ["g"], "v", {"p": 0.9}).collect()}
     b = {r.g: r.p for r in percentile_cont(counts, ["g"], "v", {"p": 0.9}, weight_col="w").collect()}
     assert a == b
+
+
+def test_weighted_rows_may_repeat_values(spark):
+    # the same value counted in two rows of one group (two zone keys, same attributes)
+    w = spark.createDataFrame([("g", 1.0, 2), ("g", 2.0, 1), ("g", 1.0, 3), ("g", 5.0, 4)], "g string, v double, w long")
+    rows = spark.createDataFrame([("g", 1.0)] * 5 + [("g", 2.0)] + [("g", 5.0)] * 4, "g string, v double")
+    a = percentile_cont(w, ["g"], "v", {"p": 0.5, "q": 0.9}, weight_col="w").first()
+    b = percentile_cont(rows, ["g"], "v", {"p": 0.5, "q": 0.9}).first()
+    assert (a.p, a.q) == (b.p, b.q)

@@ -1,27 +1,27 @@
 """Exact continuous percentiles that stay balanced under a hot group.
 
-``percentile_cont(p)`` over the rows of a group is determined by the sorted
-value counts of that group.  So the rows are first reduced to
-``(group, value, count)`` — an ordinary aggregation with map-side combine,
-hashed on (group, value) so that a hot group's values spread over all tasks —
-and a running count over each group's *distinct values* locates the ranks
-``floor(p * (n - 1))`` and ``ceil(p * (n - 1))``.  Work per task is bounded by
-the number of distinct values in a group (whole seconds of trip duration), not
-by its rows; no per-group map of a third of the data is merged in one task.
-Interpolation follows Spark's ``percentile``:
-``(ceil - pos) * lower + (pos - floor) * upper``.
+Spark's exact ``percentile`` keeps a value->count map per group; applied to
+raw rows, the final task of a group merges one partial map per input task.
+Here the rows are first reduced to ``(group, value, count)`` — an ordinary
+aggregation with map-side combine, hash-partitioned on (group, value), so a
+hot group's values are spread over all tasks and each distinct value lives in
+exactly one of them.  ``percentile(value, p, count)`` then merges disjoint
+maps whose total size is the number of distinct values of the group (whole
+seconds of trip duration), not its number of rows.  Results are exactly
+``percentile_cont``: ``(ceil - pos) * lower + (pos - floor) * upper`` at
+``pos = p * (n - 1)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def value_counts(df: DataFrame, group_cols: list[str], value_col: str, weight_col: str | None = None) -> DataFrame:
     """``(group, value, _n)``: rows (or summed weights) per distinct value."""
     n = F.sum(weight_col) if weight_col else F.count(F.lit(1))
-    return df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(n.alias("_n"))
+    return df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(n.cast("long").alias("_n"))
 
 
 def percentile_cont(df: DataFrame, group_cols: list[str], value_col: str,
@@ -29,27 +29,12 @@ def percentile_cont(df: DataFrame, group_cols: list[str], value_col: str,
     """One row per group with a column per entry of ``probs`` (name -> p).
 
     With ``weight_col`` each input row stands for that many rows (input that
-    is already reduced to value counts).
+    is already reduced to value counts); a value may appear in several rows.
     """
-    counts = value_counts(df, group_cols, value_col, weight_col)
-    whole = Window.partitionBy(*group_cols)
-    upto = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumns({"_total": F.sum("_n").over(whole), "_cum": F.sum("_n").over(upto)})
-    # This value covers the 0-based ranks [_cum - _n, _cum - 1].
-    lo_rank, hi_rank = {}, {}
-    cols = []
-    for name, p in probs.items():
-        pos = F.lit(p) * (F.col("_total") - 1)
-        lo_rank[name], hi_rank[name] = F.floor(pos), F.ceil(pos)
-        for tag, rank in (("lo", lo_rank[name]), ("hi", hi_rank[name])):
-            covers = (F.col("_cum") - F.col("_n") <= rank) & (rank < F.col("_cum"))
-            cols.append(F.min(F.when(covers, F.col(value_col))).alias(f"_{tag}_{name}"))
-    picked = ranked.groupBy(*group_cols).agg(F.first("_total").alias("_total"), *cols)
-    out = []
-    for name, p in probs.items():
-        pos = F.lit(p) * (F.col("_total") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        lo_v, hi_v = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
-        value = F.when(lo == hi, lo_v).otherwise((hi - pos) * lo_v + (pos - lo) * hi_v)
-        out.append(value.alias(name))
-    return picked.select(*group_cols, *out)
+    if weight_col:
+        counts = df.where(F.col(value_col).isNotNull()).select(
+            *group_cols, value_col, F.col(weight_col).cast("long").alias("_n"))
+    else:
+        counts = value_counts(df, group_cols, value_col)
+    aggs = [F.percentile(F.col(value_col), F.lit(p), F.col("_n")).alias(name) for name, p in probs.items()]
+    return counts.groupBy(*group_cols).agg(*aggs)
