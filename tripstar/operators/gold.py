@@ -28,9 +28,12 @@ from ..session import checkpoint_dir
 ROLES = ("pickup", "dropoff")
 
 
-def _surrogate(df: DataFrame, sk: str, order: list[Column]) -> DataFrame:
+def _surrogate(df: DataFrame, sk: str, order: list[Column], max_members: int | None = None) -> DataFrame:
     """``row_number()`` over the natural key (nulls last) as a long.
 
+    ``max_members`` states a fixed bound on the number of members (label
+    dimensions); then one ordered window over those few rows is used.
+
     A global ``row_number`` window would move every member to one task.
     Instead the members are range-partitioned in key order (partition i holds
     keys below partition i+1), the partitioning is pinned with a reliable
@@ -38,6 +41,8 @@ def _surrogate(df: DataFrame, sk: str, order: list[Column]) -> DataFrame:
     partition, and each partition's offset — the sizes of the partitions before
     it, a table of at most #partitions rows — is broadcast and added.
     """
+    if max_members is not None:
+        return df.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias(sk), *df.columns)
     spark = df.sparkSession
     checkpoint_dir(spark)
     parts = max(spark.sparkContext.defaultParallelism, 1)
@@ -96,17 +101,19 @@ def dim_rate_code(silver: DataFrame) -> DataFrame:
 
 def dim_payment_type(silver: DataFrame) -> DataFrame:
     p = silver.select("payment_type_description").distinct()
-    return _surrogate(p, "payment_type_sk", [F.col("payment_type_description").asc_nulls_last()])
+    return _surrogate(p, "payment_type_sk", [F.col("payment_type_description").asc_nulls_last()],
+                      max_members=len(labels.PAYMENT_LABELS) + 1)
 
 
 def dim_service_type(silver: DataFrame) -> DataFrame:
     s = silver.select("service_type").distinct()
-    return _surrogate(s, "service_type_sk", [F.col("service_type").asc_nulls_last()])
+    return _surrogate(s, "service_type_sk", [F.col("service_type").asc_nulls_last()], max_members=2)
 
 
 def dim_trip_type(silver: DataFrame) -> DataFrame:
     t = silver.select("duration_flag", "speed_flag").distinct()
-    t = _surrogate(t, "trip_type_sk", [F.col("duration_flag").asc_nulls_last(), F.col("speed_flag").asc_nulls_last()])
+    t = _surrogate(t, "trip_type_sk", [F.col("duration_flag").asc_nulls_last(), F.col("speed_flag").asc_nulls_last()],
+                   max_members=9)
     return t.withColumn(
         "trip_type_description", labels.trip_type_label(F.col("duration_flag"), F.col("speed_flag"))
     )
