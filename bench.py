@@ -7,7 +7,9 @@ Measured:
 * layer builds (bronze, silver + tests, gold + tests) from the trips fixture;
 * the six filter shapes of the reference's clustering study on the fact
   table, clustered (pickup_date_sk, pickup_zone_sk, service_type_sk) vs. an
-  unclustered copy, with the Parquet row groups each scan could not skip;
+  unclustered copy: seconds, and in ``row_groups_touched`` the Parquet row
+  groups (and their compressed bytes) each scan cannot skip, as
+  [touched, total, bytes touched, bytes total];
 * the eight business queries plus peak hours on the clustered tables;
 * a skew scenario derived from the data (a third of the rows copies of one
   trip, plus many variants of one natural key): the skew-safe duplicate
@@ -48,25 +50,29 @@ def best_of(fn, runs: int = 3) -> float:
     return min(timed(fn)[1] for _ in range(runs))
 
 
-def row_groups_read(spark, path: str, cond) -> tuple[int, int]:
-    """(row groups whose min/max admit ``cond``, all row groups) via Parquet footers."""
+def row_groups_read(spark, path: str, cond) -> tuple[int, int, int, int]:
+    """Row groups whose min/max admit ``cond``, all row groups, and their
+    compressed bytes (touched, total), from the Parquet footers."""
     import pyarrow.parquet as pq
 
     local = path.removeprefix("file:")
     if not os.path.isdir(local):
-        return -1, -1
+        return -1, -1, -1, -1
     files = [os.path.join(local, f) for f in os.listdir(local) if f.endswith(".parquet")]
-    total = hit = 0
+    total = hit = bytes_total = bytes_hit = 0
     for f in files:
         md = pq.ParquetFile(f).metadata
         names = [md.schema.column(i).name for i in range(md.num_columns)]
         for g in range(md.num_row_groups):
             total += 1
             rg = md.row_group(g)
+            size = sum(rg.column(i).total_compressed_size for i in range(md.num_columns))
+            bytes_total += size
             stats = {names[i]: rg.column(i).statistics for i in range(md.num_columns)}
             if cond(stats):
                 hit += 1
-    return hit, total
+                bytes_hit += size
+    return hit, total, bytes_hit, bytes_total
 
 
 def main() -> None:
