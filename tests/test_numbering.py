@@ -89,3 +89,14 @@ def test_distributed_surrogate_keys_are_dense_and_ordered(spark):
     assert [sk for sk, _ in by_sk] == list(range(1, 1002))
     assert [v for _, v in by_sk[:-1]] == sorted(v for (v,) in vals if v is not None)
     assert by_sk[-1][1] is None  # nulls last
+
+
+def test_hot_key_cap_keeps_numbering_exact(spark):
+    df = spark.createDataFrame(_rows(), SCHEMA)
+    cfg = PipelineConfig(hot_key_rows=1, hot_key_sample=1, copy_chunk=4, max_hot_keys=1)
+    got = number_within_key(df, ["k1", "k2"], cfg=cfg)
+    per_key = {}
+    for r in got.collect():
+        per_key.setdefault((r.k1, r.k2), []).append(r.ordinal)
+    for key, ords in per_key.items():
+        assert sorted(ords) == list(range(1, len(ords) + 1)), key

@@ -12,8 +12,10 @@ remaining columns — with bounded work per task:
 2. **Find hot keys.**  A deterministic 1-in-``R`` sample of the *distinct* rows
    (by content hash, stable under recomputation) estimates distinct rows per
    key; keys above ``hot_key_rows`` get ``ceil(estimate / hot_key_rows)``
-   buckets.  At most ``N / hot_key_rows`` keys qualify — that bound is what
-   makes the broadcast of this table safe.
+   buckets.  Only the ``max_hot_keys`` largest are kept (a distributed
+   top-k), so the broadcast hot-key table has a constant size bound; every
+   other key holds at most ``N / max_hot_keys`` rows and is numbered exactly
+   in a single bucket.
 3. **Number distinct rows** with a running sum of copy counts over
    ``(key, bucket)`` partitions; buckets of hot keys are offset by the sizes of
    the lower buckets (a table of one row per hot bucket, joined back).
@@ -71,11 +73,14 @@ def number_within_key(
     R, T = cfg.hot_key_sample, cfg.hot_key_rows
 
     def hot_table(sample: DataFrame) -> DataFrame:
-        # keys whose estimated size exceeds T; at most N / T rows (broadcast bound)
+        # Keys whose estimated size exceeds T, the largest max_hot_keys of them
+        # (distributed top-k, ties by hash): a constant-size broadcast.
         return (
             sample.groupBy(_KH)
             .agg((F.count(F.lit(1)) * R).alias("_est"))
             .where(F.col("_est") > T)
+            .orderBy(F.col("_est").desc(), F.col(_KH))
+            .limit(cfg.max_hot_keys)
             .select(_KH, F.ceil(F.col("_est") / F.lit(T)).cast("long").alias(_NB))
         )
 
