@@ -4,8 +4,9 @@ Checks are data (``Check``); ``run_checks`` evaluates all of a table's
 not-null, expression, accepted-value and relationship checks in **one scan**
 (one aggregation with a conditional count per check; relationships are left
 joins to the distinct parent keys, which Spark broadcasts when the parent is
-small), and each ``unique`` check as a grouped count (partial aggregation, so
-a hot value never travels as a group).  The result is a small report
+small), and each ``unique`` check exactly in two phases (a grouped count of a
+64-bit hash with map-side combine, then an exact recount of the rows whose
+hash repeats — see ``duplicated_values``).  The result is a small report
 DataFrame ``(table, column, test, failing_rows)``; ``assert_quality`` is the
 gate that stops a layer build when a check fails (K8).
 
