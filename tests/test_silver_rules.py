@@ -108,3 +108,16 @@ def test_reject_report_counts_each_rule(spark):
     assert rep["vendor_id is not null"] == 1
     assert rep["avg_speed_mph > 0"] == 1  # zero duration -> null speed -> fails
     assert rep["pickup_datetime_utc < dropoff_datetime_utc"] == 1
+
+
+def test_time_text_ignores_session_zone_gaps(spark):
+    from tripstar.functions.timecols import time_key, time_text
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2021-03-14 02:30:05' AS ts")  # inside LA's spring-forward gap
+        r = df.select(time_text(F.col("ts")).alias("t"), time_key(F.col("ts")).alias("k")).first()
+        assert (r.t, r.k) == ("02:30:05", 23005)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -55,8 +55,13 @@ def time_key(ts: Column) -> Column:
 
 
 def time_text(ts: Column) -> Column:
-    """C22: 'HH:mm:ss' (24 h)."""
-    return F.date_format(ts, "HH:mm:ss")
+    """C22: 'HH:mm:ss' (24 h) of a wall-clock timestamp.
+
+    Built from the fields, not with ``date_format``: formatting goes through
+    the session time zone, which moves wall-clock times that fall in that
+    zone's spring-forward gap by an hour.
+    """
+    return F.format_string("%02d:%02d:%02d", F.hour(ts), F.minute(ts), F.second(ts))
 
 
 def month_index(year: Column, month: Column, first: tuple[int, int]) -> Column:
