@@ -23,7 +23,8 @@ def _expected(df):
 
 
 def _multiset(df):
-    return sorted((r.k1 or "", r.k2, r.v, r.w if r.w is not None else -1.0, r.ordinal) for r in df.collect())
+    return sorted((r.k1 or "", r.k2, r.v if r.v is not None else "\x00", r.w if r.w is not None else -1.0, r.ordinal)
+                  for r in df.collect())
 
 
 def test_matches_row_number_without_hot_keys(spark):
@@ -100,3 +101,26 @@ def test_hot_key_cap_keeps_numbering_exact(spark):
         per_key.setdefault((r.k1, r.k2), []).append(r.ordinal)
     for key, ords in per_key.items():
         assert sorted(ords) == list(range(1, len(ords) + 1)), key
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_row = st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 2),
+                 st.sampled_from(["x", "y", None]), st.sampled_from([0.0, 1.5, None]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(_row, min_size=1, max_size=40), hot=st.booleans())
+def test_property_matches_row_number(spark, rows, hot):
+    df = spark.createDataFrame(rows, SCHEMA)
+    cfg = PipelineConfig(hot_key_rows=2, hot_key_sample=1, copy_chunk=2) if hot else PipelineConfig()
+    got = number_within_key(df, ["k1", "k2"], cfg=cfg)
+    if hot:  # a permutation inside hot keys; ordinals still 1..n per key, rows unchanged
+        per_key = {}
+        for r in got.collect():
+            per_key.setdefault((r.k1, r.k2), []).append(r.ordinal)
+        assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per_key.values())
+        assert sorted(map(repr, [(r.k1, r.k2, r.v, r.w) for r in got.collect()])) == sorted(map(repr, rows))
+    else:
+        assert _multiset(got) == _multiset(_expected(df))
