@@ -124,3 +124,12 @@ def test_property_matches_row_number(spark, rows, hot):
         assert sorted(map(repr, [(r.k1, r.k2, r.v, r.w) for r in got.collect()])) == sorted(map(repr, rows))
     else:
         assert _multiset(got) == _multiset(_expected(df))
+
+
+def test_signed_zero_keys_are_one_key(spark):
+    df = spark.createDataFrame([("a", 1, "x", 0.0), ("a", 1, "y", -0.0)], "k1 string, k2 int, v string, w double")
+    got = number_within_key(df, ["k1", "k2", "w"])
+    assert sorted(r.ordinal for r in got.collect()) == [1, 2]
+    pos = df.withColumn("_pos", F.xxhash64("v"))
+    got = number_within_key(pos, ["k1", "k2", "w"], spread_col="_pos")
+    assert sorted(r.ordinal for r in got.collect()) == [1, 2]

@@ -45,6 +45,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT, PipelineConfig
 
@@ -71,6 +72,7 @@ def number_within_key(
     if order_cols is None:
         order_cols = [c for c in content if c not in key_cols]
     R, T = cfg.hot_key_sample, cfg.hot_key_rows
+    key_hash = F.xxhash64(*_hashable(df, key_cols))
 
     def hot_table(sample: DataFrame) -> DataFrame:
         # Keys whose estimated size exceeds T, the largest max_hot_keys of them
@@ -92,7 +94,7 @@ def number_within_key(
         distinct = (
             df.groupBy(*content)
             .agg(F.count(F.lit(1)).alias(_COPIES))
-            .withColumn(_KH, F.xxhash64(*key_cols))
+            .withColumn(_KH, key_hash)
             .withColumn(_RH, F.xxhash64(*content, F.lit("tripstar-row")))
         )
         # 2. hot keys from a deterministic content-hash sample of distinct rows.
@@ -102,7 +104,7 @@ def number_within_key(
         weight = F.col(_COPIES)
     else:
         # 1'. hot keys from a 1-in-R position sample (counts every row, copies too).
-        base = df.withColumn(_KH, F.xxhash64(*key_cols))
+        base = df.withColumn(_KH, key_hash)
         hot = hot_table(base.where(F.pmod(F.col(spread_col), F.lit(R)) == 0))
         pre = base.join(F.broadcast(hot), _KH, "left").withColumn(_BUCKET, bucket(F.col(spread_col)))
         # 2'. the only big shuffle; the aggregate below needs no further exchange
@@ -123,6 +125,19 @@ def number_within_key(
     return _number_tagged(tagged, totals, content, key_cols, order_cols, ordinal_col, cfg)
 
 
+def _hashable(df: DataFrame, cols: list[str]) -> list[Column]:
+    """Key columns as hash inputs: -0.0 and 0.0 group together in SQL, so they
+    must hash alike (xxhash64 hashes the bits of a double)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for c in cols:
+        if isinstance(types[c], (T.DoubleType, T.FloatType)):
+            out.append(F.when(F.col(c) == 0, F.lit(0.0).cast(types[c])).otherwise(F.col(c)))
+        else:
+            out.append(F.col(c))
+    return out
+
+
 def _number_tagged(tagged: DataFrame, totals: DataFrame, content: list[str], key_cols: list[str],
                    order_cols: list[str], ordinal_col: str, cfg: PipelineConfig) -> DataFrame:
     """Steps 3-4 on distinct rows hash-partitioned by (key hash, bucket)."""
