@@ -190,9 +190,10 @@ def main() -> None:
     skewed = union.unionByName(copies).unionByName(variants.select(*union.columns))
     skewed.write.mode("overwrite").parquet(f"{scratch}/skewed")
     skewed = spark.read.parquet(f"{scratch}/skewed")
+    positioned = silver_ops.with_position(skewed)
     key = silver_ops.NATURAL_KEY
     cfg = PipelineConfig(hot_key_rows=max(n // 40, 1000), hot_key_sample=100, copy_chunk=max(n // 40, 1000))
-    safe = number_within_key(skewed, key, ordinal_col="o", cfg=cfg)
+    safe = number_within_key(positioned, key, ordinal_col="o", cfg=cfg, spread_col=silver_ops.POSITION)
     rest = [c for c in skewed.columns if c not in key]
     naive = skewed.withColumn("o", F.row_number().over(
         Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last() for c in rest])))
@@ -200,6 +201,22 @@ def main() -> None:
     q["skew_numbering_plain_window"] = best_of(lambda: naive.agg(F.max("o"), F.count(F.lit(1))).collect(), runs=1)
     hot_max = safe.agg(F.max("o")).first()[0]
     assert hot_max == n // 2 + n // 10 + 1, (hot_max, n)
+    # Largest share of rows in one task of each plan's big shuffle
+    # (Spark's hash partitioning is pmod(hash(keys), n)).
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def max_share(df, *cols):
+        c = df.groupBy(F.pmod(F.hash(*cols), F.lit(parts)).alias("_p")).count()
+        r = c.agg(F.max("count").alias("m"), F.sum("count").alias("t")).first()
+        return round(r["m"] / r["t"], 4)
+
+    from tripstar.operators.numbering import salted_rows
+
+    skew_share = {
+        "partitions": parts,
+        "skew_safe": max_share(salted_rows(positioned, key, silver_ops.POSITION, cfg), "_kh", "_bucket"),
+        "plain_window": max_share(skewed, *key),
+    }
 
     headline = [k for k in q if k.endswith("_clustered") or k in business]
     total = sum(q[k] for k in headline)
@@ -212,6 +229,7 @@ def main() -> None:
         "sf": os.path.basename(SF_DIR).replace("sf", ""),
         "fact_rows": fact_rows,
         "row_groups_touched": pruning,
+        "skew_max_task_share": skew_share,
         "cpus": CPUS,
     }))
     spark.stop()

@@ -71,42 +71,24 @@ def number_within_key(
     content = [c for c in df.columns if c != spread_col]
     if order_cols is None:
         order_cols = [c for c in content if c not in key_cols]
-    R, T = cfg.hot_key_sample, cfg.hot_key_rows
-    key_hash = F.xxhash64(*_hashable(df, key_cols))
-
-    def hot_table(sample: DataFrame) -> DataFrame:
-        # Keys whose estimated size exceeds T, the largest max_hot_keys of them
-        # (distributed top-k, ties by hash): a constant-size broadcast.
-        return (
-            sample.groupBy(_KH)
-            .agg((F.count(F.lit(1)) * R).alias("_est"))
-            .where(F.col("_est") > T)
-            .orderBy(F.col("_est").desc(), F.col(_KH))
-            .limit(cfg.max_hot_keys)
-            .select(_KH, F.ceil(F.col("_est") / F.lit(T)).cast("long").alias(_NB))
-        )
-
-    def bucket(spread) -> Column:
-        return F.when(F.col(_NB).isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(spread), F.col(_NB)))
+    R = cfg.hot_key_sample
 
     if spread_col is None:
         # 1. identical rows -> one row with a copy count (map-side combine).
         distinct = (
             df.groupBy(*content)
             .agg(F.count(F.lit(1)).alias(_COPIES))
-            .withColumn(_KH, key_hash)
+            .withColumn(_KH, F.xxhash64(*_hashable(df, key_cols)))
             .withColumn(_RH, F.xxhash64(*content, F.lit("tripstar-row")))
         )
         # 2. hot keys from a deterministic content-hash sample of distinct rows.
-        hot = hot_table(distinct.where(F.pmod(F.col(_RH), F.lit(R)) == 0))
-        pre = distinct.join(F.broadcast(hot), _KH, "left").withColumn(_BUCKET, bucket(F.col(_RH)))
+        hot = _hot_table(distinct.where(F.pmod(F.col(_RH), F.lit(R)) == 0), cfg)
+        pre = distinct.join(F.broadcast(hot), _KH, "left").withColumn(_BUCKET, _bucket(F.col(_RH)))
         tagged = pre.repartition(_KH, _BUCKET)
         weight = F.col(_COPIES)
     else:
         # 1'. hot keys from a 1-in-R position sample (counts every row, copies too).
-        base = df.withColumn(_KH, key_hash)
-        hot = hot_table(base.where(F.pmod(F.col(spread_col), F.lit(R)) == 0))
-        pre = base.join(F.broadcast(hot), _KH, "left").withColumn(_BUCKET, bucket(F.col(spread_col)))
+        pre = salted_rows(df, key_cols, spread_col, cfg)
         # 2'. the only big shuffle; the aggregate below needs no further exchange
         # because its grouping keys include (key hash, bucket).
         tagged = (
@@ -125,6 +107,33 @@ def number_within_key(
     return _number_tagged(tagged, totals, content, key_cols, order_cols, ordinal_col, cfg)
 
 
+def _hot_table(sample: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Keys whose estimated size exceeds ``hot_key_rows``, the largest
+    ``max_hot_keys`` of them (distributed top-k, ties by hash): a
+    constant-size broadcast with the number of buckets per key."""
+    R, T = cfg.hot_key_sample, cfg.hot_key_rows
+    return (
+        sample.groupBy(_KH)
+        .agg((F.count(F.lit(1)) * R).alias("_est"))
+        .where(F.col("_est") > T)
+        .orderBy(F.col("_est").desc(), F.col(_KH))
+        .limit(cfg.max_hot_keys)
+        .select(_KH, F.ceil(F.col("_est") / F.lit(T)).cast("long").alias(_NB))
+    )
+
+
+def _bucket(spread: Column) -> Column:
+    return F.when(F.col(_NB).isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(spread), F.col(_NB)))
+
+
+def salted_rows(df: DataFrame, key_cols: list[str], spread_col: str, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """Rows with their key hash ``_kh``, bucket count ``_nb`` (null unless hot)
+    and ``_bucket``: the distribution key of the single-shuffle plan."""
+    base = df.withColumn(_KH, F.xxhash64(*_hashable(df, key_cols)))
+    hot = _hot_table(base.where(F.pmod(F.col(spread_col), F.lit(cfg.hot_key_sample)) == 0), cfg)
+    return base.join(F.broadcast(hot), _KH, "left").withColumn(_BUCKET, _bucket(F.col(spread_col)))
+
+
 def _hashable(df: DataFrame, cols: list[str]) -> list[Column]:
     """Key columns as hash inputs: -0.0 and 0.0 group together in SQL, so they
     must hash alike (xxhash64 hashes the bits of a double)."""
