@@ -18,6 +18,7 @@ from the file name, the batch label from ``_metadata.row_index`` (batches of
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,6 +63,15 @@ def list_month_files(spark: SparkSession, root: str, service: str) -> list[str]:
     return sorted(out)
 
 
+def file_schemas(spark: SparkSession, files: list[str], workers: int = 16) -> list[T.StructType]:
+    """Each file's own schema (footer reads).  Every inference is a small Spark
+    job; they are independent, so they are submitted concurrently."""
+    if not files:
+        return []
+    with ThreadPoolExecutor(max_workers=min(workers, len(files))) as pool:
+        return list(pool.map(lambda f: spark.read.parquet(f).schema, files))
+
+
 def _coerce(df: DataFrame, src: str, target: T.DataType) -> Column:
     c, stype = F.col(f"`{src}`"), df.schema[src].dataType
     if isinstance(target, T.LongType):
@@ -116,8 +126,7 @@ def read_months(
         load_time_ns = time.time_ns()
     groups: dict[str, list[str]] = {}
     schemas: dict[str, T.StructType] = {}
-    for f in files:
-        schema = spark.read.parquet(f).schema  # footer only
+    for f, schema in zip(files, file_schemas(spark, files)):
         key = schema.json()
         groups.setdefault(key, []).append(f)
         schemas[key] = schema
