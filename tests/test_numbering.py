@@ -133,3 +133,13 @@ def test_signed_zero_keys_are_one_key(spark):
     pos = df.withColumn("_pos", F.xxhash64("v"))
     got = number_within_key(pos, ["k1", "k2", "w"], spread_col="_pos")
     assert sorted(r.ordinal for r in got.collect()) == [1, 2]
+
+
+def test_with_position_only_on_file_scans(spark, tmp_path):
+    from tripstar.operators.silver import POSITION, with_position
+
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    assert with_position(df) is None
+    df.write.parquet(str(tmp_path / "p"))
+    scan = with_position(spark.read.parquet(str(tmp_path / "p")))
+    assert scan is not None and scan.select(POSITION).distinct().count() == 2

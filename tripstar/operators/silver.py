@@ -71,9 +71,11 @@ def with_position(scan: DataFrame) -> DataFrame | None:
     anything else this returns None and callers fall back to content hashes.
     """
     try:
-        return scan.withColumn(
+        out = scan.withColumn(
             POSITION, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
         )
+        out.schema  # resolve now (analysis is lazy in some session types)
+        return out
     except AnalysisException:
         return None
 
