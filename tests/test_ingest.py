@@ -114,3 +114,12 @@ def test_cli_load_build_query(spark, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "yellow: 2 month(s) loaded" in out and "green: 1 month(s) loaded" in out
     assert "total_de_viajes" in out
+
+
+def test_months_outside_the_plan_are_not_loaded(spark, tmp_path):
+    land = _landing(tmp_path)
+    pq.write_table(_month_table(5, 2, drift=False), land / "yellow_tripdata_2015-05.parquet")  # after last month
+    raw = str(tmp_path / "raw")
+    r = loader.load_service(spark, str(land), raw, "yellow", CFG, only_pending=False)
+    assert r.months_loaded == 2
+    assert sorted({row.MONTH for row in loader.read_raw(spark, raw, "yellow").collect()}) == [1, 2]

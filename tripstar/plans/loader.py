@@ -67,6 +67,8 @@ def load_service(
     """Load the month files of ``service``; re-running is a no-op for the data."""
     load_time_ns = load_time_ns or time.time_ns()
     files = list_month_files(spark, source_root, service)
+    # Only planned months (first..last) are ever loaded.
+    files = [f for f in files if cfg.first_month <= _year_month(f) <= cfg.last_month]
     if only_pending:
         pending = {
             (r["year"], r["month"])
