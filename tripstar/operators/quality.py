@@ -136,13 +136,15 @@ def all_checks() -> list[Check]:
 
 
 def run_table_checks(tables: dict[str, DataFrame], checks: list[Check],
-                     parents: dict[str, DataFrame] | None = None) -> DataFrame | None:
-    """``run_checks`` for checks spread over several tables, one report."""
+                     parents: dict[str, DataFrame] | None = None,
+                     small: frozenset[str] | set[str] = frozenset()) -> DataFrame | None:
+    """``run_checks`` for checks spread over several tables, one report.
+    Tables named in ``small`` (dimensions, lookups) use a one-step unique check."""
     reports = []
     for name, df in tables.items():
         mine = [c for c in checks if c.table == name]
         if mine:
-            reports.append(run_checks(df, mine, parents))
+            reports.append(run_checks(df, mine, parents, two_phase_unique=name not in small))
     return reduce(DataFrame.unionByName, reports) if reports else None
 
 
@@ -162,7 +164,8 @@ def _failing(check: Check, parent_marker: str | None = None) -> Column:
     return F.count(F.when(bad, 1))
 
 
-def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame] | None = None) -> DataFrame:
+def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame] | None = None,
+               two_phase_unique: bool = True) -> DataFrame:
     """Evaluate ``checks`` against ``df``; ``parents`` maps dimension names to tables."""
     parents = parents or {}
     scan_checks = [c for c in checks if c.test != "unique"]
@@ -183,7 +186,7 @@ def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]
         )
         pieces.append(wide.selectExpr(f"stack({len(scan_checks)}, {stack}) AS (`table`, `column`, test, failing_rows)"))
     for chk in (c for c in checks if c.test == "unique"):
-        dup = duplicated_values(df, chk.column).agg(F.count(F.lit(1)).alias("failing_rows"))
+        dup = duplicated_values(df, chk.column, two_phase_unique).agg(F.count(F.lit(1)).alias("failing_rows"))
         pieces.append(
             dup.select(F.lit(chk.table).alias("table"), F.lit(chk.column).alias("column"),
                        F.lit(chk.name).alias("test"), "failing_rows")
@@ -192,7 +195,7 @@ def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]
     return report.select(*[F.col(c) for c in REPORT_COLUMNS[:3]], F.col("failing_rows").cast("long"))
 
 
-def duplicated_values(df: DataFrame, column: str) -> DataFrame:
+def duplicated_values(df: DataFrame, column: str, two_phase: bool = True) -> DataFrame:
     """Non-null values of ``column`` that occur more than once (exact).
 
     Phase 1 shuffles only a 64-bit hash per row (map-side combined) to find
@@ -203,6 +206,9 @@ def duplicated_values(df: DataFrame, column: str) -> DataFrame:
     ``groupBy(column)``.
     """
     values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_v"))
+    if not two_phase:  # small tables: one grouped count
+        return (values.groupBy("_v").count().where(F.col("count") > 1)
+                .select(F.col("_v").alias(column), F.col("count").alias("occurrences")))
     hashed = values.withColumn("_h", F.xxhash64("_v"))
     suspects = hashed.groupBy("_h").count().where(F.col("count") > 1).select("_h")
     candidates = hashed.join(suspects, "_h", "left_semi")
