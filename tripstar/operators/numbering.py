@@ -27,9 +27,10 @@ window partitioning).  When every row carries a stable *position* (``spread_col`
 e.g. a hash of ``_metadata.file_path`` and ``_metadata.row_index`` of the scan
 that produced it) one shuffle suffices: hot keys are estimated from a 1-in-R
 position sample (rows, copies included), a hot key's rows — its copies too —
-are spread over buckets by position, and a single ``repartition(key hash,
-bucket)`` then satisfies the copy-collapsing aggregate, the window and the
-bucket-offset join without further exchanges.
+are spread over buckets by position, so every (key, bucket) group is bounded
+and rows are numbered one by one with ``row_number``; a single
+``repartition(key hash, bucket)`` satisfies the window and the bucket-offset
+join without further exchanges.
 
 For keys below the threshold (bucket 0) the order is exactly "remaining
 columns ascending, nulls last"; inside a hot key it is (bucket, remaining
@@ -89,13 +90,10 @@ def number_within_key(
     else:
         # 1'. hot keys from a 1-in-R position sample (counts every row, copies too).
         pre = salted_rows(df, key_cols, spread_col, cfg)
-        # 2'. the only big shuffle; the aggregate below needs no further exchange
-        # because its grouping keys include (key hash, bucket).
-        tagged = (
-            pre.repartition(_KH, _BUCKET)
-            .groupBy(_KH, _BUCKET, _NB, *content)
-            .agg(F.count(F.lit(1)).alias(_COPIES))
-        )
+        # 2'. the only big shuffle.  Copies of a hot row are already spread over
+        # its buckets by position and every (key, bucket) group is bounded, so
+        # rows are numbered one by one: no collapse, no expansion.
+        tagged = pre.repartition(_KH, _BUCKET)
         weight = F.lit(1)
     # Bucket totals of hot keys come from the rows *before* the repartition, so
     # partial aggregation reduces them map-side to one row per (key, bucket, task).
@@ -104,7 +102,8 @@ def number_within_key(
         .groupBy(_KH, *key_cols, _BUCKET)
         .agg(F.sum(weight).cast("long").alias("_tot"))
     )
-    return _number_tagged(tagged, totals, content, key_cols, order_cols, ordinal_col, cfg)
+    return _number_tagged(tagged, totals, content, key_cols, order_cols, ordinal_col, cfg,
+                          expand=spread_col is None)
 
 
 def _hot_table(sample: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -148,17 +147,20 @@ def _hashable(df: DataFrame, cols: list[str]) -> list[Column]:
 
 
 def _number_tagged(tagged: DataFrame, totals: DataFrame, content: list[str], key_cols: list[str],
-                   order_cols: list[str], ordinal_col: str, cfg: PipelineConfig) -> DataFrame:
-    """Steps 3-4 on distinct rows hash-partitioned by (key hash, bucket)."""
+                   order_cols: list[str], ordinal_col: str, cfg: PipelineConfig, expand: bool = True) -> DataFrame:
+    """Steps 3-4 on rows hash-partitioned by (key hash, bucket): distinct rows
+    with copy counts (``expand``) or single rows."""
     C = cfg.copy_chunk
     # 3. running sum of copies inside (key, bucket); bucket bases for hot keys.
     # The (key hash, bucket) partitioning satisfies both the window (partitioned
     # by hash, bucket and the key itself) and the join with the bucket bases.
     order = [F.col(c).asc_nulls_last() for c in order_cols]
-    before = Window.partitionBy(_KH, _BUCKET, *key_cols).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    numbered = tagged.withColumn(_OFFSET, F.coalesce(F.sum(_COPIES).over(before), F.lit(0)))
+    within = Window.partitionBy(_KH, _BUCKET, *key_cols).orderBy(*order)
+    if expand:
+        before = within.rowsBetween(Window.unboundedPreceding, -1)
+        numbered = tagged.withColumn(_OFFSET, F.coalesce(F.sum(_COPIES).over(before), F.lit(0)))
+    else:
+        numbered = tagged.withColumn(_OFFSET, (F.row_number().over(within) - 1).cast("long"))
 
     lower = Window.partitionBy(_KH, *key_cols).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(
@@ -182,6 +184,8 @@ def _number_tagged(tagged: DataFrame, totals: DataFrame, content: list[str], key
         _OFFSET, F.col(_OFFSET) + F.coalesce(F.col(_BASE), F.lit(0))
     )
 
+    if not expand:
+        return numbered.select(*content, (F.col(_OFFSET) + 1).alias(ordinal_col))
     # 4. expand copies into ordinals, chunk by chunk.
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(_COPIES) / F.lit(C)).cast("long") - 1))
     expanded = numbered.select(*content, _OFFSET, _COPIES, chunk.alias("_chunk"))
