@@ -162,10 +162,19 @@ def with_trip_id(trips: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
 
 
 # --- standardisation ------------------------------------------------------------
-def standardized(union: DataFrame, zones: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """All silver columns for every unioned trip, before the quality rules."""
-    keyed = with_trip_id(with_pickup_zone(union, zones), cfg)
-    enriched = with_dropoff_zone(keyed, zones)
+def standardized(union: DataFrame, zones: DataFrame, cfg: PipelineConfig = DEFAULT,
+                 keyed: bool = True) -> DataFrame:
+    """All silver columns for every unioned trip, before the quality rules.
+
+    ``keyed=False`` leaves ``trip_id`` null and skips the duplicate ordinal
+    (and its shuffle) — for reports that only evaluate the rules.
+    """
+    zoned = with_pickup_zone(union, zones)
+    if keyed:
+        rows = with_trip_id(zoned, cfg)
+    else:
+        rows = zoned.drop(POSITION).withColumn("trip_id", F.lit(None).cast("string"))
+    enriched = with_dropoff_zone(rows, zones)
     cols = {
         **time_columns(cfg),
         **metric_columns(),
