@@ -136,3 +136,9 @@ def test_balanced_percentiles_equal_builtin(tables01):
          analytics.duration_percentiles_builtin(tables01.fact, tables01.dims.zone_pickup).collect()}
     assert a.keys() == b.keys()
     assert all(abs(a[k][0] - b[k][0]) < 1e-9 and abs(a[k][1] - b[k][1]) < 1e-9 for k in a)
+
+
+def test_fact_build_is_one_scan_plus_broadcast_joins(tables01):
+    plan = gold.fct_trips(tables01.silver, tables01.dims)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 7
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
