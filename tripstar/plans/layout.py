@@ -11,6 +11,7 @@ sampling, so a hot key range is split across files instead of landing in one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 
@@ -34,11 +35,14 @@ BYTES_PER_FILE = 256 * 1024 * 1024
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+    """Total size of the Parquet files under ``path`` (binaryFile listing;
+    only the ``length`` column is read, not the contents)."""
+    sizes = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true").load(path)
+        .agg(F.sum("length").alias("bytes"))
+    )
+    return int(sizes.first()["bytes"] or 0)
 
 
 def files_for(spark: SparkSession, input_path: str, bytes_per_file: int = BYTES_PER_FILE) -> int:

@@ -17,10 +17,12 @@ from the file name, the batch label from ``_metadata.row_index`` (batches of
 
 from __future__ import annotations
 
+import re
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,22 +47,23 @@ class MonthRead:
 
 
 def list_month_files(spark: SparkSession, root: str, service: str) -> list[str]:
-    """Month files of ``service`` under ``root`` (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    """Month files of ``service`` directly under ``root`` (any file system).
+
+    Listed with the ``binaryFile`` source, selecting only the path (file
+    contents are not read); at most one row per month file reaches the driver.
+    """
+    try:
+        listing = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", f"{service}_tripdata_*.parquet")
+            .load(root)
+            .select("path")
+        )
+        paths = [r.path for r in listing.collect()]
+    except AnalysisException:  # the folder does not exist (yet)
         return []
-    import re
-
     pattern = re.compile(FILE_NAME_PATTERN)
-    out = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        m = pattern.match(name)
-        if m and m.group(1) == service:
-            out.append(status.getPath().toString())
-    return sorted(out)
+    return sorted(p for p in paths if pattern.match(p.rsplit("/", 1)[-1]))
 
 
 def file_schemas(spark: SparkSession, files: list[str], workers: int = 16) -> list[T.StructType]:
