@@ -224,7 +224,7 @@ def register(tables: Tables, as_views: bool = False, prefix: str = "") -> list[s
     EXISTS ... USING parquet LOCATION``); with ``as_views`` they are temporary
     views instead (the reference's default materialisation).
     """
-    import os
+    from pyspark.errors import AnalysisException
 
     spark, names = tables.spark, []
     for db, layer_tables in LAYER_DATABASES.items():
@@ -232,13 +232,14 @@ def register(tables: Tables, as_views: bool = False, prefix: str = "") -> list[s
         if not as_views:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
         for t in layer_tables:
-            path = tables.path(t)
-            if not os.path.exists(path.removeprefix("file:")) and path.startswith(("/", "file:")):
+            try:
+                df = tables.read(t)
+            except AnalysisException:  # layer not built (e.g. no combined raw table)
                 continue
             if as_views:
-                tables.read(t).createOrReplaceTempView(f"{db}_{t}")
+                df.createOrReplaceTempView(f"{db}_{t}")
                 names.append(f"{db}_{t}")
             else:
-                spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t} USING parquet LOCATION '{path}'")
+                spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t} USING parquet LOCATION '{tables.path(t)}'")
                 names.append(f"{db}.{t}")
     return names
