@@ -163,3 +163,16 @@ def test_rebuild_is_a_full_refresh(spark):
     second = run_pipeline(Lakehouse.from_fixture(spark, SF001), root, on_fail="raise")
     assert (second.silver.count(), second.fact.count(), second.dims.zone_pickup.count()) == counts
     assert {r.trip_id for r in second.fact.select("trip_id").collect()} == ids  # stable trip keys
+
+
+def test_approximate_percentiles_close_to_exact(tables01):
+    from tripstar.operators import analytics
+
+    d = tables01.dims
+    exact = {r.pickup_location_id: r for r in analytics.duration_percentiles(tables01.fact, d.zone_pickup).collect()}
+    approx = {r.pickup_location_id: r for r in
+              analytics.duration_percentiles(tables01.fact, d.zone_pickup, approximate=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k in exact:
+        assert abs(exact[k].p50_duration_sec - approx[k].p50_duration_sec) <= 60
+        assert abs(exact[k].p90_duration_sec - approx[k].p90_duration_sec) <= 60

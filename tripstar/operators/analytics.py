@@ -81,13 +81,32 @@ def speed_by_band(fact: DataFrame, zone_dim: DataFrame, time_dim: DataFrame, rol
     )
 
 
-def duration_percentiles(fact: DataFrame, zone_dim: DataFrame) -> DataFrame:
-    """exact p50 / p90 trip duration per pickup location (``percentile_cont``).
+def duration_percentiles(fact: DataFrame, zone_dim: DataFrame, approximate: bool = False,
+                         accuracy: int = 10_000) -> DataFrame:
+    """p50 / p90 trip duration per pickup location.
+
+    Exact by default (``percentile_cont``).  With ``approximate`` the
+    quantile sketch ``percentile_approx`` is used (bounded memory per group,
+    rank error about 1/``accuracy``; values are always observed durations, so
+    they can differ from the interpolated exact ones).
 
     Computed from (location, duration) counts and a running count over each
     location's distinct durations (:mod:`.percentiles`), so a location with a
     third of all trips is spread over many tasks instead of one.
     """
+    if approximate:
+        star = _star(
+            fact.select("pickup_zone_sk", "trip_duration_seconds"),
+            (zone_dim.select("pickup_zone_sk", "pickup_location_id", "pickup_borough", "pickup_zone"),
+             "pickup_zone_sk", False),
+        )
+        d = F.col("trip_duration_seconds")
+        return (
+            star.groupBy("pickup_location_id", "pickup_borough", "pickup_zone")
+            .agg(F.percentile_approx(d, 0.5, accuracy).cast("double").alias("p50_duration_sec"),
+                 F.percentile_approx(d, 0.9, accuracy).cast("double").alias("p90_duration_sec"))
+            .orderBy("pickup_location_id")
+        )
     # Reduce the fact to (zone key, duration) counts on two narrow columns
     # first; the zone attributes are joined onto that small table.
     counts = value_counts(fact, ["pickup_zone_sk"], "trip_duration_seconds")
