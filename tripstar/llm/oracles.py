@@ -53,6 +53,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND n_chars - n_left <= n_chars * 0.5::DOUBLE AS kept, (n_chars - n_left)::BIGINT AS n_lost_chars
 FROM b"""
 
+# Brute force over all pairs; min-label propagation finds the components.
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e,
+    coalesce(vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0, false) AS usable
+  FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.usable AND b.usable AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+c AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(v.vec_id, coalesce(c.low, v.vec_id)) AS component_id,
+  coalesce(v.vec_id = least(v.vec_id, coalesce(c.low, v.vec_id)), false) AS kept
+FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN c ON c.a = v.vec_id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": MIXING, "op2_quality_rules": QUALITY_RULES}
+    return {"op1_mixing": MIXING, "op2_quality_rules": QUALITY_RULES, "op7_embedding_dedup": EMBEDDING_DEDUP}

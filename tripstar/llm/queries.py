@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstar.llm import langid, mixing, quality_net, quality_rules, simhash, toxicity
+from tripstar.llm import embedding_dedup, langid, mixing, quality_net, quality_rules, sentencepiece_codec, simhash, toxicity
 from tripstar.llm.common import cut_lineage, doc_remainder, table, word_count
 from tripstar.llm.training import labelled_sample
 
@@ -48,6 +48,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_codec.encode_documents(spark, docs)
+    return coded.select("doc_id", F.size("ids").alias("n_ids"), "n_byte_ids", F.xxhash64("ids").alias("ids_hash"), "round_trip")
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(doc_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
@@ -78,7 +88,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
         "op2_quality_rules": op2_quality_rules,
+        "op3_sentencepiece": op3_sentencepiece,
         "op5_simhash": op5_simhash,
+        "op7_embedding_dedup": op7_embedding_dedup,
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
         "op10_quality_classifier": op10_quality_classifier,
