@@ -94,7 +94,7 @@ def mix_plan(spark: SparkSession, rows: DataFrame, cycle: tuple[int, ...] = (1,
     """Per source: total, target, complete epochs and the last key of the fraction."""
     slim = rows.select("_mix_src", "_mix_size", "_mix_key", "_mix_id")
     # buckets per factor e of the key; a plan detail that follows the input's size
-    fine = slim.agg(F.greatest(F.lit(8), F.ceil(F.count(F.lit(1)) / bucket_rows)).cast("int")).scalar()
+    fine = slim.agg(F.greatest(F.lit(64), F.ceil(F.count(F.lit(1)) / bucket_rows)).cast("int")).scalar()
     slim = slim.withColumn("_mix_bucket", F.when(F.col("_mix_key") == float("inf"), F.lit(1 << 40))
                            .otherwise(F.floor(F.log(F.col("_mix_key")) * fine)))
     buckets = slim.groupBy("_mix_src", "_mix_bucket").agg(F.sum("_mix_size").alias("_tokens"))
