@@ -5,6 +5,7 @@ All of them are plain Column expressions, so callers stay in the JVM.
 
 from __future__ import annotations
 
+import gc
 import pickle
 from collections.abc import Callable
 from typing import Any
@@ -53,8 +54,15 @@ def doc_remainder(doc_id: Column, modulus: int) -> Column:
 
 
 def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (survives lost executors)."""
+    """Reliable checkpoint in the shared folder (survives lost executors).
+
+    Shuffle files go when the driver finds their plans unreachable, which it only
+    does when it collects garbage; asking for that here frees what the plans before
+    the last checkpoint have written, instead of keeping it to the end.
+    """
     checkpoint_dir(spark)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return df.checkpoint()
 
 

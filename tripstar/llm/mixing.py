@@ -26,8 +26,8 @@ of the rows.
 Defined cases: null text or id: size 0 and the key of the empty id; a null,
 zero, negative or NaN weight sorts last; documents equal in key, id and size
 are taken or left together; a source without tokens has target 0; an empty
-input gives an empty result.  Columns of the input keep their names: the
-operator's own columns carry the prefix ``_mix_``.
+input gives an empty result.  :func:`mix` carries the input row as one struct, so
+its columns may have any names.
 """
 
 from __future__ import annotations
@@ -126,11 +126,19 @@ def mix_apply(rows: DataFrame, plan: DataFrame, salts: int = SALTS) -> DataFrame
     return joined.withColumn("_mix_copies", F.coalesce(F.col("_mix_epochs"), F.lit(0).cast("long")) + extra)
 
 
-def mix(spark: SparkSession, docs: DataFrame, size: Column, weight: Column, **kw) -> DataFrame:
+def mix(spark: SparkSession, docs: DataFrame, size: Column, weight: Column, id_col: str = "doc_id",
+        source_col: str = "source", seed: int = 42, **plan) -> DataFrame:
     """The mix itself: every document repeated as often as it is taken."""
-    names = docs.columns
-    rows = mix_rows(docs, size, weight, **{k: kw.pop(k) for k in ("id_col", "source_col", "seed") if k in kw})
+    rows = mix_rows(docs.select(
+        F.struct("*").alias("_mix_row"), F.col(id_col).alias("_mix_doc"), F.col(source_col).alias("_mix_source"),
+        size.alias("_mix_n"), weight.alias("_mix_w")), F.col("_mix_n"), F.col("_mix_w"), "_mix_doc", "_mix_source", seed)
     slim = cut_lineage(spark, rows.select("_mix_src", "_mix_size", "_mix_key", "_mix_id"))
-    taken = mix_apply(rows, mix_plan(spark, slim, **kw)).where(F.col("_mix_copies") > 0)
+    taken = mix_apply(rows, mix_plan(spark, slim, **plan)).where(F.col("_mix_copies") > 0)
     copies = F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))
-    return taken.withColumn("_mix_copy", F.explode(copies)).select(*[F.col(f"`{c}`") for c in names])
+    return taken.select("_mix_row", F.explode(copies).alias("_mix_copy")).select("_mix_row.*")
+
+
+def letter_weight(text: Column) -> Column:
+    """A quality weight of a text: its share of letters, smoothed."""
+    text = F.coalesce(text, F.lit(""))
+    return (F.length(F.regexp_replace(text, "[^A-Za-z]+", "")) + 1) / (F.length(text) + 1)

@@ -7,20 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstar.llm import embedding_dedup, langid, mixing, quality_net, quality_rules, sentencepiece_codec, simhash, toxicity
+import corpus_pipeline
+from tripstar.llm import (
+    embedding_dedup,
+    langid,
+    line_dedup,
+    mixing,
+    pii,
+    quality_net,
+    quality_rules,
+    sentencepiece_codec,
+    simhash,
+    toxicity,
+)
 from tripstar.llm.common import cut_lineage, doc_remainder, table, word_count
 from tripstar.llm.training import labelled_sample
 
 
-def letter_weight(text):
-    """Quality weight of a document: its share of letters, smoothed."""
-    text = F.coalesce(text, F.lit(""))
-    return (F.length(F.regexp_replace(text, "[^A-Za-z]+", "")) + 1) / (F.length(text) + 1)
-
-
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    rows = mixing.mix_rows(docs, word_count(F.col("text")), letter_weight(F.col("text"))).drop("text")
+    rows = mixing.mix_rows(docs, word_count(F.col("text")), mixing.letter_weight(F.col("text"))).drop("text")
     rows = cut_lineage(spark, rows)
     taken = mixing.mix_apply(rows, mixing.mix_plan(spark, rows))
     return taken.select(
@@ -39,6 +45,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_chars")
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit_trees(spark, docs))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+        F.sha2(pii.listing(F.col("base")), 256).alias("base_sha256"), pii.listing(F.col("spans")).alias("spans"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.simhash_groups(spark, docs).select(
@@ -54,6 +72,13 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").alias("n_ids"), "n_byte_ids", F.xxhash64("ids").alias("ids_hash"), "round_trip")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = line_dedup.dedup_lines(spark, docs)
+    return cleaned.select("doc_id", F.col("_n_lines").cast("long").alias("n_lines"), F.col("_n_removed").cast("long").alias("n_removed"),
+                          F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
 
@@ -89,9 +114,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": op1_mixing,
         "op2_quality_rules": op2_quality_rules,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_personal_data": op4_personal_data,
         "op5_simhash": op5_simhash,
+        "op6_line_dedup": op6_line_dedup,
         "op7_embedding_dedup": op7_embedding_dedup,
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
         "op10_quality_classifier": op10_quality_classifier,
+        "pipeline": corpus_pipeline.run,
     }

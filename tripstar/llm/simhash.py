@@ -237,10 +237,12 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, width: int = 3, max_dist
 
     Rows are told apart by id and text hash; of rows equal in both one stays.
     """
-    marked = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    groups = simhash_groups(spark, marked, width, max_distance, id_col, text_col, keep=("_text_hash",))
-    first = groups.groupBy("_fp", "_component").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_text_hash")).alias("r"))
+    marked = docs.select(
+        F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_text_hash"))
+    groups = simhash_groups(spark, marked, width, max_distance, "_doc", "_text", keep=("_text_hash",))
+    first = groups.groupBy("_component", "_fp").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_text_hash")).alias("r"))
     first = first.groupBy("_component").agg(F.min("r").alias("r")).select(
         F.col("r._id").alias("_winner"), F.col("r._text_hash").alias("_winner_hash")).distinct()
-    kept = marked.join(first, F.col(id_col).eqNullSafe(F.col("_winner")) & (F.col("_text_hash") == F.col("_winner_hash")), "left_semi")
-    return kept.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+    kept = marked.join(first, F.col("_doc").eqNullSafe(F.col("_winner")) & (F.col("_text_hash") == F.col("_winner_hash")), "left_semi")
+    return kept.dropDuplicates(["_doc", "_text_hash"]).select("_row.*")

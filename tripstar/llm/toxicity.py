@@ -47,6 +47,7 @@ STRIDE = 12
 BLOCK = 4096
 SAMPLE = 5000
 TRAIN_WINDOWS = 24_000
+MIN_STEPS = 60
 TABLE_TOKENS = 150_000
 CHUNK_TOKENS = 200_000
 
@@ -290,7 +291,7 @@ def train(texts: list[str | None], labels: np.ndarray, rounds: int = 4, batch: i
           max_windows: int = TRAIN_WINDOWS, rate: float = 3e-3, dropout: float = 0.25, decay: float = 2e-3) -> Model:
     """Fit the network on three quarters of the labelled texts, its calibration on the rest."""
     params = new_params()
-    share_ = (labels.sum() + 1) / (len(labels) + 2)
+    share_ = (labels.sum() + 1) / (len(labels) + 10)
     prior = float(np.log(share_ / (1 - share_)))
     if len(np.unique(labels)) < 2:
         params["wo"][:] = 0
@@ -336,7 +337,10 @@ def train(texts: list[str | None], labels: np.ndarray, rounds: int = 4, batch: i
     with np.errstate(over="ignore"):
         positive, negative = rng.permutation(toxic)[:half], rng.permutation(clean)[:half]
         for k in range(rounds):
-            run(np.concatenate([positive, negative]))
+            rows = np.concatenate([positive, negative])
+            # small samples are read several times, so that every round has enough steps
+            for _ in range(max(1, MIN_STEPS * batch // max(1, len(rows)))):
+                run(rows)
             if k + 1 == rounds:
                 break
             # toxic documents keep the windows found toxic, and their worst one in any case
