@@ -58,7 +58,7 @@ STAGES = [
 ]
 
 # The network, the fingerprints and the best paths are not expressible in SQL;
-# tests/llm/test_pipeline.py compares the rows with a brute-force version.
+# tests/llm/test_corpus_pipeline.py compares the rows with a brute-force version.
 ORACLE_SQL = None
 
 
