@@ -57,10 +57,12 @@ def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (survives lost executors).
 
     Shuffle files go when the driver finds their plans unreachable, which it only
-    does when it collects garbage; asking for that here frees what the plans before
-    the last checkpoint have written, instead of keeping it to the end.
+    notices when it collects garbage.  Asking for that here frees what earlier plans
+    have written instead of keeping it to the end; the one-row job makes the
+    scheduler let go of the plan that ran last.
     """
     checkpoint_dir(spark)
+    spark.range(1).count()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return df.checkpoint()

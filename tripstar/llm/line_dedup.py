@@ -8,15 +8,17 @@ matches it.  Lines without a token stay.
 Method.  Lines with equal sets form one class, kept at its first place, so copies
 never meet in a join.  Tokens of a class are ordered by rarity and the first
 ``n - ceil(threshold * n) + 1`` form its prefix; matching sets share a token of
-both prefixes.  Prefixes are joined on the token and filtered by length
-(``n1 >= threshold * n2``), by position (what is left behind the shared token must
-still reach the needed overlap) and by a 64-bit bitmap of the sets (differing
-bits are differing tokens).  The sets of the remaining pairs are read again and
+both prefixes, and of the smaller set already the first
+``n - ceil(2 * threshold / (1 + threshold) * n) + 1`` do.  Prefixes are joined on
+the token and filtered by length (``n1 >= threshold * n2``), by position (what is
+left behind the shared token must still reach the needed overlap) and by a 64-bit
+parity map of the sets: every token flips one bit, so differing bits are differing
+tokens, however large the sets.  The sets of the remaining pairs are read again and
 their Jaccard similarity is computed.
 
 Large groups of near copies would make all their pairs.  So every class first
-looks at the earliest class that shares one of its ``SKETCHES`` min-hashes (one
-partner per key, linear).  Where the bitmaps all but agree it waits for that one
+looks at the earliest class that shares its smallest or its largest token hash
+(one partner per key, linear).  Where the bitmaps all but agree it waits for that one
 pair to be verified and does not search the join; a class whose pair turns out to
 be no match searches after all.  This only saves work: the result is that of the
 full join.
@@ -40,12 +42,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstar.llm.common import cut_lineage
+from tripstar.llm.common import cut_lineage, let
 
 THRESHOLD = 0.8
 RARITY_BITS = 18
-# Constants that turn the token hashes into different orders, one per sketch.
-SKETCHES = (0x2545F4914F6CDD, 0x9E3779B97F4A7C)
 _HASH_BITS = (1 << 56) - 1
 _OTHER_SPACE = "[\\t\\x0b\\x0c\\r]"
 
@@ -58,8 +58,8 @@ def line_tokens(line: Column) -> Column:
 
 def rarity_table(spark: SparkSession, docs: DataFrame, text_col: str, bits: int) -> bytes:
     """4 * log2 of the corpus count by hash bucket: one byte per bucket."""
-    spaced = F.regexp_replace(F.col(text_col), "[\\n\\t\\x0b\\x0c\\r]", " ")
-    tokens = docs.select(F.explode(F.split(spaced, " ")).alias("t")).where("t <> ''")
+    # other white space may stay in a token here: the table only orders tokens
+    tokens = docs.select(F.explode(F.split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" ")), " ")).alias("t")).where("t <> ''")
     bucket = F.xxhash64("t").bitwiseAND((1 << bits) - 1)
     every = spark.range(1 << bits).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("w"))
     counts = tokens.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("w"))
@@ -86,22 +86,23 @@ def _prefix_length(n: Column, threshold: float) -> Column:
     return (n - F.ceil(n * threshold - 1e-9) + 1).cast("int")
 
 
-def _bit(key: Column) -> Column:
+def _flip(key: Column) -> Column:
     """A long with the one bit that the token's hash names."""
     return F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(63).cast("int"))
 
 
 def line_classes(docs: DataFrame, rarity: bytes, threshold: float) -> DataFrame:
-    """One row per distinct token set: first place, size, bitmap, prefix and sketch."""
+    """One row per distinct token set: first place, size, parity map, prefix and sketch."""
     lines = docs.select("_id", "_th", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
     keyed = lines.select("_id", "_th", "_pos", token_keys(F.col("_line"), rarity).alias("k")).where(F.size("k") > 0)
     n = F.size("k")
-    bitmap = F.aggregate("k", F.lit(0).cast("long"), lambda a, k: a.bitwiseOR(_bit(k)))
+    parity = F.aggregate("k", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(_flip(k)))
     prefix = F.transform(F.slice("k", F.lit(1), _prefix_length(n, threshold)), _short)
-    sketch = F.array(*[F.array_min(F.transform("k", lambda k, c=c: k.bitwiseAND(_HASH_BITS).bitwiseXOR(F.lit(c)))) for c in SKETCHES])
+    hashes = F.transform("k", lambda k: k.bitwiseAND(_HASH_BITS))
+    sketch = let(hashes, lambda h: F.array(F.array_min(h), F.array_max(h)))
     rows = keyed.select(
         F.struct("_id", "_th", "_pos").alias("place"), F.xxhash64("k").alias("k1"), F.hash("k").alias("k2"),
-        F.struct(n.alias("n"), bitmap.alias("bits"), prefix.alias("prefix"), sketch.alias("sketch")).alias("about"))
+        F.struct(n.alias("n"), parity.alias("bits"), prefix.alias("prefix"), sketch.alias("sketch")).alias("about"))
     classes = rows.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.first("about").alias("about"))
     return classes.select("place", "about.*")
 
@@ -112,7 +113,7 @@ def _short(key: Column) -> Column:
 
 
 def _could_match(threshold: float) -> Column:
-    """Length and bitmap filters of a pair with n1, bits1, n2, bits2."""
+    """Length and parity filters of a pair with n1, bits1, n2, bits2."""
     total = F.col("n1") + F.col("n2")
     needed = total * (threshold / (1 + threshold)) - 1e-9
     return (F.least("n1", "n2") >= F.greatest("n1", "n2") * threshold - 1e-9) & (_differing() <= total - 2 * needed)
@@ -124,9 +125,9 @@ def _differing() -> Column:
 
 def first_partners(classes: DataFrame, threshold: float) -> DataFrame:
     """(a, b): class a with the earliest class b of one of its sketches, almost surely a match."""
-    entries = classes.select(F.posexplode("sketch").alias("s", "mh"), "cid", "place", "n", "bits")
-    pivots = entries.groupBy("s", "mh").agg(F.min(F.struct("place", "cid", "n", "bits")).alias("p"))
-    met = entries.join(pivots, ["s", "mh"]).where(F.col("cid") != F.col("p.cid")).select(
+    entries = classes.select(F.posexplode("sketch").alias("s", "mh"), "cid", F.col("place._id").alias("id"), "n", "bits")
+    pivots = entries.groupBy("s", "mh").agg(F.min(F.struct("id", "cid", "n", "bits")).alias("p"), F.count(F.lit(1)).alias("m"))
+    met = entries.join(pivots.where("m > 1"), ["s", "mh"]).where(F.col("cid") != F.col("p.cid")).select(
         F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("bits1"),
         F.col("p.cid").alias("b"), F.col("p.n").alias("n2"), F.col("p.bits").alias("bits2"))
     # differing bits well under what the threshold allows
@@ -135,23 +136,26 @@ def first_partners(classes: DataFrame, threshold: float) -> DataFrame:
     return best.select("a", F.col("x.b").alias("b"))
 
 
-def candidate_pairs(searching: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) with a among ``searching`` that pass prefix, length, position and bitmap."""
+def candidate_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b), one of them ``searching``, that pass prefix, length, position and parity."""
+    entries = classes.select("cid", "n", "bits", "searching", F.posexplode("prefix").alias("at", "tok"))
 
-    def entries(df: DataFrame, side: str) -> DataFrame:
-        return df.select(F.col("cid").alias(f"cid{side}"), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"bits{side}"),
-                         F.posexplode("prefix").alias(f"at{side}", "tok"))
+    def side(k: int) -> DataFrame:
+        return entries.select("tok", *[F.col(c).alias(f"{c}{k}") for c in ("cid", "n", "bits", "at", "searching")])
 
-    total = F.col("n1") + F.col("n2")
-    needed = total * (threshold / (1 + threshold)) - 1e-9
+    # the first of a pair is the smaller set; its shorter prefix is enough
+    short = F.col("n1") - F.ceil(F.col("n1") * (2 * threshold / (1 + threshold)) - 1e-9) + 1
+    needed = (F.col("n1") + F.col("n2")) * (threshold / (1 + threshold)) - 1e-9
     behind = F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))
-    near = entries(searching, "1").join(entries(classes, "2"), "tok").where(
-        (F.col("cid1") != F.col("cid2")) & (behind >= needed) & _could_match(threshold))
+    near = side(1).join(side(2), "tok").where(
+        ((F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("cid1") < F.col("cid2"))))
+        & (F.col("searching1") | F.col("searching2"))
+        & (F.col("at1") < short) & (behind >= needed) & _could_match(threshold))
     return near.select(F.col("cid1").alias("a"), F.col("cid2").alias("b")).distinct()
 
 
 def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, rarity: bytes, threshold: float) -> DataFrame:
-    """The pairs (a, b) that match, b standing before a."""
+    """The pairs that match, as (a, b) with b standing before a."""
     ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     places = classes.select("cid", "place").join(ids, "cid")
     wanted = places.groupBy(F.col("place._id").alias("_wid"), F.col("place._th").alias("_wth")).agg(
@@ -163,22 +167,28 @@ def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
     sets = cut_lineage(spark, sets.groupBy("cid").agg(F.first("place").alias("place"), F.first("k").alias("k")))
     x = sets.select(F.col("cid").alias("a"), F.col("k").alias("k1"), F.col("place").alias("p1"))
     y = sets.select(F.col("cid").alias("b"), F.col("k").alias("k2"), F.col("place").alias("p2"))
-    both = pairs.join(x, "a").join(y, "b").where("p2 < p1").withColumn("o", F.size(F.array_intersect("k1", "k2")))
+    both = pairs.join(x, "a").join(y, "b").withColumn("o", F.size(F.array_intersect("k1", "k2")))
     same = both.where(F.col("o") >= threshold * (F.size("k1") + F.size("k2") - F.col("o")) - 1e-9)
-    return cut_lineage(spark, same.select("a", "b"))
+    late, early = F.when(F.col("p2") < F.col("p1"), F.col("a")).otherwise(F.col("b")), F.when(F.col("p2") < F.col("p1"), F.col("b")).otherwise(F.col("a"))
+    return cut_lineage(spark, same.select(late.alias("a"), early.alias("b")))
 
 
 def later_lines(spark: SparkSession, docs: DataFrame, classes: DataFrame, rarity: bytes, threshold: float) -> DataFrame:
     """Numbers (cid) of the classes that an earlier one matches."""
     waiting = cut_lineage(spark, first_partners(classes, threshold))
-    search = classes.join(waiting.select(F.col("a").alias("cid")), "cid", "left_anti")
-    pairs = cut_lineage(spark, candidate_pairs(search, classes, threshold).unionByName(waiting))
+
+    def search(only: DataFrame, how: bool) -> DataFrame:
+        """Candidates of the classes that are (not) in ``only``."""
+        marks = only.select(F.col("a").alias("cid"), F.lit(True).alias("_in"))
+        marked = classes.join(marks, "cid", "left").withColumn("searching", F.col("_in").isNotNull() if how else F.col("_in").isNull())
+        return candidate_pairs(marked, threshold)
+
+    pairs = cut_lineage(spark, search(waiting, False).unionByName(waiting).distinct())
     found = verified(spark, docs, classes, pairs, rarity, threshold)
-    failed = waiting.join(found, "a", "left_anti").select(F.col("a").alias("cid"))
-    failed = cut_lineage(spark, failed)
+    failed = cut_lineage(spark, waiting.join(found, "a", "left_anti").select("a"))
     if not failed.isEmpty():
-        pairs = cut_lineage(spark, candidate_pairs(classes.join(failed, "cid", "left_semi"), classes, threshold))
-        found = found.unionByName(verified(spark, docs, classes, pairs, rarity, threshold))
+        more = verified(spark, docs, classes, cut_lineage(spark, search(failed, True)), rarity, threshold)
+        found = found.unionByName(more)
     return found.select(F.col("a").alias("cid")).distinct()
 
 
