@@ -5,10 +5,10 @@ into inverted lists by their nearest coarse centroid; the residual is coded per
 subspace.  A class is compared with every list that it probes: the home list and
 each list c with ``d(x,c)^2 - d(x,home)^2 <= 2 * reach * d(c,home)``, that is, with
 its point at most ``reach`` beyond the plane between the two centroids.  With
-``reach = eps`` (the distance that the cosine allows) that bound is exact; the
-default is ``eps / 2``: a neighbour at distance eps lies eps/2 beyond some given
-plane only if a quarter of its squared offset falls on one direction.  Recall is
-measured against brute force in the tests.
+``reach = eps`` (the distance that the cosine allows) that bound is exact.  The
+default is ``SPREAD * eps / sqrt(dim)``, at most eps: the offset of a neighbour
+falls on one given direction with a standard deviation of eps / sqrt(dim).
+Recall is measured against brute force in the tests.
 
 In a list, table lookups give the distance from x to the coded vector y'.  As
 ``|d(x,y) - d(x,y')| <= |y - y'|`` and that error is stored with the code, the
@@ -48,6 +48,7 @@ LIST_ROWS = 256
 MAX_LISTS = 1024
 SUBSPACES = 8
 CODEWORDS = 256
+SPREAD = 2.0
 MEMBER_BLOCK = 2048
 QUERY_BLOCK = 8192
 STRIP = 256
@@ -75,11 +76,12 @@ class Index:
         self.pad = self.parts * self.width - dim
         self.threshold = threshold
         self.eps = math.sqrt(max(0.0, 2 - 2 * threshold))
-        self.reach = self.eps / 2 if reach is None else reach
+        self.reach = min(self.eps, SPREAD * self.eps / math.sqrt(dim)) if reach is None else reach
         self.centers = kmeans(sample, lists, 10, 1)
         self.gaps = np.sqrt(np.maximum(((self.centers[:, None] - self.centers[None]) ** 2).sum(-1), 0)) if len(self.centers) <= 2048 else None
         rest = self._split(sample - self.centers[self._distances(sample).argmin(axis=1)])
         self.books = np.stack([self._fill(kmeans(rest[:, m], CODEWORDS, 8, 2 + m)) for m in range(self.parts)])
+        self._norms = (self.books ** 2).sum(-1)
 
     @staticmethod
     def _fill(book: np.ndarray) -> np.ndarray:
@@ -97,7 +99,7 @@ class Index:
         d = self._distances(x)
         home = d.argmin(axis=1)
         rest = self._split(x - self.centers[home])
-        codes = np.stack([((rest[:, m, None] - self.books[m][None]) ** 2).sum(-1).argmin(axis=1) for m in range(self.parts)], axis=1)
+        codes = np.stack([(self._norms[m][None] - 2 * rest[:, m] @ self.books[m].T).argmin(axis=1) for m in range(self.parts)], axis=1)
         decoded = np.stack([self.books[m][codes[:, m]] for m in range(self.parts)], axis=1)
         error = np.sqrt(((rest - decoded) ** 2).sum((1, 2)))
         probed = d - d[np.arange(len(x)), home][:, None] <= 2 * self.reach * self.gaps[home] + 1e-9
@@ -106,10 +108,10 @@ class Index:
     def estimate(self, queries: np.ndarray, center: int, codes: np.ndarray) -> np.ndarray:
         """Asymmetric squared distances (queries x coded members) in one list."""
         rest = self._split(queries - self.centers[center])
-        out = np.zeros((len(queries), len(codes)))
+        out = np.zeros((len(queries), len(codes)), dtype=np.float32)
         for m in range(self.parts):
-            table = ((rest[:, m, None] - self.books[m][None]) ** 2).sum(-1)
-            out += table[:, codes[:, m]]
+            table = (rest[:, m] ** 2).sum(1)[:, None] + self._norms[m][None] - 2 * rest[:, m] @ self.books[m].T
+            out += np.take(table.astype(np.float32), codes[:, m], axis=1)
         return out
 
 
@@ -129,7 +131,7 @@ def _search_block(index: Index, frame: pd.DataFrame) -> pd.DataFrame:
     if not len(y) or not len(q):
         return empty
     codes = np.stack([np.frombuffer(c, dtype=np.uint8) for c in frame["code"].to_numpy()[y]])
-    limit = (index.eps + frame["err"].to_numpy()[y]) ** 2 + 1e-6
+    limit = (index.eps + frame["err"].to_numpy()[y]) ** 2 + 1e-4
     links = np.zeros(len(frame), dtype=np.int64)
     out = []
     for at in range(0, len(q), STRIP):
