@@ -25,17 +25,6 @@ class PipelineConfig:
     batch_rows: int = 1_000_000
     # Fact filter: trips faster than this are dropped from gold.
     max_fact_speed_mph: float = 100.0
-    # Skew handling for the duplicate ordinal: a natural key with more distinct
-    # rows than this is split into salted buckets.
-    hot_key_rows: int = 1_000_000
-    # 1-in-N content-hash sample used to find hot natural keys.
-    hot_key_sample: int = 1000
-    # At most this many hot keys are split (the largest ones), which keeps the
-    # broadcast hot-key table constant-size; any other key holds at most
-    # N / max_hot_keys rows and is numbered, exactly, in one bucket.
-    max_hot_keys: int = 100_000
-    # Copies of one identical row are expanded in chunks of this many ordinals.
-    copy_chunk: int = 1_000_000
     # Clustering of the fact table.
     cluster_keys: tuple[str, ...] = field(
         default_factory=lambda: ("pickup_date_sk", "pickup_zone_sk", "service_type_sk")

@@ -17,7 +17,9 @@ def epoch_ntz() -> Column:
 
 def ns_to_wallclock(ns: Column) -> Column:
     """Epoch nanoseconds -> timestamp_ntz (microsecond precision)."""
-    micros = F.floor(ns.cast("decimal(20,0)") / F.lit(1000)).cast("long")
+    ns = ns.cast("long")
+    # floor division in long arithmetic: also right before 1970
+    micros = F.call_function("div", ns - F.pmod(ns, F.lit(1000)), F.lit(1000))
     return F.timestamp_add("MICROSECOND", micros, epoch_ntz())
 
 
@@ -54,16 +56,6 @@ def time_key(ts: Column) -> Column:
     return (F.hour(ts) * 10000 + F.minute(ts) * 100 + F.second(ts)).cast("int")
 
 
-def time_text(ts: Column) -> Column:
-    """C22: 'HH:mm:ss' (24 h) of a wall-clock timestamp.
-
-    Built from the fields, not with ``date_format``: formatting goes through
-    the session time zone, which moves wall-clock times that fall in that
-    zone's spring-forward gap by an hour.
-    """
-    return F.format_string("%02d:%02d:%02d", F.hour(ts), F.minute(ts), F.second(ts))
-
-
 def month_index(year: Column, month: Column, first: tuple[int, int]) -> Column:
     """Months since ``first`` plus one (the deterministic run id of C1)."""
     return ((year - first[0]) * 12 + (month - first[1]) + 1).cast("long")

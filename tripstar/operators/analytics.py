@@ -121,20 +121,6 @@ def duration_percentiles(fact: DataFrame, zone_dim: DataFrame, approximate: bool
     ).orderBy("pickup_location_id")
 
 
-def duration_percentiles_builtin(fact: DataFrame, zone_dim: DataFrame) -> DataFrame:
-    """F6 with Spark's built-in exact ``percentile`` (reference form, for tests)."""
-    star = _star(
-        fact.select("pickup_zone_sk", "trip_duration_seconds"),
-        (zone_dim.select("pickup_zone_sk", "pickup_location_id", "pickup_borough", "pickup_zone"),
-         "pickup_zone_sk", False),
-    )
-    d = F.col("trip_duration_seconds")
-    return star.groupBy("pickup_location_id", "pickup_borough", "pickup_zone").agg(
-        F.percentile(d, F.lit(0.5)).alias("p50_duration_sec"),
-        F.percentile(d, F.lit(0.9)).alias("p90_duration_sec"),
-    )
-
-
 def demand_dow_hour(fact: DataFrame, date_dim: DataFrame, time_dim: DataFrame) -> DataFrame:
     """trips per weekday name and pickup hour (weekday names sort alphabetically)."""
     star = _star(

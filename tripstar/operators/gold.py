@@ -17,49 +17,35 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions import labels
-from ..functions.timecols import date_key, time_key, time_text
-from ..session import checkpoint_dir
+from ..functions.timecols import date_key, time_key
+from .ranges import numbered
 
 ROLES = ("pickup", "dropoff")
 
 
-def _surrogate(df: DataFrame, sk: str, order: list[Column], max_members: int | None = None) -> DataFrame:
+def _surrogate(df: DataFrame, sk: str, order: list[Column]) -> DataFrame:
     """``row_number()`` over the natural key (nulls last) as a long.
 
-    ``max_members`` states a fixed bound on the number of members (label
-    dimensions); then one ordered window over those few rows is used.
-
-    A global ``row_number`` window would move every member to one task.
-    Instead the members are range-partitioned in key order (partition i holds
-    keys below partition i+1), the partitioning is pinned with a reliable
-    checkpoint in the shared checkpoint folder, rows are numbered inside each
-    partition, and each partition's offset — the sizes of the partitions before
-    it, a table of at most #partitions rows — is broadcast and added.
+    The members are cut into ranges of key order, numbered inside each and offset
+    by the sizes of the ranges before (:func:`.ranges.numbered`), so no dimension is
+    gathered in one task, however many members it has.
     """
-    if max_members is not None:
-        return df.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias(sk), *df.columns)
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    parts = max(spark.sparkContext.defaultParallelism, 1)
-    ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
-    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    numbered = local.join(F.broadcast(offsets), "_part")
-    return numbered.select((F.col("_offset") + F.col("_rn")).cast("long").alias(sk), *df.columns)
+    return numbered(df, order, sk)
 
 
 # --- date / time ------------------------------------------------------------------
 def dim_date(silver: DataFrame, role: str) -> DataFrame:
-    cal = F.col("calendar_date")
-    dates = silver.select(F.to_date(F.col(f"{role}_datetime_nyc")).alias("calendar_date")).distinct()
-    return dates.select(
+    return _date_rows(silver.select(F.to_date(F.col(f"{role}_datetime_nyc")).alias("day")).distinct(), role)
+
+
+def _date_rows(days: DataFrame, role: str) -> DataFrame:
+    cal = F.col("day")
+    return days.select(
         date_key(cal).alias(f"{role}_date_sk"),
         cal.alias(f"{role}_date"),
         F.year(cal).alias("year"),
@@ -71,14 +57,13 @@ def dim_date(silver: DataFrame, role: str) -> DataFrame:
 
 def dim_time(silver: DataFrame, role: str) -> DataFrame:
     ts = F.col(f"{role}_datetime_nyc")
-    times = silver.select(
-        F.hour(ts).alias("hour"),
-        F.minute(ts).alias("minute"),
-        F.second(ts).alias("second"),
-        time_text(ts).alias(f"{role}_time_formatted"),
-    ).distinct()
+    return _time_rows(silver.select(F.hour(ts).alias("hour"), F.minute(ts).alias("minute"), F.second(ts).alias("second")).distinct(), role)
+
+
+def _time_rows(times: DataFrame, role: str) -> DataFrame:
     sk = (F.col("hour") * 10000 + F.col("minute") * 100 + F.col("second")).cast("int")
-    return times.select(sk.alias(f"{role}_time_sk"), "hour", "minute", "second", f"{role}_time_formatted")
+    text = F.format_string("%02d:%02d:%02d", "hour", "minute", "second")
+    return times.select(sk.alias(f"{role}_time_sk"), "hour", "minute", "second", text.alias(f"{role}_time_formatted"))
 
 
 # --- zones and codes ----------------------------------------------------------------
@@ -101,19 +86,17 @@ def dim_rate_code(silver: DataFrame) -> DataFrame:
 
 def dim_payment_type(silver: DataFrame) -> DataFrame:
     p = silver.select("payment_type_description").distinct()
-    return _surrogate(p, "payment_type_sk", [F.col("payment_type_description").asc_nulls_last()],
-                      max_members=len(labels.PAYMENT_LABELS) + 1)
+    return _surrogate(p, "payment_type_sk", [F.col("payment_type_description").asc_nulls_last()])
 
 
 def dim_service_type(silver: DataFrame) -> DataFrame:
     s = silver.select("service_type").distinct()
-    return _surrogate(s, "service_type_sk", [F.col("service_type").asc_nulls_last()], max_members=2)
+    return _surrogate(s, "service_type_sk", [F.col("service_type").asc_nulls_last()])
 
 
 def dim_trip_type(silver: DataFrame) -> DataFrame:
     t = silver.select("duration_flag", "speed_flag").distinct()
-    t = _surrogate(t, "trip_type_sk", [F.col("duration_flag").asc_nulls_last(), F.col("speed_flag").asc_nulls_last()],
-                   max_members=9)
+    t = _surrogate(t, "trip_type_sk", [F.col("duration_flag").asc_nulls_last(), F.col("speed_flag").asc_nulls_last()])
     return t.withColumn(
         "trip_type_description", labels.trip_type_label(F.col("duration_flag"), F.col("speed_flag"))
     )
@@ -149,19 +132,65 @@ class Dimensions:
         }
 
 
-def build_dimensions(silver: DataFrame) -> Dimensions:
+CODE_COLUMNS = ["vendor_id", "rate_code_id", "rate_code_description", "payment_type_description", "service_type",
+                "duration_flag", "speed_flag"]
+
+
+def dimension_members(silver: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What the dimensions are made of: (codes, zones, dates, times).
+
+    Silver is read four times instead of once per dimension: one grouped pass
+    over the code columns, and one each for zones, dates and times of both roles.
+    """
+
+    def roles(fields) -> DataFrame:
+        both = F.array(*[F.struct(F.lit(r).alias("role"), *fields(r)) for r in ROLES])
+        return silver.select(F.explode(both).alias("x")).select("x.*").distinct()
+
+    def zone(r: str) -> list[Column]:
+        return [F.col(f"{r}_{c}").alias(c) for c in ("location_id", "borough", "zone", "service_zone")]
+
+    def clock(r: str) -> list[Column]:
+        ts = F.col(f"{r}_datetime_nyc")
+        return [F.hour(ts).alias("hour"), F.minute(ts).alias("minute"), F.second(ts).alias("second")]
+
+    return (
+        silver.select(*CODE_COLUMNS).distinct(),
+        roles(zone),
+        roles(lambda r: [F.to_date(f"{r}_datetime_nyc").alias("day")]),
+        roles(clock),
+    )
+
+
+def build_dimensions(silver: DataFrame, pin=None) -> Dimensions:
+    """All dimensions.  ``pin`` (DataFrame, name -> DataFrame) may write the member
+    tables and read them back, so that silver is not read once per dimension."""
+    pin = pin or (lambda df, name: df)
+    codes, zones, dates, times = (pin(df, f"members_{n}") for df, n in zip(
+        dimension_members(silver), ("codes", "zones", "dates", "times"), strict=True))
+
+    def zone(r: str) -> DataFrame:
+        own = zones.where(F.col("role") == r)
+        return dim_zone(own.select(*[F.col(c).alias(f"{r}_{c}") for c in ("location_id", "borough", "zone", "service_zone")]), r)
+
+    def date(r: str) -> DataFrame:
+        return _date_rows(dates.where(F.col("role") == r).select("day"), r)
+
+    def time(r: str) -> DataFrame:
+        return _time_rows(times.where(F.col("role") == r).select("hour", "minute", "second"), r)
+
     return Dimensions(
-        date_pickup=dim_date(silver, "pickup"),
-        date_dropoff=dim_date(silver, "dropoff"),
-        time_pickup=dim_time(silver, "pickup"),
-        time_dropoff=dim_time(silver, "dropoff"),
-        zone_pickup=dim_zone(silver, "pickup"),
-        zone_dropoff=dim_zone(silver, "dropoff"),
-        vendor=dim_vendor(silver),
-        rate_code=dim_rate_code(silver),
-        payment_type=dim_payment_type(silver),
-        service_type=dim_service_type(silver),
-        trip_type=dim_trip_type(silver),
+        date_pickup=date("pickup"),
+        date_dropoff=date("dropoff"),
+        time_pickup=time("pickup"),
+        time_dropoff=time("dropoff"),
+        zone_pickup=zone("pickup"),
+        zone_dropoff=zone("dropoff"),
+        vendor=dim_vendor(codes),
+        rate_code=dim_rate_code(codes),
+        payment_type=dim_payment_type(codes),
+        service_type=dim_service_type(codes),
+        trip_type=dim_trip_type(codes),
     )
 
 
@@ -225,26 +254,3 @@ def fct_trips(silver: DataFrame, dims: Dimensions, cfg: PipelineConfig = DEFAULT
     t = t.join(F.broadcast(dims.trip_type.select("trip_type_sk", "duration_flag", "speed_flag")),
                ["duration_flag", "speed_flag"], "left")
     return t.select(*FACT_COLUMNS)
-
-
-def fct_trips_joined_time_keys(silver: DataFrame, dims: Dimensions, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Literal form of E3/E4 (date and time keys by join) — used to test the shortcut."""
-    f = fct_trips(silver, dims, cfg).drop("pickup_date_sk", "dropoff_date_sk", "pickup_time_sk", "dropoff_time_sk")
-    s = silver.select(
-        "trip_id",
-        F.to_date("pickup_datetime_nyc").alias("pickup_date"),
-        F.to_date("dropoff_datetime_nyc").alias("dropoff_date"),
-        F.hour("pickup_datetime_nyc").alias("p_h"), F.minute("pickup_datetime_nyc").alias("p_m"),
-        F.second("pickup_datetime_nyc").alias("p_s"),
-        F.hour("dropoff_datetime_nyc").alias("d_h"), F.minute("dropoff_datetime_nyc").alias("d_m"),
-        F.second("dropoff_datetime_nyc").alias("d_s"),
-    )
-    s = s.join(dims.date_pickup.select("pickup_date_sk", "pickup_date"), "pickup_date", "left")
-    s = s.join(dims.date_dropoff.select("dropoff_date_sk", "dropoff_date"), "dropoff_date", "left")
-    tp = dims.time_pickup.select("pickup_time_sk", F.col("hour").alias("p_h"), F.col("minute").alias("p_m"),
-                                 F.col("second").alias("p_s"))
-    td = dims.time_dropoff.select("dropoff_time_sk", F.col("hour").alias("d_h"), F.col("minute").alias("d_m"),
-                                  F.col("second").alias("d_s"))
-    s = s.join(tp, ["p_h", "p_m", "p_s"], "left").join(td, ["d_h", "d_m", "d_s"], "left")
-    s = s.select("trip_id", "pickup_date_sk", "dropoff_date_sk", "pickup_time_sk", "dropoff_time_sk")
-    return f.join(s, "trip_id", "left").select(*FACT_COLUMNS)

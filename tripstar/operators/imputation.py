@@ -2,36 +2,51 @@
 
 Each column's nulls are replaced by the element at index ``floor(n / 2)`` of
 its sorted non-null values — the upper median for even ``n`` — which is
-``percentile_disc(0.5)`` over the values in *descending* order.  All medians
-come from one aggregation pass (exact percentile with partial aggregation of
-value counts); only that single result row reaches the driver.  A column with
-no values stays null.
+``percentile_disc(0.5)`` over the values in *descending* order.
+
+All columns go through one pass: their values are reduced to (column, value)
+counts with map-side combine, and a running count in value order
+(:func:`.ranges.running_sum`) finds the value at the middle rank, so no task holds
+the distinct values of a column.  The medians are one row, used as a scalar of the
+plan.  A column with no values stays null.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .ranges import running_sum
 
 SAMPLE_NUMERIC_COLUMNS = ["Age", "Fare", "Parch", "Pclass", "SibSp", "Survived"]
 
 
-def upper_medians(df: DataFrame, columns: list[str]) -> dict[str, object]:
-    aggs = [
-        F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}` DESC)").alias(c) for c in columns
-    ]
-    row = df.agg(*aggs).first()
-    return {c: row[c] for c in columns}
+def upper_medians(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row with the upper median of every column, in the columns' types."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    # integers travel as longs and the rest as doubles, so no value is rounded
+    whole = {c: isinstance(types[c], T.IntegralType) for c in columns}
+    cells = [F.struct(
+        F.lit(i).alias("i"),
+        (F.col(f"`{c}`").cast("long") if whole[c] else F.lit(None).cast("long")).alias("l"),
+        (F.lit(None).cast("double") if whole[c] else F.col(f"`{c}`").cast("double")).alias("d")) for i, c in enumerate(columns)]
+    values = df.select(F.explode(F.array(*cells)).alias("x")).select("x.*").where("l is not null or d is not null")
+    counts = values.groupBy("i", "l", "d").agg(F.count(F.lit(1)).alias("n"))
+    upto = running_sum(counts, ["i"], [F.col("l").asc_nulls_first(), F.col("d").asc_nulls_first()], "n", "upto")
+    total = upto.groupBy("i").agg(F.max("upto").alias("all"))
+    middle = upto.join(total, "i").where(F.col("upto") > F.floor(F.col("all") / 2))
+    found = middle.groupBy("i").agg(F.min(F.struct("l", "d")).alias("m"))
+    picks = [F.max(F.when(F.col("i") == i, F.col("m.l") if whole[c] else F.col("m.d"))).cast(types[c]).alias(c)
+             for i, c in enumerate(columns)]
+    return found.agg(*picks)
 
 
 def fill_with_median(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     columns = columns or df.columns
     medians = upper_medians(df, columns)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fills = {
-        c: F.coalesce(F.col(c), F.lit(m).cast(types[c])) for c, m in medians.items() if m is not None
-    }
-    return df.select(*columns).withColumns(fills)
+    row = medians.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("m")).scalar()
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), row[c]).alias(c) for c in columns])
 
 
 def sample_transform(passengers: DataFrame) -> DataFrame:

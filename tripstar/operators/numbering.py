@@ -1,58 +1,38 @@
-"""Duplicate ordinal (G1) that survives hot keys and large groups of copies.
+"""Duplicate ordinal (G1): ``row_number`` per natural key, balanced for any key.
 
 The reference numbers trips with ``row_number() over (partition by <natural
 key> order by ...)``.  Written literally, every row of one natural key lands in
-one task, so a key (or a set of identical copies of one row, e.g. re-loaded
-batches) holding a third of all rows becomes a straggler.  This operator gives
-the same numbering — ordinals ``1..n`` inside each natural key, ordered by the
-remaining columns — with bounded work per task:
-
-1. **Collapse copies.**  ``groupBy(all columns).count()``: identical rows are
-   combined map-side by partial aggregation, so copies never travel as a group.
-2. **Find hot keys.**  A deterministic 1-in-``R`` sample of the *distinct* rows
-   (by content hash, stable under recomputation) estimates distinct rows per
-   key; keys above ``hot_key_rows`` get ``ceil(estimate / hot_key_rows)``
-   buckets.  Only the ``max_hot_keys`` largest are kept (a distributed
-   top-k), so the broadcast hot-key table has a constant size bound; every
-   other key holds at most ``N / max_hot_keys`` rows and is numbered exactly
-   in a single bucket.
-3. **Number distinct rows** with a running sum of copy counts over
-   ``(key, bucket)`` partitions; buckets of hot keys are offset by the sizes of
-   the lower buckets (a table of one row per hot bucket, joined back).
-4. **Expand copies** into ordinals with a generator, in chunks of
-   ``copy_chunk`` ordinals.
-
-That path shuffles the big side twice (the collapse aggregate and the
-window partitioning).  When every row carries a stable *position* (``spread_col``,
-e.g. a hash of ``_metadata.file_path`` and ``_metadata.row_index`` of the scan
-that produced it) one shuffle suffices: hot keys are estimated from a 1-in-R
-position sample (rows, copies included), a hot key's rows — its copies too —
-are spread over buckets by position, so every (key, bucket) group is bounded
-and rows are numbered one by one with ``row_number``; a single
-``repartition(key hash, bucket)`` satisfies the window and the bucket-offset
-join without further exchanges.
-
-For keys below the threshold (bucket 0) the order is exactly "remaining
-columns ascending, nulls last"; inside a hot key it is (bucket, remaining
-columns) — still a deterministic total order, which is all the reference
-promises (its ORDER BY is constant inside the partition).  Salts and samples
-are hashes of content or file positions, never random numbers, so a retried
-task reproduces the same buckets.
+one task.  Here the rows are cut into ranges of equal size of the total order
+
+    natural key, remaining columns, position
+
+so a key with any share of the rows, copies included, spreads over as many
+ranges as it needs.  There is one plan for every size: no sample, threshold or
+cap takes part in a result.
+
+1. ``repartitionByRange`` on that order, written once to the shared folder, so
+   that everything below sees the same ranges, also after a lost executor.
+2. ``row_number`` inside (range, key): a group is never larger than its range.
+3. A key can continue only from the last key of a range into the first keys of
+   the next ones.  One row per range (first key, last key, rows of the last key)
+   gives the offset of each range's first key; that table, one row per range, is
+   broadcast and added.
+
+The ordinal follows the remaining columns, ascending with nulls last.  The
+position only settles the order of *identical* rows, which are interchangeable:
+the mapping from row content to ordinals is the same in every run, whatever the
+files or partitions.  Signed zeros compare equal, as they do in SQL.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import DEFAULT, PipelineConfig
+from .ranges import RANGE, pinned_ranges
 
-_COPIES, _KH, _RH, _NB, _BUCKET, _OFFSET, _BASE = (
-    "_copies", "_kh", "_rh", "_nb", "_bucket", "_offset", "_base",
-)
+_TIE, _KEY, _RN = "_tie", "_key", "_rn"
 
 
 def number_within_key(
@@ -60,135 +40,55 @@ def number_within_key(
     key_cols: list[str],
     order_cols: list[str] | None = None,
     ordinal_col: str = "ordinal",
-    cfg: PipelineConfig = DEFAULT,
-    spread_col: str | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Return ``df`` with ``ordinal_col`` = 1..n inside each group of ``key_cols``.
 
     ``order_cols`` defaults to all other columns; keys compare null-safely.
-    ``spread_col`` names a stable per-row position (not part of the content;
-    dropped from the result) that enables the single-shuffle plan.
+    ``ranges`` (default ``spark.sql.shuffle.partitions``) only sets how finely the
+    work is cut.
     """
-    content = [c for c in df.columns if c != spread_col]
+    content = df.columns
     if order_cols is None:
         order_cols = [c for c in content if c not in key_cols]
-    R = cfg.hot_key_sample
-
-    if spread_col is None:
-        # 1. identical rows -> one row with a copy count (map-side combine).
-        distinct = (
-            df.groupBy(*content)
-            .agg(F.count(F.lit(1)).alias(_COPIES))
-            .withColumn(_KH, F.xxhash64(*_hashable(df, key_cols)))
-            .withColumn(_RH, F.xxhash64(*content, F.lit("tripstar-row")))
-        )
-        # 2. hot keys from a deterministic content-hash sample of distinct rows.
-        hot = _hot_table(distinct.where(F.pmod(F.col(_RH), F.lit(R)) == 0), cfg)
-        pre = distinct.join(F.broadcast(hot), _KH, "left").withColumn(_BUCKET, _bucket(F.col(_RH)))
-        tagged = pre.repartition(_KH, _BUCKET)
-        weight = F.col(_COPIES)
-    else:
-        # 1'. hot keys from a 1-in-R position sample (counts every row, copies too).
-        pre = salted_rows(df, key_cols, spread_col, cfg)
-        # 2'. the only big shuffle.  Copies of a hot row are already spread over
-        # its buckets by position and every (key, bucket) group is bounded, so
-        # rows are numbered one by one: no collapse, no expansion.
-        tagged = pre.repartition(_KH, _BUCKET)
-        weight = F.lit(1)
-    # Bucket totals of hot keys come from the rows *before* the repartition, so
-    # partial aggregation reduces them map-side to one row per (key, bucket, task).
-    totals = (
-        pre.where(F.col(_NB).isNotNull())
-        .groupBy(_KH, *key_cols, _BUCKET)
-        .agg(F.sum(weight).cast("long").alias("_tot"))
-    )
-    return _number_tagged(tagged, totals, content, key_cols, order_cols, ordinal_col, cfg,
-                          expand=spread_col is None)
-
-
-def _hot_table(sample: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Keys whose estimated size exceeds ``hot_key_rows``, the largest
-    ``max_hot_keys`` of them (distributed top-k, ties by hash): a
-    constant-size broadcast with the number of buckets per key."""
-    R, T = cfg.hot_key_sample, cfg.hot_key_rows
-    return (
-        sample.groupBy(_KH)
-        .agg((F.count(F.lit(1)) * R).alias("_est"))
-        .where(F.col("_est") > T)
-        .orderBy(F.col("_est").desc(), F.col(_KH))
-        .limit(cfg.max_hot_keys)
-        .select(_KH, F.ceil(F.col("_est") / F.lit(T)).cast("long").alias(_NB))
-    )
-
-
-def _bucket(spread: Column) -> Column:
-    return F.when(F.col(_NB).isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(spread), F.col(_NB)))
-
-
-def salted_rows(df: DataFrame, key_cols: list[str], spread_col: str, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Rows with their key hash ``_kh``, bucket count ``_nb`` (null unless hot)
-    and ``_bucket``: the distribution key of the single-shuffle plan."""
-    base = df.withColumn(_KH, F.xxhash64(*_hashable(df, key_cols)))
-    hot = _hot_table(base.where(F.pmod(F.col(spread_col), F.lit(cfg.hot_key_sample)) == 0), cfg)
-    return base.join(F.broadcast(hot), _KH, "left").withColumn(_BUCKET, _bucket(F.col(spread_col)))
-
-
-def _hashable(df: DataFrame, cols: list[str]) -> list[Column]:
-    """Key columns as hash inputs: -0.0 and 0.0 group together in SQL, so they
-    must hash alike (xxhash64 hashes the bits of a double)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    out = []
-    for c in cols:
-        if isinstance(types[c], (T.DoubleType, T.FloatType)):
-            out.append(F.when(F.col(c) == 0, F.lit(0.0).cast(types[c])).otherwise(F.col(c)))
-        else:
-            out.append(F.col(c))
-    return out
-
-
-def _number_tagged(tagged: DataFrame, totals: DataFrame, content: list[str], key_cols: list[str],
-                   order_cols: list[str], ordinal_col: str, cfg: PipelineConfig, expand: bool = True) -> DataFrame:
-    """Steps 3-4 on rows hash-partitioned by (key hash, bucket): distinct rows
-    with copy counts (``expand``) or single rows."""
-    C = cfg.copy_chunk
-    # 3. running sum of copies inside (key, bucket); bucket bases for hot keys.
-    # The (key hash, bucket) partitioning satisfies both the window (partitioned
-    # by hash, bucket and the key itself) and the join with the bucket bases.
-    order = [F.col(c).asc_nulls_last() for c in order_cols]
-    within = Window.partitionBy(_KH, _BUCKET, *key_cols).orderBy(*order)
-    if expand:
-        before = within.rowsBetween(Window.unboundedPreceding, -1)
-        numbered = tagged.withColumn(_OFFSET, F.coalesce(F.sum(_COPIES).over(before), F.lit(0)))
-    else:
-        numbered = tagged.withColumn(_OFFSET, (F.row_number().over(within) - 1).cast("long"))
-
-    lower = Window.partitionBy(_KH, *key_cols).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(
-        F.col(_KH).alias("_b_kh"),
-        *[F.col(c).alias(f"_b_{c}") for c in key_cols],
-        F.col(_BUCKET).alias("_b_bucket"),
-        F.coalesce(F.sum("_tot").over(lower), F.lit(0)).alias(_BASE),
-    )
-    # Equi-join only on (key hash, bucket) — exactly the partitioning the rows
-    # already have, so only the small side moves.  The full key is compared as
-    # a residual: two struct inequalities (null fields compare equal in struct
-    # ordering) are an exact null-safe equality that the planner does not turn
-    # into extra join keys.
-    mine = F.struct(*[numbered[c] for c in key_cols])
-    theirs = F.struct(*[bases[f"_b_{c}"] for c in key_cols])
-    cond = reduce(
-        lambda a, b: a & b,
-        [numbered[_KH] == bases["_b_kh"], numbered[_BUCKET] == bases["_b_bucket"], mine <= theirs, mine >= theirs],
-    )
-    numbered = numbered.join(bases, cond, "left").withColumn(
-        _OFFSET, F.col(_OFFSET) + F.coalesce(F.col(_BASE), F.lit(0))
-    )
-
-    if not expand:
-        return numbered.select(*content, (F.col(_OFFSET) + 1).alias(ordinal_col))
-    # 4. expand copies into ordinals, chunk by chunk.
-    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(_COPIES) / F.lit(C)).cast("long") - 1))
-    expanded = numbered.select(*content, _OFFSET, _COPIES, chunk.alias("_chunk"))
-    lo = F.col(_OFFSET) + F.col("_chunk") * C + 1
-    hi = F.least(F.col(_OFFSET) + F.col(_COPIES), F.col(_OFFSET) + (F.col("_chunk") + 1) * C)
-    return expanded.select(*content, F.explode(F.sequence(lo, hi)).alias(ordinal_col))
+    order = [_plain(c, types[c]).asc_nulls_last() for c in [*key_cols, *order_cols]]
+
+    # 1. the ranges, pinned by one write
+    pinned = pinned_ranges(df.withColumn(_TIE, F.monotonically_increasing_id()), [*order, F.col(_TIE)], ranges)
+
+    # 2. numbers inside (range, key)
+    keys = [_plain(c, types[c]) for c in key_cols]
+    inside = Window.partitionBy(RANGE, *keys).orderBy(*order[len(key_cols):], F.col(_TIE))
+    numbered = pinned.withColumns({_RN: F.row_number().over(inside), _KEY: _sortable(keys)})
+
+    # 3. where each range's first key starts
+    edges = _edges(pinned.select(RANGE, _sortable(keys).alias(_KEY)))
+    out = numbered.join(F.broadcast(edges), RANGE)
+    offset = F.when(F.col(_KEY) == F.col("_first"), F.col("_before")).otherwise(F.lit(0))
+    return out.select(*content, (F.col(_RN) + offset).cast("long").alias(ordinal_col))
+
+
+def _plain(name: str, dtype: T.DataType) -> Column:
+    """Column with one zero: -0.0 and 0.0 are equal in SQL but not in a range."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.when(F.col(name) == 0, F.lit(0.0).cast(dtype)).otherwise(F.col(name))
+    return F.col(name)
+
+
+def _sortable(keys: list[Column]) -> Column:
+    """The key as one struct that is never null and sorts nulls last."""
+    return F.struct(*[x for i, k in enumerate(keys) for x in (k.isNull().alias(f"n{i}"), k.alias(f"k{i}"))])
+
+
+def _edges(keyed: DataFrame) -> DataFrame:
+    """Per range: its first key and how many rows of it lie in earlier ranges."""
+    ends = keyed.groupBy(RANGE).agg(F.min(_KEY).alias("_first"), F.max(_KEY).alias("_last"))
+    # rows of each range's last key: at most one group per range survives the join
+    last = keyed.join(F.broadcast(ends.select(RANGE, "_last")), RANGE).where(F.col(_KEY) == F.col("_last"))
+    last = last.groupBy(RANGE, "_last").agg(F.count(F.lit(1)).alias("_rows"))
+    # a running sum over the ranges that end with the same key (one row per range)
+    run = Window.partitionBy("_last").orderBy(RANGE)
+    sums = last.select(F.col(RANGE).alias("_from"), F.col("_last").alias("_k"), F.sum("_rows").over(run).alias("_sum"))
+    before = ends.join(F.broadcast(sums), (F.col("_k") == F.col("_first")) & (F.col("_from") < F.col(RANGE)), "left")
+    return before.groupBy(RANGE, "_first").agg(F.coalesce(F.max("_sum"), F.lit(0)).alias("_before"))

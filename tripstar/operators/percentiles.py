@@ -1,22 +1,22 @@
-"""Exact continuous percentiles that stay balanced under a hot group.
-
-Spark's exact ``percentile`` keeps a value->count map per group; applied to
-raw rows, the final task of a group merges one partial map per input task.
-Here the rows are first reduced to ``(group, value, count)`` — an ordinary
-aggregation with map-side combine, hash-partitioned on (group, value), so a
-hot group's values are spread over all tasks and each distinct value lives in
-exactly one of them.  ``percentile(value, p, count)`` then merges disjoint
-maps whose total size is the number of distinct values of the group (whole
-seconds of trip duration), not its number of rows.  Results are exactly
-``percentile_cont``: ``(ceil - pos) * lower + (pos - floor) * upper`` at
-``pos = p * (n - 1)``.
+"""Exact continuous percentiles without a task that holds a whole group.
+
+Rows are first reduced to ``(group, value, count)`` with map-side combine.  The
+counts get a running sum in value order within their group, cut into ranges
+(:func:`.ranges.running_sum`), so a group with any number of distinct values is
+spread over tasks.  The value at a rank is then the smallest one whose running
+count exceeds it: one minimum per group and probability, combined map-side.
+
+Results are exactly ``percentile_cont``:
+``(ceil - pos) * lower + (pos - floor) * upper`` at ``pos = p * (n - 1)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranges import running_sum
+
 
 def value_counts(df: DataFrame, group_cols: list[str], value_col: str, weight_col: str | None = None) -> DataFrame:
     """``(group, value, _n)``: rows (or summed weights) per distinct value."""
@@ -31,10 +31,28 @@ def percentile_cont(df: DataFrame, group_cols: list[str], value_col: str,
     With ``weight_col`` each input row stands for that many rows (input that
     is already reduced to value counts); a value may appear in several rows.
     """
-    if weight_col:
-        counts = df.where(F.col(value_col).isNotNull()).select(
-            *group_cols, value_col, F.col(weight_col).cast("long").alias("_n"))
-    else:
-        counts = value_counts(df, group_cols, value_col)
-    aggs = [F.percentile(F.col(value_col), F.lit(p), F.col("_n")).alias(name) for name, p in probs.items()]
-    return counts.groupBy(*group_cols).agg(*aggs)
+    counts = value_counts(df, group_cols, value_col, weight_col)
+    upto = running_sum(counts, group_cols, [F.col(value_col).asc()], "_n", "_upto")
+    whole = upto.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group_cols]).agg(F.max("_upto").alias("_all"))
+    same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group_cols]
+    ranked = upto.join(whole, _all_of(same)).select(*group_cols, value_col, "_upto", "_all")
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("_upto") > rank, F.col(value_col)))
+
+    pos = {name: F.lit(float(p)) * (F.col("_all") - 1) for name, p in probs.items()}
+    edges = ranked.groupBy(*group_cols, "_all").agg(
+        *[at(F.floor(x)).alias(f"_lo_{n}") for n, x in pos.items()], *[at(F.ceil(x)).alias(f"_hi_{n}") for n, x in pos.items()])
+    cols = []
+    for name, x in pos.items():
+        lo, hi = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
+        mixed = (F.ceil(x) - x) * lo + (x - F.floor(x)) * hi
+        cols.append(F.when(F.ceil(x) == F.floor(x), lo).otherwise(mixed).alias(name))
+    return edges.select(*group_cols, *cols)
+
+
+def _all_of(conditions: list[Column]) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out

@@ -4,11 +4,9 @@ Checks are data (``Check``); ``run_checks`` evaluates all of a table's
 not-null, expression, accepted-value and relationship checks in **one scan**
 (one aggregation with a conditional count per check; relationships are left
 joins to the distinct parent keys, which Spark broadcasts when the parent is
-small), and each ``unique`` check exactly in two phases (a grouped count of a
-64-bit hash with map-side combine, then an exact recount of the rows whose
-hash repeats — see ``duplicated_values``).  The result is a small report
-DataFrame ``(table, column, test, failing_rows)``; ``assert_quality`` is the
-gate that stops a layer build when a check fails (K8).
+small), and each ``unique`` check as one grouped count with map-side combine.
+The result is a small report DataFrame ``(table, column, test, failing_rows)``;
+``assert_quality`` is the gate that stops a layer build when a check fails (K8).
 
 Semantics follow the reference's test package: ``not_null`` counts nulls;
 ``unique`` counts distinct non-null values occurring more than once;
@@ -136,15 +134,13 @@ def all_checks() -> list[Check]:
 
 
 def run_table_checks(tables: dict[str, DataFrame], checks: list[Check],
-                     parents: dict[str, DataFrame] | None = None,
-                     small: frozenset[str] | set[str] = frozenset()) -> DataFrame | None:
-    """``run_checks`` for checks spread over several tables, one report.
-    Tables named in ``small`` (dimensions, lookups) use a one-step unique check."""
+                     parents: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """``run_checks`` for checks spread over several tables, one report."""
     reports = []
     for name, df in tables.items():
         mine = [c for c in checks if c.table == name]
         if mine:
-            reports.append(run_checks(df, mine, parents, two_phase_unique=name not in small))
+            reports.append(run_checks(df, mine, parents))
     return reduce(DataFrame.unionByName, reports) if reports else None
 
 
@@ -164,8 +160,7 @@ def _failing(check: Check, parent_marker: str | None = None) -> Column:
     return F.count(F.when(bad, 1))
 
 
-def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame] | None = None,
-               two_phase_unique: bool = True) -> DataFrame:
+def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """Evaluate ``checks`` against ``df``; ``parents`` maps dimension names to tables."""
     parents = parents or {}
     scan_checks = [c for c in checks if c.test != "unique"]
@@ -186,7 +181,7 @@ def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]
         )
         pieces.append(wide.selectExpr(f"stack({len(scan_checks)}, {stack}) AS (`table`, `column`, test, failing_rows)"))
     for chk in (c for c in checks if c.test == "unique"):
-        dup = duplicated_values(df, chk.column, two_phase_unique).agg(F.count(F.lit(1)).alias("failing_rows"))
+        dup = duplicated_values(df, chk.column).agg(F.count(F.lit(1)).alias("failing_rows"))
         pieces.append(
             dup.select(F.lit(chk.table).alias("table"), F.lit(chk.column).alias("column"),
                        F.lit(chk.name).alias("test"), "failing_rows")
@@ -195,27 +190,10 @@ def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]
     return report.select(*[F.col(c) for c in REPORT_COLUMNS[:3]], F.col("failing_rows").cast("long"))
 
 
-def duplicated_values(df: DataFrame, column: str, two_phase: bool = True) -> DataFrame:
-    """Non-null values of ``column`` that occur more than once (exact).
-
-    Phase 1 shuffles only a 64-bit hash per row (map-side combined) to find
-    hashes seen twice; phase 2 re-checks exactly the rows with those hashes.
-    Equal values always share a hash, so nothing is missed; hash collisions
-    between different values are removed by the exact phase.  For wide keys
-    (32-character trip ids) this moves a fraction of the bytes of a plain
-    ``groupBy(column)``.
-    """
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_v"))
-    if not two_phase:  # small tables: one grouped count
-        return (values.groupBy("_v").count().where(F.col("count") > 1)
-                .select(F.col("_v").alias(column), F.col("count").alias("occurrences")))
-    hashed = values.withColumn("_h", F.xxhash64("_v"))
-    suspects = hashed.groupBy("_h").count().where(F.col("count") > 1).select("_h")
-    candidates = hashed.join(suspects, "_h", "left_semi")
-    return (
-        candidates.groupBy("_v").count().where(F.col("count") > 1)
-        .select(F.col("_v").alias(column), F.col("count").alias("occurrences"))
-    )
+def duplicated_values(df: DataFrame, column: str) -> DataFrame:
+    """Non-null values of ``column`` that occur more than once: one shuffle."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("occurrences"))
+    return counts.where(F.col("occurrences") > 1)
 
 
 def _lit(s: str) -> str:

@@ -4,7 +4,7 @@ Steps (reference semantics, Spark-first execution):
 
 * C7/D1/I1 — align the two services' columns, drop rows without timestamps,
   ``unionByName``.
-* E1 — left join of the (size-checked, broadcast) zone lookup on pickup id.
+* E1 — left join of the zone lookup on pickup id (broadcast by its size, chosen at run time).
 * G1/C16 — duplicate ordinal and trip key (see :mod:`.numbering`).
 * E2 — left join of the zone lookup on dropoff id.
 * C8-C15, C17-C18 — times, duration, speed, casts, labels, flags.
@@ -17,13 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions import labels
-from ..functions.keys import trip_key
+from ..functions.keys import key_texts, trip_key
 from ..functions.timecols import convert_zone, duration_seconds, ns_to_wallclock
-from .joins import bounded_broadcast
 from .numbering import number_within_key
 
 UNION_COLUMNS = [
@@ -61,40 +59,16 @@ SILVER_COLUMNS = [
 
 
 # --- C7 / D1 / I1 -------------------------------------------------------------
-POSITION = "_pos"
-
-
-def with_position(scan: DataFrame) -> DataFrame | None:
-    """Add ``_pos``, a stable hash of each row's file and row index.
-
-    Only a DataFrame that is directly a file scan has ``_metadata``; for
-    anything else this returns None and callers fall back to content hashes.
-    """
-    try:
-        out = scan.withColumn(
-            POSITION, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        )
-        out.schema  # resolve now (analysis is lazy in some session types)
-        return out
-    except AnalysisException:
-        return None
-
-
-def _aligned(bronze: DataFrame, prefix: str, extra: list[str] | None = None) -> DataFrame:
+def _aligned(bronze: DataFrame, prefix: str) -> DataFrame:
     pick, drop = f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"
     renamed = bronze.where(F.col(pick).isNotNull() & F.col(drop).isNotNull()).withColumnsRenamed(
         {pick: "pickup_datetime", drop: "dropoff_datetime", "ratecode_id": "rate_code_id"}
     )
-    return renamed.select(*UNION_COLUMNS, *(extra or []))
+    return renamed.select(*UNION_COLUMNS)
 
 
-def trips_union(bronze_yellow: DataFrame, bronze_green: DataFrame, with_positions: bool = False) -> DataFrame:
-    """C7/D1/I1.  With ``with_positions`` and file-scan inputs, rows also carry
-    ``_pos`` (used by the duplicate ordinal for its single-shuffle plan)."""
-    if with_positions:
-        y, g = with_position(bronze_yellow), with_position(bronze_green)
-        if y is not None and g is not None:
-            return _aligned(g, "lpep", [POSITION]).unionByName(_aligned(y, "tpep", [POSITION]))
+def trips_union(bronze_yellow: DataFrame, bronze_green: DataFrame) -> DataFrame:
+    """Rows of both services with both timestamps, 24 aligned columns."""
     return _aligned(bronze_green, "lpep").unionByName(_aligned(bronze_yellow, "tpep"))
 
 
@@ -131,13 +105,11 @@ def label_columns() -> dict[str, Column]:
 
 # --- E1 / E2 ------------------------------------------------------------------
 def _zone_side(zones: DataFrame, prefix: str) -> DataFrame:
-    return bounded_broadcast(
-        zones.select(
-            F.col("LOCATIONID").alias(f"_{prefix}_locid"),
-            F.col("BOROUGH").alias(f"{prefix}_borough"),
-            F.col("ZONE").alias(f"{prefix}_zone"),
-            F.col("SERVICE_ZONE").alias(f"{prefix}_service_zone"),
-        )
+    return zones.select(
+        F.col("LOCATIONID").alias(f"_{prefix}_locid"),
+        F.col("BOROUGH").alias(f"{prefix}_borough"),
+        F.col("ZONE").alias(f"{prefix}_zone"),
+        F.col("SERVICE_ZONE").alias(f"{prefix}_service_zone"),
     )
 
 
@@ -153,12 +125,16 @@ def with_dropoff_zone(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 # --- G1 / C16 -----------------------------------------------------------------
 def with_trip_id(trips: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Duplicate ordinal over the natural key, then the MD5 trip key."""
-    spread = POSITION if POSITION in trips.columns else None
-    numbered = number_within_key(trips, NATURAL_KEY, ordinal_col="trip_ordinal", cfg=cfg, spread_col=spread)
+    """Duplicate ordinal over the text of the natural key, then the MD5 trip key.
+
+    Rows of one text are numbered by the remaining columns, then by the raw
+    values of the natural key (which differ in noise only).
+    """
     types = {f.name: f.dataType for f in trips.schema.fields}
-    parts = [(F.col(c), types[c]) for c in NATURAL_KEY]
-    return numbered.withColumn("trip_id", trip_key(parts, F.col("trip_ordinal")))
+    keyed = trips.withColumn("_texts", key_texts([(F.col(c), types[c]) for c in NATURAL_KEY]))
+    rest = [c for c in trips.columns if c not in NATURAL_KEY]
+    numbered = number_within_key(keyed, ["_texts"], [*rest, *NATURAL_KEY], ordinal_col="trip_ordinal")
+    return numbered.withColumn("trip_id", trip_key(F.col("_texts"), F.col("trip_ordinal"))).drop("_texts")
 
 
 # --- standardisation ------------------------------------------------------------
@@ -173,20 +149,20 @@ def standardized(union: DataFrame, zones: DataFrame, cfg: PipelineConfig = DEFAU
     if keyed:
         rows = with_trip_id(zoned, cfg)
     else:
-        rows = zoned.drop(POSITION).withColumn("trip_id", F.lit(None).cast("string"))
+        rows = zoned.withColumn("trip_id", F.lit(None).cast("string"))
     enriched = with_dropoff_zone(rows, zones)
     cols = {
         **time_columns(cfg),
         **metric_columns(),
         **label_columns(),
-        "pickup_location_id": F.col("pulocation_id").try_cast(T.IntegerType()),
-        "dropoff_location_id": F.col("dolocation_id").try_cast(T.IntegerType()),
+        "pickup_location_id": F.col("pulocation_id").cast(T.LongType()),
+        "dropoff_location_id": F.col("dolocation_id").cast(T.LongType()),
     }
     out = enriched.withColumns(cols).withColumns(
         {
-            "vendor_id": F.col("vendor_id").try_cast(T.IntegerType()),
-            "passenger_count": F.col("passenger_count").try_cast(T.IntegerType()),
-            "rate_code_id": F.col("rate_code_id").try_cast(T.IntegerType()),
+            "vendor_id": F.col("vendor_id").cast(T.LongType()),
+            "passenger_count": F.col("passenger_count").cast(T.LongType()),
+            "rate_code_id": F.col("rate_code_id").cast(T.LongType()),
             "trip_distance": F.col("trip_distance").cast("double"),
             **{
                 c: F.col(c).cast("double")
@@ -243,12 +219,6 @@ def silver_from_union(union: DataFrame, zones: DataFrame, cfg: PipelineConfig =
     return standardized(union, zones, cfg).where(passes(quality_rules(cfg)))
 
 
-def silver_trips(
-    bronze_yellow: DataFrame, bronze_green: DataFrame, zones: DataFrame, cfg: PipelineConfig = DEFAULT
-) -> DataFrame:
-    return silver_from_union(trips_union(bronze_yellow, bronze_green), zones, cfg)
-
-
 def reject_report(standard: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Rows failing each rule (null counts as a failure), one pass."""
     rules = quality_rules(cfg)
