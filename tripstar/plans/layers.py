@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, PipelineConfig
@@ -75,9 +76,7 @@ class Lakehouse:
 
     @cached_property
     def standardized(self) -> DataFrame:
-        # Positioned union when bronze are file scans: one shuffle for the ordinal.
-        union = silver.trips_union(self.bronze_yellow, self.bronze_green, with_positions=True)
-        return silver.standardized(union, self.bronze_zones, self.cfg)
+        return silver.standardized(self.union, self.bronze_zones, self.cfg)
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -159,7 +158,9 @@ def build_bronze(lake: Lakehouse, tables: Tables) -> None:
     service, so each bronze table reads only its own partition."""
     by, bg = lake.bronze_yellow, lake.bronze_green
     if lake.raw_combined is not None:
-        lake.raw_combined.write.mode("overwrite").partitionBy("SERVICE").parquet(tables.path("raw_trips"))
+        # a full refresh: a service without rows today must not keep yesterday's
+        (lake.raw_combined.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("SERVICE").parquet(tables.path("raw_trips")))
         raw = tables.read("raw_trips")
         by = bronze.bronze_yellow(fixture.raw_from_rows(raw, "yellow"))
         bg = bronze.bronze_green(fixture.raw_from_rows(raw, "green"))
@@ -168,35 +169,45 @@ def build_bronze(lake: Lakehouse, tables: Tables) -> None:
     _write(lake.bronze_zones, tables.path("bronze_zones"))
 
 
+def _gate(tables: Tables, layer: str, report: DataFrame, on_fail: str) -> DataFrame:
+    """Write a layer's test report as a table, then let it stop the build."""
+    path = f"{tables.path('test_reports')}/layer={layer}"
+    _write(report, path)
+    written = tables.spark.read.parquet(path)
+    quality.assert_quality(written, on_fail)
+    return written
+
+
 def build_silver(tables: Tables, on_fail: str = "raise") -> DataFrame:
-    """Silver from the bronze tables; returns the evaluated silver data-test report."""
+    """Silver from the bronze tables; returns the evaluated data-test report."""
     # The zone lookup is checked first: duplicated ids would multiply trips.
-    zones = quality.run_checks(tables.bronze_zones, quality.zone_checks()).cache()
-    quality.assert_quality(zones, on_fail)
+    zones = _gate(tables, "zones", quality.run_checks(tables.bronze_zones, quality.zone_checks()), on_fail)
     lk = tables.lakehouse()
     _write(lk.silver, tables.path("silver"))
-    report = quality.run_checks(tables.silver, quality.silver_checks()).unionByName(zones).cache()
-    quality.assert_quality(report, on_fail)
-    return report
+    report = quality.run_checks(tables.silver, quality.silver_checks())
+    return _gate(tables, "silver", report, on_fail).unionByName(zones)
 
 
 def build_gold(tables: Tables, on_fail: str = "raise") -> DataFrame:
-    """Dimensions, then the clustered fact (it needs them); returns the fact's report."""
+    """Dimensions and their tests, then the clustered fact and its tests."""
     s = tables.silver
-    for name, dim in gold.build_dimensions(s).as_dict().items():
-        # Dimensions are small: one sorted file each.
-        _write(dim.coalesce(1).sortWithinPartitions(dim.columns[0]), tables.path(name))
+
+    def pin(df: DataFrame, name: str) -> DataFrame:
+        _write(df, tables.path(name))
+        return tables.read(name)
+
+    for name, dim in gold.build_dimensions(s, pin).as_dict().items():
+        # one sorted file each; the shuffle in between keeps the work above spread
+        _write(dim.repartition(1).sortWithinPartitions(dim.columns[0]), tables.path(name))
     dims = tables.dims
+    # a doubled member would multiply facts, so dimensions are tested first
+    checked = _gate(tables, "dimensions", quality.run_table_checks(dims.as_dict(), quality.dim_checks()), on_fail)
     fact = gold.fct_trips(s, dims, tables.cfg)
     files = layout.files_for(tables.spark, tables.path("silver"))
     layout.write_clustered(fact, tables.path("fct_trips"), tables.cfg, files=files,
                            row_group_bytes=FACT_ROW_GROUP_BYTES)
-    report = quality.run_table_checks(
-        {"fct_trips": tables.fact, **dims.as_dict()}, quality.fact_checks() + quality.dim_checks(), dims.as_dict(),
-        small=set(DIM_NAMES),
-    ).cache()
-    quality.assert_quality(report, on_fail)
-    return report
+    report = quality.run_checks(tables.fact, quality.fact_checks(), dims.as_dict())
+    return _gate(tables, "gold", report, on_fail).unionByName(checked)
 
 
 def run_pipeline(lake: Lakehouse, root: str, on_fail: str = "raise") -> Tables:
@@ -220,12 +231,12 @@ LAYER_DATABASES = {
 def register(tables: Tables, as_views: bool = False, prefix: str = "") -> list[str]:
     """Expose the layer tables by name so queries can ``spark.table(...)`` them.
 
-    Tables are external tables over the written folders (``CREATE TABLE IF NOT
-    EXISTS ... USING parquet LOCATION``); with ``as_views`` they are temporary
-    views instead (the reference's default materialisation).
+    Tables are external tables over the written folders; a name that exists is
+    pointed at these tables (B4), the data of the old ones is not touched.  With
+    ``as_views`` they are temporary views instead (the reference's default
+    materialisation).  The raw table exists only for a combined raw source; any
+    other missing table is an error.
     """
-    from pyspark.errors import AnalysisException
-
     spark, names = tables.spark, []
     for db, layer_tables in LAYER_DATABASES.items():
         db = f"{prefix}{db}"
@@ -234,12 +245,15 @@ def register(tables: Tables, as_views: bool = False, prefix: str = "") -> list[s
         for t in layer_tables:
             try:
                 df = tables.read(t)
-            except AnalysisException:  # layer not built (e.g. no combined raw table)
-                continue
+            except AnalysisException:
+                if t == "raw_trips":
+                    continue
+                raise
             if as_views:
                 df.createOrReplaceTempView(f"{db}_{t}")
                 names.append(f"{db}_{t}")
             else:
-                spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t} USING parquet LOCATION '{tables.path(t)}'")
+                spark.sql(f"DROP TABLE IF EXISTS {db}.{t}")
+                spark.sql(f"CREATE TABLE {db}.{t} USING parquet LOCATION '{tables.path(t)}'")
                 names.append(f"{db}.{t}")
     return names

@@ -15,6 +15,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ class LoadResult:
     service: str
     months_loaded: int
     dropped_columns: dict[str, list[str]]
+    unplanned_files: list[str]  # month files outside the planned range, not loaded
 
 
 def raw_table_path(raw_root: str, service: str) -> str:
@@ -46,13 +48,33 @@ def read_raw(spark: SparkSession, raw_root: str, service: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
+LOG_SCHEMA = "rows long, run_id long, loaded_at long, service_type string, year int, month int"
+
+
 def read_log(spark: SparkSession, raw_root: str) -> DataFrame:
+    """The load log; empty as long as nothing was loaded.  Other errors are raised."""
     try:
-        return spark.read.parquet(log_path(raw_root))
-    except Exception:  # no month loaded yet
-        return spark.createDataFrame(
-            [], "rows long, run_id long, loaded_at long, service_type string, year int, month int"
+        return spark.read.schema(LOG_SCHEMA).parquet(log_path(raw_root))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOG_SCHEMA)
+
+
+def write_log(spark: SparkSession, raw_root: str, service: str, months: list[tuple[int, int]], load_time_ns: int) -> None:
+    """Log rows of the given months, counted in the raw table (L2)."""
+    loaded = (
+        read_raw(spark, raw_root, service)
+        .where(_months_filter(months))
+        .groupBy("YEAR", "MONTH")
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("RUN_ID").alias("run_id"))
+        .select(
+            "rows", "run_id", F.lit(load_time_ns).alias("loaded_at"), F.lit(service).alias("service_type"),
+            F.col("YEAR").cast("int").alias("year"), F.col("MONTH").cast("int").alias("month"),
         )
+    )
+    (loaded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("service_type", "year", "month").parquet(log_path(raw_root)))
 
 
 def load_service(
@@ -68,31 +90,21 @@ def load_service(
     load_time_ns = load_time_ns or time.time_ns()
     files = list_month_files(spark, source_root, service)
     # Only planned months (first..last) are ever loaded.
-    files = [f for f in files if cfg.first_month <= _year_month(f) <= cfg.last_month]
+    unplanned = [f for f in files if not cfg.first_month <= year_month(f) <= cfg.last_month]
+    files = [f for f in files if f not in unplanned]
     if only_pending:
         pending = {
             (r["year"], r["month"])
             for r in month_plan(spark, read_log(spark, raw_root), [service], cfg).collect()
         }  # bounded: at most one row per planned month
-        files = [f for f in files if _year_month(f) in pending]
+        files = [f for f in files if year_month(f) in pending]
     if not files:
-        return LoadResult(service, 0, {})
+        return LoadResult(service, 0, {}, unplanned)
     read = read_months(spark, files, service, cfg, load_time_ns)
     (read.frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("YEAR", "MONTH").parquet(raw_table_path(raw_root, service)))
-    loaded = (
-        read_raw(spark, raw_root, service)
-        .where(_months_filter([_year_month(f) for f in files]))
-        .groupBy("YEAR", "MONTH")
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("RUN_ID").alias("run_id"))
-        .select(
-            "rows", "run_id", F.lit(load_time_ns).alias("loaded_at"), F.lit(service).alias("service_type"),
-            F.col("YEAR").cast("int").alias("year"), F.col("MONTH").cast("int").alias("month"),
-        )
-    )
-    (loaded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("service_type", "year", "month").parquet(log_path(raw_root)))
-    return LoadResult(service, len(files), read.dropped_columns)
+    write_log(spark, raw_root, service, [year_month(f) for f in files], load_time_ns)
+    return LoadResult(service, len(files), read.dropped_columns, unplanned)
 
 
 def _months_filter(months: list[tuple[int, int]]):
@@ -103,7 +115,7 @@ def _months_filter(months: list[tuple[int, int]]):
     return cond
 
 
-def _year_month(path: str) -> tuple[int, int]:
+def year_month(path: str) -> tuple[int, int]:
     stem = path.rsplit("/", 1)[-1].split("_tripdata_")[1].split(".")[0]
     y, m = stem.split("-")
     return int(y), int(m)

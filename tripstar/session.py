@@ -22,7 +22,6 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
@@ -55,14 +54,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared file
-    system).  Only when it is unset — local runs and tests — a private scratch
-    folder is created and registered.
+    system); without it this raises, since a folder of one machine would lose
+    data.  Only a local master, as in tests, gets a scratch folder.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    configured = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tripstar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
+    return context.getCheckpointDir().rstrip("/")

@@ -6,6 +6,12 @@ and the zone lookup from ``nation ⋈ region``.  The mapping is fixed so that an
 independent SQL engine can rebuild exactly the same rows; dates are shifted by
 7,305 days so that 1995 becomes 2015 and the validity window applies unchanged.
 
+The rows are dirty on purpose, in ways that follow from the keys, so that every
+rule and the duplicate handling have work to do: exact copies, variants of one
+natural key (another tip, a total that differs by noise only), null timestamps,
+trips outside the validity window, negative fares, null passengers and tips, and
+vendor codes beyond 32 bits.
+
 All joins are on keys of the small side (orders by order key, customer and
 supplier by their keys); Spark plans them from runtime sizes under AQE.
 """
@@ -45,33 +51,44 @@ def trip_rows(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = DEFAULT) -
         .join(cust, F.col("o_custkey") == cust.c_custkey)
         .join(supp, li.l_suppkey == supp.s_suppkey)
     )
+    # copy 0 is the trip itself, copy 1 an exact duplicate, copy 2 a variant
+    extra = F.when(F.col("l_orderkey") % 40 == 0, 2).when(F.col("l_orderkey") % 40 == 1, 1).otherwise(0)
+    j = j.withColumn("copy", F.explode(F.sequence(F.lit(0), extra)))
+    variant = F.col("copy") == 2
     sod = (F.col("l_orderkey") * 7919 + F.col("l_partkey") * 13) % 86400
-    start_s = F.col("o_epoch") + DATE_SHIFT_SECONDS + sod
+    file_s = F.col("o_epoch") + DATE_SHIFT_SECONDS + sod
+    # trips of these suppliers carry a wrong date: 20 years before their file's month
+    start_s = F.when(F.col("l_suppkey") % 89 == 0, file_s - DATE_SHIFT_SECONDS).otherwise(file_s)
     end_s = start_s + (F.col("l_partkey") * 31 + F.col("l_suppkey") * 17) % 5400 - 60
-    start_wall = F.timestamp_add("SECOND", start_s, epoch_ntz())
-    year, month = F.year(start_wall), F.month(start_wall)
-    linenumber_even = (F.col("l_linenumber") % 2) == 0
+    file_wall = F.timestamp_add("SECOND", file_s, epoch_ntz())
+    year, month = F.year(file_wall), F.month(file_wall)
+    odd_line = (F.col("l_linenumber") % 2) == 1
+
+    def unless(cond, value):
+        return F.when(~cond, value)
+
+    vendor = F.col("l_suppkey") % 3
     return j.select(
-        (F.col("l_suppkey") % 3).cast("long").alias("VENDORID"),
-        (start_s * 1_000_000_000).cast("long").alias("PICKUP_NS"),
-        (end_s * 1_000_000_000).cast("long").alias("DROPOFF_NS"),
-        (F.col("l_quantity").cast("long") % 7).alias("PASSENGER_COUNT"),
+        F.when(F.col("l_suppkey") % 83 == 0, vendor + 3_000_000_000).otherwise(vendor).cast("long").alias("VENDORID"),
+        unless(F.col("l_partkey") % 97 == 0, start_s * 1_000_000_000).cast("long").alias("PICKUP_NS"),
+        unless(F.col("l_partkey") % 97 == 1, end_s * 1_000_000_000).cast("long").alias("DROPOFF_NS"),
+        unless(F.col("l_partkey") % 71 == 0, F.col("l_quantity").cast("long") % 7).alias("PASSENGER_COUNT"),
         (((F.col("l_orderkey") * 31 + F.col("l_suppkey")) % 2500).cast("double") / 100).alias("TRIP_DISTANCE"),
         (F.col("l_partkey") % 8).cast("long").alias("RATECODEID"),
         F.when(F.col("l_linestatus") == "O", "N").otherwise("Y").alias("STORE_AND_FWD_FLAG"),
         (F.col("c_nationkey") + 1).cast("long").alias("PULOCATIONID"),
         (F.col("s_nationkey") + 1).cast("long").alias("DOLOCATIONID"),
         F.col("l_linenumber").cast("long").alias("PAYMENT_TYPE"),
-        F.col("l_extendedprice").alias("FARE_AMOUNT"),
+        F.when(F.col("l_orderkey") % 101 == 0, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("FARE_AMOUNT"),
         F.col("l_discount").alias("EXTRA"),
         F.col("l_tax").alias("MTA_TAX"),
-        F.col("l_quantity").alias("TIP_AMOUNT"),
+        unless(F.col("l_partkey") % 61 == 0, F.when(variant, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))).alias("TIP_AMOUNT"),
         (F.col("l_discount") * 10).alias("TOLLS_AMOUNT"),
         F.lit(None).cast("double").alias("EHAIL_FEE"),
         F.lit(0.3).alias("IMPROVEMENT_SURCHARGE"),
-        (F.col("l_extendedprice") + F.col("l_quantity")).alias("TOTAL_AMOUNT"),
+        (F.col("l_extendedprice") + F.col("l_quantity") + F.when(variant, F.lit(1e-9)).otherwise(F.lit(0.0))).alias("TOTAL_AMOUNT"),
         F.lit(1).cast("long").alias("TRIP_TYPE"),
-        F.when(linenumber_even, F.lit(None).cast("double")).otherwise(F.lit(2.5)).alias("CONGESTION_SURCHARGE"),
+        F.when(odd_line, (F.col("l_quantity").cast("long") % 5) * 0.75).alias("CONGESTION_SURCHARGE"),
         F.lit(None).cast("double").alias("AIRPORT_FEE"),
         month_index(year, month, cfg.first_month).alias("RUN_ID"),
         F.lit(LOAD_TIME_NS).cast("long").alias("VENTANA_TEMPORAL"),
@@ -82,9 +99,32 @@ def trip_rows(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = DEFAULT) -
     )
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, service: str, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Raw table of one service with the canonical upper-case schema (B1)."""
-    return raw_from_rows(trip_rows(spark, sf_dir, cfg), service)
+def write_month_files(spark: SparkSession, rows: DataFrame, root: str) -> None:
+    """The rows as the monthly files a provider would drop, types drifting by month.
+
+    In odd months counts and codes are stored as doubles, names are lower-case and
+    an extra ``cbd_congestion_fee`` appears.  One partitioned write per form; the
+    part files are then renamed (one per service and month).
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    keys = ["SERVICE", "YEAR", "MONTH"]
+    for service in ("yellow", "green"):
+        own = raw_from_rows(rows, service).drop("RUN_ID", "VENTANA_TEMPORAL", "LOTE_MES")
+        for odd in (0, 1):
+            form = own.where(F.col("MONTH") % 2 == odd).withColumn("SERVICE", F.lit(service))
+            if odd:
+                drifting = {c: F.col(c).cast("double") for c in ("PASSENGER_COUNT", "RATECODEID", "PAYMENT_TYPE")}
+                form = form.withColumns({**drifting, "cbd_congestion_fee": F.lit(0.75)})
+                form = form.toDF(*[c if c in keys else c.lower() for c in form.columns])
+            staged = f"{root}/_staged/{service}-{odd}"
+            form.repartition(*keys).write.mode("overwrite").partitionBy(*keys).parquet(staged)
+            files = jvm.org.apache.hadoop.fs.Path(f"{staged}/SERVICE=*/YEAR=*/MONTH=*/part-*")
+            fs = files.getFileSystem(conf)
+            for found in fs.globStatus(files) or []:
+                part = found.getPath()
+                month, year = part.getParent().getName(), part.getParent().getParent().getName()
+                name = f"{service}_tripdata_{int(year[5:]):04d}-{int(month[6:]):02d}.parquet"
+                fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"))
 
 
 def raw_from_rows(rows: DataFrame, service: str) -> DataFrame:

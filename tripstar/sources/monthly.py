@@ -6,8 +6,8 @@ next, ``airport_fee`` vs ``Airport_fee``, an extra ``cbd_congestion_fee``), and
 one Parquet scan over files with conflicting types fails.  So files are
 grouped by their schema, each group is read with **one** scan (all its months
 in parallel tasks), projected onto the canonical raw schema, and the groups
-are unioned by name.  Unknown columns are dropped and reported, missing ones
-become null.
+are unioned by name.  Missing columns become null.  An unknown column stops a
+yellow load, whose table is declared; a green load drops and reports it.
 
 Load metadata (C1) is derived per row, without a driver loop: year and month
 from the file name, the batch label from ``_metadata.row_index`` (batches of
@@ -22,7 +22,6 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,11 +31,13 @@ from ..functions.timecols import epoch_ntz, month_index
 from ..schemas import LOAD_METADATA, raw_schema
 
 DRIFT_COLUMNS_TO_DROP = ("cbd_congestion_fee",)
+# Services whose raw table takes no column beyond its declaration.
+STRICT_SERVICES = ("yellow",)
 FILE_NAME_PATTERN = r"^(yellow|green)_tripdata_(\d{4})-(\d{2})\.parquet$"
 
 
-def month_file_name(service: str, year: int, month: int) -> str:
-    return f"{service}_tripdata_{year:04d}-{month:02d}.parquet"
+class UnknownColumnsError(ValueError):
+    """A month file holds columns that the declared raw table does not have."""
 
 
 @dataclass
@@ -51,17 +52,15 @@ def list_month_files(spark: SparkSession, root: str, service: str) -> list[str]:
 
     Listed with the ``binaryFile`` source, selecting only the path (file
     contents are not read); at most one row per month file reaches the driver.
+    A folder that does not exist raises.
     """
-    try:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", f"{service}_tripdata_*.parquet")
-            .load(root)
-            .select("path")
-        )
-        paths = [r.path for r in listing.collect()]
-    except AnalysisException:  # the folder does not exist (yet)
-        return []
+    listing = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", f"{service}_tripdata_*.parquet")
+        .load(root)
+        .select("path")
+    )
+    paths = [r.path for r in listing.collect()]
     pattern = re.compile(FILE_NAME_PATTERN)
     return sorted(p for p in paths if pattern.match(p.rsplit("/", 1)[-1]))
 
@@ -137,9 +136,10 @@ def read_months(
     for key, group in groups.items():
         df = spark.read.schema(schemas[key]).parquet(*group)
         cols, unknown = canonical_columns(df, service)
-        if unknown:
-            for f in group:
-                dropped[f] = unknown
+        if unknown and service in STRICT_SERVICES:
+            raise UnknownColumnsError(f"{service}: unknown columns {unknown} in {group}")
+        for f in group if unknown else []:
+            dropped[f] = unknown
         frames.append(df.select(*cols, *load_metadata(cfg, load_time_ns)))
     schema = raw_schema(service)
     if not frames:

@@ -6,7 +6,8 @@ files were processed, so a re-run adds nothing and a new month adds only its
 rows.  Each micro-batch is projected onto the canonical raw schema and written
 with dynamic partition overwrite of its (year, month) partitions, so a batch
 replayed after a failure rewrites the same partitions instead of appending
-twice.  Row and batch totals are gathered with ``Observation`` while writing
+twice; the load log gets the batch's months, so the month plan no longer lists
+them.  Row and batch totals are gathered with ``Observation`` while writing
 (no second pass), like the reference's generic exporter reports them.
 
 A stream source needs one schema; months whose physical types drift should go
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, PipelineConfig
-from ..plans.loader import raw_table_path
+from ..plans.loader import raw_table_path, write_log, year_month
 from ..schemas import raw_schema
-from ..sources.monthly import canonical_columns, load_metadata
+from ..sources.monthly import STRICT_SERVICES, UnknownColumnsError, canonical_columns, load_metadata
 
 
 @dataclass
@@ -65,10 +66,16 @@ def stream_month_files(
     totals = ExportTotals()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cols, _ = canonical_columns(batch.drop("_metadata"), service)
+        cols, unknown = canonical_columns(batch.drop("_metadata"), service)
+        if unknown and service in STRICT_SERVICES:
+            raise UnknownColumnsError(f"{service}: unknown columns {unknown}")
         out = batch.select(*cols, *load_metadata(cfg, load_time_ns))
         out = out.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         export_batch(out, target, totals, batch_id)
+        # one row per month file of the batch
+        names = [r["name"] for r in batch.select(F.col("_metadata.file_name").alias("name")).distinct().collect()]
+        if names:
+            write_log(spark, raw_root, service, [year_month(n) for n in names], load_time_ns)
 
     stream = (
         spark.readStream.schema(file_schema)
