@@ -7,16 +7,17 @@ Measured:
 * layer builds (bronze, silver + tests, gold + tests) from the trips fixture;
 * the six filter shapes of the reference's clustering study on the fact
   table, clustered (pickup_date_sk, pickup_zone_sk, service_type_sk) vs. an
-  unclustered copy: seconds, and in ``row_groups_touched`` the Parquet row
-  groups (and their compressed bytes) each scan cannot skip, as
-  [touched, total, bytes touched, bytes total];
+  unclustered copy: seconds, and in ``rows_scanned`` what the Parquet scan
+  really returned after skipping row groups, from the scan's own metrics, as
+  [clustered, unclustered, all rows].  The two copies use small row groups, so
+  that hundreds of them exist at this size;
 * the eight business queries plus peak hours on the clustered tables;
 * a skew scenario derived from the data (a third of the rows copies of one
-  trip, plus many variants of one natural key): the skew-safe duplicate
+  trip, plus many variants of one natural key): the range-cut duplicate
   ordinal vs a plain ``row_number`` window (not part of ``value``).
 
-``value`` is the sum of the query times (filters on the clustered fact plus
-business queries), each the best of three warm runs.
+``value`` is the sum of the three layer builds and of the query times (filters on
+the clustered fact plus business queries; each the best of three warm runs).
 """
 
 from __future__ import annotations
@@ -50,29 +51,19 @@ def best_of(fn, runs: int = 3) -> float:
     return min(timed(fn)[1] for _ in range(runs))
 
 
-def row_groups_read(spark, path: str, cond) -> tuple[int, int, int, int]:
-    """Row groups whose min/max admit ``cond``, all row groups, and their
-    compressed bytes (touched, total), from the Parquet footers."""
-    import pyarrow.parquet as pq
-
-    local = path.removeprefix("file:")
-    if not os.path.isdir(local):
-        return -1, -1, -1, -1
-    files = [os.path.join(local, f) for f in os.listdir(local) if f.endswith(".parquet")]
-    total = hit = bytes_total = bytes_hit = 0
-    for f in files:
-        md = pq.ParquetFile(f).metadata
-        names = [md.schema.column(i).name for i in range(md.num_columns)]
-        for g in range(md.num_row_groups):
-            total += 1
-            rg = md.row_group(g)
-            size = sum(rg.column(i).total_compressed_size for i in range(md.num_columns))
-            bytes_total += size
-            stats = {names[i]: rg.column(i).statistics for i in range(md.num_columns)}
-            if cond(stats):
-                hit += 1
-                bytes_hit += size
-    return hit, total, bytes_hit, bytes_total
+# Row groups of the fact copies: some 150 in the whole fact at sf0.1.
+ROW_GROUP_BYTES = 256 * 1024
+
+
+def rows_scanned(spark, df) -> int:
+    """Rows that the file scan of ``df`` returned, by the scan's metric."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan hides its leaves
+    try:
+        plan = df._jdf.queryExecution().executedPlan()
+        df._jdf.collect()
+        return int(plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def main() -> None:
@@ -92,16 +83,15 @@ def main() -> None:
     _, q["build_silver"] = timed(lambda: layers.build_silver(tables, on_fail="warn"))
     _, q["build_gold"] = timed(lambda: layers.build_gold(tables, on_fail="warn"))
 
-    # Unclustered copy of the same fact rows, and a copy clustered by dropoff date.
-    unclustered = f"{scratch}/fct_unclustered"
-    # Scattered order from a hash of the trip id (deterministic under task retry).
+    # Copies of the fact: clustered, clustered by dropoff date, and scattered by
+    # a hash of the trip id (deterministic under task retry).
+    clustered, by_dropoff, unclustered = (f"{scratch}/fct_{n}" for n in ("clustered", "by_dropoff", "unclustered"))
+    layout.write_clustered(tables.fact, clustered, files=CPUS, row_group_bytes=ROW_GROUP_BYTES)
+    layout.write_clustered(tables.fact, by_dropoff, files=CPUS, keys=["dropoff_date_sk"], row_group_bytes=ROW_GROUP_BYTES)
     tables.fact.orderBy(F.xxhash64("trip_id")).write.mode("overwrite").option(
-        "parquet.block.size", str(layers.FACT_ROW_GROUP_BYTES)).parquet(unclustered)
-    by_dropoff = f"{scratch}/fct_by_dropoff"
-    layout.write_clustered(tables.fact, by_dropoff, files=CPUS, keys=["dropoff_date_sk"],
-                           row_group_bytes=layers.FACT_ROW_GROUP_BYTES)
+        "parquet.block.size", str(ROW_GROUP_BYTES)).parquet(unclustered)
 
-    fact_c = tables.fact
+    fact_c = spark.read.parquet(clustered)
     fact_u = spark.read.parquet(unclustered)
     fact_d = spark.read.parquet(by_dropoff)
 
@@ -122,40 +112,15 @@ def main() -> None:
         & (F.col("service_type_sk") == svc),
     }
     agg = [F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("revenue")]
+    fact_rows = fact_c.count()
     pruning = {}
     for name, cond in shapes.items():
         clustered_df = fact_d if name == "f5_dropoff_date" else fact_c
         q[f"{name}_clustered"] = best_of(lambda: clustered_df.where(cond).agg(*agg).collect())
         q[f"{name}_unclustered"] = best_of(lambda: fact_u.where(cond).agg(*agg).collect())
+        pruning[name] = [*(rows_scanned(spark, f.where(cond).agg(*agg)) for f in (clustered_df, fact_u)), fact_rows]
 
-    def admits(ranges):
-        """Row-group predicate: every (column, lo, hi) range overlaps the min/max."""
-        def ok(stats):
-            for col, lo, hi in ranges:
-                st = stats.get(col)
-                if st is not None and st.has_min_max and (st.max < lo or st.min > hi):
-                    return False
-            return True
-        return ok
-
-    ranges = {
-        "f1_pickup_date": [("pickup_date_sk", day, day)],
-        "f2_pickup_zone": [("pickup_zone_sk", zone, zone)],
-        "f3_date_zone": [("pickup_date_sk", day, day), ("pickup_zone_sk", zone, zone)],
-        "f4_month_zone": [("pickup_date_sk", month_lo, month_hi), ("pickup_zone_sk", zone, zone)],
-        "f5_dropoff_date": [("dropoff_date_sk", drop_day, drop_day)],
-        "f6_date_zone_service": [("pickup_date_sk", day, day), ("pickup_zone_sk", zone, zone),
-                                 ("service_type_sk", svc, svc)],
-    }
-    for name, r in ranges.items():
-        clustered_path = by_dropoff if name == "f5_dropoff_date" else tables.path("fct_trips")
-        pruning[name] = {
-            "clustered": row_groups_read(spark, clustered_path, admits(r)),
-            "unclustered": row_groups_read(spark, unclustered, admits(r)),
-        }
-    pruning["f5_dropoff_date"]["clustered_by_pickup"] = row_groups_read(
-        spark, tables.path("fct_trips"), admits(ranges["f5_dropoff_date"]))
-
+    fact_c = tables.fact
     d = tables.dims
     business = {
         "top_zones_pickup": lambda: analytics.top_zones(fact_c, d.zone_pickup, d.date_pickup, "pickup"),
@@ -172,13 +137,12 @@ def main() -> None:
         q[name] = best_of(lambda: build().collect())
 
     # Skew scenario derived from the data: a third of all rows become copies
-    # of one trip, and one natural key gets many distinct variants.  The
-    # skew-safe ordinal (thresholds scaled to this input) vs a plain window.
+    # of one trip, and one natural key gets many distinct variants.
     from pyspark.sql import Window
 
-    from tripstar.config import PipelineConfig
     from tripstar.operators import silver as silver_ops
     from tripstar.operators.numbering import number_within_key
+    from tripstar.operators.ranges import RANGE, pinned_ranges
 
     union = tables.lakehouse().union
     n = union.count()
@@ -191,45 +155,43 @@ def main() -> None:
     skewed = union.unionByName(copies).unionByName(variants.select(*union.columns))
     skewed.write.mode("overwrite").parquet(f"{scratch}/skewed")
     skewed = spark.read.parquet(f"{scratch}/skewed")
-    positioned = silver_ops.with_position(skewed)
     key = silver_ops.NATURAL_KEY
-    cfg = PipelineConfig(hot_key_rows=max(n // 40, 1000), hot_key_sample=100, copy_chunk=max(n // 40, 1000))
-    safe = number_within_key(positioned, key, ordinal_col="o", cfg=cfg, spread_col=silver_ops.POSITION)
     rest = [c for c in skewed.columns if c not in key]
     naive = skewed.withColumn("o", F.row_number().over(
         Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last() for c in rest])))
-    q["skew_numbering_safe"] = best_of(lambda: safe.agg(F.max("o"), F.count(F.lit(1))).collect(), runs=1)
-    q["skew_numbering_plain_window"] = best_of(lambda: naive.agg(F.max("o"), F.count(F.lit(1))).collect(), runs=1)
-    hot_max = safe.agg(F.max("o")).first()[0]
-    assert hot_max == n // 2 + n // 10 + 1, (hot_max, n)
-    # Largest share of rows in one task of each plan's big shuffle
+
+    def ordinals():  # the range write is part of the work, so it is built anew in each run
+        return number_within_key(skewed, key, ordinal_col="o").agg(F.max("o"), F.count(F.lit(1))).collect()[0]
+
+    q["skew_numbering_safe"] = best_of(ordinals, runs=2)
+    q["skew_numbering_plain_window"] = best_of(lambda: naive.agg(F.max("o"), F.count(F.lit(1))).collect(), runs=2)
+    assert ordinals()[0] == naive.agg(F.max("o")).first()[0] > n // 2
+    # Largest share of the rows in one task: of a range, and of a hash partition
     # (Spark's hash partitioning is pmod(hash(keys), n)).
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def max_share(df, *cols):
-        c = df.groupBy(F.pmod(F.hash(*cols), F.lit(parts)).alias("_p")).count()
-        r = c.agg(F.max("count").alias("m"), F.sum("count").alias("t")).first()
+    def max_share(df, part):
+        sizes = df.groupBy(part.alias("_p")).count()
+        r = sizes.agg(F.max("count").alias("m"), F.sum("count").alias("t")).first()
         return round(r["m"] / r["t"], 4)
 
-    from tripstar.operators.numbering import salted_rows
-
+    tied = skewed.withColumn("_tie", F.monotonically_increasing_id())
     skew_share = {
         "partitions": parts,
-        "skew_safe": max_share(salted_rows(positioned, key, silver_ops.POSITION, cfg), "_kh", "_bucket"),
-        "plain_window": max_share(skewed, *key),
+        "skew_safe": max_share(pinned_ranges(tied, [*[F.col(c) for c in [*key, *rest]], F.col("_tie")]), F.col(RANGE)),
+        "plain_window": max_share(skewed, F.pmod(F.hash(*key), F.lit(parts))),
     }
 
-    headline = [k for k in q if k.endswith("_clustered") or k in business]
+    headline = [k for k in q if k.endswith("_clustered") or k in business or k.startswith("build_")]
     total = sum(q[k] for k in headline)
-    fact_rows = fact_c.count()
     print(json.dumps({
-        "metric": "query_seconds_total",
+        "metric": "build_and_query_seconds_total",
         "value": round(total, 4),
         "unit": "sec",
         "queries": {k: round(v, 4) for k, v in q.items()},
         "sf": os.path.basename(SF_DIR).replace("sf", ""),
         "fact_rows": fact_rows,
-        "row_groups_touched": pruning,
+        "rows_scanned": pruning,
         "skew_max_task_share": skew_share,
         "cpus": CPUS,
     }))

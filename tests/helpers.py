@@ -6,6 +6,9 @@ import calendar
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripstar.operators import gold
 
 UNION_SCHEMA = (
     "vendor_id long, pickup_datetime long, dropoff_datetime long, passenger_count long, "
@@ -45,3 +48,26 @@ def union_df(spark: SparkSession, rows: list[dict]) -> DataFrame:
 def zones_df(spark: SparkSession, rows=None) -> DataFrame:
     rows = rows or [(1, "Manhattan", "Zone A", "Yellow Zone"), (2, "Queens", "Zone B", "Boro Zone")]
     return spark.createDataFrame(rows, "LOCATIONID int, BOROUGH string, ZONE string, SERVICE_ZONE string")
+
+
+def fct_trips_joined_time_keys(silver: DataFrame, dims) -> DataFrame:
+    """Literal form of E3/E4 (date and time keys by join) — used to test the shortcut."""
+    f = gold.fct_trips(silver, dims).drop("pickup_date_sk", "dropoff_date_sk", "pickup_time_sk", "dropoff_time_sk")
+    s = silver.select(
+        "trip_id",
+        F.to_date("pickup_datetime_nyc").alias("pickup_date"),
+        F.to_date("dropoff_datetime_nyc").alias("dropoff_date"),
+        F.hour("pickup_datetime_nyc").alias("p_h"), F.minute("pickup_datetime_nyc").alias("p_m"),
+        F.second("pickup_datetime_nyc").alias("p_s"),
+        F.hour("dropoff_datetime_nyc").alias("d_h"), F.minute("dropoff_datetime_nyc").alias("d_m"),
+        F.second("dropoff_datetime_nyc").alias("d_s"),
+    )
+    s = s.join(dims.date_pickup.select("pickup_date_sk", "pickup_date"), "pickup_date", "left")
+    s = s.join(dims.date_dropoff.select("dropoff_date_sk", "dropoff_date"), "dropoff_date", "left")
+    tp = dims.time_pickup.select("pickup_time_sk", F.col("hour").alias("p_h"), F.col("minute").alias("p_m"),
+                                 F.col("second").alias("p_s"))
+    td = dims.time_dropoff.select("dropoff_time_sk", F.col("hour").alias("d_h"), F.col("minute").alias("d_m"),
+                                  F.col("second").alias("d_s"))
+    s = s.join(tp, ["p_h", "p_m", "p_s"], "left").join(td, ["d_h", "d_m", "d_s"], "left")
+    s = s.select("trip_id", "pickup_date_sk", "dropoff_date_sk", "pickup_time_sk", "dropoff_time_sk")
+    return f.join(s, "trip_id", "left").select(*gold.FACT_COLUMNS)

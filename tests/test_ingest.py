@@ -4,17 +4,18 @@ from datetime import datetime, timedelta
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from tripstar.config import PipelineConfig
 from tripstar.operators.loads import month_plan
 from tripstar.plans import loader
-from tripstar.sources.monthly import list_month_files, read_months
+from tripstar.sources.monthly import UnknownColumnsError, list_month_files, read_months
 
 CFG = PipelineConfig(batch_rows=2, first_month=(2015, 1), last_month=(2015, 4))
 
 
-def _month_table(month: int, n: int, drift: bool) -> pa.Table:
+def _month_table(month: int, n: int, drift: bool, unknown: bool = False) -> pa.Table:
     start = datetime(2015, month, 1, 8, 0, 0)
     pick = [start + timedelta(minutes=i) for i in range(n)]
     cols = {
@@ -36,12 +37,17 @@ def _month_table(month: int, n: int, drift: bool) -> pa.Table:
     if drift:
         cols["airport_fee"] = pa.array([0.0] * n, pa.float64())
         cols["cbd_congestion_fee"] = pa.array([0.75] * n, pa.float64())
-        cols["new_unknown_column"] = pa.array(["x"] * n)
     else:
         cols["Airport_fee"] = pa.array([0.0] * n, pa.float64())
+    if unknown:
+        cols["new_unknown_column"] = pa.array(["x"] * n)
     return pa.table(cols)
 
 
+def _green(table: pa.Table) -> pa.Table:
+    return table.rename_columns([c.replace("tpep_", "lpep_") for c in table.column_names])
+
+
 def _landing(tmp_path):
     land = tmp_path / "landing"
     land.mkdir()
@@ -65,7 +71,31 @@ def test_read_months_handles_drift_and_batches(spark, tmp_path):
     assert {r.RUN_ID for r in jan} == {1} and {r.RUN_ID for r in feb} == {2}
     assert jan[0].TPEP_PICKUP_DATETIME == int(datetime(2015, 1, 1, 8).timestamp() - datetime(1970, 1, 1).timestamp()) * 10**9
     assert all(r.AIRPORT_FEE == 0.0 for r in rows) and all(r.VENTANA_TEMPORAL == 123 for r in rows)
-    assert list(read.dropped_columns.values()) == [["new_unknown_column"]]
+    assert read.dropped_columns == {}
+
+
+def test_unknown_columns_stop_yellow_and_are_dropped_from_green(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    table = _month_table(1, 3, drift=True, unknown=True)
+    pq.write_table(table, land / "yellow_tripdata_2015-01.parquet")
+    pq.write_table(_green(table), land / "green_tripdata_2015-01.parquet")
+    raw = str(tmp_path / "raw")
+    with pytest.raises(UnknownColumnsError, match="new_unknown_column"):
+        loader.load_service(spark, str(land), raw, "yellow", CFG)
+    assert loader.read_log(spark, raw).count() == 0  # nothing was loaded
+    result = loader.load_service(spark, str(land), raw, "green", CFG)
+    assert list(result.dropped_columns.values()) == [["new_unknown_column"]]
+    assert loader.read_raw(spark, raw, "green").count() == 3
+
+
+def test_missing_folder_and_broken_log_raise(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        loader.load_service(spark, str(tmp_path / "nowhere"), str(tmp_path / "raw"), "yellow", CFG)
+    (tmp_path / "raw2" / "load_log" / "service_type=yellow").mkdir(parents=True)
+    (tmp_path / "raw2" / "load_log" / "service_type=yellow" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        loader.read_log(spark, str(tmp_path / "raw2")).collect()
 
 
 def test_reload_is_idempotent_and_plan_shrinks(spark, tmp_path):
@@ -102,9 +132,7 @@ def test_cli_load_build_query(spark, tmp_path, capsys):
 
     land = _landing(tmp_path)
     # a green month too, so both services exist
-    green = _month_table(1, 4, drift=False).rename_columns(
-        [c.replace("tpep_", "lpep_") for c in _month_table(1, 4, drift=False).column_names])
-    pq.write_table(green, land / "green_tripdata_2015-01.parquet")
+    pq.write_table(_green(_month_table(1, 4, drift=False)), land / "green_tripdata_2015-01.parquet")
     zones = tmp_path / "zones.csv"
     zones.write_text("LocationID,Borough,Zone,service_zone\n1,Manhattan,A,Yellow Zone\n2,Queens,B,Boro Zone\n")
     raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
@@ -122,4 +150,5 @@ def test_months_outside_the_plan_are_not_loaded(spark, tmp_path):
     raw = str(tmp_path / "raw")
     r = loader.load_service(spark, str(land), raw, "yellow", CFG, only_pending=False)
     assert r.months_loaded == 2
+    assert [f.rsplit("/", 1)[-1] for f in r.unplanned_files] == ["yellow_tripdata_2015-05.parquet"]
     assert sorted({row.MONTH for row in loader.read_raw(spark, raw, "yellow").collect()}) == [1, 2]

@@ -1,10 +1,12 @@
-"""The skew-safe duplicate ordinal equals a plain row_number, hot keys included."""
+"""The range-cut duplicate ordinal equals a plain row_number, whatever the key sizes."""
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tripstar.config import PipelineConfig
 from tripstar.operators.numbering import number_within_key
+from tripstar.operators.ranges import numbered, running_sum
 
 SCHEMA = "k1 string, k2 int, v string, w double"
 
@@ -27,119 +29,68 @@ def _multiset(df):
                   for r in df.collect())
 
 
-def test_matches_row_number_without_hot_keys(spark):
+def test_equals_row_number_for_any_number_of_ranges(spark):
     df = spark.createDataFrame(_rows(), SCHEMA)
-    got = number_within_key(df, ["k1", "k2"])
-    assert _multiset(got) == _multiset(_expected(df))
+    expected = _multiset(_expected(df))
+    for ranges in (1, 2, 7, 40):  # with 40 ranges the hot key spans many of them
+        assert _multiset(number_within_key(df, ["k1", "k2"], ranges=ranges)) == expected, ranges
 
 
-def test_hot_keys_are_split_and_still_numbered_1_to_n(spark):
-    df = spark.createDataFrame(_rows(), SCHEMA)
-    cfg = PipelineConfig(hot_key_rows=2, hot_key_sample=1, copy_chunk=4)
-    got = number_within_key(df, ["k1", "k2"], cfg=cfg)
-    per_key = {}
-    for r in got.collect():
-        per_key.setdefault((r.k1, r.k2), []).append(r.ordinal)
-    for key, ords in per_key.items():
-        assert sorted(ords) == list(range(1, len(ords) + 1)), key
-    assert len(per_key[("hot", 1)]) == 85
-    # same rows come out (only the order inside the hot key may differ)
-    assert sorted((r.k1 or "", r.k2, r.v) for r in got.collect()) == sorted(
-        (r[0] or "", r[1], r[2]) for r in _rows())
-
-
-def test_ordinal_is_deterministic(spark):
-    df = spark.createDataFrame(_rows(), SCHEMA)
-    cfg = PipelineConfig(hot_key_rows=2, hot_key_sample=1, copy_chunk=4)
-    a = _multiset(number_within_key(df, ["k1", "k2"], cfg=cfg))
-    b = _multiset(number_within_key(df.repartition(5), ["k1", "k2"], cfg=cfg))
-    assert a == b
+def test_a_key_that_spans_all_ranges_is_spread(spark):
+    df = spark.range(20_000).select(F.lit("one").alias("k1"), F.lit(1).alias("k2"), (F.col("id") % 5).cast("string").alias("v"))
+    out = number_within_key(df, ["k1", "k2"], ranges=16)
+    assert out.agg(F.countDistinct("ordinal"), F.min("ordinal"), F.max("ordinal")).first()[:] == (20_000, 1, 20_000)
+    by_value = {r.v: (r.lo, r.hi) for r in out.groupBy("v").agg(F.min("ordinal").alias("lo"), F.max("ordinal").alias("hi")).collect()}
+    assert by_value == {str(i): (i * 4000 + 1, (i + 1) * 4000) for i in range(5)}
 
 
-def test_position_path_matches_and_spreads_copies(spark):
+def test_mapping_survives_other_files_and_partitions(spark, tmp_path):
     df = spark.createDataFrame(_rows(), SCHEMA)
-    pos = df.withColumn("_pos", F.xxhash64(F.monotonically_increasing_id()))
-    pos = spark.createDataFrame(pos.collect(), pos.schema)  # freeze positions
-    plain = _multiset(number_within_key(pos.drop("_pos"), ["k1", "k2"]))
-    got = number_within_key(pos, ["k1", "k2"], spread_col="_pos")
-    assert "_pos" not in got.columns
-    assert _multiset(got) == plain  # no hot keys: identical numbering
-    cfg = PipelineConfig(hot_key_rows=4, hot_key_sample=1, copy_chunk=3)
-    hot = number_within_key(pos, ["k1", "k2"], spread_col="_pos", cfg=cfg)
-    per_key = {}
-    for r in hot.collect():
-        per_key.setdefault((r.k1, r.k2), []).append(r.ordinal)
-    for key, ords in per_key.items():
-        assert sorted(ords) == list(range(1, len(ords) + 1)), key
-
-
-def test_position_path_single_big_shuffle(spark):
-    df = spark.createDataFrame(_rows(), SCHEMA).withColumn("_pos", F.xxhash64("v", "w"))
-    plan = number_within_key(df, ["k1", "k2"], spread_col="_pos")._jdf.queryExecution().executedPlan().toString()
-    # one hash exchange on (key hash, bucket) for the rows; the others are small
-    assert plan.count("hashpartitioning(_kh") >= 1
-
-
-def test_distributed_surrogate_keys_are_dense_and_ordered(spark):
-    from tripstar.operators.gold import _surrogate
-
-    vals = [(i * 7 % 1000,) for i in range(1000)] + [(None,)]
-    df = spark.createDataFrame(vals, "v int").repartition(7)
-    out = _surrogate(df, "sk", [F.col("v").asc_nulls_last()]).collect()
-    by_sk = sorted((r.sk, r.v) for r in out)
-    assert [sk for sk, _ in by_sk] == list(range(1, 1002))
-    assert [v for _, v in by_sk[:-1]] == sorted(v for (v,) in vals if v is not None)
-    assert by_sk[-1][1] is None  # nulls last
-
-
-def test_hot_key_cap_keeps_numbering_exact(spark):
-    df = spark.createDataFrame(_rows(), SCHEMA)
-    cfg = PipelineConfig(hot_key_rows=1, hot_key_sample=1, copy_chunk=4, max_hot_keys=1)
-    got = number_within_key(df, ["k1", "k2"], cfg=cfg)
-    per_key = {}
-    for r in got.collect():
-        per_key.setdefault((r.k1, r.k2), []).append(r.ordinal)
-    for key, ords in per_key.items():
-        assert sorted(ords) == list(range(1, len(ords) + 1)), key
-
+    first = _multiset(number_within_key(df, ["k1", "k2"], ranges=5))
+    for n in (1, 3, 8):
+        df.repartition(n, F.rand(seed=n)).write.mode("overwrite").parquet(str(tmp_path / f"p{n}"))
+        again = spark.read.parquet(str(tmp_path / f"p{n}"))
+        assert _multiset(number_within_key(again, ["k1", "k2"], ranges=n + 1)) == first
 
-from hypothesis import HealthCheck, given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
 
 _row = st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 2),
                  st.sampled_from(["x", "y", None]), st.sampled_from([0.0, 1.5, None]))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=st.lists(_row, min_size=1, max_size=40), hot=st.booleans())
-def test_property_matches_row_number(spark, rows, hot):
+@given(rows=st.lists(_row, min_size=1, max_size=40), ranges=st.integers(1, 12))
+def test_property_equals_row_number(spark, rows, ranges):
     df = spark.createDataFrame(rows, SCHEMA)
-    cfg = PipelineConfig(hot_key_rows=2, hot_key_sample=1, copy_chunk=2) if hot else PipelineConfig()
-    got = number_within_key(df, ["k1", "k2"], cfg=cfg)
-    if hot:  # a permutation inside hot keys; ordinals still 1..n per key, rows unchanged
-        per_key = {}
-        for r in got.collect():
-            per_key.setdefault((r.k1, r.k2), []).append(r.ordinal)
-        assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per_key.values())
-        assert sorted(map(repr, [(r.k1, r.k2, r.v, r.w) for r in got.collect()])) == sorted(map(repr, rows))
-    else:
-        assert _multiset(got) == _multiset(_expected(df))
+    assert _multiset(number_within_key(df, ["k1", "k2"], ranges=ranges)) == _multiset(_expected(df))
 
 
 def test_signed_zero_keys_are_one_key(spark):
-    df = spark.createDataFrame([("a", 1, "x", 0.0), ("a", 1, "y", -0.0)], "k1 string, k2 int, v string, w double")
-    got = number_within_key(df, ["k1", "k2", "w"])
-    assert sorted(r.ordinal for r in got.collect()) == [1, 2]
-    pos = df.withColumn("_pos", F.xxhash64("v"))
-    got = number_within_key(pos, ["k1", "k2", "w"], spread_col="_pos")
-    assert sorted(r.ordinal for r in got.collect()) == [1, 2]
-
-
-def test_with_position_only_on_file_scans(spark, tmp_path):
-    from tripstar.operators.silver import POSITION, with_position
-
-    df = spark.createDataFrame([(1,), (2,)], "a int")
-    assert with_position(df) is None
-    df.write.parquet(str(tmp_path / "p"))
-    scan = with_position(spark.read.parquet(str(tmp_path / "p")))
-    assert scan is not None and scan.select(POSITION).distinct().count() == 2
+    df = spark.createDataFrame([("a", 1, "x", 0.0), ("a", 1, "y", -0.0)], SCHEMA)
+    for ranges in (1, 4):
+        got = number_within_key(df, ["k1", "k2", "w"], ranges=ranges)
+        assert sorted((r.v, r.ordinal) for r in got.collect()) == [("x", 1), ("y", 2)]
+
+
+def test_empty_input(spark):
+    assert number_within_key(spark.createDataFrame([], SCHEMA), ["k1"]).count() == 0
+
+
+def test_numbers_over_the_whole_table_are_dense_and_ordered(spark):
+    vals = [(i * 7 % 1000,) for i in range(1000)] + [(None,)]
+    df = spark.createDataFrame(vals, "v int").repartition(7)
+    out = numbered(df, [F.col("v").asc_nulls_last()], "sk").collect()
+    by_sk = sorted((r.sk, r.v) for r in out)
+    assert [sk for sk, _ in by_sk] == list(range(1, 1002))
+    assert [v for _, v in by_sk[:-1]] == sorted(v for (v,) in vals if v is not None)
+    assert by_sk[-1][1] is None  # nulls last
+
+
+def test_running_sum_over_a_group_that_spans_ranges(spark):
+    rows = [("a", i, i % 4) for i in range(300)] + [(None, i, 1) for i in range(9)] + [("", 1, 5), ("", 2, 7)]
+    df = spark.createDataFrame(rows, "g string, v int, n long")
+    got = {(r.g, r.v): r.s for r in running_sum(df, ["g"], [F.col("v")], "n", "s", ranges=11).collect()}
+    expected, total = {}, {}
+    for g, v, n in rows:
+        total[g] = total.get(g, 0) + n
+        expected[g, v] = total[g]
+    assert got == expected

@@ -65,12 +65,3 @@ def test_doubled_zone_lookup_fires_unique(spark):
     assert ok == {"not_null": 0, "unique": 0} and bad == {"not_null": 0, "unique": 2}
     with pytest.raises(DataQualityError):
         assert_quality(run_checks(doubled, zone_checks()))
-
-
-def test_one_step_and_two_phase_unique_agree(spark):
-    from tripstar.operators.quality import duplicated_values
-
-    df = spark.createDataFrame([(i % 7,) for i in range(20)] + [(100,)], "id int")
-    a = sorted(tuple(r) for r in duplicated_values(df, "id").collect())
-    b = sorted(tuple(r) for r in duplicated_values(df, "id", two_phase=False).collect())
-    assert a == b and len(a) == 7

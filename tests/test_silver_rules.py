@@ -110,14 +110,41 @@ def test_reject_report_counts_each_rule(spark):
     assert rep["pickup_datetime_utc < dropoff_datetime_utc"] == 1
 
 
-def test_time_text_ignores_session_zone_gaps(spark):
-    from tripstar.functions.timecols import time_key, time_text
+def test_time_key_ignores_session_zone_gaps(spark):
+    from tripstar.functions.timecols import time_key
 
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
         df = spark.sql("SELECT timestamp_ntz'2021-03-14 02:30:05' AS ts")  # inside LA's spring-forward gap
-        r = df.select(time_text(F.col("ts")).alias("t"), time_key(F.col("ts")).alias("k")).first()
-        assert (r.t, r.k) == ("02:30:05", 23005)
+        row = df.select(time_key(F.col("ts")).alias("k"), gold._time_rows(
+            df.select(F.hour("ts").alias("hour"), F.minute("ts").alias("minute"), F.second("ts").alias("second")), "pickup"
+        ).select("pickup_time_formatted").scalar().alias("t")).first()
+        assert (row.t, row.k) == ("02:30:05", 23005)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_amounts_that_differ_by_noise_get_distinct_ids(spark):
+    rows = [trip(total_amount=12.35), trip(total_amount=12.350000000000001), trip(total_amount=float("nan")),
+            trip(total_amount=1e40), trip(total_amount=-1e40), trip(total_amount=None), trip(total_amount=0.0), trip(total_amount=-0.0)]
+    keyed = silver.with_trip_id(silver.with_pickup_zone(union_df(spark, rows), zones_df(spark))).collect()
+    assert len({r.trip_id for r in keyed}) == len(rows)
+    assert sorted(r.trip_ordinal for r in keyed if r.total_amount is not None and 12 < r.total_amount < 13) == [1, 2]
+    assert sorted(r.trip_ordinal for r in keyed if r.total_amount == 0) == [1, 2]
+
+
+def test_codes_beyond_32_bits_are_kept(spark):
+    s = _silver(spark, [trip(vendor_id=3_000_000_000, passenger_count=2 ** 40)])
+    r = s.first()
+    assert (r.vendor_id, r.passenger_count) == (3_000_000_000, 2 ** 40)
+    f = gold.fct_trips(s, gold.build_dimensions(s)).first()
+    assert f.vendor_sk == 1 and f.passenger_count == 2 ** 40
+
+
+def test_times_before_the_epoch(spark):
+    from tripstar.functions.timecols import ns_to_wallclock
+
+    df = spark.createDataFrame([(-1,), (-1000,), (999,), (1000,)], "ns long")
+    got = [r.t for r in df.select(ns_to_wallclock(F.col("ns")).cast("string").alias("t")).collect()]
+    assert got == ["1969-12-31 23:59:59.999999", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "1970-01-01 00:00:00.000001"]

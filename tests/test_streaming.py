@@ -4,6 +4,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import types as T
 
 from test_ingest import CFG, _month_table
+from tripstar.operators.loads import month_plan
 from tripstar.plans import loader
 from tripstar.streaming.file_ingest import stream_month_files
 
@@ -23,3 +24,7 @@ def test_available_now_is_exactly_once(spark, tmp_path):
     t3 = stream_month_files(spark, str(land), raw, "yellow", schema, ckpt, CFG, load_time_ns=3)
     assert t3.rows == 4
     assert loader.read_raw(spark, raw, "yellow").count() == 9
+    log = sorted((r.year, r.month, r.rows) for r in loader.read_log(spark, raw).collect())
+    assert log == [(2015, 1, 5), (2015, 3, 4)]
+    plan = month_plan(spark, loader.read_log(spark, raw), ["yellow"], CFG)
+    assert sorted((r.year, r.month) for r in plan.collect()) == [(2015, 2), (2015, 4)]
