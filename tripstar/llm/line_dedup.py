@@ -11,7 +11,7 @@ never meet in a join.  Tokens of a class are ordered by rarity and the first
 both prefixes, and of the smaller set already the first
 ``n - ceil(2 * threshold / (1 + threshold) * n) + 1`` do.  Prefixes are joined on
 the token and filtered by length (``n1 >= threshold * n2``), by position (what is
-left behind the shared token must still reach the needed overlap) and by a 64-bit
+left behind the shared token must still reach the needed overlap) and by a 128-bit
 parity map of the sets: every token flips one bit, so differing bits are differing
 tokens, however large the sets.  The sets of the remaining pairs are read again and
 their Jaccard similarity is computed.
@@ -46,6 +46,10 @@ from tripstar.llm.common import cut_lineage, let
 
 THRESHOLD = 0.8
 RARITY_BITS = 18
+# Lists of class numbers (16 bytes each) and of pairs (some 200 bytes each) are
+# broadcast up to these many rows and shuffled beyond.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_PAIRS = 50_000
 _HASH_BITS = (1 << 56) - 1
 _OTHER_SPACE = "[\\t\\x0b\\x0c\\r]"
 
@@ -86,9 +90,13 @@ def _prefix_length(n: Column, threshold: float) -> Column:
     return (n - F.ceil(n * threshold - 1e-9) + 1).cast("int")
 
 
-def _flip(key: Column) -> Column:
-    """A long with the one bit that the token's hash names."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(63).cast("int"))
+def _parity(half: int) -> Column:
+    """64 of the 128 parity bits: tokens whose hash bit 6 is ``half`` flip the bit that six others name."""
+    def flip(k: Column) -> Column:
+        one = F.shiftright(k, 6).bitwiseAND(1) if half else F.shiftright(k, 6).bitwiseAND(1).bitwiseXOR(F.lit(1))
+        return F.call_function("shiftleft", one.cast("long"), k.bitwiseAND(63).cast("int"))
+
+    return F.aggregate("k", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(flip(k)))
 
 
 def line_classes(docs: DataFrame, rarity: bytes, threshold: float) -> DataFrame:
@@ -96,13 +104,12 @@ def line_classes(docs: DataFrame, rarity: bytes, threshold: float) -> DataFrame:
     lines = docs.select("_id", "_th", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
     keyed = lines.select("_id", "_th", "_pos", token_keys(F.col("_line"), rarity).alias("k")).where(F.size("k") > 0)
     n = F.size("k")
-    parity = F.aggregate("k", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(_flip(k)))
     prefix = F.transform(F.slice("k", F.lit(1), _prefix_length(n, threshold)), _short)
     hashes = F.transform("k", lambda k: k.bitwiseAND(_HASH_BITS))
     sketch = let(hashes, lambda h: F.array(F.array_min(h), F.array_max(h)))
     rows = keyed.select(
         F.struct("_id", "_th", "_pos").alias("place"), F.xxhash64("k").alias("k1"), F.hash("k").alias("k2"),
-        F.struct(n.alias("n"), parity.alias("bits"), prefix.alias("prefix"), sketch.alias("sketch")).alias("about"))
+        F.struct(n.alias("n"), _parity(0).alias("bits"), _parity(1).alias("more"), prefix.alias("prefix"), sketch.alias("sketch")).alias("about"))
     classes = rows.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.first("about").alias("about"))
     return classes.select("place", "about.*")
 
@@ -113,35 +120,41 @@ def _short(key: Column) -> Column:
 
 
 def _could_match(threshold: float) -> Column:
-    """Length and parity filters of a pair with n1, bits1, n2, bits2."""
+    """Length and parity filters of a pair with n, bits and more of both."""
     total = F.col("n1") + F.col("n2")
     needed = total * (threshold / (1 + threshold)) - 1e-9
     return (F.least("n1", "n2") >= F.greatest("n1", "n2") * threshold - 1e-9) & (_differing() <= total - 2 * needed)
 
 
 def _differing() -> Column:
-    return F.bit_count(F.col("bits1").bitwiseXOR(F.col("bits2")))
+    return F.bit_count(F.col("bits1").bitwiseXOR(F.col("bits2"))) + F.bit_count(F.col("more1").bitwiseXOR(F.col("more2")))
 
 
 def first_partners(classes: DataFrame, threshold: float) -> DataFrame:
     """(a, b): class a with the earliest class b of one of its sketches, almost surely a match."""
-    entries = classes.select(F.posexplode("sketch").alias("s", "mh"), "cid", F.col("place._id").alias("id"), "n", "bits")
-    pivots = entries.groupBy("s", "mh").agg(F.min(F.struct("id", "cid", "n", "bits")).alias("p"), F.count(F.lit(1)).alias("m"))
+    entries = classes.select(F.posexplode("sketch").alias("s", "mh"), "cid", F.col("place._id").alias("id"), "n", "bits", "more")
+    pivots = entries.groupBy("s", "mh").agg(F.min(F.struct("id", "cid", "n", "bits", "more")).alias("p"), F.count(F.lit(1)).alias("m"))
     met = entries.join(pivots.where("m > 1"), ["s", "mh"]).where(F.col("cid") != F.col("p.cid")).select(
-        F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("bits1"),
-        F.col("p.cid").alias("b"), F.col("p.n").alias("n2"), F.col("p.bits").alias("bits2"))
+        F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("bits1"), F.col("more").alias("more1"),
+        F.col("p.cid").alias("b"), F.col("p.n").alias("n2"), F.col("p.bits").alias("bits2"), F.col("p.more").alias("more2"))
     # differing bits well under what the threshold allows
     sure = _could_match(threshold) & (_differing() <= (F.col("n1") + F.col("n2")) * ((1 - threshold) / (1 + threshold)) * 0.6)
     best = met.where(sure).groupBy("a").agg(F.min(F.struct(_differing().alias("d"), "b")).alias("x"))
     return best.select("a", F.col("x.b").alias("b"))
 
 
-def candidate_pairs(classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b), one of them ``searching``, that pass prefix, length, position and parity."""
-    entries = classes.select("cid", "n", "bits", "searching", F.posexplode("prefix").alias("at", "tok"))
+def candidate_pairs(classes: DataFrame, threshold: float, few: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b), one of them ``searching``, that pass prefix, length, position and parity.
+
+    ``few`` (cid), a small list, keeps the entries to the tokens of these classes.
+    """
+    entries = classes.select("cid", "n", "bits", "more", "searching", F.posexplode("prefix").alias("at", "tok"))
+    if few is not None:
+        tokens = entries.join(F.broadcast(few), "cid", "left_semi").select("tok").distinct()
+        entries = entries.join(F.broadcast(tokens), "tok", "left_semi")
 
     def side(k: int) -> DataFrame:
-        return entries.select("tok", *[F.col(c).alias(f"{c}{k}") for c in ("cid", "n", "bits", "at", "searching")])
+        return entries.select("tok", *[F.col(c).alias(f"{c}{k}") for c in ("cid", "n", "bits", "more", "at", "searching")])
 
     # the first of a pair is the smaller set; its shorter prefix is enough
     short = F.col("n1") - F.ceil(F.col("n1") * (2 * threshold / (1 + threshold)) - 1e-9) + 1
@@ -150,17 +163,23 @@ def candidate_pairs(classes: DataFrame, threshold: float) -> DataFrame:
     near = side(1).join(side(2), "tok").where(
         ((F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("cid1") < F.col("cid2"))))
         & (F.col("searching1") | F.col("searching2"))
-        & (F.col("at1") < short) & (behind >= needed) & _could_match(threshold))
+        # n2 is no smaller than ``short``; naming it keeps this condition out of the
+        # left input, so that both inputs are one and the same exchange
+        & (F.col("at1") < F.least(short, F.col("n2"))) & (behind >= needed) & _could_match(threshold))
     return near.select(F.col("cid1").alias("a"), F.col("cid2").alias("b")).distinct()
 
 
 def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, rarity: bytes, threshold: float) -> DataFrame:
     """The pairs that match, as (a, b) with b standing before a."""
-    ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
+    def sized(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    small = pairs.count() <= BROADCAST_PAIRS
+    ids = sized(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct())
     places = classes.select("cid", "place").join(ids, "cid")
     wanted = places.groupBy(F.col("place._id").alias("_wid"), F.col("place._th").alias("_wth")).agg(
         F.collect_list(F.struct(F.col("place._pos").alias("pos"), "cid", "place")).alias("want"))
-    here = docs.join(wanted, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_th") == F.col("_wth")))
+    here = docs.join(sized(wanted), F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_th") == F.col("_wth")))
     lines = here.select(F.split("_text", "\n").alias("lines"), "want").select("lines", F.explode("want").alias("w"))
     sets = lines.select("w.cid", "w.place", token_keys(F.get("lines", F.col("w.pos")), rarity).alias("k"))
     # rows equal in id and text give the same set
@@ -180,8 +199,12 @@ def later_lines(spark: SparkSession, docs: DataFrame, classes: DataFrame, rarity
     def search(only: DataFrame, how: bool) -> DataFrame:
         """Candidates of the classes that are (not) in ``only``."""
         marks = only.select(F.col("a").alias("cid"), F.lit(True).alias("_in"))
+        rows = only.count()
+        if rows <= BROADCAST_ROWS:  # else the classes are shuffled to the marks
+            marks = F.broadcast(marks)
         marked = classes.join(marks, "cid", "left").withColumn("searching", F.col("_in").isNotNull() if how else F.col("_in").isNull())
-        return candidate_pairs(marked, threshold)
+        few = only.select(F.col("a").alias("cid")) if how and rows <= BROADCAST_PAIRS else None
+        return candidate_pairs(marked, threshold, few)
 
     pairs = cut_lineage(spark, search(waiting, False).unionByName(waiting).distinct())
     found = verified(spark, docs, classes, pairs, rarity, threshold)
