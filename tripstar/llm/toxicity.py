@@ -8,7 +8,7 @@ unit scores the pool.  Windows overlap by half and cover the whole text; a
 document's raw score is that of its worst window, mapped to a probability by
 Platt scaling on training documents.
 
-Training is numpy on the driver, on about ``SAMPLE`` labelled documents and at
+Training is numpy in one task, on about ``SAMPLE`` labelled documents and at
 most ``TRAIN_WINDOWS`` of their windows (parameters).  Windows inherit the
 document's label at first; from the second round on the windows of toxic
 documents that the network finds harmless are set aside (unless they are the
@@ -25,6 +25,7 @@ of toxic training documents.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -359,11 +360,18 @@ def train(texts: list[str | None], labels: np.ndarray, rounds: int = 4, batch: i
 
 
 def fit_toxicity(sample: DataFrame) -> Model:
-    """Model from the (id, text, label) rows of a bounded sample."""
-    got = sample.toPandas()
-    got["_key"] = got["_id"].astype(str)
-    got = got.sort_values(["_key", "label"], kind="stable")
-    return train(list(got["_text"]), got["label"].to_numpy(dtype=np.float64))
+    """Model from the (id, text, label) rows of a bounded sample, fitted in one task."""
+
+    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = pd.concat([pd.DataFrame({"_id": [], "_text": [], "label": []}), *frames], ignore_index=True)
+        got["_key"] = got["_id"].astype(str)
+        got = got.sort_values(["_key", "label"], kind="stable")
+        model = train(list(got["_text"]), got["label"].to_numpy(dtype=np.float64))
+        yield pd.DataFrame({"model": [pickle.dumps((model.p, model.line))]})
+
+    row = sample.repartition(1).mapInPandas(fit, "model binary").first()
+    # an empty sample may leave no task at all
+    return Model(*pickle.loads(row["model"])) if row else train([], np.empty(0))
 
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
