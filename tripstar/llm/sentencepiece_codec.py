@@ -134,6 +134,8 @@ class DoubleArrayTrie:
                     child = base + byte + 1
                     self.check[child] = state
                     todo.append((child, start, stop, depth + 1))
+        # room behind the last cell, so that a lookup of any byte stays inside
+        self._grow(max(self.base) + 258)
 
     def _grow(self, size: int) -> None:
         more = size - len(self.check)
@@ -179,38 +181,36 @@ class Codec:
     def best_path(self, data: bytes) -> tuple[int, ...]:
         """Piece ids of the best segmentation of the UTF-8 bytes of one unit."""
         base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.scores
-        n, size = len(data), len(check)
-        best = [None] * (n + 1)
-        back = [(0, 0)] * (n + 1)
+        n, nothing, unknown = len(data), float("-inf"), self.unknown_score
+        best = [nothing] * (n + 1)
+        start_of, piece_of = [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
         for i in range(n):
             so_far = best[i]
-            if so_far is None:
+            if so_far == nothing:
                 continue
             lead = data[i]
             char = i + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
-            state, covered = 0, False
-            for j in range(i, n):
-                child = base[state] + data[j] + 1
-                if child >= size or check[child] != state:
+            state, covered, end = 0, False, i
+            for byte in data[i:]:
+                child = base[state] + byte + 1
+                if check[child] != state:
                     break
                 state = child
-                piece = value[state]
+                end += 1
+                piece = value[child]
                 if piece >= 0:
-                    score = so_far + scores[piece]
-                    end = j + 1
                     if end == char:
                         covered = True
-                    if best[end] is None or score > best[end]:
-                        best[end], back[end] = score, (i, piece)
-            if not covered:
-                score = so_far + self.unknown_score
-                if best[char] is None or score > best[char]:
-                    best[char], back[char] = score, (i, -1)
+                    score = so_far + scores[piece]
+                    if score > best[end]:
+                        best[end], start_of[end], piece_of[end] = score, i, piece
+            if not covered and so_far + unknown > best[char]:
+                best[char], start_of[char], piece_of[char] = so_far + unknown, i, -1
         out: list[int] = []
         end = n
         while end:
-            start, piece = back[end]
+            start, piece = start_of[end], piece_of[end]
             if piece >= 0:
                 out.append(piece)
             else:
