@@ -81,3 +81,27 @@ def test_tiny_and_empty(spark):
     assert [tuple(r) for r in run(spark, [(4, None)])] == [(4, 0, 4, True)]
     got = sorted(tuple(r) for r in run(spark, [(2, [1.0, 0.0]), (1, [2.0, 0.0]), (3, [0.0, 1.0])]))
     assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def anisotropic(seed, n, dim):
+    """Pairs whose offset lies along the one direction in which the vectors differ most."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim)) * 0.02
+    x[:, 0] = 1
+    x[:, 1] = rng.uniform(-1.5, 1.5, size=n)
+    return x.astype(np.float32)
+
+
+def test_default_reach_is_exact_for_offsets_along_one_direction(spark):
+    rows = [(i, v.tolist()) for i, v in enumerate(anisotropic(5, 2500, 64))]
+    got = run(spark, rows)
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == brute(rows)
+
+
+def test_default_reach_is_exact_in_384_dimensions(spark):
+    rng = np.random.default_rng(6)
+    low = rng.normal(size=(1500, 6)) @ rng.normal(size=(6, 384))
+    rows = [(i, v.tolist()) for i, v in enumerate((low + 0.1 * rng.normal(size=low.shape)).astype(np.float32))]
+    got = run(spark, rows)
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == brute(rows)
+    assert sum(r["n_links"] for r in got) > 1500

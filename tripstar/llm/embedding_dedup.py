@@ -4,22 +4,23 @@ Equal vectors are one class with a count, so copies cost nothing.  Classes go
 into inverted lists by their nearest coarse centroid; the residual is coded per
 subspace.  A class is compared with every list that it probes: the home list and
 each list c with ``d(x,c)^2 - d(x,home)^2 <= 2 * reach * d(c,home)``, that is, with
-its point at most ``reach`` beyond the plane between the two centroids.  With
-``reach = eps`` (the distance that the cosine allows) that bound is exact.  The
-default is ``SPREAD * eps / sqrt(dim)``, at most eps: the offset of a neighbour
-falls on one given direction with a standard deviation of eps / sqrt(dim).
-Recall is measured against brute force in the tests.
+its point at most ``reach`` beyond the plane between the two centroids.  The
+default ``reach = eps / 2``, with eps the distance that the cosine allows, is exact:
+two linked vectors on two sides of a plane are at most eps apart, so one of them
+lies within eps / 2 of it, and a pair counts if either side probes.
 
-In a list, table lookups give the distance from x to the coded vector y'.  As
+In a list, table lookups give the distance from x to the coded vector y'; rows of
+a table hold one codeword for a strip of queries, so a lookup copies a row.  As
 ``|d(x,y) - d(x,y')| <= |y - y'|`` and that error is stored with the code, the
 filter ``d(x,y') <= eps + |y - y'|`` loses nothing.  What is left is decided by
 the exact cosine in double precision.
 
-A pair is found if either side probes the other's home list; each row carries
-its probed lists, so a pair found from one side only is counted for both.  Lists
-are dealt in blocks of members and queries, so a list with any share of the rows
-spreads over tasks.  Tasks return link counts and links to the smallest class of
-each local component, never all pairs.
+A pair is found if either side probes the other's home list; each member carries
+its probed lists, so a pair found from one side only is counted for both.  Small
+lists are bundled up to a block of members, and a query is sent once to a bundle,
+not once to each list.  Bundles are dealt in blocks of members and queries, so a
+list with any share of the rows spreads over tasks.  Tasks return link counts and
+links to the smallest class of each local component, never all pairs.
 
 Centroids and codebooks are fitted on the driver on about ``SAMPLE`` classes;
 their size is bounded by MAX_LISTS and CODEWORDS.
@@ -48,10 +49,9 @@ LIST_ROWS = 256
 MAX_LISTS = 1024
 SUBSPACES = 8
 CODEWORDS = 256
-SPREAD = 2.0
-MEMBER_BLOCK = 2048
-QUERY_BLOCK = 8192
-STRIP = 256
+MEMBER_BLOCK = 8192
+QUERY_BLOCK = 16_384
+STRIP = 512
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -70,13 +70,13 @@ class Index:
     """Coarse centroids and residual codebooks over unit vectors."""
 
     def __init__(self, sample: np.ndarray, lists: int, threshold: float, reach: float | None = None):
-        dim = sample.shape[1]
+        self.dim = dim = sample.shape[1]
         self.parts = min(SUBSPACES, dim)
         self.width = math.ceil(dim / self.parts)
         self.pad = self.parts * self.width - dim
         self.threshold = threshold
         self.eps = math.sqrt(max(0.0, 2 - 2 * threshold))
-        self.reach = min(self.eps, SPREAD * self.eps / math.sqrt(dim)) if reach is None else reach
+        self.reach = self.eps / 2 if reach is None else reach
         self.centers = kmeans(sample, lists, 10, 1)
         self.gaps = np.sqrt(np.maximum(((self.centers[:, None] - self.centers[None]) ** 2).sum(-1), 0)) if len(self.centers) <= 2048 else None
         rest = self._split(sample - self.centers[self._distances(sample).argmin(axis=1)])
@@ -106,12 +106,13 @@ class Index:
         return home, codes.astype(np.uint8), error, probed
 
     def estimate(self, queries: np.ndarray, center: int, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric squared distances (queries x coded members) in one list."""
+        """Asymmetric squared distances (coded members x queries) in one list."""
         rest = self._split(queries - self.centers[center])
-        out = np.zeros((len(queries), len(codes)), dtype=np.float32)
+        out = np.repeat((rest ** 2).sum((1, 2)).astype(np.float32)[None], len(codes), axis=0)
+        rest = rest.astype(np.float32)
         for m in range(self.parts):
-            table = (rest[:, m] ** 2).sum(1)[:, None] + self._norms[m][None] - 2 * rest[:, m] @ self.books[m].T
-            out += np.take(table.astype(np.float32), codes[:, m], axis=1)
+            table = self._norms[m].astype(np.float32)[:, None] - self.books[m].astype(np.float32) @ (2 * rest[:, m].T)
+            out += np.take(table, codes[:, m], axis=0)
         return out
 
 
@@ -119,48 +120,70 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def _packed(x: np.ndarray) -> list[bytes]:
+    """Rows as bytes: single precision where that loses nothing, else double."""
+    short = x.astype(np.float32)
+    exact = (short == x).all(axis=1)
+    return [(a if e else b).tobytes() for a, b, e in zip(short, x, exact, strict=True)]
+
+
+def _unpacked(rows: np.ndarray, dim: int) -> np.ndarray:
+    return np.stack([np.frombuffer(r, dtype=np.float32 if len(r) == 4 * dim else np.float64) for r in rows]).astype(np.float64)
+
+
 def _search_block(index: Index, frame: pd.DataFrame) -> pd.DataFrame:
-    """Counts and local links of one (list, member block, query block)."""
-    center = int(frame["list"].iloc[0])
+    """Counts and local links of one (bundle, member block, query block)."""
     member = frame["member"].to_numpy()
-    x = _unit(np.stack(frame["vec"].to_numpy()).astype(np.float64))
     cid, copies, home = frame["cid"].to_numpy(), frame["m"].to_numpy(), frame["home"].to_numpy()
     probes = frame["probes"].to_numpy()
     y, q = np.flatnonzero(member), np.flatnonzero(~member)
-    empty = pd.DataFrame({"cid": pd.Series(dtype="int64"), "links": pd.Series(dtype="int64"), "low": pd.Series(dtype="int64")})
     if not len(y) or not len(q):
-        return empty
+        return pd.DataFrame({"cid": [], "links": [], "low": []}, dtype="int64")
+    x = _unit(_unpacked(frame["vec"].to_numpy(), index.dim))
     codes = np.stack([np.frombuffer(c, dtype=np.uint8) for c in frame["code"].to_numpy()[y]])
-    limit = (index.eps + frame["err"].to_numpy()[y]) ** 2 + 1e-4
+    limit = ((index.eps + frame["err"].to_numpy()[y]) ** 2 + 1e-4).astype(np.float32)
+    span = len(index.centers)
+    asked = np.concatenate([probes[k] for k in q])
+    asking = np.repeat(q, [len(probes[k]) for k in q])[np.argsort(asked, kind="stable")]
+    asked = np.sort(asked)
+    # (member, probed list) as one sorted number
+    probed = np.sort(np.concatenate([k * span + probes[k].astype(np.int64) for k in y]))
     links = np.zeros(len(frame), dtype=np.int64)
-    out = []
-    for at in range(0, len(q), STRIP):
-        rows = q[at:at + STRIP]
-        i, j = np.nonzero(index.estimate(x[rows], center, codes) <= limit[None])
-        i, j = rows[i], y[j]
-        real = cid[i] != cid[j]
-        i, j = i[real], j[real]
-        real = np.einsum("ij,ij->i", x[i], x[j]) >= index.threshold
-        i, j = i[real], j[real]
-        if not len(i):
-            continue
-        np.add.at(links, i, copies[j])
-        for a, b in zip(i, j, strict=True):
-            if home[a] != center and home[a] not in probes[b]:
-                links[b] += copies[a]
-        label = cid.copy()
-        while True:  # smallest class of each component among the strip's pairs
-            low = np.minimum(label[i], label[j])
-            before = label.copy()
-            np.minimum.at(label, i, low)
-            np.minimum.at(label, j, low)
-            if (before == label).all():
-                break
-        moved = np.flatnonzero(label != cid)
-        out.append(pd.DataFrame({"cid": cid[moved], "links": 0, "low": label[moved]}))
+    moved, lows = [], []
+    for center in np.unique(home[y]):
+        inside = np.flatnonzero(home[y] == center)
+        rows_here = asking[np.searchsorted(asked, center, "left"):np.searchsorted(asked, center, "right")]
+        for at in range(0, len(rows_here), STRIP):
+            rows = rows_here[at:at + STRIP]
+            j, i = np.nonzero(index.estimate(x[rows], center, codes[inside]) <= limit[inside][:, None])
+            i, j = rows[i], y[inside[j]]
+            real = cid[i] != cid[j]
+            i, j = i[real], j[real]
+            real = np.einsum("ij,ij->i", x[i], x[j]) >= index.threshold
+            i, j = i[real], j[real]
+            if not len(i):
+                continue
+            np.add.at(links, i, copies[j])
+            back = j * span + home[i]
+            seen = probed[np.minimum(np.searchsorted(probed, back), len(probed) - 1)] == back
+            one_sided = (home[i] != center) & ~seen
+            np.add.at(links, j[one_sided], copies[i[one_sided]])
+            nodes, ends = np.unique(np.concatenate([cid[i], cid[j]]), return_inverse=True)
+            i, j = ends[:len(i)], ends[len(i):]
+            label = np.arange(len(nodes))
+            while True:  # smallest class of each component among the strip's pairs
+                low = np.minimum(label[i], label[j])
+                before = label.copy()
+                np.minimum.at(label, i, low)
+                np.minimum.at(label, j, low)
+                if (before == label).all():
+                    break
+            other = np.flatnonzero(label != np.arange(len(nodes)))
+            moved.append(nodes[other])
+            lows.append(nodes[label[other]])
     some = np.flatnonzero(links)
-    out.append(pd.DataFrame({"cid": cid[some], "links": links[some], "low": cid[some]}))
-    return pd.concat([empty, *out], ignore_index=True).astype("int64")
+    stars = pd.DataFrame({"cid": np.concatenate([cid[:0], *moved]), "links": 0, "low": np.concatenate([cid[:0], *lows])}).drop_duplicates()
+    return pd.concat([stars, pd.DataFrame({"cid": cid[some], "links": links[some], "low": cid[some]})], ignore_index=True).astype("int64")
 
 
 def _components_are_finite(v):
@@ -195,29 +218,41 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
         for frame in frames:
             for at in range(0, len(frame), 2048):
                 part = frame.iloc[at:at + 2048]
-                home, codes, error, probed = index.assign(_unit(np.stack(part["vec"].to_numpy()).astype(np.float64)))
+                vec = np.stack(part["vec"].to_numpy()).astype(np.float64)
+                home, codes, error, probed = index.assign(_unit(vec))
                 lists = [np.flatnonzero(p).astype(np.int32) for p in probed]
-                yield pd.DataFrame({"cid": part["cid"], "m": part["m"], "vec": part["vec"], "home": home.astype(np.int32),
+                yield pd.DataFrame({"cid": part["cid"], "m": part["m"], "vec": _packed(vec), "home": home.astype(np.int32),
                                     "code": [c.tobytes() for c in codes], "err": error, "probes": lists})
 
     assigned = searched.select("cid", "m", "vec").mapInPandas(
-        deal, "cid long, m long, vec array<double>, home int, code binary, err double, probes array<int>")
+        deal, "cid long, m long, vec binary, home int, code binary, err double, probes array<int>")
     assigned = cut_lineage(spark, assigned)
-    probing = assigned.withColumn("list", F.explode("probes"))
     # one row per list: bounded by max_lists
-    sizes = probing.groupBy("list").agg(
-        F.ceil(F.sum(F.when(F.col("home") == F.col("list"), 1).otherwise(0)) / MEMBER_BLOCK).cast("int").alias("nb"),
-        F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("nq")).where("nb > 0")
-    dealt = probing.join(F.broadcast(sizes), "list")
+    sizes = {r["home"]: r["count"] for r in assigned.groupBy("home").count().collect()}
+    bundles, blocks, fill = [], [], MEMBER_BLOCK
+    for size in (sizes.get(k, 0) for k in range(lists)):
+        if fill + size > MEMBER_BLOCK:
+            blocks.append(0)
+            fill = 0
+        fill += size
+        bundles.append(len(blocks) - 1)
+        blocks[-1] = math.ceil(fill / MEMBER_BLOCK)
+    bundle_of, blocks_of = F.lit(bundles), F.lit(blocks)
+    bundled = assigned.withColumn("bundle", F.explode(F.array_distinct(F.transform("probes", lambda p: F.get(bundle_of, p)))))
+    bundled = bundled.withColumn("nb", F.get(blocks_of, F.col("bundle"))).where("nb > 0")
+    asking = bundled.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("nq"))
+    dealt = bundled.join(F.broadcast(asking), "bundle")
     own_block, own_query = F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"), F.pmod(F.xxhash64(F.lit(3), F.col("cid")), F.col("nq")).cast("int")
     queries = dealt.withColumn("member", F.lit(False)).withColumn("q", own_query).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    members = dealt.where("home = list").withColumn("member", F.lit(True)).withColumn("b", own_block).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-    columns = ["list", "b", "q", "member", "cid", "m", "vec", "home", "code", "err", "probes"]
+    queries = queries.withColumn("probes", F.filter("probes", lambda p: F.get(bundle_of, p) == F.col("bundle")))
+    members = dealt.where(F.get(bundle_of, F.col("home")) == F.col("bundle")).withColumn("member", F.lit(True))
+    members = members.withColumn("b", own_block).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
+    columns = ["bundle", "b", "q", "member", "cid", "m", "vec", "home", "code", "err", "probes"]
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         return _search_block(received(shared), frame)
 
-    found = queries.select(*columns).unionByName(members.select(*columns)).groupBy("list", "b", "q").applyInPandas(search, "cid long, links long, low long")
+    found = queries.select(*columns).unionByName(members.select(*columns)).groupBy("bundle", "b", "q").applyInPandas(search, "cid long, links long, low long")
     found = cut_lineage(spark, found)
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
     groups = connected_components(spark, found.select(F.col("cid").alias("a"), F.col("low").alias("b")).where("a <> b"))
