@@ -105,3 +105,12 @@ def test_default_reach_is_exact_in_384_dimensions(spark):
     got = run(spark, rows)
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == brute(rows)
     assert sum(r["n_links"] for r in got) > 1500
+
+
+def test_every_dimension_is_searched(spark):
+    parts = [(0, 16, 700), (2000, 12, 400), (4000, 5, 3)]
+    rows = {dim: [(first + i, v.tolist()) for i, v in enumerate(clusters(dim, n, dim, 40, 0.15) if n > 9 else np.ones((n, dim)) + np.eye(n, dim) / 9)]
+            for first, dim, n in parts}
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in run(spark, [r for some in rows.values() for r in some]))
+    assert got == sorted(x for some in rows.values() for x in brute(some))
+    assert all(sum(n for i, n, _ in got if first <= i < first + 2000) > 0 for first, _, _ in parts)

@@ -23,12 +23,12 @@ list with any share of the rows spreads over tasks.  Tasks return link counts an
 links to the smallest class of each local component, never all pairs.
 
 Centroids and codebooks are fitted on the driver on about ``SAMPLE`` classes;
-their size is bounded by MAX_LISTS and CODEWORDS.
+their size is bounded by MAX_LISTS and CODEWORDS.  Every dimension present has its
+own, and lists are numbered over all of them, so one search serves all dimensions.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
-components, and vectors without an id, link with nothing; of several dimensions
-the most frequent is searched, vectors of another link with nothing; repeated
-rows are copies.
+components, and vectors without an id, link with nothing; vectors link within
+their dimension; repeated rows are copies.
 """
 
 from __future__ import annotations
@@ -131,8 +131,8 @@ def _unpacked(rows: np.ndarray, dim: int) -> np.ndarray:
     return np.stack([np.frombuffer(r, dtype=np.float32 if len(r) == 4 * dim else np.float64) for r in rows]).astype(np.float64)
 
 
-def _search_block(index: Index, frame: pd.DataFrame) -> pd.DataFrame:
-    """Counts and local links of one (bundle, member block, query block)."""
+def _search_block(index: Index, first: int, frame: pd.DataFrame) -> pd.DataFrame:
+    """Counts and local links of one (bundle, member block, query block); lists are numbered from ``first``."""
     member = frame["member"].to_numpy()
     cid, copies, home = frame["cid"].to_numpy(), frame["m"].to_numpy(), frame["home"].to_numpy()
     probes = frame["probes"].to_numpy()
@@ -142,7 +142,7 @@ def _search_block(index: Index, frame: pd.DataFrame) -> pd.DataFrame:
     x = _unit(_unpacked(frame["vec"].to_numpy(), index.dim))
     codes = np.stack([np.frombuffer(c, dtype=np.uint8) for c in frame["code"].to_numpy()[y]])
     limit = ((index.eps + frame["err"].to_numpy()[y]) ** 2 + 1e-4).astype(np.float32)
-    span = len(index.centers)
+    span = first + len(index.centers)
     asked = np.concatenate([probes[k] for k in q])
     asking = np.repeat(q, [len(probes[k]) for k in q])[np.argsort(asked, kind="stable")]
     asked = np.sort(asked)
@@ -155,7 +155,7 @@ def _search_block(index: Index, frame: pd.DataFrame) -> pd.DataFrame:
         rows_here = asking[np.searchsorted(asked, center, "left"):np.searchsorted(asked, center, "right")]
         for at in range(0, len(rows_here), STRIP):
             rows = rows_here[at:at + STRIP]
-            j, i = np.nonzero(index.estimate(x[rows], center, codes[inside]) <= limit[inside][:, None])
+            j, i = np.nonzero(index.estimate(x[rows], center - first, codes[inside]) <= limit[inside][:, None])
             i, j = rows[i], y[inside[j]]
             real = cid[i] != cid[j]
             i, j = i[real], j[real]
@@ -198,45 +198,57 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     usable = usable & _components_are_finite(F.col("vec")) & F.exists("vec", lambda c: c != 0)
     classes = rows.where(usable).groupBy("vec").agg(F.min("vec_id").alias("low_id"), F.count(F.lit(1)).alias("m"))
     classes = cut_lineage(spark, classes.withColumn("cid", F.monotonically_increasing_id()))
-    dims = classes.groupBy(F.size("vec").alias("dim")).agg(F.sum("m").alias("rows"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("rows"), "dim").first()
+    # one row per dimension present
+    dims = {r["dim"]: r["n"] for r in classes.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect()}
 
     def unlinked(some: DataFrame) -> DataFrame:
         return some.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.col("vec_id").isNotNull().alias("kept"))
 
-    if dims is None:
+    if not dims:
         return unlinked(rows)
-    searched = classes.where(F.size("vec") == dims["dim"])
+    total = sum(dims.values())
+    rates = F.create_map(*[F.lit(x) for dim, n in dims.items() for x in (dim, min(1.0, max(SAMPLE * n / total, 4.0 * CODEWORDS) / n))])
     u = F.pmod(F.xxhash64("cid"), F.lit(1 << 30)) / float(1 << 30)
-    picked = searched.where(u < min(1.0, SAMPLE / dims["n"])).select("cid", "vec").collect() or searched.select("cid", "vec").limit(1).collect()
-    sample = _unit(np.array([r["vec"] for r in sorted(picked, key=lambda r: r["cid"])], dtype=np.float64))
-    lists = max(1, min(max_lists, math.ceil(dims["n"] / LIST_ROWS), len(sample)))
-    shared = share(spark, Index(sample, lists, threshold, reach))
+    picked = classes.where(u < F.element_at(rates, F.size("vec"))).select("cid", "vec").collect()
+    samples = {dim: [] for dim in dims}
+    for r in sorted(picked, key=lambda r: r["cid"]):
+        samples[len(r["vec"])].append(r["vec"])
+    indexes, lists_in = {}, []  # dimension -> its index and first list
+    for dim, n in dims.items():
+        lists = max(1, min(max_lists, math.ceil(n / LIST_ROWS), len(samples[dim])))
+        indexes[dim] = Index(_unit(np.array(samples[dim], dtype=np.float64)), lists, threshold, reach), sum(lists_in)
+        lists_in.append(lists)
+    shared = share(spark, indexes)
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = received(shared)
+        known = received(shared)
         for frame in frames:
-            for at in range(0, len(frame), 2048):
-                part = frame.iloc[at:at + 2048]
-                vec = np.stack(part["vec"].to_numpy()).astype(np.float64)
-                home, codes, error, probed = index.assign(_unit(vec))
-                lists = [np.flatnonzero(p).astype(np.int32) for p in probed]
-                yield pd.DataFrame({"cid": part["cid"], "m": part["m"], "vec": _packed(vec), "home": home.astype(np.int32),
-                                    "code": [c.tobytes() for c in codes], "err": error, "probes": lists})
-
-    assigned = searched.select("cid", "m", "vec").mapInPandas(
-        deal, "cid long, m long, vec binary, home int, code binary, err double, probes array<int>")
+            for dim, same in frame.groupby(frame["vec"].map(len)):
+                index, first = known[dim]
+                for at in range(0, len(same), 2048):
+                    part = same.iloc[at:at + 2048]
+                    vec = np.stack(part["vec"].to_numpy()).astype(np.float64)
+                    home, codes, error, probed = index.assign(_unit(vec))
+                    lists = [np.flatnonzero(p).astype(np.int32) + np.int32(first) for p in probed]
+                    yield pd.DataFrame({"cid": part["cid"], "m": part["m"], "dim": np.int32(dim), "vec": _packed(vec),
+                                        "home": (home + first).astype(np.int32), "code": [c.tobytes() for c in codes], "err": error, "probes": lists})
+
+    assigned = classes.select("cid", "m", "vec").mapInPandas(
+        deal, "cid long, m long, dim int, vec binary, home int, code binary, err double, probes array<int>")
     assigned = cut_lineage(spark, assigned)
-    # one row per list: bounded by max_lists
+    # one row per list: bounded by max_lists and the dimensions; a bundle has one dimension
     sizes = {r["home"]: r["count"] for r in assigned.groupBy("home").count().collect()}
-    bundles, blocks, fill = [], [], MEMBER_BLOCK
-    for size in (sizes.get(k, 0) for k in range(lists)):
-        if fill + size > MEMBER_BLOCK:
-            blocks.append(0)
-            fill = 0
-        fill += size
-        bundles.append(len(blocks) - 1)
-        blocks[-1] = math.ceil(fill / MEMBER_BLOCK)
+    bundles, blocks = [], []
+    for lists in lists_in:
+        fill = math.inf
+        for size in (sizes.get(k, 0) for k in range(len(bundles), len(bundles) + lists)):
+            if fill + size > MEMBER_BLOCK:
+                blocks.append(0)
+                fill = 0
+            fill += size
+            bundles.append(len(blocks) - 1)
+            blocks[-1] = math.ceil(fill / MEMBER_BLOCK)
     bundle_of, blocks_of = F.lit(bundles), F.lit(blocks)
     bundled = assigned.withColumn("bundle", F.explode(F.array_distinct(F.transform("probes", lambda p: F.get(bundle_of, p)))))
     bundled = bundled.withColumn("nb", F.get(blocks_of, F.col("bundle"))).where("nb > 0")
@@ -247,10 +259,10 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     queries = queries.withColumn("probes", F.filter("probes", lambda p: F.get(bundle_of, p) == F.col("bundle")))
     members = dealt.where(F.get(bundle_of, F.col("home")) == F.col("bundle")).withColumn("member", F.lit(True))
     members = members.withColumn("b", own_block).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-    columns = ["bundle", "b", "q", "member", "cid", "m", "vec", "home", "code", "err", "probes"]
+    columns = ["bundle", "b", "q", "member", "cid", "m", "dim", "vec", "home", "code", "err", "probes"]
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
-        return _search_block(received(shared), frame)
+        return _search_block(*received(shared)[int(frame["dim"].iloc[0])], frame)
 
     found = queries.select(*columns).unionByName(members.select(*columns)).groupBy("bundle", "b", "q").applyInPandas(search, "cid long, links long, low long")
     found = cut_lineage(spark, found)
