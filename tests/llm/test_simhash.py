@@ -100,6 +100,18 @@ def test_documents(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == ([3, 7, 8] if linked else [3, 5, 7, 8])
 
 
+def test_groups_of_null_ids_and_of_one_id_on_two_texts(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(40)) for w in ("red", "blue", "green", "grey")]
+    prints = [simhash.fingerprint(t) for t in texts]
+    assert all((a ^ b).bit_count() > 10 for i, a in enumerate(prints) for b in prints[:i])
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (9, texts[3]), (None, texts[2]), (4, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.simhash_dedup(spark, docs).collect()), key=str)
+    assert kept == sorted([(None, texts[0]), (None, texts[1]), (4, texts[2]), (4, texts[3])], key=str)
+    groups = {(r["_id"], r["_component"], r["_root"]) for r in simhash.simhash_groups(spark, docs).collect()}
+    assert len({root for _, _, root in groups}) == 4
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_groups(spark, docs).count() == 0

@@ -218,7 +218,11 @@ def near_links(spark: SparkSession, codes: DataFrame, max_distance: int = 2, sha
 
 def simhash_groups(spark: SparkSession, docs: DataFrame, width: int = 3, max_distance: int = 2, id_col: str = "doc_id",
                    text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: id, ``_fp`` (signed), ``_component`` (smallest id), and ``keep``."""
+    """One row per document: id, ``_fp`` (signed), ``_component`` (smallest id), ``_root`` and ``keep``.
+
+    ``_root`` is the smallest fingerprint of the group: it tells groups apart, which
+    the smallest id does not where ids are null or repeat on other texts.
+    """
     slim = docs.select(F.col(id_col).alias("_id"), fingerprint_column(F.col(text_col), width).alias("_fp"), *keep)
     slim = cut_lineage(spark, slim)
     codes = slim.groupBy(F.col("_fp").alias("fp")).agg(F.min("_id").alias("low"))
@@ -227,7 +231,7 @@ def simhash_groups(spark: SparkSession, docs: DataFrame, width: int = 3, max_dis
     rooted = codes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("low").alias("_component"))
-    by_code = rooted.join(smallest, "root").select(F.col("fp").alias("_fp"), "_component")
+    by_code = rooted.join(smallest, "root").select(F.col("fp").alias("_fp"), "_component", F.col("root").alias("_root"))
     return slim.join(by_code, "_fp")
 
 
@@ -235,14 +239,15 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, width: int = 3, max_dist
                   text_col: str = "text") -> DataFrame:
     """One document of each group: the one with the smallest id.
 
-    Rows are told apart by id and text hash; of rows equal in both one stays.
+    Rows are told apart by id (null or not) and text hash; of rows equal in both one
+    stays.  A null id comes last, so it stays only where the group has no other.
     """
     marked = docs.select(
         F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_text_hash"))
     groups = simhash_groups(spark, marked, width, max_distance, "_doc", "_text", keep=("_text_hash",))
-    first = groups.groupBy("_component", "_fp").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_text_hash")).alias("r"))
-    first = first.groupBy("_component").agg(F.min("r").alias("r")).select(
+    first = groups.groupBy("_root", "_fp").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_text_hash")).alias("r"))
+    first = first.groupBy("_root").agg(F.min("r").alias("r")).select(
         F.col("r._id").alias("_winner"), F.col("r._text_hash").alias("_winner_hash")).distinct()
     kept = marked.join(first, F.col("_doc").eqNullSafe(F.col("_winner")) & (F.col("_text_hash") == F.col("_winner_hash")), "left_semi")
     return kept.dropDuplicates(["_doc", "_text_hash"]).select("_row.*")
