@@ -3,9 +3,10 @@
 import duckdb
 
 import __spark_entry__ as entry_mod
-from conftest import SF001
+from helpers import SF001
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "labels"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+          "labels", "conversations"]
 
 
 def test_all_oracles_run_in_duckdb():

@@ -8,8 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
-from conftest import SF01, SF001
-from helpers import fct_trips_joined_time_keys
+from helpers import SF01, SF001, fct_trips_joined_time_keys
 from tripstar import oracle as O
 from tripstar.operators import gold, loads, quality, silver
 from tripstar.plans.layers import Lakehouse, Tables, build_bronze, build_gold, build_silver, register, run_pipeline
