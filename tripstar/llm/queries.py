@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tripstar.llm import (
     embedding_dedup,
+    importance,
     langid,
     line_dedup,
     mixing,
@@ -109,6 +110,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranked = importance.resample(spark, docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return ranked.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -121,5 +128,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
         "op10_quality_classifier": op10_quality_classifier,
+        "op13_importance_resampling": op13_importance_resampling,
         "pipeline": corpus_pipeline.run,
     }
