@@ -14,11 +14,13 @@ from tripstar.llm import (
     langid,
     line_dedup,
     mixing,
+    periodic_runs,
     pii,
     quality_net,
     quality_rules,
     sentencepiece_codec,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 from tripstar.llm.common import cut_lineage, doc_remainder, table, word_count
@@ -110,6 +112,31 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text, n, h = F.col("text"), word_count(F.col("text")), F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    g = F.floor(h / 10)
+    first = g % n
+    planted = F.when((h % 10 == 0) & (n > 0), periodic_runs.repeat_from(text, first, 1 + F.floor((n - first) / (3 + g % 8))))
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted.otherwise(text).alias("text"))
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), lambda most, r: F.when(
+        most.isNull() | (r["length"] * most["period"] > most["length"] * r["period"]), r).otherwise(most))
+    listing = F.concat_ws("", F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n")))))
+    found = periodic_runs.detect_runs(docs, F.col("text"), keep=["doc_id"]).withColumn("best", best)
+    return found.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listing, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    per_text = suffix_dedup.cut_texts(spark, docs).select(
+        "t1", "t2", F.octet_length("text").cast("long").alias("n_bytes"),
+        (F.octet_length("text") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return suffix_dedup.for_rows(docs, per_text).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranked = importance.resample(spark, docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -128,6 +155,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_suffix_dedup": op12_suffix_dedup,
         "op13_importance_resampling": op13_importance_resampling,
         "pipeline": corpus_pipeline.run,
     }
