@@ -53,9 +53,9 @@ from tripstar.session import checkpoint_dir
 
 LENGTH = 200
 GRAM = 64
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 CROWD = 4096
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 512 << 10
 SMALL_ALPHABET = 1024
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -82,10 +82,7 @@ class _Rolling:
         return out
 
     def between(self, prefixes: np.ndarray, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
-        x = (prefixes[end] - prefixes[start]) * self._down[: len(prefixes)][start]
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+        return (prefixes[end] - prefixes[start]) * self._down[: len(prefixes)][start]
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -111,26 +108,26 @@ class Segmenter:
         """(text, first window, last window, gram hash, segment hash), a row per segment."""
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-        offsets = np.cumsum(sizes) - sizes
-        n_windows = np.maximum(sizes - self.length + 1, 0)
-        total = int(n_windows.sum())
-        if not total:
+        long = np.flatnonzero(sizes >= self.length)
+        if not len(long):
             return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
+        offsets = np.cumsum(sizes) - sizes
+        begin, stop = offsets[long], offsets[long] + sizes[long] - self.length + 1  # windows of each text
         one = self._one.prefixes(data)
         grams = self._one.between(one, slice(0, len(data) - self.gram + 1), slice(self.gram, len(data) + 1))
         # hash first, then the later position
-        keys = (grams & ~_LOW) | (_LOW - np.arange(len(grams), dtype=np.uint64))
-        low = _sliding_min(keys, self.length - self.gram + 1)
-        text = np.repeat(np.arange(len(texts)), n_windows)
-        window = np.arange(total) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-        at = (_LOW - (low[offsets[text] + window] & _LOW)).astype(np.int64)
-        new = np.concatenate([[True], (at[1:] != at[:-1]) | (text[1:] != text[:-1])])
-        first = np.flatnonzero(new)
-        last = np.concatenate([first[1:], [total]]) - 1
-        owner = text[first]
-        begin, end = offsets[owner] + window[first], offsets[owner] + window[last] + self.length
-        whole = self._two.between(self._two.prefixes(data), begin, end)
-        return owner, window[first], window[last], grams[at[first]].view(np.int64), whole.view(np.int64)
+        low = _sliding_min((grams & ~_LOW) | (_LOW - np.arange(len(grams), dtype=np.uint64)), self.length - self.gram + 1)
+        at = (low & _LOW).astype(np.uint32)
+        new = np.ones(len(at) + 1, dtype=bool)
+        new[1:-1] = at[1:] != at[:-1]
+        new[begin] = new[stop] = True
+        edges = np.flatnonzero(new)
+        owner = np.searchsorted(begin, edges[:-1], side="right") - 1
+        inside = (owner >= 0) & (edges[:-1] < stop[owner])
+        first, last, owner = edges[:-1][inside], edges[1:][inside] - 1, owner[inside]
+        whole = self._two.between(self._two.prefixes(data), first, last + self.length)
+        gram = grams[(_LOW - (low[first] & _LOW)).astype(np.int64)]
+        return long[owner], first - begin[owner], last - begin[owner], gram.view(np.int64), whole.view(np.int64)
 
     def window_hashes(self, segment: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Two independent 64-bit hashes of every window of a segment."""
@@ -155,62 +152,66 @@ def _induce_buckets(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, size: n
     end = np.cumsum(size)
     start = end - size
     out = np.full(n, -1, dtype=np.int64)
+    symbols = s.astype(np.uint16)  # sorts by radix
     cuts = np.searchsorted(s[lms], np.arange(k + 1))
 
-    def sort_in(block: np.ndarray, kind: np.ndarray, at: np.ndarray, sign: int) -> None:
-        before = block[block > 0] - 1
-        before = before[kind[before]]
-        if not len(before):
+    def put(block: np.ndarray, kind: np.ndarray, at: np.ndarray, sign: int) -> None:
+        left = block[block > 0] - 1
+        left = left[kind[left]]
+        if not len(left):
             return
-        symbol = narrow[before]
+        symbol = symbols[left]
         order = np.argsort(symbol, kind="stable")
-        before, symbol = before[order], symbol[order]
+        left, symbol = left[order], symbol[order]
         counts = np.bincount(symbol, minlength=k)
-        place = np.arange(len(before)) - (np.cumsum(counts) - counts)[symbol]
-        out[at[symbol] + place if sign > 0 else at[symbol] - 1 - place] = before
+        place = np.arange(len(left)) - (np.cumsum(counts) - counts)[symbol]
+        out[at[symbol] + place if sign > 0 else at[symbol] - 1 - place] = left
         at += sign * counts
 
-    narrow = s.astype(np.uint16)  # sorts by radix
     larger, head, tail = ~smaller, start.copy(), end.copy()
     present = np.flatnonzero(size).tolist()
     for c in present:
         done = start[c]
         while done < head[c]:  # suffixes of the same bucket induce each other in rounds
             block, done = out[done: head[c]], head[c]
-            sort_in(block, larger, head, 1)
-        sort_in(lms[cuts[c]: cuts[c + 1]], larger, head, 1)
+            put(block, larger, head, 1)
+        put(lms[cuts[c]: cuts[c + 1]], larger, head, 1)
     for c in reversed(present):
         done = end[c]
         while tail[c] < done:
             block, done = out[tail[c]: done][::-1], tail[c]
-            sort_in(block, smaller, tail, -1)
-        sort_in(out[start[c]: head[c]][::-1], smaller, tail, -1)
+            put(block, smaller, tail, -1)
+        put(out[start[c]: head[c]][::-1], smaller, tail, -1)
     out[0] = n - 1
     return out
 
 
 def _induce_single(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The same, a suffix at a time: for alphabets nearly as large as the string."""
+    """The same, a suffix at a time: for alphabets too large for buckets to be worth an array."""
     ends = np.cumsum(size)
-    text, small, out = s.tolist(), smaller.tolist(), [-1] * len(s)
-    tail = ends.tolist()
-    for i in reversed(lms.tolist()):
-        tail[text[i]] -= 1
-        out[tail[text[i]]] = i
-    head = (ends - size).tolist()
-    for i in range(len(out)):
-        j = out[i] - 1
-        if j >= 0 and not small[j]:
-            c = text[j]
-            out[head[c]] = j
-            head[c] += 1
-    tail = ends.tolist()
-    for i in range(len(out) - 1, -1, -1):
-        j = out[i] - 1
-        if j >= 0 and small[j]:
-            c = text[j]
-            tail[c] -= 1
-            out[tail[c]] = j
+    out = np.full(len(s), -1, dtype=np.int64)
+    own = s[lms]
+    counts = np.bincount(own, minlength=len(size))
+    out[ends[own] - counts[own] + np.arange(len(lms)) - (np.cumsum(counts) - counts)[own]] = lms
+    out = out.tolist()
+    # symbol of the suffix one to the left if it is of the kind asked for; the entry at -1 is for free places
+    left = np.full(len(s) + 1, -1, dtype=np.int64)
+    left[1:-1] = np.where(smaller[:-1], -1, s[:-1])
+    bucket, head = left.tolist(), (ends - size).tolist()
+    for i in out:  # sees what is put further on
+        c = bucket[i]
+        if c >= 0:
+            h = head[c]
+            out[h] = i - 1
+            head[c] = h + 1
+    left[1:-1] = np.where(smaller[:-1], s[:-1], -1)
+    bucket, tail = left.tolist(), ends.tolist()
+    for i in reversed(out):
+        c = bucket[i]
+        if c >= 0:
+            t = tail[c] - 1
+            out[t] = i - 1
+            tail[c] = t
     out[0] = len(s) - 1
     return np.array(out, dtype=np.int64)
 
@@ -238,7 +239,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     is_lms = np.concatenate([[False], smaller[1:] & ~smaller[:-1]])
     lms = np.flatnonzero(is_lms)
     size = np.bincount(s)
-    induce = _induce_buckets if len(size) <= SMALL_ALPHABET and len(size) * 16 < len(s) else _induce_single
+    induce = _induce_buckets if len(size) <= SMALL_ALPHABET and len(s) > 16 * len(size) else _induce_single
     rough = lms[np.argsort(s[lms], kind="stable")]
     found = induce(s, smaller, rough, size)
     order = found[is_lms[found]]
@@ -251,7 +252,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
 
 
 def common_prefixes(s: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(for each position its common prefix with the suffix before it in the array, that suffix)."""
+    """(for each position its common prefix with the suffix before it in the array, that
+    suffix); symbols are below 65,536."""
     n = len(s)
     before = np.full(n, -1, dtype=np.int64)
     before[order[1:]] = order[:-1]
@@ -261,12 +263,15 @@ def common_prefixes(s: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.nd
     known[inner] = s[inner - 1] == s[before[inner] - 1]
     start = np.flatnonzero(~known & (before >= 0))
     common = np.zeros(n, dtype=np.int64)
-    padded = np.concatenate([s, [-1, -2]])
+    # four symbols in a comparison; the last one of the string is unique, so it stops every one
+    four = np.ndarray(n + 1, dtype="<u8", buffer=np.concatenate([s, np.zeros(4, s.dtype)]).astype("<u2").tobytes(), strides=(2,))
     left, at = start, 0
     while len(left):
-        equal = padded[np.minimum(left + at, n)] == padded[np.minimum(before[left] + at, n + 1)]
-        common[left[~equal]] = at
-        left, at = left[equal], at + 1
+        differ = four[left + at] ^ four[before[left] + at]
+        done = differ != 0
+        bits = differ[done]
+        common[left[done]] = at + (bits & 0xFFFF == 0).astype(np.int64) + (bits & 0xFFFFFFFF == 0) + (bits & 0xFFFFFFFFFFFF == 0)
+        left, at = left[~done], at + 4
     places = np.where(known, 0, np.arange(n))
     source = np.maximum.accumulate(places)
     return np.where(known, common[source] - (np.arange(n) - source), common), before
@@ -304,15 +309,26 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2")]
 
 
-def _blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    at = size = 0
-    for i, t in enumerate(texts):
-        if i > at and size + len(t) > BLOCK_BYTES:
-            yield at, i
-            at, size = i, 0
-        size += len(t)
-    if at < len(texts):
-        yield at, len(texts)
+def _blocks(texts: list[str | None], length: int) -> Iterator[tuple[list[bytes], list[int], list[int]]]:
+    """Blocks of about ``BLOCK_BYTES``: pieces, the row of each and where it begins.
+
+    A longer text is cut into pieces that share ``length - 1`` bytes, so that every
+    window is in one of them.
+    """
+    pieces, rows, begins, size = [], [], [], 0
+    for row, t in enumerate(texts):
+        data = (t or "").encode("utf-8", "surrogatepass")
+        for begin in range(0, max(1, len(data) - length + 1), BLOCK_BYTES):
+            piece = data[begin: begin + BLOCK_BYTES + length - 1]
+            if pieces and size + len(piece) > BLOCK_BYTES:
+                yield pieces, rows, begins
+                pieces, rows, begins, size = [], [], [], 0
+            pieces.append(piece)
+            rows.append(row)
+            begins.append(begin)
+            size += len(piece)
+    if pieces:
+        yield pieces, rows, begins
 
 
 def _all_segments(keyed: DataFrame, length: int, gram: int, placed: bool) -> DataFrame:
@@ -321,11 +337,13 @@ def _all_segments(keyed: DataFrame, length: int, gram: int, placed: bool) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Segmenter(length, gram)
         for batch in batches:
-            texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
             keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("t1", "t2")] if placed else []
-            for a, b in _blocks(texts):
-                owner, first, last, gram_hash, whole = maker.segments(texts[a:b])
-                columns = [gram_hash, whole, *[k[a:b][owner] for k in keys], *([first, last] if placed else [])]
+            for pieces, rows, begins in _blocks(batch.column("text").to_pylist(), length):
+                owner, first, last, gram_hash, whole = maker.segments(pieces)
+                columns = [gram_hash, whole]
+                if placed:
+                    row, begin = np.array(rows)[owner], np.array(begins)[owner]
+                    columns += [*[k[row] for k in keys], first + begin, last + begin]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
 
     names = ["gram", "whole", "t1", "t2", "first", "last"] if placed else ["gram", "whole"]
