@@ -1,5 +1,6 @@
 """Month files with schema drift, batch labels, idempotent reload, month plan."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pyarrow as pa
@@ -8,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripstar.config import PipelineConfig
-from tripstar.operators.loads import month_plan
+from tripstar.operators.loads import coverage_from_log, month_plan
 from tripstar.plans import loader
+from tripstar.sources import monthly
 from tripstar.sources.monthly import UnknownColumnsError, list_month_files, read_months
 
 CFG = PipelineConfig(batch_rows=2, first_month=(2015, 1), last_month=(2015, 4))
@@ -92,8 +94,8 @@ def test_unknown_columns_stop_yellow_and_are_dropped_from_green(spark, tmp_path)
 def test_missing_folder_and_broken_log_raise(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         loader.load_service(spark, str(tmp_path / "nowhere"), str(tmp_path / "raw"), "yellow", CFG)
-    (tmp_path / "raw2" / "load_log" / "service_type=yellow").mkdir(parents=True)
-    (tmp_path / "raw2" / "load_log" / "service_type=yellow" / "part-0.parquet").write_text("not parquet")
+    (tmp_path / "raw2" / "raw_yellow" / "manifest" / "some").mkdir(parents=True)
+    (tmp_path / "raw2" / "raw_yellow" / "manifest" / "some" / "part-0.parquet").write_text("not parquet")
     with pytest.raises(Exception, match="(?i)parquet"):
         loader.read_log(spark, str(tmp_path / "raw2")).collect()
 
@@ -112,6 +114,10 @@ def test_reload_is_idempotent_and_plan_shrinks(spark, tmp_path):
     assert sorted((r.year, r.month, r.rows) for r in log.collect()) == [(2015, 1, 5), (2015, 2, 3)]
     plan = month_plan(spark, log, ["yellow"], CFG)
     assert sorted((r.year, r.month) for r in plan.collect()) == [(2015, 3), (2015, 4)]
+    coverage = coverage_from_log(spark, log, CFG)
+    assert [(r.month, r.yellow_count, r.green_count, r.estado_load) for r in coverage.collect()] == [
+        (1, 5, 0, "MISSING"), (2, 3, 0, "MISSING"), (3, 0, 0, "MISSING"), (4, 0, 0, "MISSING")]
+    assert "raw_yellow/data" not in coverage._jdf.queryExecution().executedPlan().toString()
 
 
 def test_zone_csv_na_and_overwrite(spark, tmp_path):
@@ -152,3 +158,90 @@ def test_months_outside_the_plan_are_not_loaded(spark, tmp_path):
     assert r.months_loaded == 2
     assert [f.rsplit("/", 1)[-1] for f in r.unplanned_files] == ["yellow_tripdata_2015-05.parquet"]
     assert sorted({row.MONTH for row in loader.read_raw(spark, raw, "yellow").collect()}) == [1, 2]
+
+
+def _rows(spark, raw):
+    return sorted(tuple(r) for r in loader.read_raw(spark, raw, "yellow").collect())
+
+
+def test_a_crash_before_the_manifest_leaves_the_month_pending(spark, tmp_path, monkeypatch):
+    land, raw = _landing(tmp_path), str(tmp_path / "raw")
+
+    def crash(*a, **k):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(loader, "write_manifest", crash)
+        with pytest.raises(RuntimeError, match="killed"):
+            loader.load_service(spark, str(land), raw, "yellow", CFG, load_time_ns=1)
+    # rows were written, but they belong to no month
+    assert spark.read.parquet(loader.data_path(raw, "yellow")).count() == 8
+    assert _rows(spark, raw) == [] and loader.read_log(spark, raw).count() == 0
+    assert month_plan(spark, loader.read_log(spark, raw), ["yellow"], CFG).count() == 4
+    assert loader.load_service(spark, str(land), raw, "yellow", CFG, load_time_ns=2).months_loaded == 2
+    before = _rows(spark, raw)
+    assert len(before) == 8
+    # a reload that dies leaves the loaded month as it was
+    with monkeypatch.context() as m:
+        m.setattr(loader, "write_manifest", crash)
+        with pytest.raises(RuntimeError, match="killed"):
+            loader.load_service(spark, str(land), raw, "yellow", CFG, load_time_ns=3, only_pending=False)
+    assert _rows(spark, raw) == before
+    assert len(loader.remove_unused_loads(spark, raw, "yellow")) == 0  # could still be running
+    assert len(loader.remove_unused_loads(spark, raw, "yellow", grace_seconds=0)) == 2
+    assert _rows(spark, raw) == before
+
+
+def test_two_loaders_of_one_month_never_mix(spark, tmp_path):
+    land, raw = _landing(tmp_path), str(tmp_path / "raw")
+    with ThreadPoolExecutor(4) as pool:
+        loads = [pool.submit(loader.load_service, spark, str(land), raw, "yellow", CFG, t, False) for t in (1, 2, 3, 4)]
+        assert [x.result().months_loaded for x in loads] == [2] * 4
+    rows = loader.read_raw(spark, raw, "yellow")
+    assert rows.count() == 8
+    assert [r[0] for r in rows.groupBy("MONTH").agg(F.countDistinct("VENTANA_TEMPORAL")).select(F.col("count(DISTINCT VENTANA_TEMPORAL)")).collect()] == [1, 1]
+    assert sorted((r.month, r.rows) for r in loader.read_log(spark, raw).collect()) == [(1, 5), (2, 3)]
+    assert loader.manifests(spark, raw, "yellow").count() == 8
+    before = _rows(spark, raw)
+    assert len(loader.remove_unused_loads(spark, raw, "yellow")) == 3
+    assert _rows(spark, raw) == before
+
+
+def test_an_empty_month_counts_as_loaded(spark, tmp_path):
+    land, raw = _landing(tmp_path), str(tmp_path / "raw")
+    pq.write_table(_month_table(3, 0, drift=False), land / "yellow_tripdata_2015-03.parquet")
+    loader.load_service(spark, str(land), raw, "yellow", CFG)
+    assert sorted((r.month, r.rows) for r in loader.read_log(spark, raw).collect()) == [(1, 5), (2, 3), (3, 0)]
+    assert len(_rows(spark, raw)) == 8
+    assert loader.load_service(spark, str(land), raw, "yellow", CFG).months_loaded == 0
+
+
+def test_schema_registry_reads_a_footer_once(spark, tmp_path, monkeypatch):
+    land, registry = _landing(tmp_path), str(tmp_path / "schemas")
+    files = list_month_files(spark, str(land), "yellow")
+    read = []
+    plain = monthly.file_schemas
+    monkeypatch.setattr(monthly, "file_schemas", lambda s, fs, *a: read.extend(fs) or plain(s, fs, *a))
+    first = monthly.registered_schemas(spark, files, registry)
+    assert read == files and first == plain(spark, files)
+    assert monthly.registered_schemas(spark, files, registry) == first and read == files  # nothing read again
+    pq.write_table(_month_table(2, 9, drift=False), land / "yellow_tripdata_2015-02.parquet")  # the file is replaced
+    again = monthly.registered_schemas(spark, files, registry)
+    assert read == [*files, files[1]] and again == plain(spark, files)
+    drift = {(r.column, r.type): r.files for r in monthly.schema_drift(spark, registry).collect()}
+    assert drift["PASSENGER_COUNT", "long"] == 2 and ("PASSENGER_COUNT", "double") not in drift
+
+
+def test_raw_version_follows_loads_and_zones(spark, tmp_path):
+    land, raw = _landing(tmp_path), str(tmp_path / "raw")
+    csv = tmp_path / "zones.csv"
+    csv.write_text("LocationID,Borough,Zone,service_zone\n1,A,B,C\n")
+    loader.load_zones(spark, str(csv), raw)
+    loader.load_service(spark, str(land), raw, "yellow", CFG)
+    first = loader.raw_version(spark, raw)
+    assert loader.raw_version(spark, raw) == first
+    csv.write_text("LocationID,Borough,Zone,service_zone\n1,A,B,D\n")
+    loader.load_zones(spark, str(csv), raw)
+    second = loader.raw_version(spark, raw)
+    loader.load_service(spark, str(land), raw, "yellow", CFG, only_pending=False)
+    assert len({first, second, loader.raw_version(spark, raw)}) == 3

@@ -1,12 +1,15 @@
 """The range-cut duplicate ordinal equals a plain row_number, whatever the key sizes."""
 
+import os
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tripstar.operators.numbering import number_within_key
+from tripstar.operators.numbering import number_within_key, split_by_key
 from tripstar.operators.ranges import numbered, running_sum
+from tripstar.session import scratch_tables
 
 SCHEMA = "k1 string, k2 int, v string, w double"
 
@@ -33,7 +36,29 @@ def test_equals_row_number_for_any_number_of_ranges(spark):
     df = spark.createDataFrame(_rows(), SCHEMA)
     expected = _multiset(_expected(df))
     for ranges in (1, 2, 7, 40):  # with 40 ranges the hot key spans many of them
-        assert _multiset(number_within_key(df, ["k1", "k2"], ranges=ranges)) == expected, ranges
+        for broadcast_rows in (0, 1000):  # joined once and written, or broadcast
+            got = number_within_key(df, ["k1", "k2"], ranges=ranges, broadcast_rows=broadcast_rows)
+            assert _multiset(got) == expected, (ranges, broadcast_rows)
+
+
+def test_only_shared_keys_are_numbered_and_nothing_is_shuffled_for_the_split(spark, tmp_path):
+    spark.createDataFrame(_rows(), SCHEMA).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    alone, shared = split_by_key(df, ["k1", "k2"])
+    assert alone.count() == 20 and shared.count() == 88
+    for part in (alone, shared):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_scratch_tables_are_removed(spark):
+    df = spark.createDataFrame(_rows(), SCHEMA)
+    with scratch_tables(spark):
+        out = number_within_key(df, ["k1", "k2"])
+        assert out.count() == 108
+        used = {os.path.dirname(f).removeprefix("file:").replace("//", "") for f in out.inputFiles()}
+        assert used and all(os.path.isdir(p) for p in used)
+    assert not any(os.path.exists(p) for p in used)
 
 
 def test_a_key_that_spans_all_ranges_is_spread(spark):

@@ -2,6 +2,7 @@
 
 import sys
 import uuid
+from dataclasses import replace
 
 import duckdb
 import pytest
@@ -11,7 +12,9 @@ import __spark_entry__ as entry_mod
 from helpers import SF01, SF001, fct_trips_joined_time_keys
 from tripstar import oracle as O
 from tripstar.operators import gold, loads, quality, silver
+from tripstar.plans import layers, layout
 from tripstar.plans.layers import Lakehouse, Tables, build_bronze, build_gold, build_silver, register, run_pipeline
+from tripstar.plans.publish import Publications
 from tripstar.session import checkpoint_dir
 
 
@@ -67,8 +70,34 @@ def test_clustered_fact_prunes_row_groups(spark, tables01):
     q = tables01.fact.where(F.col("pickup_date_sk") == day)
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(pickup_date_sk), EqualTo(pickup_date_sk," in plan
-    files = {r[0] for r in q.select(F.input_file_name()).distinct().collect()}
-    assert len(files) == 1
+    zone = tables01.fact.groupBy("pickup_zone_sk").count().orderBy(F.col("count").desc()).first()[0]
+
+    def files(cond):
+        return tables01.fact.where(cond).select(F.input_file_name()).distinct().count()
+
+    # the curve has four groups of zones: a day is in a file of each, a zone in the files of one
+    total = files(F.lit(True))
+    assert total >= 8 and files(F.col("pickup_date_sk") == day) <= 4 and files(F.col("pickup_zone_sk") == zone) <= total // 4 + 2
+    assert files((F.col("pickup_date_sk") == day) & (F.col("pickup_zone_sk") == zone)) <= 2
+
+
+def test_curve_index_interleaves_the_ranks(spark):
+    rows = [(d, z, s) for d in range(16) for z in range(4) for s in (0, 1)] + [(None, 0, 0)] * 8
+    df = spark.createDataFrame(rows, "d int, z long, s int")
+    out = layout.curve_index(df, ("z", "d", "d", "z", "d", "s"))
+    got = {(r.d, r.z, r.s): r[layout.CURVE] for r in out.collect()}
+    total = len(rows)
+    assert out.count() == total and out.columns == ["d", "z", "s", layout.CURVE]
+
+    def bucket(values, value, bits):  # rank of the value's first row among all rows, nulls first
+        before = sum(1 for v in values if v is None and value is not None or v is not None and value is not None and v < value)
+        return before * (1 << bits) // total
+
+    for d, z, s in set(rows):
+        bd = bucket([r[0] for r in rows], d, 3)
+        bz, bs = bucket([r[1] for r in rows], z, 2), bucket([r[2] for r in rows], s, 1)
+        bits = [bz >> 1, bd >> 2, bd >> 1 & 1, bz & 1, bd & 1, bs]
+        assert got[d, z, s] == int("".join(map(str, bits)), 2)
 
 
 def test_entry_contract(spark):
@@ -145,8 +174,89 @@ def test_failing_tests_stop_the_build(spark, tables01):
         build_gold(tables)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         tables.fact.count()  # the fact was not built
-    reports = tables.read("test_reports")
+    reports = tables.report_history()
     assert reports.where("layer = 'dimensions' and failing_rows > 0").count() == 1
+    assert {r.version for r in tables.test_reports.collect()} == {2}  # those of the silver that counts
+
+
+def _silver_ids(tables):
+    return sorted(r.trip_id for r in tables.silver.select("trip_id").collect())
+
+
+def test_a_failing_build_leaves_the_published_rows(spark):
+    """Readers by path and by name keep the last good version; the failed one is only in the reports."""
+    root = f"{checkpoint_dir(spark)}/publish-{uuid.uuid4().hex[:8]}"
+    tables = run_pipeline(Lakehouse.from_fixture(spark, SF001), root)
+    register(tables, prefix="pub_")
+    good, by_name = _silver_ids(tables), spark.table("pub_taxis_silver.silver").count()
+    facts = tables.fact.count()
+    versions = {layer: tables.version(layer) for layer in ("bronze", "silver", "gold")}
+
+    # a new bronze with a doubled zone: silver must fail
+    lake = Lakehouse.from_fixture(spark, SF001)
+    lake.raw_zones = lake.raw_zones.unionByName(lake.raw_zones)
+    other = Tables(spark, root, lake.cfg)
+    build_bronze(lake, other)
+    with pytest.raises(quality.DataQualityError, match="LOCATIONID unique"):
+        build_silver(other)
+    for reader in (tables, Tables(spark, root), other):
+        assert reader.version("silver") == versions["silver"] and _silver_ids(reader) == good
+        assert reader.fact.count() == facts
+    assert tables.version("bronze") == versions["bronze"] and other.version("bronze").number == 2
+    assert tables.bronze_zones.count() * 2 == other.bronze_zones.count()  # an open reader keeps its state
+    assert spark.table("pub_taxis_silver.silver").count() == by_name
+    failed = tables.report_history().where("layer = 'zones' and version = 2 and failing_rows > 0")
+    assert failed.count() == 1 and tables.test_reports.where("failing_rows > 0").count() == 0
+
+    # a good build takes over path and name; the version before the last one goes
+    third = run_pipeline(Lakehouse.from_fixture(spark, SF001), root)
+    assert third.version("bronze").number == 3 and third.version("silver").number == 2
+    register(third, prefix="pub_")
+    location = spark.sql("DESCRIBE FORMATTED pub_taxis_silver.silver").where("col_name = 'Location'").first().data_type
+    assert third.version("silver").folder in location and spark.table("pub_taxis_silver.silver").count() == by_name
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(tables.path("bronze_zones"))  # version 1: two publications ago
+    assert _silver_ids(tables) == good  # version 1 of silver: the one before
+
+
+def test_a_build_resumes_at_the_first_unfinished_step(spark, monkeypatch):
+    root = f"{checkpoint_dir(spark)}/journal-{uuid.uuid4().hex[:8]}"
+
+    def crash(*a, **k):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(layout, "write_clustered", crash)
+        with pytest.raises(RuntimeError, match="killed"):
+            run_pipeline(Lakehouse.from_fixture(spark, SF001), root, resume=True)
+    again = run_pipeline(Lakehouse.from_fixture(spark, SF001), root, resume=True)
+    assert again.ran == ["gold"] and again.fact.count() > 0
+
+
+def test_a_changed_source_rebuilds_what_stands_on_it(spark, monkeypatch):
+    def stub(layer, source):
+        def build(*args):
+            tables = next(a for a in args if isinstance(a, Tables))
+            tables.publish(tables.publications.draft(layer), source(tables, args[0]))
+        return build
+
+    monkeypatch.setattr(layers, "build_bronze", stub("bronze", lambda t, lake: layers.bronze_source(lake)))
+    monkeypatch.setattr(layers, "build_silver", stub("silver", lambda t, _: t.version("bronze").folder))
+    monkeypatch.setattr(layers, "build_gold", stub("gold", lambda t, _: t.version("silver").folder))
+    monkeypatch.setattr(Publications, "_clean", lambda *a: None)
+    root = f"{checkpoint_dir(spark)}/sources-{uuid.uuid4().hex[:8]}"
+
+    def ran(lake, **kw):
+        return run_pipeline(lake, root, **kw).ran
+
+    plain = Lakehouse(spark, None, None, None, source="one")
+    plain.__dict__.update(bronze_yellow=None, bronze_green=None, bronze_zones=None)
+    assert ran(plain, resume=True) == ["bronze", "silver", "gold"]
+    assert ran(plain, resume=True) == []
+    # other parameters are another source; without resume or without an identity everything runs
+    for lake, kw in ((replace(plain, cfg=replace(plain.cfg, max_fact_speed_mph=50.0)), {"resume": True}), (plain, {}),
+                     (replace(plain, source=None), {"resume": True})):
+        assert ran(lake, **kw) == ["bronze", "silver", "gold"]
 
 
 def test_golden_percentiles_and_flags(duck, tables01):
@@ -161,11 +271,13 @@ def test_golden_percentiles_and_flags(duck, tables01):
 
 
 def test_numbering_cuts_trip_rows_by_ranges(spark, tables01):
-    """The window of the ordinal runs inside pinned ranges; only per-range tables are joined."""
+    """The window of the ordinal runs inside pinned ranges of the shared keys only; the
+    rows of other keys are not shuffled at all."""
     plan = tables01.lakehouse().silver._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Exchange hashpartitioning(_range" in line]
-    assert windows and all("_texts" in line for line in windows[:1])
-    assert "SinglePartition" not in plan
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # _last: the table of one row per range
+    assert moved and all("Exchange hashpartitioning(_range" in line or "Exchange hashpartitioning(_last" in line for line in moved)
+    assert any("_texts" in line for line in moved)
 
 
 def test_sql_questions_match_dataframe_versions(spark, tables01):
@@ -190,7 +302,7 @@ def test_sql_questions_match_dataframe_versions(spark, tables01):
 
 
 def test_hot_cluster_key_spreads_over_files(spark, tmp_path):
-    from tripstar.plans import layout
+    from tripstar.plans import layers, layout
 
     rows = [(20200101, 1, 1, f"id{i:05d}") for i in range(4000)] + [(20200102, 2, 1, f"x{i}") for i in range(10)]
     df = spark.createDataFrame(rows, "pickup_date_sk int, pickup_zone_sk long, service_type_sk long, trip_id string")

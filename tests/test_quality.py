@@ -2,7 +2,7 @@
 
 import pytest
 
-from tripstar.operators.quality import Check, DataQualityError, assert_quality, run_checks
+from tripstar.operators.quality import Check, DataQualityError, assert_quality, run_checks, run_table_checks
 
 
 def _report(df, checks, parents=None):
@@ -65,3 +65,30 @@ def test_doubled_zone_lookup_fires_unique(spark):
     assert ok == {"not_null": 0, "unique": 0} and bad == {"not_null": 0, "unique": 2}
     with pytest.raises(DataQualityError):
         assert_quality(run_checks(doubled, zone_checks()))
+
+
+def test_many_tables_and_checks_share_one_shuffle(spark):
+    a = spark.createDataFrame([(i, i % 3, None if i == 4 else "x") for i in range(9)] + [(0, 7, "y")], "id int, g int, t string")
+    b = spark.createDataFrame([("k",), ("k",), ("k",), ("l",), (None,)], "name string")
+    checks = [Check("a", "g", "expression_is_true", f"< {n}") for n in range(70)]  # more than one number holds
+    checks += [Check("a", "id", "unique"), Check("a", "t", "not_null"), Check("b", "name", "unique"), Check("a", "t", "unique"),
+               Check("b", "name", "not_null"), Check("c", "x", "not_null")]
+    report = run_table_checks({"a": a, "b": b}, checks)
+    got = {(r.table, r.column, r.test): r.failing_rows for r in report.collect()}
+    assert len(got) == 75 and ("c", "x", "not_null") not in got
+    for n in range(70):
+        assert got["a", "g", f"expression_is_true(< {n})"] == sum(1 for i in range(9) if i % 3 >= n) + (7 >= n)
+    assert got["a", "id", "unique"] == 1 and got["a", "t", "unique"] == 1 and got["b", "name", "unique"] == 1
+    assert got["a", "t", "not_null"] == 1 and got["b", "name", "not_null"] == 1
+    assert run_table_checks({"a": a}, [Check("b", "name", "unique")]) is None
+
+
+def test_no_second_scan_without_repeated_hashes(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "cast(id as string) s").write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    report = run_checks(t, [Check("t", "id", "unique"), Check("t", "s", "unique"), Check("t", "s", "not_null")])
+    assert {r.failing_rows for r in report.collect()} == {0}
+    final = report._jdf.queryExecution().executedPlan()
+    report._jdf.collect()
+    plan = final.toString().split("Initial Plan")[0]
+    assert plan.count("Scan parquet") <= 1 + plan.count("EmptyRelation"), plan

@@ -29,6 +29,13 @@ class PipelineConfig:
     cluster_keys: tuple[str, ...] = field(
         default_factory=lambda: ("pickup_date_sk", "pickup_zone_sk", "service_type_sk")
     )
+    # Order in which the keys give the bits of the curve index, coarse to fine: four
+    # zone groups, then 64 stretches of days, then both in turn down to single values.
+    cluster_curve: tuple[str, ...] = field(
+        default_factory=lambda: (
+            *["pickup_zone_sk"] * 2, *["pickup_date_sk"] * 6, *["pickup_zone_sk"] * 2, *["pickup_date_sk"] * 3,
+            *["pickup_zone_sk"] * 4, *["pickup_date_sk"] * 3, "service_type_sk")
+    )
 
 
 DEFAULT = PipelineConfig()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from .percentiles import percentile_cont, value_counts
+from .percentiles import percentile_cont
 
 TOP_ZONES = 10
 PEAK_HOURS_PER_DAY = 2
@@ -90,9 +90,8 @@ def duration_percentiles(fact: DataFrame, zone_dim: DataFrame, approximate: bool
     rank error about 1/``accuracy``; values are always observed durations, so
     they can differ from the interpolated exact ones).
 
-    Computed from (location, duration) counts and a running count over each
-    location's distinct durations (:mod:`.percentiles`), so a location with a
-    third of all trips is spread over many tasks instead of one.
+    Two counts of the fact select the durations (:mod:`.percentiles`); a location
+    with a third of all trips is combined map-side like any other.
     """
     if approximate:
         star = _star(
@@ -107,18 +106,16 @@ def duration_percentiles(fact: DataFrame, zone_dim: DataFrame, approximate: bool
                  F.percentile_approx(d, 0.9, accuracy).cast("double").alias("p90_duration_sec"))
             .orderBy("pickup_location_id")
         )
-    # Reduce the fact to (zone key, duration) counts on two narrow columns
-    # first; the zone attributes are joined onto that small table.
-    counts = value_counts(fact, ["pickup_zone_sk"], "trip_duration_seconds")
-    star = _star(
-        counts,
-        (zone_dim.select("pickup_zone_sk", "pickup_location_id", "pickup_borough", "pickup_zone"),
-         "pickup_zone_sk", False),
+    # The location stands for its rows by its smallest zone key, so the fact is
+    # counted by numbers; the names are joined to the result.
+    names = ["pickup_location_id", "pickup_borough", "pickup_zone"]
+    zones = zone_dim.select("pickup_zone_sk", *names, F.min("pickup_zone_sk").over(Window.partitionBy(*names)).alias("_group"))
+    trips = _star(fact.select("pickup_zone_sk", "trip_duration_seconds"), (zones.select("pickup_zone_sk", "_group"), "pickup_zone_sk", False))
+    found = percentile_cont(trips, ["_group"], "trip_duration_seconds", {"p50_duration_sec": 0.5, "p90_duration_sec": 0.9})
+    return (
+        found.join(zones.where("pickup_zone_sk = _group"), "_group")
+        .select(*names, "p50_duration_sec", "p90_duration_sec").orderBy("pickup_location_id")
     )
-    return percentile_cont(
-        star, ["pickup_location_id", "pickup_borough", "pickup_zone"], "trip_duration_seconds",
-        {"p50_duration_sec": 0.5, "p90_duration_sec": 0.9}, weight_col="_n",
-    ).orderBy("pickup_location_id")
 
 
 def demand_dow_hour(fact: DataFrame, date_dim: DataFrame, time_dim: DataFrame) -> DataFrame:

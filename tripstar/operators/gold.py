@@ -2,7 +2,7 @@
 
 Dimensions are ``distinct`` / ``group by`` over silver (map-side partial
 aggregation) followed by a surrogate key, numbered without moving all members
-to one task (see ``_surrogate``).  Sizes are bounded by construction — dates
+to one task (see ``number_members``).  Sizes are bounded by construction — dates
 by the validity window (< 4,100), times by the clock (86,400), labels by their
 fixed value lists — or by the zone lookup and the code domains.
 
@@ -16,33 +16,52 @@ bound are broadcast explicitly, the rest are left to AQE's runtime size check.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions import labels
 from ..functions.timecols import date_key, time_key
-from .ranges import numbered
+from .ranges import running_sum
 
 ROLES = ("pickup", "dropoff")
 
 
-def _surrogate(df: DataFrame, sk: str, order: list[Column]) -> DataFrame:
-    """``row_number()`` over the natural key (nulls last) as a long.
+def number_members(members: dict[str, tuple[DataFrame, str, list[str]]], pin=None) -> dict[str, DataFrame]:
+    """``row_number()`` over the natural key (nulls last) as a long, for many dimensions at once.
 
-    The members are cut into ranges of key order, numbered inside each and offset
-    by the sizes of the ranges before (:func:`.ranges.numbered`), so no dimension is
-    gathered in one task, however many members it has.
+    ``members`` maps a dimension to (members, surrogate key, natural key): at most one
+    whole-number column, then up to three texts.  All members are stacked, cut into
+    ranges of (dimension, key) order, numbered inside each and offset by the sizes of
+    the ranges before (:func:`.ranges.running_sum`): one written copy for all of them,
+    and no dimension is gathered in one task, however many members it has.
     """
-    return numbered(df, order, sk)
+    stacked, shapes = [], {}
+    for i, (name, (df, _, keys)) in enumerate(members.items()):
+        whole = [k for k in keys if isinstance(df.schema[k].dataType, T.IntegralType)]
+        if whole not in ([], keys[:1]) or len(keys) - len(whole) > 3:
+            raise ValueError(f"{name}: a key is one whole number at most, then up to three texts")
+        slots = ["k0"] * len(whole) + [f"k{j + 1}" for j in range(len(keys) - len(whole))]
+        shapes[name] = (i, slots)
+        held = dict(zip(slots, keys, strict=True))
+        stacked.append(df.select(F.lit(i).alias("dimension"), *[
+            (F.col(held[s]) if s in held else F.lit(None)).cast("long" if s == "k0" else "string").alias(s) for s in ("k0", "k1", "k2", "k3")],
+            F.lit(1).cast("long").alias("one")))
+    order = [F.col(s).asc_nulls_last() for s in ("k0", "k1", "k2", "k3")]
+    placed = running_sum(reduce(DataFrame.unionByName, stacked), ["dimension"], order, "one", "place")
+    placed = pin(placed, "members_numbered") if pin else placed
+    out = {}
+    for name, (df, sk, keys) in members.items():
+        i, slots = shapes[name]
+        out[name] = placed.where(F.col("dimension") == i).select(F.col("place").cast("long").alias(sk), *[
+            F.col(s).cast(df.schema[k].dataType).alias(k) for s, k in zip(slots, keys, strict=True)])
+    return out
 
 
 # --- date / time ------------------------------------------------------------------
-def dim_date(silver: DataFrame, role: str) -> DataFrame:
-    return _date_rows(silver.select(F.to_date(F.col(f"{role}_datetime_nyc")).alias("day")).distinct(), role)
-
-
 def _date_rows(days: DataFrame, role: str) -> DataFrame:
     cal = F.col("day")
     return days.select(
@@ -55,53 +74,12 @@ def _date_rows(days: DataFrame, role: str) -> DataFrame:
     )
 
 
-def dim_time(silver: DataFrame, role: str) -> DataFrame:
-    ts = F.col(f"{role}_datetime_nyc")
-    return _time_rows(silver.select(F.hour(ts).alias("hour"), F.minute(ts).alias("minute"), F.second(ts).alias("second")).distinct(), role)
-
-
 def _time_rows(times: DataFrame, role: str) -> DataFrame:
     sk = (F.col("hour") * 10000 + F.col("minute") * 100 + F.col("second")).cast("int")
     text = F.format_string("%02d:%02d:%02d", "hour", "minute", "second")
     return times.select(sk.alias(f"{role}_time_sk"), "hour", "minute", "second", text.alias(f"{role}_time_formatted"))
 
 
-# --- zones and codes ----------------------------------------------------------------
-def dim_zone(silver: DataFrame, role: str) -> DataFrame:
-    cols = [f"{role}_location_id", f"{role}_borough", f"{role}_zone", f"{role}_service_zone"]
-    zones = silver.select(*cols).distinct()
-    return _surrogate(zones, f"{role}_zone_sk", [F.col(c).asc_nulls_last() for c in cols])
-
-
-def dim_vendor(silver: DataFrame) -> DataFrame:
-    v = silver.select("vendor_id").distinct()
-    return _surrogate(v, "vendor_sk", [F.col("vendor_id").asc_nulls_last()])
-
-
-def dim_rate_code(silver: DataFrame) -> DataFrame:
-    r = silver.select("rate_code_id", "rate_code_description").distinct()
-    order = [F.col("rate_code_id").asc_nulls_last(), F.col("rate_code_description").asc_nulls_last()]
-    return _surrogate(r, "rate_code_sk", order)
-
-
-def dim_payment_type(silver: DataFrame) -> DataFrame:
-    p = silver.select("payment_type_description").distinct()
-    return _surrogate(p, "payment_type_sk", [F.col("payment_type_description").asc_nulls_last()])
-
-
-def dim_service_type(silver: DataFrame) -> DataFrame:
-    s = silver.select("service_type").distinct()
-    return _surrogate(s, "service_type_sk", [F.col("service_type").asc_nulls_last()])
-
-
-def dim_trip_type(silver: DataFrame) -> DataFrame:
-    t = silver.select("duration_flag", "speed_flag").distinct()
-    t = _surrogate(t, "trip_type_sk", [F.col("duration_flag").asc_nulls_last(), F.col("speed_flag").asc_nulls_last()])
-    return t.withColumn(
-        "trip_type_description", labels.trip_type_label(F.col("duration_flag"), F.col("speed_flag"))
-    )
-
-
 @dataclass
 class Dimensions:
     date_pickup: DataFrame
@@ -165,13 +143,28 @@ def dimension_members(silver: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
 def build_dimensions(silver: DataFrame, pin=None) -> Dimensions:
     """All dimensions.  ``pin`` (DataFrame, name -> DataFrame) may write the member
     tables and read them back, so that silver is not read once per dimension."""
-    pin = pin or (lambda df, name: df)
-    codes, zones, dates, times = (pin(df, f"members_{n}") for df, n in zip(
+    keep = pin or (lambda df, name: df)
+    codes, zones, dates, times = (keep(df, f"members_{n}") for df, n in zip(
         dimension_members(silver), ("codes", "zones", "dates", "times"), strict=True))
 
-    def zone(r: str) -> DataFrame:
-        own = zones.where(F.col("role") == r)
-        return dim_zone(own.select(*[F.col(c).alias(f"{r}_{c}") for c in ("location_id", "borough", "zone", "service_zone")]), r)
+    def zone(r: str) -> tuple[DataFrame, str, list[str]]:
+        cols = ["location_id", "borough", "zone", "service_zone"]
+        own = zones.where(F.col("role") == r).select(*[F.col(c).alias(f"{r}_{c}") for c in cols])
+        return own, f"{r}_zone_sk", own.columns
+
+    def code(sk: str, *keys: str) -> tuple[DataFrame, str, list[str]]:
+        return codes.select(*keys).distinct(), sk, list(keys)
+
+    numbered = number_members({
+        **{f"zone_{r}": zone(r) for r in ROLES},
+        "vendor": code("vendor_sk", "vendor_id"),
+        "rate_code": code("rate_code_sk", "rate_code_id", "rate_code_description"),
+        "payment_type": code("payment_type_sk", "payment_type_description"),
+        "service_type": code("service_type_sk", "service_type"),
+        "trip_type": code("trip_type_sk", "duration_flag", "speed_flag"),
+    }, pin)
+    label = labels.trip_type_label(F.col("duration_flag"), F.col("speed_flag"))
+    numbered["trip_type"] = numbered["trip_type"].withColumn("trip_type_description", label)
 
     def date(r: str) -> DataFrame:
         return _date_rows(dates.where(F.col("role") == r).select("day"), r)
@@ -179,19 +172,7 @@ def build_dimensions(silver: DataFrame, pin=None) -> Dimensions:
     def time(r: str) -> DataFrame:
         return _time_rows(times.where(F.col("role") == r).select("hour", "minute", "second"), r)
 
-    return Dimensions(
-        date_pickup=date("pickup"),
-        date_dropoff=date("dropoff"),
-        time_pickup=time("pickup"),
-        time_dropoff=time("dropoff"),
-        zone_pickup=zone("pickup"),
-        zone_dropoff=zone("dropoff"),
-        vendor=dim_vendor(codes),
-        rate_code=dim_rate_code(codes),
-        payment_type=dim_payment_type(codes),
-        service_type=dim_service_type(codes),
-        trip_type=dim_trip_type(codes),
-    )
+    return Dimensions(**{f"date_{r}": date(r) for r in ROLES}, **{f"time_{r}": time(r) for r in ROLES}, **numbered)
 
 
 # --- fact -----------------------------------------------------------------------------
@@ -228,6 +209,14 @@ def tip_percentage() -> Column:
     return F.when(F.col("fare_amount") > 0, (F.col("tip_amount") / F.col("fare_amount")) * 100).otherwise(F.lit(0.0))
 
 
+def cluster_weights(silver: DataFrame, dims: Dimensions) -> DataFrame:
+    """The fact's cluster keys of every silver row (a superset of the fact), without the other joins."""
+    t = silver.select(date_key(F.to_date("pickup_datetime_nyc")).alias("pickup_date_sk"), "pickup_location_id", "service_type")
+    t = t.join(dims.zone_pickup.select("pickup_zone_sk", "pickup_location_id"), "pickup_location_id", "left")
+    return t.join(F.broadcast(dims.service_type.select("service_type_sk", "service_type")), "service_type", "left").select(
+        "pickup_date_sk", "pickup_zone_sk", "service_type_sk")
+
+
 def fct_trips(silver: DataFrame, dims: Dimensions, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     cond = None
     for _, rule in fact_rules(cfg):

@@ -4,10 +4,8 @@ Each column's nulls are replaced by the element at index ``floor(n / 2)`` of
 its sorted non-null values — the upper median for even ``n`` — which is
 ``percentile_disc(0.5)`` over the values in *descending* order.
 
-All columns go through one pass: their values are reduced to (column, value)
-counts with map-side combine, and a running count in value order
-(:func:`.ranges.running_sum`) finds the value at the middle rank, so no task holds
-the distinct values of a column.  The medians are one row, used as a scalar of the
+All columns go through the same two counts (:func:`.percentiles.values_at`), so no
+task holds the values of a column.  The medians are one row, used as a scalar of the
 plan.  A column with no values stays null.
 """
 
@@ -17,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ranges import running_sum
+from .percentiles import values_at
 
 SAMPLE_NUMERIC_COLUMNS = ["Age", "Fare", "Parch", "Pclass", "SibSp", "Survived"]
 
@@ -32,11 +30,9 @@ def upper_medians(df: DataFrame, columns: list[str]) -> DataFrame:
         (F.col(f"`{c}`").cast("long") if whole[c] else F.lit(None).cast("long")).alias("l"),
         (F.lit(None).cast("double") if whole[c] else F.col(f"`{c}`").cast("double")).alias("d")) for i, c in enumerate(columns)]
     values = df.select(F.explode(F.array(*cells)).alias("x")).select("x.*").where("l is not null or d is not null")
-    counts = values.groupBy("i", "l", "d").agg(F.count(F.lit(1)).alias("n"))
-    upto = running_sum(counts, ["i"], [F.col("l").asc_nulls_first(), F.col("d").asc_nulls_first()], "n", "upto")
-    total = upto.groupBy("i").agg(F.max("upto").alias("all"))
-    middle = upto.join(total, "i").where(F.col("upto") > F.floor(F.col("all") / 2))
-    found = middle.groupBy("i").agg(F.min(F.struct("l", "d")).alias("m"))
+    values = values.select("i", F.struct("l", "d").alias("v"))
+    number = F.coalesce(F.col("v.l").cast("double"), F.col("v.d"))
+    found = values_at(values, ["i"], "v", {"m": lambda n: F.floor(n / 2)}, number=number)
     picks = [F.max(F.when(F.col("i") == i, F.col("m.l") if whole[c] else F.col("m.d"))).cast(types[c]).alias(c)
              for i, c in enumerate(columns)]
     return found.agg(*picks)

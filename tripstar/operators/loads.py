@@ -3,7 +3,7 @@ natural-key de-duplication (L4)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
@@ -35,11 +35,20 @@ def coverage_matrix(spark: SparkSession, trips: DataFrame, cfg: PipelineConfig =
     columns).  Counting is a partial/final aggregation followed by a pivot with
     the service list given, so no extra pass collects the pivot values.
     """
+    return _coverage(spark, trips, F.count(F.lit(1)), cfg)
+
+
+def coverage_from_log(spark: SparkSession, load_log: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """F9 from the load log alone (rows per service and month): no trip is read."""
+    return _coverage(spark, load_log, F.sum("rows"), cfg)
+
+
+def _coverage(spark: SparkSession, rows: DataFrame, count: Column, cfg: PipelineConfig) -> DataFrame:
     services = list(cfg.services)
     counts = (
-        trips.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
+        rows.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
         .pivot("service_type", services)
-        .agg(F.count(F.lit(1)))
+        .agg(count)
     )
     out = month_sequence(spark, cfg).join(counts, ["year", "month"], "left")
     count_cols = {s: F.coalesce(F.col(s), F.lit(0)).cast("long").alias(f"{s}_count") for s in services}

@@ -1,14 +1,23 @@
 """Duplicate ordinal (G1): ``row_number`` per natural key, balanced for any key.
 
 The reference numbers trips with ``row_number() over (partition by <natural
-key> order by ...)``.  Written literally, every row of one natural key lands in
-one task.  Here the rows are cut into ranges of equal size of the total order
+key> order by ...)``.  Written literally, all rows are shuffled and sorted, and every
+row of one natural key lands in one task, though nearly every key is unique.
+
+First the rows are split.  Keys are reduced to 64-bit hashes and counted; the hashes
+that occur more than once are written as a table.  A row whose hash is not in it is
+alone: its ordinal is 1, without a window and without moving it.  A collision only
+sends two more rows to the exact path.  The table of shared hashes is broadcast if its
+counted size is at most ``BROADCAST_ROWS``; then no full row is shuffled for the
+split.  Beyond that the rows are joined with it once (Spark splits skewed keys) and
+written in two parts.
+
+The shared rows are cut into ranges of equal size of the total order
 
     natural key, remaining columns, position
 
 so a key with any share of the rows, copies included, spreads over as many
-ranges as it needs.  There is one plan for every size: no sample, threshold or
-cap takes part in a result.
+ranges as it needs.  There is no sample, threshold or cap in a result.
 
 1. ``repartitionByRange`` on that order, written once to the shared folder, so
    that everything below sees the same ranges, also after a lost executor.
@@ -30,9 +39,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
 from .ranges import RANGE, pinned_ranges
 
-_TIE, _KEY, _RN = "_tie", "_key", "_rn"
+_TIE, _KEY, _RN, _HASH = "_tie", "_key", "_rn", "_key_hash"
+# Shared key hashes (8 bytes each) that are broadcast at most.
+BROADCAST_ROWS = 4_000_000
 
 
 def number_within_key(
@@ -41,17 +53,46 @@ def number_within_key(
     order_cols: list[str] | None = None,
     ordinal_col: str = "ordinal",
     ranges: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Return ``df`` with ``ordinal_col`` = 1..n inside each group of ``key_cols``.
 
     ``order_cols`` defaults to all other columns; keys compare null-safely.
     ``ranges`` (default ``spark.sql.shuffle.partitions``) only sets how finely the
-    work is cut.
+    work is cut, ``broadcast_rows`` how the shared rows are found.  ``df`` is read
+    several times, so it should be a written table or a cheap plan over one.
     """
     content = df.columns
     if order_cols is None:
         order_cols = [c for c in content if c not in key_cols]
     types = {f.name: f.dataType for f in df.schema.fields}
+    alone, shared = split_by_key(df, key_cols, broadcast_rows)
+    several = _number_shared(shared, types, key_cols, order_cols, ordinal_col, ranges)
+    return alone.withColumn(ordinal_col, F.lit(1).cast("long")).unionByName(several)
+
+
+def split_by_key(df: DataFrame, key_cols: list[str], broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key certainly occurs once, all other rows)."""
+    spark = df.sparkSession
+    types = {f.name: f.dataType for f in df.schema.fields}
+    keyed = df.withColumn(_HASH, F.xxhash64(*[_plain(c, types[c]) for c in key_cols]))
+    path = scratch_path(spark, "shared-keys")
+    counts = keyed.groupBy(_HASH).agg(F.count(F.lit(1)).alias("_n"))
+    counts.where(F.col("_n") > 1).select(_HASH).write.parquet(path)
+    shared = spark.read.parquet(path)
+    if shared.count() <= broadcast_rows:
+        shared = F.broadcast(shared)
+        return keyed.join(shared, _HASH, "left_anti").drop(_HASH), keyed.join(shared, _HASH, "left_semi").drop(_HASH)
+    flagged = keyed.join(shared.withColumn("_several", F.lit(True)), _HASH, "left").drop(_HASH)
+    path = scratch_path(spark, "split-keys")
+    flagged.withColumn("_several", F.col("_several").isNotNull()).write.partitionBy("_several").parquet(path)
+    parts = spark.read.schema(flagged.schema).parquet(path)
+    return tuple(parts.where(F.col("_several") == several).drop("_several") for several in (False, True))
+
+
+def _number_shared(df: DataFrame, types: dict[str, T.DataType], key_cols: list[str], order_cols: list[str],
+                   ordinal_col: str, ranges: int | None) -> DataFrame:
+    content = df.columns
     order = [_plain(c, types[c]).asc_nulls_last() for c in [*key_cols, *order_cols]]
 
     # 1. the ranges, pinned by one write
@@ -87,8 +128,11 @@ def _edges(keyed: DataFrame) -> DataFrame:
     # rows of each range's last key: at most one group per range survives the join
     last = keyed.join(F.broadcast(ends.select(RANGE, "_last")), RANGE).where(F.col(_KEY) == F.col("_last"))
     last = last.groupBy(RANGE, "_last").agg(F.count(F.lit(1)).alias("_rows"))
-    # a running sum over the ranges that end with the same key (one row per range)
+    # a running sum over the ranges that end with the same key; a range's first key
+    # can only continue the last key of the range just before it
     run = Window.partitionBy("_last").orderBy(RANGE)
-    sums = last.select(F.col(RANGE).alias("_from"), F.col("_last").alias("_k"), F.sum("_rows").over(run).alias("_sum"))
-    before = ends.join(F.broadcast(sums), (F.col("_k") == F.col("_first")) & (F.col("_from") < F.col(RANGE)), "left")
-    return before.groupBy(RANGE, "_first").agg(F.coalesce(F.max("_sum"), F.lit(0)).alias("_before"))
+    sums = last.select(RANGE, F.sum("_rows").over(run).alias("_sum"))
+    one_row_per_range = Window.orderBy(RANGE)
+    before = ends.join(sums, RANGE).withColumns({
+        "_left": F.lag("_last").over(one_row_per_range), "_carried": F.lag("_sum").over(one_row_per_range)})
+    return before.select(RANGE, "_first", F.when(F.col("_left") == F.col("_first"), F.col("_carried")).otherwise(F.lit(0)).alias("_before"))

@@ -1,10 +1,15 @@
 """Declarative data tests (K1-K8).
 
-Checks are data (``Check``); ``run_checks`` evaluates all of a table's
-not-null, expression, accepted-value and relationship checks in **one scan**
-(one aggregation with a conditional count per check; relationships are left
-joins to the distinct parent keys, which Spark broadcasts when the parent is
-small), and each ``unique`` check as one grouped count with map-side combine.
+Checks are data (``Check``).  All checks of a table are evaluated in **one scan**, and
+those of any number of tables meet in **one small shuffle**.  A row turns into cells:
+
+* one for every ``unique`` key, with a 64-bit hash of its value,
+* one with the bits of the other checks it fails, if it fails any (relationships are
+  left joins to the distinct parent keys, broadcast when the parent is small).
+
+Cells are counted with map-side combine.  Rows that pass cost nothing beyond their key
+hashes.  Hashes that occur twice are confirmed on the values themselves; without any,
+which is the rule, that second scan is not made.
 The result is a small report DataFrame ``(table, column, test, failing_rows)``;
 ``assert_quality`` is the gate that stops a layer build when a check fails (K8).
 
@@ -45,7 +50,12 @@ class Check:
 
 
 class DataQualityError(RuntimeError):
-    pass
+    """Raised by the gate; ``failures`` holds (table, column, test, failing rows)."""
+
+    def __init__(self, failures: list[tuple]):
+        self.failures = failures
+        lines = "\n".join(f"  {t}.{c} {test}: {n} failing rows" for t, c, test, n in failures)
+        super().__init__(f"{len(failures)} data test(s) failed:\n{lines}")
 
 
 # --- check lists of the layers ------------------------------------------------------
@@ -133,61 +143,104 @@ def all_checks() -> list[Check]:
     return zone_checks() + silver_checks() + dim_checks() + fact_checks()
 
 
-def run_table_checks(tables: dict[str, DataFrame], checks: list[Check],
-                     parents: dict[str, DataFrame] | None = None) -> DataFrame | None:
-    """``run_checks`` for checks spread over several tables, one report."""
-    reports = []
-    for name, df in tables.items():
-        mine = [c for c in checks if c.table == name]
-        if mine:
-            reports.append(run_checks(df, mine, parents))
-    return reduce(DataFrame.unionByName, reports) if reports else None
+# --- evaluation -----------------------------------------------------------------------
+# Checks whose results share one number.
+BITS = 60
 
 
-# --- evaluation -----------------------------------------------------------------------
-def _failing(check: Check, parent_marker: str | None = None) -> Column:
+def _fails(check: Check, parent_marker: str | None = None) -> Column:
     c = F.col(check.column)
     if check.test == "not_null":
-        bad = c.isNull()
-    elif check.test == "expression_is_true":
-        bad = ~F.expr(f"`{check.column}` {check.arg}")
-    elif check.test == "accepted_values":
-        bad = c.isNotNull() & ~c.isin(*check.arg)
-    elif check.test == "relationships":
-        bad = c.isNotNull() & F.col(parent_marker).isNull()
-    else:
-        raise ValueError(check.test)
-    return F.count(F.when(bad, 1))
+        return c.isNull()
+    if check.test == "expression_is_true":
+        return ~F.expr(f"`{check.column}` {check.arg}")
+    if check.test == "accepted_values":
+        return c.isNotNull() & ~c.isin(*check.arg)
+    if check.test == "relationships":
+        return c.isNotNull() & F.col(parent_marker).isNull()
+    raise ValueError(check.test)
 
 
-def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Evaluate ``checks`` against ``df``; ``parents`` maps dimension names to tables."""
-    parents = parents or {}
-    scan_checks = [c for c in checks if c.test != "unique"]
-    pieces: list[DataFrame] = []
-    if scan_checks:
-        data = df
-        markers: dict[Check, str] = {}
-        for i, chk in enumerate(c for c in scan_checks if c.test == "relationships"):
-            parent_name, field = chk.arg.split(".")
+@dataclass(frozen=True)
+class _Numbered:
+    """A check, its place in the report, and the cell that holds its result."""
+    check: Check
+    place: int
+    cell: int
+    bit: int = -1  # of the cell's number; unique checks have a cell of their own
+
+
+def _number(checks: list[Check]) -> list[_Numbered]:
+    out, bits, cell = [], BITS, -1
+    table = None
+    for place, chk in enumerate(checks):
+        if chk.test == "unique":
+            out.append(_Numbered(chk, place, len(checks) + place))
+            continue
+        if bits == BITS or chk.table != table:
+            cell, bits, table = cell + 1, 0, chk.table
+        out.append(_Numbered(chk, place, cell, bits))
+        bits += 1
+    return out
+
+
+def _cells(df: DataFrame, numbered: list[_Numbered], parents: dict[str, DataFrame]) -> DataFrame:
+    """(cell, h): what a scan of ``df`` has to say about its checks."""
+    masks: dict[int, Column] = {}
+    unique: list[Column] = []
+    for i, n in enumerate(numbered):
+        marker = None
+        if n.check.test == "relationships":
+            parent_name, field = n.check.arg.split(".")
             marker = f"_parent_{i}"
             keys = parents[parent_name].select(F.col(field).alias(marker)).distinct()
-            data = data.join(keys, data[chk.column] == keys[marker], "left")
-            markers[chk] = marker
-        aggs = [_failing(chk, markers.get(chk)).alias(f"k{i}") for i, chk in enumerate(scan_checks)]
-        wide = data.agg(*aggs)
-        stack = ", ".join(
-            f"{_lit(c.table)}, {_lit(c.column)}, {_lit(c.name)}, k{i}" for i, c in enumerate(scan_checks)
-        )
-        pieces.append(wide.selectExpr(f"stack({len(scan_checks)}, {stack}) AS (`table`, `column`, test, failing_rows)"))
-    for chk in (c for c in checks if c.test == "unique"):
-        dup = duplicated_values(df, chk.column).agg(F.count(F.lit(1)).alias("failing_rows"))
-        pieces.append(
-            dup.select(F.lit(chk.table).alias("table"), F.lit(chk.column).alias("column"),
-                       F.lit(chk.name).alias("test"), "failing_rows")
-        )
-    report = reduce(DataFrame.unionByName, pieces)
-    return report.select(*[F.col(c) for c in REPORT_COLUMNS[:3]], F.col("failing_rows").cast("long"))
+            df = df.join(keys, df[n.check.column] == keys[marker], "left")
+        if n.check.test == "unique":
+            h = F.xxhash64(n.check.column)
+            unique.append(F.when(F.col(n.check.column).isNotNull(), F.struct(F.lit(n.cell).alias("cell"), h.alias("h"))))
+        else:
+            bit = F.when(_fails(n.check, marker), F.lit(1 << n.bit).cast("long")).otherwise(F.lit(0).cast("long"))
+            masks[n.cell] = masks[n.cell].bitwiseOR(bit) if n.cell in masks else bit
+    failed = [F.when(m != 0, F.struct(F.lit(c).alias("cell"), m.alias("h"))) for c, m in masks.items()]
+    return df.select(F.explode(F.array(*unique, *failed)).alias("c")).where("c is not null").select("c.cell", "c.h")
+
+
+def run_table_checks(tables: dict[str, DataFrame], checks: list[Check],
+                     parents: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """The report of all ``checks`` on the given tables; those of other tables are left out."""
+    numbered = _number([c for c in checks if c.table in tables])
+    if not numbered:
+        return None
+    spark = next(iter(tables.values())).sparkSession
+    by_table = {t: [n for n in numbered if n.check.table == t] for t in tables}
+    cells = [_cells(tables[t], own, parents or {}) for t, own in by_table.items() if own]
+    counts = reduce(DataFrame.unionByName, cells).groupBy("cell", "h").agg(F.count(F.lit(1)).alias("n"))
+
+    found = []
+    bits = [(n.cell, n.bit, n.place) for n in numbered if n.bit >= 0]
+    if bits:
+        places = spark.createDataFrame(bits, "cell int, bit int, place int")
+        failed = counts.join(F.broadcast(places), "cell")  # a row per check
+        found.append(failed.where(F.expr("(shiftright(h, bit) & 1L) = 1")).groupBy("place").agg(F.sum("n").alias("failing_rows")))
+    keys = [n for n in numbered if n.bit < 0]
+    if keys:
+        twice = counts.where((F.col("cell") >= len(numbered)) & (F.col("n") > 1)).select("cell", "h")
+        found.append(_duplicated(tables, keys, twice).groupBy(F.col("place")).agg(F.count(F.lit(1)).alias("failing_rows")))
+    listed = spark.createDataFrame([(n.place, n.check.table, n.check.column, n.check.name) for n in numbered],
+                                   "place int, `table` string, `column` string, test string")
+    report = listed.join(reduce(DataFrame.unionByName, found), "place", "left")
+    return report.select(*REPORT_COLUMNS[:3], F.coalesce("failing_rows", F.lit(0)).cast("long").alias("failing_rows"))
+
+
+def _duplicated(tables: dict[str, DataFrame], keys: list[_Numbered], twice: DataFrame) -> DataFrame:
+    """(place, value) of the key values that occur more than once, among the hashes that do."""
+    parts = []
+    for n in keys:
+        column = F.col(n.check.column)
+        values = tables[n.check.table].where(column.isNotNull()).select(
+            F.lit(n.place).alias("place"), F.lit(n.cell).alias("cell"), F.xxhash64(column).alias("h"), column.cast("string").alias("value"))
+        parts.append(values.join(twice, ["cell", "h"], "left_semi"))
+    return reduce(DataFrame.unionByName, parts).groupBy("place", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def duplicated_values(df: DataFrame, column: str) -> DataFrame:
@@ -196,14 +249,14 @@ def duplicated_values(df: DataFrame, column: str) -> DataFrame:
     return counts.where(F.col("occurrences") > 1)
 
 
-def _lit(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Evaluate ``checks`` against ``df``; ``parents`` maps dimension names to tables."""
+    return run_table_checks({c.table: df for c in checks}, checks, parents)
 
 
 def assert_quality(report: DataFrame, on_fail: str = "raise") -> list[tuple]:
     """K8 gate: collect the (small) report; raise when any check fails."""
     failures = [tuple(r) for r in report.where(F.col("failing_rows") > 0).collect()]
     if failures and on_fail == "raise":
-        lines = "\n".join(f"  {t}.{c} {test}: {n} failing rows" for t, c, test, n in failures)
-        raise DataQualityError(f"{len(failures)} data test(s) failed:\n{lines}")
+        raise DataQualityError(failures)
     return failures

@@ -9,12 +9,10 @@ one row per range.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_path
 
 RANGE = "_range"
 
@@ -23,7 +21,7 @@ def pinned_ranges(df: DataFrame, order: list[Column], ranges: int | None = None)
     """``df`` with ``_range``: a written copy, range-partitioned by ``order``."""
     spark = df.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = f"{checkpoint_dir(spark)}/ranges-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, "ranges")
     df.repartitionByRange(ranges, *order).withColumn(RANGE, F.spark_partition_id()).write.parquet(path)
     return spark.read.parquet(path)
 

@@ -3,21 +3,27 @@
 ``Lakehouse`` wires the DataFrame functions of :mod:`tripstar.operators` into
 lazily built layers over any raw source (monthly files, managed tables or the
 test fixture).  ``build_*`` write each layer as tables in order and return the
-data-test report of the layer, like the reference's layer runners.
+data-test report of the layer, like the reference's layer runners.  A layer is
+tested before anybody can read it (:mod:`.publish`): when a test fails, the build
+stops and the last good version stays current.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from functools import cached_property, partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..operators import bronze, gold, quality, silver
-from . import layout
+from ..session import scratch_tables
 from ..sources import fixture
+from . import layout
+from .publish import Publications, Version
 
 
 @dataclass
@@ -30,6 +36,8 @@ class Lakehouse:
     # Both services' raw rows in one frame with a SERVICE column, when the
     # source produces them together (the fixture); written once by build_bronze.
     raw_combined: DataFrame | None = None
+    # Identity of the raw tables; a build can only be resumed if there is one.
+    source: str | None = None
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = DEFAULT) -> "Lakehouse":
@@ -41,6 +49,7 @@ class Lakehouse:
             fixture.raw_zones(spark, sf_dir),
             cfg,
             raw_combined=rows,
+            source=f"fixture {sf_dir.rstrip('/')}",
         )
 
     @classmethod
@@ -54,6 +63,7 @@ class Lakehouse:
             loader.read_raw(spark, raw_root, "green"),
             spark.read.parquet(f"{raw_root.rstrip('/')}/raw_zones"),
             cfg,
+            source=loader.raw_version(spark, raw_root),
         )
 
     # bronze
@@ -102,20 +112,66 @@ DIM_NAMES = [
 FACT_ROW_GROUP_BYTES = 32 * 1024 * 1024
 
 
+LAYER_TABLES = {
+    "bronze": ["raw_trips", "bronze_yellow", "bronze_green", "bronze_zones"],
+    "silver": ["silver"],
+    "gold": [*DIM_NAMES, "fct_trips"],
+}
+_LAYER_OF = {t: layer for layer, names in LAYER_TABLES.items() for t in names}
+REPORT_SCHEMA = "`table` string, `column` string, test string, failing_rows long, layer string, version int, run string"
+
+
 @dataclass
 class Tables:
-    """Layer tables written under ``root`` (one directory per table)."""
+    """Published layer tables under ``root``.
+
+    An object reads one state: the versions that were current when it first looked.
+    Its own builds move it on, as does :meth:`refresh`.
+    """
 
     spark: SparkSession
     root: str
     cfg: PipelineConfig = DEFAULT
+    ran: list[str] = field(default_factory=list)  # steps that run_pipeline did not skip
+    _current: dict[str, Version] | None = None
+
+    @property
+    def publications(self) -> Publications:
+        return Publications(self.spark, self.root)
+
+    def refresh(self) -> "Tables":
+        self._current = {layer: versions[-1] for layer, versions in self.publications.history().items()}
+        return self
+
+    def version(self, layer: str) -> Version | None:
+        if self._current is None:
+            self.refresh()
+        return self._current.get(layer)
+
+    def publish(self, draft: Version, source: str) -> None:
+        done = self.publications.publish(draft, source)
+        self.refresh()
+        self._current[done.layer] = done
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """Folder of a table in the current version of its layer."""
+        layer = _LAYER_OF[name]
+        version = self.version(layer)
+        return self.publications.path(version, name) if version else f"{self.root}/{layer}/unpublished/{name}"
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def report_history(self) -> DataFrame:
+        """Data-test reports of every build, those that failed included."""
+        return self.spark.read.schema(REPORT_SCHEMA).parquet(f"{self.root}/test_reports")
+
+    @property
+    def test_reports(self) -> DataFrame:
+        """Data-test reports of the current versions."""
+        self.version("bronze")
+        return self.report_history().where(F.col("run").isin([v.run for v in self._current.values()]))
+
     @property
     def bronze_yellow(self) -> DataFrame:
         return self.read("bronze_yellow")
@@ -153,25 +209,35 @@ def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _write_all(frames: dict[str, DataFrame], jobs: int = 4) -> None:
+    """Independent tables (path -> rows), a few at a time, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(jobs) as pool:
+        list(pool.map(_write, frames.values(), frames))
+
+
 def build_bronze(lake: Lakehouse, tables: Tables) -> None:
     """Raw -> bronze.  A combined raw source is written once, partitioned by
     service, so each bronze table reads only its own partition."""
+    draft = tables.publications.draft("bronze")
+    path = partial(tables.publications.path, draft)
     by, bg = lake.bronze_yellow, lake.bronze_green
     if lake.raw_combined is not None:
-        # a full refresh: a service without rows today must not keep yesterday's
-        (lake.raw_combined.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("SERVICE").parquet(tables.path("raw_trips")))
-        raw = tables.read("raw_trips")
+        lake.raw_combined.write.partitionBy("SERVICE").parquet(path("raw_trips"))
+        raw = tables.spark.read.parquet(path("raw_trips"))
         by = bronze.bronze_yellow(fixture.raw_from_rows(raw, "yellow"))
         bg = bronze.bronze_green(fixture.raw_from_rows(raw, "green"))
-    _write(by, tables.path("bronze_yellow"))
-    _write(bg, tables.path("bronze_green"))
-    _write(lake.bronze_zones, tables.path("bronze_zones"))
+    _write_all({path("bronze_yellow"): by, path("bronze_green"): bg, path("bronze_zones"): lake.bronze_zones})
+    tables.publish(draft, bronze_source(lake))
+
 
+def bronze_source(lake: Lakehouse) -> str:
+    """What a bronze version is built from; empty if the raw tables have no identity."""
+    return f"{lake.source}|{lake.cfg}" if lake.source else ""
 
-def _gate(tables: Tables, layer: str, report: DataFrame, on_fail: str) -> DataFrame:
-    """Write a layer's test report as a table, then let it stop the build."""
-    path = f"{tables.path('test_reports')}/layer={layer}"
+
+def _gate(tables: Tables, draft: Version, layer: str, report: DataFrame, on_fail: str) -> DataFrame:
+    """Write a test report of a draft, then let it stop the build."""
+    path = f"{tables.root}/test_reports/layer={layer}/version={draft.number}/run={draft.run}"
     _write(report, path)
     written = tables.spark.read.parquet(path)
     quality.assert_quality(written, on_fail)
@@ -180,42 +246,69 @@ def _gate(tables: Tables, layer: str, report: DataFrame, on_fail: str) -> DataFr
 
 def build_silver(tables: Tables, on_fail: str = "raise") -> DataFrame:
     """Silver from the bronze tables; returns the evaluated data-test report."""
+    draft = tables.publications.draft("silver")
     # The zone lookup is checked first: duplicated ids would multiply trips.
-    zones = _gate(tables, "zones", quality.run_checks(tables.bronze_zones, quality.zone_checks()), on_fail)
-    lk = tables.lakehouse()
-    _write(lk.silver, tables.path("silver"))
-    report = quality.run_checks(tables.silver, quality.silver_checks())
-    return _gate(tables, "silver", report, on_fail).unionByName(zones)
+    zones = _gate(tables, draft, "zones", quality.run_checks(tables.bronze_zones, quality.zone_checks()), on_fail)
+    path = tables.publications.path(draft, "silver")
+    with scratch_tables(tables.spark):
+        _write(tables.lakehouse().silver, path)
+    report = quality.run_checks(tables.spark.read.parquet(path), quality.silver_checks())
+    report = _gate(tables, draft, "silver", report, on_fail)
+    tables.publish(draft, _folder(tables, "bronze"))
+    return report.unionByName(zones)
 
 
 def build_gold(tables: Tables, on_fail: str = "raise") -> DataFrame:
     """Dimensions and their tests, then the clustered fact and its tests."""
-    s = tables.silver
+    draft = tables.publications.draft("gold")
+    path, s = partial(tables.publications.path, draft), tables.silver
 
     def pin(df: DataFrame, name: str) -> DataFrame:
-        _write(df, tables.path(name))
-        return tables.read(name)
+        _write(df, path(name))
+        return tables.spark.read.parquet(path(name))
 
-    for name, dim in gold.build_dimensions(s, pin).as_dict().items():
+    with scratch_tables(tables.spark):
         # one sorted file each; the shuffle in between keeps the work above spread
-        _write(dim.repartition(1).sortWithinPartitions(dim.columns[0]), tables.path(name))
-    dims = tables.dims
+        _write_all({path(name): dim.repartition(1).sortWithinPartitions(dim.columns[0])
+                    for name, dim in gold.build_dimensions(s, pin).as_dict().items()})
+    dims = gold.Dimensions(*[tables.spark.read.parquet(path(n)) for n in DIM_NAMES])
     # a doubled member would multiply facts, so dimensions are tested first
-    checked = _gate(tables, "dimensions", quality.run_table_checks(dims.as_dict(), quality.dim_checks()), on_fail)
+    checked = quality.run_table_checks(dims.as_dict(), quality.dim_checks())
+    checked = _gate(tables, draft, "dimensions", checked, on_fail)
     fact = gold.fct_trips(s, dims, tables.cfg)
     files = layout.files_for(tables.spark, tables.path("silver"))
-    layout.write_clustered(fact, tables.path("fct_trips"), tables.cfg, files=files,
-                           row_group_bytes=FACT_ROW_GROUP_BYTES)
-    report = quality.run_checks(tables.fact, quality.fact_checks(), dims.as_dict())
-    return _gate(tables, "gold", report, on_fail).unionByName(checked)
+    with scratch_tables(tables.spark):
+        layout.write_clustered(fact, path("fct_trips"), tables.cfg, files=files, row_group_bytes=FACT_ROW_GROUP_BYTES,
+                               weights=gold.cluster_weights(s, dims))
+    report = quality.run_checks(tables.spark.read.parquet(path("fct_trips")), quality.fact_checks(), dims.as_dict())
+    report = _gate(tables, draft, "gold", report, on_fail)
+    tables.publish(draft, _folder(tables, "silver"))
+    return report.unionByName(checked)
+
+
+def _folder(tables: Tables, layer: str) -> str:
+    return tables.version(layer).folder
 
 
-def run_pipeline(lake: Lakehouse, root: str, on_fail: str = "raise") -> Tables:
-    """Raw -> bronze -> silver (+tests) -> gold (+tests), in order."""
+def run_pipeline(lake: Lakehouse, root: str, on_fail: str = "raise", resume: bool = False) -> Tables:
+    """Raw -> bronze -> silver (+tests) -> gold (+tests), in order.
+
+    With ``resume``, a layer whose current version was built from the same source is
+    kept, so a run after a crash begins at the first unfinished step; the steps
+    that ran are in ``Tables.ran``.
+    """
     tables = Tables(lake.spark, root.rstrip("/"), lake.cfg)
-    build_bronze(lake, tables)
-    build_silver(tables, on_fail)
-    build_gold(tables, on_fail)
+    steps = {
+        "bronze": (lambda: build_bronze(lake, tables), lambda: bronze_source(lake)),
+        "silver": (lambda: build_silver(tables, on_fail), lambda: _folder(tables, "bronze")),
+        "gold": (lambda: build_gold(tables, on_fail), lambda: _folder(tables, "silver")),
+    }
+    for layer, (build, source) in steps.items():
+        have = tables.version(layer)
+        if resume and have and source() and have.source == source():
+            continue
+        build()
+        tables.ran.append(layer)
     return tables
 
 
@@ -231,11 +324,11 @@ LAYER_DATABASES = {
 def register(tables: Tables, as_views: bool = False, prefix: str = "") -> list[str]:
     """Expose the layer tables by name so queries can ``spark.table(...)`` them.
 
-    Tables are external tables over the written folders; a name that exists is
-    pointed at these tables (B4), the data of the old ones is not touched.  With
-    ``as_views`` they are temporary views instead (the reference's default
-    materialisation).  The raw table exists only for a combined raw source; any
-    other missing table is an error.
+    Tables are external tables over the folders of the current versions; a name that
+    exists is moved to the new folder (B4) without a moment in which it is missing,
+    unless its columns changed.  With ``as_views`` they are temporary views instead
+    (the reference's default materialisation).  The raw table exists only for a
+    combined raw source; any other missing table is an error.
     """
     spark, names = tables.spark, []
     for db, layer_tables in LAYER_DATABASES.items():
@@ -252,8 +345,13 @@ def register(tables: Tables, as_views: bool = False, prefix: str = "") -> list[s
             if as_views:
                 df.createOrReplaceTempView(f"{db}_{t}")
                 names.append(f"{db}_{t}")
+                continue
+            name = f"{db}.{t}"
+            if spark.catalog.tableExists(name) and spark.table(name).schema == df.schema and t != "raw_trips":
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{tables.path(t)}'")
+                spark.catalog.refreshTable(name)
             else:
-                spark.sql(f"DROP TABLE IF EXISTS {db}.{t}")
-                spark.sql(f"CREATE TABLE {db}.{t} USING parquet LOCATION '{tables.path(t)}'")
-                names.append(f"{db}.{t}")
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+                spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{tables.path(t)}'")
+            names.append(name)
     return names

@@ -6,14 +6,66 @@ Spark equivalent is a range-partitioned, sorted Parquet write: every file and
 row group then covers a narrow key range, and Parquet min/max statistics let
 the scan skip row groups (``PushedFilters``).  Range boundaries come from
 sampling, so a hot key range is split across files instead of landing in one.
+
+Sorting by the keys one after the other only helps filters on the first of them.
+With a curve, rows are sorted by an index whose bits are taken from the keys in
+turn (:func:`curve_index`): each key's values are ranked into 2**bits buckets of
+about equal numbers of rows, and the schedule names the key that gives the next
+bit.  The schedule may favour a key at the coarse end, where the row groups of a
+small table are, and still give the others their bits as the table grows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
+from ..operators.ranges import running_sum
+
+CURVE = "_curve"
+
+
+def curve_buckets(weights: DataFrame, schedule: tuple[str, ...]) -> DataFrame:
+    """(key, value, bucket) of every value of the keys: its rank among the rows of ``weights``.
+
+    One pass counts all keys (whole numbers, null allowed) together; the running
+    sums are cut into ranges, so a key may have any number of values.
+    """
+    bits = Counter(schedule)
+    keys = list(bits)
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("key"), F.col(k).cast("long").alias("value")) for i, k in enumerate(keys)]))
+    counts = weights.select(cells.alias("c")).groupBy("c.key", "c.value").agg(F.count(F.lit(1)).alias("n"))
+    upto = running_sum(counts, ["key"], [F.col("value").asc_nulls_first()], "n", "upto")
+    rows = counts.groupBy("key").agg(F.sum("n").alias("rows"))
+    width = F.element_at(F.array(*[F.lit(1 << bits[k]) for k in keys]), F.col("key") + 1)
+    return upto.join(rows, "key").select("key", "value", F.floor((F.col("upto") - F.col("n")) * width / F.col("rows")).cast("long").alias("bucket"))
+
+
+def curve_index(df: DataFrame, schedule: tuple[str, ...], weights: DataFrame | None = None, name: str = CURVE) -> DataFrame:
+    """``df`` with ``name``: the keys' bucket bits, interleaved as ``schedule`` says, most significant first.
+
+    ``weights`` (default ``df``) is what the buckets are ranked by; it must hold every
+    key value of ``df`` or the value goes to the first bucket.
+    """
+    if len(schedule) > 62:
+        raise ValueError("a curve index has 62 bits at most")
+    buckets = curve_buckets(df if weights is None else weights, schedule)
+    left = Counter(schedule)
+    keys = list(left)
+    out = df
+    for i, k in enumerate(keys):
+        own = buckets.where(F.col("key") == i).select(F.col("value").alias(f"_v{i}"), F.col("bucket").alias(f"_b{i}"))
+        out = out.join(own, F.col(k).cast("long").eqNullSafe(F.col(f"_v{i}")), "left").drop(f"_v{i}")
+    index: Column = F.lit(0).cast("long")
+    for k in schedule:
+        left[k] -= 1
+        bit = F.shiftright(F.coalesce(F.col(f"_b{keys.index(k)}"), F.lit(0).cast("long")), left[k]).bitwiseAND(F.lit(1).cast("long"))
+        index = F.shiftleft(index, 1).bitwiseOR(bit)
+    return out.withColumn(name, index).drop(*[f"_b{i}" for i in range(len(keys))])
+
 
 def clustered(df: DataFrame, keys: list[str] | tuple[str, ...], files: int,
               tiebreak: str | None = None) -> DataFrame:
@@ -61,12 +113,18 @@ def write_clustered(
     keys: list[str] | tuple[str, ...] | None = None,
     row_group_bytes: int | None = None,
     tiebreak: str | None = "trip_id",
+    weights: DataFrame | None = None,
 ) -> None:
-    """Overwrite ``path`` with ``df`` clustered by ``keys`` (default: the fact keys)."""
-    keys = keys or cfg.cluster_keys
+    """Overwrite ``path`` with ``df`` clustered by ``keys``; by default by the fact's
+    curve and, inside its cells, by the fact's keys."""
     if files is None:
         files = max(df.sparkSession.sparkContext.defaultParallelism, 1)
-    writer = clustered(df, keys, files, tiebreak).write.mode("overwrite")
+    if keys:
+        rows = clustered(df, keys, files, tiebreak)
+    else:
+        curve = curve_index(df, cfg.cluster_curve, weights)
+        rows = clustered(curve, [CURVE, *cfg.cluster_keys], files, tiebreak).drop(CURVE)
+    writer = rows.write.mode("overwrite")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", str(row_group_bytes))
     writer.parquet(path)

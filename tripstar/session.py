@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +69,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return context.getCheckpointDir().rstrip("/")
+
+
+# --- intermediate tables ------------------------------------------------------------
+_OPEN_SCOPES: list[list[str]] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder under :func:`checkpoint_dir` for an intermediate table.
+
+    Inside a :func:`scratch_tables` block it is removed at the end of the block;
+    outside, it stays until the caller's checkpoint folder is cleaned.
+    """
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _OPEN_SCOPES:
+        _OPEN_SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediate tables made inside the block when it ends.
+
+    For code that writes its result inside the block: DataFrames that still read an
+    intermediate table must not leave it.
+    """
+    _OPEN_SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN_SCOPES.pop():
+            remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever file system it is; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

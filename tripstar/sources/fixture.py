@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, PipelineConfig
 from ..functions.timecols import epoch_ntz, epoch_seconds, month_index
 from ..schemas import RAW_GREEN, RAW_YELLOW
+from .samples import write_csv
 
 # FIXED VALUES of the fixture mapping (shared with the SQL oracle).
 DATE_SHIFT_SECONDS = 631_152_000  # 7,305 days
@@ -152,3 +153,12 @@ def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("Zone "), (F.col("n_nationkey") % 3).cast("string")).alias("service_zone"),
         )
     )
+
+
+def write_zone_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The zone lookup as a provider's CSV, with the texts that stand for missing values."""
+    key = F.col("LocationID")
+    zones = raw_zones(spark, sf_dir).withColumns({
+        "Zone": F.when(key % 7 == 0, "N/A").otherwise(F.col("Zone")),
+        "service_zone": F.when(key % 5 == 0, "NULL").otherwise(F.col("service_zone"))})
+    write_csv(zones, path)

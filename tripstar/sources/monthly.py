@@ -17,11 +17,14 @@ from the file name, the batch label from ``_metadata.row_index`` (batches of
 
 from __future__ import annotations
 
+import json
 import re
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +77,54 @@ def file_schemas(spark: SparkSession, files: list[str], workers: int = 16) -> li
         return list(pool.map(lambda f: spark.read.parquet(f).schema, files))
 
 
+REGISTRY_SCHEMA = "file string, length long, modified timestamp, schema string"
+
+
+def schema_registry(spark: SparkSession, registry: str) -> DataFrame:
+    """(file, length, modified, schema): the schemas of all month files seen so far."""
+    try:
+        return spark.read.schema(REGISTRY_SCHEMA).option("recursiveFileLookup", "true").parquet(registry)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], REGISTRY_SCHEMA)
+
+
+def registered_schemas(spark: SparkSession, files: list[str], registry: str) -> list[T.StructType]:
+    """Schemas of ``files`` from the registry; only files that are new or changed
+    (by length or modification time) have their footer read, and are added."""
+    if not files:
+        return []
+    listing = spark.read.format("binaryFile").load(files).select(
+        F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified"))
+    known = listing.join(schema_registry(spark, registry), ["file", "length", "modified"], "left").groupBy(
+        "file", "length", "modified").agg(F.max("schema").alias("schema")).collect()  # a row per file
+    new = [r for r in known if r["schema"] is None]
+    found = {r["file"]: r["schema"] for r in known}
+    if new:
+        read = file_schemas(spark, [r["file"] for r in new])
+        found.update({r["file"]: schema.json() for r, schema in zip(new, read, strict=True)})
+        rows = [(r["file"], r["length"], r["modified"], found[r["file"]]) for r in new]
+        spark.createDataFrame(rows, REGISTRY_SCHEMA).coalesce(1).write.parquet(f"{registry}/{uuid.uuid4().hex[:12]}")
+    # the listing may spell a local path with or without its scheme
+    by_path = {_plain_path(f): text for f, text in found.items()}
+    return [T.StructType.fromJson(json.loads(by_path[_plain_path(f)])) for f in files]
+
+
+def _plain_path(path: str) -> str:
+    return path.removeprefix("file:").lstrip("/")
+
+
+def schema_drift(spark: SparkSession, registry: str) -> DataFrame:
+    """How many of the latest files of a service store a column as which type."""
+    rows = schema_registry(spark, registry)
+    latest = rows.groupBy("file").agg(F.max(F.struct("modified", "schema")).alias("r")).select("file", "r.schema")
+    name = F.regexp_extract("file", r"([^/]+)$", 1)
+    fields = F.from_json("schema", "fields array<struct<name string, type string>>")["fields"]
+    cells = latest.select(F.regexp_extract(name, FILE_NAME_PATTERN, 1).alias("service"), F.explode(fields).alias("f"))
+    return cells.groupBy("service", F.upper("f.name").alias("column"), F.col("f.type").alias("type")).agg(F.count(F.lit(1)).alias("files"))
+
+
 def _coerce(df: DataFrame, src: str, target: T.DataType) -> Column:
     c, stype = F.col(f"`{src}`"), df.schema[src].dataType
     if isinstance(target, T.LongType):
@@ -122,13 +173,18 @@ def read_months(
     service: str,
     cfg: PipelineConfig = DEFAULT,
     load_time_ns: int | None = None,
+    registry: str | None = None,
 ) -> MonthRead:
-    """Read month files of one service into the canonical raw schema (B1)."""
+    """Read month files of one service into the canonical raw schema (B1).
+
+    With ``registry`` (a folder) the files' schemas are kept there between runs.
+    """
     if load_time_ns is None:
         load_time_ns = time.time_ns()
     groups: dict[str, list[str]] = {}
     schemas: dict[str, T.StructType] = {}
-    for f, schema in zip(files, file_schemas(spark, files)):
+    found = registered_schemas(spark, files, registry) if registry else file_schemas(spark, files)
+    for f, schema in zip(files, found, strict=True):
         key = schema.json()
         groups.setdefault(key, []).append(f)
         schemas[key] = schema

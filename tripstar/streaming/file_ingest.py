@@ -1,33 +1,28 @@
 """Incremental ingest of month files as a file stream (L3 alternative, B7).
 
-New ``{service}_tripdata_*.parquet`` files in a landing folder are picked up by
-a Structured Streaming file source; the stream checkpoint remembers which
-files were processed, so a re-run adds nothing and a new month adds only its
-rows.  Each micro-batch is projected onto the canonical raw schema and written
-with dynamic partition overwrite of its (year, month) partitions, so a batch
-replayed after a failure rewrites the same partitions instead of appending
-twice; the load log gets the batch's months, so the month plan no longer lists
-them.  Row and batch totals are gathered with ``Observation`` while writing
-(no second pass), like the reference's generic exporter reports them.
-
-A stream source needs one schema; months whose physical types drift should go
-through the batch loader (:mod:`tripstar.plans.loader`), which groups files by
-schema.
+What streams are the *paths* of new ``{service}_tripdata_*.parquet`` files (the
+``binaryFile`` source without the contents); the stream checkpoint remembers which
+were processed, so a re-run adds nothing and a new month adds only its rows.  Each
+micro-batch hands its paths to the batch loader, which groups files by schema, so
+months whose types drift or that carry an extra column arrive like any other.
+
+A micro-batch is one load whose id is made of the checkpoint and the batch number: a
+batch replayed after a failure replaces itself, rows and manifest.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import DEFAULT, PipelineConfig
-from ..plans.loader import raw_table_path, write_log, year_month
-from ..schemas import raw_schema
-from ..sources.monthly import STRICT_SERVICES, UnknownColumnsError, canonical_columns, load_metadata
+from ..plans.loader import load_files, year_month
+from ..sources.monthly import FILE_NAME_PATTERN
 
 
 @dataclass
@@ -36,6 +31,11 @@ class ExportTotals:
     rows: int = 0
     per_batch: list[tuple[int, int]] = field(default_factory=list)
 
+    def add(self, batch_id: int, rows: int) -> None:
+        self.batches += 1
+        self.rows += rows
+        self.per_batch.append((batch_id, rows))
+
 
 def export_batch(batch: DataFrame, path: str, totals: ExportTotals, batch_id: int) -> None:
     """Write one batch (idempotently) and add its rows to the totals."""
@@ -44,9 +44,7 @@ def export_batch(batch: DataFrame, path: str, totals: ExportTotals, batch_id: in
     (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("YEAR", "MONTH").parquet(path))
     rows = int(obs.get.get("rows", 0))
-    totals.batches += 1
-    totals.rows += rows
-    totals.per_batch.append((batch_id, rows))
+    totals.add(batch_id, rows)
 
 
 def stream_month_files(
@@ -54,34 +52,32 @@ def stream_month_files(
     landing_dir: str,
     raw_root: str,
     service: str,
-    file_schema: T.StructType,
     checkpoint_location: str,
     cfg: PipelineConfig = DEFAULT,
     load_time_ns: int | None = None,
 ) -> ExportTotals:
-    """Process every not-yet-seen month file of ``service`` and stop (availableNow)."""
+    """Process every not-yet-seen month file of ``service`` and stop (availableNow).
+
+    Files outside the planned months are left alone, like in the batch loader.
+    """
     load_time_ns = load_time_ns or time.time_ns()
-    target = raw_table_path(raw_root, service)
-    schema = raw_schema(service)
     totals = ExportTotals()
+    own = hashlib.md5(f"{checkpoint_location}|{service}".encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cols, unknown = canonical_columns(batch.drop("_metadata"), service)
-        if unknown and service in STRICT_SERVICES:
-            raise UnknownColumnsError(f"{service}: unknown columns {unknown}")
-        out = batch.select(*cols, *load_metadata(cfg, load_time_ns))
-        out = out.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        export_batch(out, target, totals, batch_id)
-        # one row per month file of the batch
-        names = [r["name"] for r in batch.select(F.col("_metadata.file_name").alias("name")).distinct().collect()]
-        if names:
-            write_log(spark, raw_root, service, [year_month(n) for n in names], load_time_ns)
+        files = sorted(r["path"] for r in batch.select("path").collect())  # one row per month file
+        files = [f for f in files if re.match(FILE_NAME_PATTERN, f.rsplit("/", 1)[-1])
+                 and cfg.first_month <= year_month(f) <= cfg.last_month]
+        if files:
+            _, rows = load_files(spark, raw_root, service, files, cfg, load_time_ns, load=f"stream-{own}-{batch_id:09d}")
+            totals.add(batch_id, rows)
 
     stream = (
-        spark.readStream.schema(file_schema)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", f"{service}_tripdata_*.parquet")
-        .parquet(landing_dir)
-        .select("*", "_metadata")
+        .load(landing_dir)
+        .select("path")
     )
     query = (
         stream.writeStream.foreachBatch(write)
