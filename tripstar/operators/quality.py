@@ -7,9 +7,10 @@ those of any number of tables meet in **one small shuffle**.  A row turns into c
 * one with the bits of the other checks it fails, if it fails any (relationships are
   left joins to the distinct parent keys, broadcast when the parent is small).
 
-Cells are counted with map-side combine.  Rows that pass cost nothing beyond their key
-hashes.  Hashes that occur twice are confirmed on the values themselves; without any,
-which is the rule, that second scan is not made.
+Cells are counted with map-side combine; what tells of a failure is written as a small
+table.  Rows that pass cost nothing beyond their key hashes.  Hashes that occur twice
+are confirmed on the values themselves, in a second scan of the tables concerned;
+without any, which is the rule, there is none.
 The result is a small report DataFrame ``(table, column, test, failing_rows)``;
 ``assert_quality`` is the gate that stops a layer build when a check fails (K8).
 
@@ -29,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels
+from ..session import scratch_path
 
 REPORT_COLUMNS = ["table", "column", "test", "failing_rows"]
 
@@ -207,7 +209,10 @@ def _cells(df: DataFrame, numbered: list[_Numbered], parents: dict[str, DataFram
 
 def run_table_checks(tables: dict[str, DataFrame], checks: list[Check],
                      parents: dict[str, DataFrame] | None = None) -> DataFrame | None:
-    """The report of all ``checks`` on the given tables; those of other tables are left out."""
+    """The report of all ``checks`` on the given tables; those of other tables are left out.
+
+    The scan runs here; the report reads its (scratch) result.
+    """
     numbered = _number([c for c in checks if c.table in tables])
     if not numbered:
         return None
@@ -215,6 +220,9 @@ def run_table_checks(tables: dict[str, DataFrame], checks: list[Check],
     by_table = {t: [n for n in numbered if n.check.table == t] for t in tables}
     cells = [_cells(tables[t], own, parents or {}) for t, own in by_table.items() if own]
     counts = reduce(DataFrame.unionByName, cells).groupBy("cell", "h").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "check-cells")
+    counts.where((F.col("cell") < len(numbered)) | (F.col("n") > 1)).write.parquet(path)
+    counts = spark.read.parquet(path)
 
     found = []
     bits = [(n.cell, n.bit, n.place) for n in numbered if n.bit >= 0]
@@ -222,10 +230,13 @@ def run_table_checks(tables: dict[str, DataFrame], checks: list[Check],
         places = spark.createDataFrame(bits, "cell int, bit int, place int")
         failed = counts.join(F.broadcast(places), "cell")  # a row per check
         found.append(failed.where(F.expr("(shiftright(h, bit) & 1L) = 1")).groupBy("place").agg(F.sum("n").alias("failing_rows")))
-    keys = [n for n in numbered if n.bit < 0]
+    twice = counts.where(F.col("cell") >= len(numbered)).select("cell", "h")
+    hit = {r["cell"] for r in twice.select("cell").distinct().collect()}  # a row per unique check
+    keys = [n for n in numbered if n.cell in hit]
     if keys:
-        twice = counts.where((F.col("cell") >= len(numbered)) & (F.col("n") > 1)).select("cell", "h")
-        found.append(_duplicated(tables, keys, twice).groupBy(F.col("place")).agg(F.count(F.lit(1)).alias("failing_rows")))
+        found.append(_duplicated(tables, keys, twice).groupBy("place").agg(F.count(F.lit(1)).alias("failing_rows")))
+    if not found:
+        found.append(spark.createDataFrame([], "place int, failing_rows long"))
     listed = spark.createDataFrame([(n.place, n.check.table, n.check.column, n.check.name) for n in numbered],
                                    "place int, `table` string, `column` string, test string")
     report = listed.join(reduce(DataFrame.unionByName, found), "place", "left")
@@ -239,8 +250,9 @@ def _duplicated(tables: dict[str, DataFrame], keys: list[_Numbered], twice: Data
         column = F.col(n.check.column)
         values = tables[n.check.table].where(column.isNotNull()).select(
             F.lit(n.place).alias("place"), F.lit(n.cell).alias("cell"), F.xxhash64(column).alias("h"), column.cast("string").alias("value"))
-        parts.append(values.join(twice, ["cell", "h"], "left_semi"))
-    return reduce(DataFrame.unionByName, parts).groupBy("place", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        parts.append(values)
+    again = reduce(DataFrame.unionByName, parts).join(twice, ["cell", "h"], "left_semi")
+    return again.groupBy("place", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def duplicated_values(df: DataFrame, column: str) -> DataFrame:
