@@ -33,17 +33,17 @@ def brute(rows, cycle=(1, 2, 3), cap=3, seed=42):
     out = []
     for s in sources:
         own = []
-        for (i, x, _), n, q in zip(rows, sizes, weights, strict=True):
+        for (i, x, t), n, q in zip(rows, sizes, weights, strict=True):
             if x == s:
-                u = (int(hashlib.md5(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
-                own.append((-math.log(u) / q, "" if i is None else str(i), n, i))
+                drawn = hashlib.md5((t or "").encode()).hexdigest() if i is None else str(i)
+                u = (int(hashlib.md5(f"{seed}:{drawn}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+                own.append((-math.log(u) / q, drawn, n, i))
         own.sort(key=lambda r: r[:3])
         epochs = math.floor(target[s] / total[s]) if total[s] else 0
         rest, end = target[s] - epochs * total[s], 0
-        for r in own:
-            peers = sum(x[2] for x in own if x[:3] == r[:3])
-            end = sum(x[2] for x in own if x[:3] < r[:3]) + peers
-            take = end - r[2] / 2 <= rest and end - peers < rest
+        for r in own:  # copies one after the other
+            end += r[2]
+            take = end - r[2] / 2 <= rest and end - r[2] < rest
             out.append((r[3], s, r[2], total[s], target[s], epochs + take))
     return out
 
@@ -109,3 +109,41 @@ def test_unusable_weights_and_empty_input(spark):
     assert {r["doc_id"]: r["_mix_copies"] for r in got} == {1: 0, 2: 0, 3: 0, 4: 1}
     none = rows.where("false")
     assert mixing.mix_apply(none, mixing.mix_plan(spark, none)).count() == 0
+
+
+def near_target(got):
+    for source in {r[1] for r in got}:
+        own = [r for r in got if r[1] == source]
+        assert abs(sum(r[2] * r[5] for r in own) - own[0][4]) <= max(r[2] for r in own), source
+
+
+def test_budgets_end_inside_copies(spark):
+    rows = [(1, "a", "one two three four")] * 400 + [(i, "b", "x " * (i % 7 + 1)) for i in range(2, 300)]
+    _, got = mixed(spark, rows)
+    near_target(got)
+    assert sorted(map(repr, got)) == sorted(map(repr, brute(rows)))
+    copies = {r[5] for r in got if r[0] == 1}
+    assert len(copies) == 2 and max(copies) - min(copies) == 1
+    docs = spark.createDataFrame([(i, s, t, 7, "x") for i, s, t in rows], SCHEMA)
+    out = mixing.mix(spark, docs, word_count(F.col("text")), mixing.letter_weight(F.col("text")))
+    assert out.columns == docs.columns and out.count() == sum(r[5] for r in got)
+
+
+def test_null_ids_are_sampled(spark):
+    rng = random.Random(6)
+    rows = [(None, "a", " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(i % 5 + 1))) for i in range(400)]
+    rows += [(i, "b", "w " * 5) for i in range(100)]
+    _, got = mixed(spark, rows)
+    near_target(got)
+    taken = {n: [r[5] for r in got if r[1] == "a" and r[2] == n] for n in range(1, 6)}
+    base = min(r[5] for r in got if r[1] == "a")
+    for n, copies in taken.items():  # every size is partly in and partly out
+        assert 0 < sum(c > base for c in copies) < len(copies), n
+
+
+def test_unusable_weights_spread_over_buckets(spark):
+    rows = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit("x y").alias("text"))
+    kept = mixing.mix_rows(rows, word_count(F.col("text")), F.lit(None).cast("double"))
+    assert kept.select(F.floor(F.log("_mix_key") * 64)).distinct().count() > 30
+    got = mixing.mix_apply(kept, mixing.mix_plan(spark, kept, share=0.3)).agg(F.sum("_mix_copies")).first()[0]
+    assert got == 150

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-# One pass per source without buckets; the water level is found as in the text of the contract.
+# One pass per source without buckets, row by row, copies one after the other; the water level is
+# found as in the text of the contract.
 MIXING = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
     (length(regexp_replace(coalesce(text, ''), '[^A-Za-z]+', '', 'g')) + 1) / (length(coalesce(text, '')) + 1) AS weight,
-    (('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+    coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS drawn,
+    (('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM documents),
 k AS (SELECT *, -ln(u) / weight AS key FROM d),
 s AS (SELECT source, sum(size)::BIGINT AS total FROM k GROUP BY source),
@@ -19,7 +21,7 @@ f AS (SELECT arg_min(level, ratio) AS level FROM l WHERE ratio > level),
 g AS (SELECT l.source, l.total, coalesce(least(l.cap::DOUBLE, f.level * l.w), l.cap::DOUBLE) AS target FROM l LEFT JOIN f ON true),
 e AS (SELECT *, CASE WHEN total > 0 THEN floor(target / total)::BIGINT ELSE 0 END AS epochs FROM g),
 p AS (SELECT k.*, e.total, e.target, e.epochs, e.target - e.epochs * e.total AS rest,
-        sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, coalesce(k.doc_id::VARCHAR, ''), k.size RANGE UNBOUNDED PRECEDING) AS upto
+        sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.drawn, k.size ROWS UNBOUNDED PRECEDING) AS upto
       FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, total AS source_size, target,
   (size * (epochs + CASE WHEN upto - size / 2 <= rest AND upto - size < rest THEN 1 ELSE 0 END))::BIGINT AS taken,
