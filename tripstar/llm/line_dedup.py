@@ -14,7 +14,9 @@ the token and filtered by length (``n1 >= threshold * n2``), by position (what i
 left behind the shared token must still reach the needed overlap) and by a 128-bit
 parity map of the sets: every token flips one bit, so differing bits are differing
 tokens, however large the sets.  The sets of the remaining pairs are read again and
-their Jaccard similarity is computed.
+their Jaccard similarity is computed.  One earlier match removes a line, so every
+class is first compared with the one earlier candidate that its parity map is
+nearest to; only classes that this pair leaves go through their other candidates.
 
 Large groups of near copies would make all their pairs.  So every class first
 looks at the earliest class that shares its smallest or its largest token hash
@@ -131,7 +133,7 @@ def _differing() -> Column:
 
 
 def first_partners(classes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): class a with the earliest class b of one of its sketches, almost surely a match."""
+    """(a, b, d): class a with the earliest class b of one of its sketches, almost surely a match."""
     entries = classes.select(F.posexplode("sketch").alias("s", "mh"), "cid", F.col("place._id").alias("id"), "n", "bits", "more")
     pivots = entries.groupBy("s", "mh").agg(F.min(F.struct("id", "cid", "n", "bits", "more")).alias("p"), F.count(F.lit(1)).alias("m"))
     met = entries.join(pivots.where("m > 1"), ["s", "mh"]).where(F.col("cid") != F.col("p.cid")).select(
@@ -140,11 +142,12 @@ def first_partners(classes: DataFrame, threshold: float) -> DataFrame:
     # differing bits well under what the threshold allows
     sure = _could_match(threshold) & (_differing() <= (F.col("n1") + F.col("n2")) * ((1 - threshold) / (1 + threshold)) * 0.6)
     best = met.where(sure).groupBy("a").agg(F.min(F.struct(_differing().alias("d"), "b")).alias("x"))
-    return best.select("a", F.col("x.b").alias("b"))
+    return best.select("a", F.col("x.b").alias("b"), F.col("x.d").cast("int").alias("d"))
 
 
 def candidate_pairs(classes: DataFrame, threshold: float, few: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b), one of them ``searching``, that pass prefix, length, position and parity.
+    """Pairs (a, b), one of them ``searching``, that pass prefix, length, position and
+    parity; ``d`` is in how many parity bits they differ.
 
     ``few`` (cid), a small list, keeps the entries to the tokens of these classes.
     """
@@ -166,7 +169,7 @@ def candidate_pairs(classes: DataFrame, threshold: float, few: DataFrame | None
         # n2 is no smaller than ``short``; naming it keeps this condition out of the
         # left input, so that both inputs are one and the same exchange
         & (F.col("at1") < F.least(short, F.col("n2"))) & (behind >= needed) & _could_match(threshold))
-    return near.select(F.col("cid1").alias("a"), F.col("cid2").alias("b")).distinct()
+    return near.select(F.col("cid1").alias("a"), F.col("cid2").alias("b"), _differing().cast("int").alias("d")).distinct()
 
 
 def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, rarity: bytes, threshold: float) -> DataFrame:
@@ -184,12 +187,22 @@ def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
     sets = lines.select("w.cid", "w.place", token_keys(F.get("lines", F.col("w.pos")), rarity).alias("k"))
     # rows equal in id and text give the same set
     sets = cut_lineage(spark, sets.groupBy("cid").agg(F.first("place").alias("place"), F.first("k").alias("k")))
-    x = sets.select(F.col("cid").alias("a"), F.col("k").alias("k1"), F.col("place").alias("p1"))
-    y = sets.select(F.col("cid").alias("b"), F.col("k").alias("k2"), F.col("place").alias("p2"))
-    both = pairs.join(x, "a").join(y, "b").withColumn("o", F.size(F.array_intersect("k1", "k2")))
-    same = both.where(F.col("o") >= threshold * (F.size("k1") + F.size("k2") - F.col("o")) - 1e-9)
-    late, early = F.when(F.col("p2") < F.col("p1"), F.col("a")).otherwise(F.col("b")), F.when(F.col("p2") < F.col("p1"), F.col("b")).otherwise(F.col("a"))
-    return cut_lineage(spark, same.select(late.alias("a"), early.alias("b")))
+    # the later class of a pair is the one that may go
+    ends = [sets.select(F.col("cid").alias(c), F.col("place").alias(f"p_{c}")) for c in ("a", "b")]
+    second = F.col("p_b") < F.col("p_a")
+    late, early = F.when(second, F.col("a")).otherwise(F.col("b")), F.when(second, F.col("b")).otherwise(F.col("a"))
+    turned = cut_lineage(spark, pairs.join(ends[0], "a").join(ends[1], "b").select(late.alias("a"), early.alias("b"), "d"))
+    x, y = (sets.select(F.col("cid").alias(c), F.col("k").alias(f"k_{c}")) for c in ("a", "b"))
+
+    def matching(some: DataFrame) -> DataFrame:
+        both = some.join(x, "a").join(y, "b").withColumn("o", F.size(F.array_intersect("k_a", "k_b")))
+        same = both.where(F.col("o") >= threshold * (F.size("k_a") + F.size("k_b") - F.col("o")) - 1e-9)
+        return cut_lineage(spark, same.select("a", "b"))
+
+    nearest = turned.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x"))
+    found = matching(nearest.select("a", "x.b"))
+    rest = turned.join(found.select("a"), "a", "left_anti").join(nearest.select("a", F.col("x.b").alias("_tried")), "a")
+    return found.unionByName(matching(rest.where(F.col("b") != F.col("_tried")).select("a", "b")))
 
 
 def later_lines(spark: SparkSession, docs: DataFrame, classes: DataFrame, rarity: bytes, threshold: float) -> DataFrame:
@@ -230,6 +243,18 @@ def _text_hash(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
+def _flags(numbers: Column) -> Column:
+    """Array that is true at the given places, as long as the largest one needs; one pass over them."""
+    def upto(sorted_numbers: Column) -> Column:
+        def stretch(x: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(sorted_numbers, i - 1)).otherwise(F.lit(-1))
+            return F.concat(F.array_repeat(F.lit(False), x - before - 1), F.array(F.lit(True)))
+
+        return F.flatten(F.transform(sorted_numbers, stretch))
+
+    return let(F.sort_array(numbers), upto)
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
                 bits: int = RARITY_BITS) -> DataFrame:
     """Input with the text cut to its first lines, plus ``_n_lines`` and ``_n_removed``."""
@@ -238,8 +263,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, threshold: float = THRESHO
     whole = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), _text_hash(text_col).alias("_th"), F.col(text_col).alias("_text"))
     joined = whole.join(kept, F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_th") == F.col("_kth")), "left")
     lines = F.split("_text", "\n")
-    keep = F.coalesce("_keep", F.array().cast("array<int>"))
-    left = F.filter(lines, lambda line, i: (F.size(line_tokens(line)) == 0) | F.array_contains(keep, i))
+    flags = _flags(F.coalesce("_keep", F.array().cast("array<int>")))
+    marked = F.zip_with(lines, flags, lambda line, kept: F.struct(line.alias("line"), F.coalesce(kept, F.lit(False)).alias("kept")))
+    stays = F.filter(marked, lambda x: x["kept"] | (F.size(line_tokens(x["line"])) == 0))
+    left = F.transform(stays, lambda x: x["line"])
     out = joined.select("_row", left.alias("_left"), F.coalesce(F.size(lines), F.lit(0)).alias("_n"))
     row = F.col("_row")
     return out.select(
