@@ -8,13 +8,17 @@ The margin is the relative gap between the two smallest encodings; margins under
 ``min_margin`` are rejected (column ``rejected``; the smallest encoding is still
 reported).
 
-Training reads a bounded sample: about ``DICT_BYTES`` of text per language, cut
-from documents chosen by a hash of their text.  The dictionaries (that bound
-times the number of languages) are broadcast.
+Training reads a bounded sample: about ``DICT_BYTES`` of text per language, in
+stretches of ``SNIPPET_CHARS`` from documents chosen by a hash of their text.  A
+stretch begins where another hash of the text says, anywhere in it, so a header that
+many texts share does not fill the dictionary; equal texts count once.  The driver
+gets 1.5 times that bound per language, and the dictionaries (the bound times the
+number of languages, which is taken to be that of a label set) are broadcast.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; ties
-go to the language first in code-point order; without any training row
-everything is ``und``.
+go to the language first in code-point order; a language whose sample holds fewer than
+8 bytes has no dictionary and is never predicted; without any training row everything
+is ``und``.
 """
 
 from __future__ import annotations
@@ -46,10 +50,13 @@ def train_dictionaries(train: DataFrame, lang_col: str = "lang", text_col: str =
     have = {r[0]: r[1] for r in train.groupBy(lang_col).agg(F.sum(F.least(F.length(text_col), F.lit(SNIPPET_CHARS)))).collect()}
     if not have:
         return {}
-    share = F.create_map(*[F.lit(x) for lang, n in have.items() for x in (lang, min(1.0, 1.5 * dict_bytes / max(1, n)))])
+    shares = F.create_map(*[F.lit(x) for lang, n in have.items() for x in (lang, min(1.0, 1.5 * dict_bytes / max(1, n)))])
     u = F.pmod(F.xxhash64(F.lit(17), F.col(text_col)), F.lit(1 << 30)) / float(1 << 30)
-    picked = train.where(u < share[F.col(lang_col)]).select(
-        F.col(lang_col).alias("lang"), F.substring(text_col, 1, SNIPPET_CHARS).alias("text"), F.xxhash64(text_col).alias("h")).collect()
+    places = F.greatest(F.length(text_col) - SNIPPET_CHARS + 1, F.lit(1))
+    begin = (F.pmod(F.xxhash64(F.lit(23), F.col(text_col)), places.cast("long")) + 1).cast("int")
+    picked = train.where(u < shares[F.col(lang_col)]).select(
+        F.col(lang_col).alias("lang"), F.substr(F.col(text_col), begin, F.lit(SNIPPET_CHARS)).alias("text"),
+        F.xxhash64(text_col).alias("h")).distinct().collect()
     out = {}
     for lang in sorted(have, key=lambda x: x.encode()):
         texts = [r["text"].lower().encode("utf-8", "surrogatepass") for r in sorted(picked, key=lambda r: (r["h"], r["text"])) if r["lang"] == lang]
