@@ -166,6 +166,7 @@ class Codec:
         self.vocabulary = v = vocabulary
         usable = {t.encode(): i for i, (t, _, kind) in enumerate(v.pieces) if kind in (NORMAL, USER_DEFINED) and t}
         self.trie = DoubleArrayTrie(usable)
+        self._longest = max(map(len, usable), default=0)
         self.scores = [s for _, s, _ in v.pieces]
         normal = [self.scores[i] for i in usable.values()] or [0.0]
         for i, (text, _, kind) in enumerate(v.pieces):
@@ -181,7 +182,7 @@ class Codec:
     def best_path(self, data: bytes) -> tuple[int, ...]:
         """Piece ids of the best segmentation of the UTF-8 bytes of one unit."""
         base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.scores
-        n, nothing, unknown = len(data), float("-inf"), self.unknown_score
+        n, nothing, unknown, longest = len(data), float("-inf"), self.unknown_score, self._longest
         best = [nothing] * (n + 1)
         start_of, piece_of = [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
@@ -192,7 +193,7 @@ class Codec:
             lead = data[i]
             char = i + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
             state, covered, end = 0, False, i
-            for byte in data[i:]:
+            for byte in data[i:i + longest]:
                 child = base[state] + byte + 1
                 if check[child] != state:
                     break
