@@ -47,7 +47,9 @@ def train_dictionaries(train: DataFrame, lang_col: str = "lang", text_col: str =
                        dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """Raw dictionary content per language from a bounded sample of ``train``."""
     train = train.where(F.col(lang_col).isNotNull() & (F.length(F.trim(text_col)) > 0))
-    have = {r[0]: r[1] for r in train.groupBy(lang_col).agg(F.sum(F.least(F.length(text_col), F.lit(SNIPPET_CHARS)))).collect()}
+    # equal texts count once here too, or a language of many copies would hardly be picked
+    distinct = train.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col), F.least(F.length(text_col), F.lit(SNIPPET_CHARS)).alias("n")).distinct()
+    have = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # a row per language
     if not have:
         return {}
     shares = F.create_map(*[F.lit(x) for lang, n in have.items() for x in (lang, min(1.0, 1.5 * dict_bytes / max(1, n)))])
