@@ -39,6 +39,7 @@ MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 MEMO_UNITS = 400_000
+TEXTS_AT_ONCE = 256
 MEMO_UNIT_BYTES = 64
 
 
@@ -282,13 +283,15 @@ def encode_documents(spark: SparkSession, docs: DataFrame, model_path: str = DEF
     @F.pandas_udf("ids array<int>, n_byte_ids int, round_trip boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = received(shared)
-        for texts in batches:
-            ids = [None if t is None else codec.encode(t) for t in texts]
-            yield pd.DataFrame({
-                "ids": pd.Series(ids, dtype=object),
-                "n_byte_ids": pd.Series([None if x is None else codec.byte_count(x) for x in ids], dtype="Int32"),
-                "round_trip": pd.Series([None if x is None else codec.decode(x) == t for x, t in zip(ids, texts, strict=True)], dtype="boolean"),
-            })
+        for batch in batches:
+            for at in range(0, len(batch), TEXTS_AT_ONCE):  # ids as Python numbers are many times a text's size
+                texts = batch.iloc[at:at + TEXTS_AT_ONCE]
+                ids = [None if t is None else codec.encode(t) for t in texts]
+                yield pd.DataFrame({
+                    "ids": pd.Series(ids, dtype=object),
+                    "n_byte_ids": pd.Series([None if x is None else codec.byte_count(x) for x in ids], dtype="Int32"),
+                    "round_trip": pd.Series([None if x is None else codec.decode(x) == t for x, t in zip(ids, texts, strict=True)], dtype="boolean"),
+                })
 
     df = docs.withColumn("_codec", run(F.col(text_col)))
     return df.withColumns({prefix + c: F.col("_codec")[c] for c in ("ids", "n_byte_ids", "round_trip")}).drop("_codec")
