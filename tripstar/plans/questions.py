@@ -52,11 +52,23 @@ GROUP BY ALL ORDER BY {role}_borough, franja"""
 
 
 def _percentiles(gold: str) -> str:
+    """Exact percentiles from counts: a task holds a zone's distinct durations, not its trips."""
+    def at(p: float) -> str:
+        place = f"{p}D * (trips - 1)"
+        low, high = (f"min(CASE WHEN upto > {side}({place}) THEN seconds END)" for side in ("floor", "ceil"))
+        return f"{low} + ({high} - {low}) * (max({place}) - floor(max({place})))"
+
     return f"""
-WITH spread AS (
-  SELECT pickup_zone_sk, percentile_cont(0.5) WITHIN GROUP (ORDER BY trip_duration_seconds) AS p50_duration_sec,
-    percentile_cont(0.9) WITHIN GROUP (ORDER BY trip_duration_seconds) AS p90_duration_sec
-  FROM {gold}fct_trips GROUP BY pickup_zone_sk)
+WITH per_value AS (
+  SELECT pickup_zone_sk, CAST(trip_duration_seconds AS DOUBLE) AS seconds, count(*) AS n
+  FROM {gold}fct_trips WHERE trip_duration_seconds IS NOT NULL GROUP BY ALL),
+running AS (
+  SELECT pickup_zone_sk, seconds, sum(n) OVER (PARTITION BY pickup_zone_sk ORDER BY seconds) AS upto,
+    sum(n) OVER (PARTITION BY pickup_zone_sk) AS trips
+  FROM per_value),
+spread AS (
+  SELECT pickup_zone_sk, {at(0.5)} AS p50_duration_sec, {at(0.9)} AS p90_duration_sec
+  FROM running GROUP BY pickup_zone_sk)
 SELECT pickup_location_id, pickup_borough, pickup_zone, p50_duration_sec, p90_duration_sec
 FROM spread JOIN {gold}dim_zone_pickup USING (pickup_zone_sk) ORDER BY pickup_location_id"""
 
