@@ -133,3 +133,26 @@ def test_choice_among_overlapping_spans_is_greedy(spark):
                 taken.append(tuple(c)[:3])
         assert [tuple(x) for x in r["spans"]] == sorted(taken)
     assert several  # overlapping candidates did compete
+
+
+def test_every_document_counts_in_trees_and_thresholds(spark):
+    """Candidates of all documents are learnt from, also beyond 20,000 documents; about a third is held back."""
+    many = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(
+        F.expr("repeat('x', cast(id % 40 as int))"), F.lit(" part 300.4.400."), (F.col("id") % 3).cast("string")).alias("text"))
+    fitted = []
+    for n in (1, 3):
+        base = frame(spark, [f"host 10.0.0.{i} replied, call +1 (555) 200-400{i}" for i in range(n)]).select(F.col("doc_id").cast("long"), "text")
+        seen = []
+        original = pii.GBTClassifier.fit
+
+        def fit(self, rows, seen=seen, original=original):
+            seen.append(rows.agg(F.sum("weight")).first()[0])
+            return original(self, rows)
+
+        pii.GBTClassifier.fit = fit
+        try:
+            pii.fit_trees(spark, many.unionByName(base))
+        finally:
+            pii.GBTClassifier.fit = original
+        fitted += seen
+    assert fitted[0] > 15_000 and fitted[1] > fitted[0]
