@@ -6,7 +6,7 @@ from helpers import SF001, trip, union_df
 from pyspark.sql import functions as F
 
 from tripstar.operators import loads, quality
-from tripstar.plans import layout
+from tripstar.plans import layout, loader
 from tripstar.plans.layers import Lakehouse, Tables, build_bronze
 from tripstar.session import sql_setting
 from tripstar.sources import fixture
@@ -66,3 +66,35 @@ def test_raw_rows_are_not_sorted_by_service(spark, tmp_path, monkeypatch):
     assert raw.count() == fixture.trip_rows(spark, SF001).count()
     with sql_setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "5"):
         assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "5"
+
+
+def test_months_and_services_are_written_with_files_to_spare(spark, tmp_path, monkeypatch):
+    seen = []
+    writer = type(spark.range(1).write)
+    original = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, path, *a, **k: seen.append(
+        (path, int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))) or original(self, path, *a, **k))
+    tables = Tables(spark, str(tmp_path / "lake"))
+    build_bronze(Lakehouse.from_fixture(spark, SF001), tables)
+    fixture.write_month_files(spark, tables.read("raw_trips"), str(tmp_path / "months"))
+    loaded = loader.load_service(spark, str(tmp_path / "months"), str(tmp_path / "raw"), "green", load_time_ns=1)
+    files = {kind: min(n for path, n in seen if kind in path) for kind in ("/raw_trips", "/_staged/", "/load=")}
+    # with as many files open as allowed, Spark begins to sort
+    assert files["/raw_trips"] > 2 and files["/_staged/"] > 12 and files["/load="] > 12
+    green = tables.read("raw_trips").where("SERVICE = 'green'")
+    read = loader.read_raw(spark, str(tmp_path / "raw"), "green")
+    assert loaded.months_loaded and read.count() == green.count()
+    assert read.agg(F.sum("PASSENGER_COUNT"), F.sum("PAYMENT_TYPE")).first() == green.agg(F.sum("PASSENGER_COUNT"), F.sum("PAYMENT_TYPE")).first()
+
+
+def test_line_items_keep_their_service_and_flag(spark, tmp_path):
+    """Null return flags and line states are yellow and Y, as in the SQL."""
+    for name in ("orders", "customer", "supplier"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    n = F.col("l_linenumber") % 3
+    lines.withColumns({"l_returnflag": F.when(n == 0, F.lit("A")).when(n == 1, F.lit("R")),
+                       "l_linestatus": F.when(n == 1, F.lit("O")).when(n == 2, F.lit("F"))}).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {tuple(r) for r in fixture.trip_rows(spark, str(tmp_path)).select(
+        F.col("PAYMENT_TYPE") % 3, "SERVICE", "STORE_AND_FWD_FLAG").distinct().collect()}
+    assert got == {(0, "green", "Y"), (1, "yellow", "N"), (2, "yellow", "Y")}
