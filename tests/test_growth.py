@@ -87,6 +87,19 @@ def test_months_and_services_are_written_with_files_to_spare(spark, tmp_path, mo
     assert read.agg(F.sum("PASSENGER_COUNT"), F.sum("PAYMENT_TYPE")).first() == green.agg(F.sum("PASSENGER_COUNT"), F.sum("PAYMENT_TYPE")).first()
 
 
+def test_clustered_rows_move_packed_ids_and_no_derived_columns(spark, tmp_path, monkeypatch):
+    odd = ["", "0", "A0", "a0", "00ff", "zz", "0 f", None]
+    rows = [(i % 5, "%032x" % (i * 7919), float(i)) for i in range(40)] + [(9, x, 1.5) for x in odd]
+    df = spark.createDataFrame(rows, "k int, trip_id string, v double").withColumn("twice", F.col("v") * 2)
+    moved = plan(layout.clustered(df.drop("twice"), ["k"], 4, "trip_id"), "optimizedPlan").split("RepartitionByExpression")[0]
+    assert "unhex" not in moved  # packed below the shuffle, text again above it
+    layout.write_clustered(df, str(tmp_path / "f"), files=4, keys=["k"], derived={"twice": F.col("v") * 2})
+    back = spark.read.parquet(str(tmp_path / "f"))
+    assert back.columns == df.columns and sorted(back.collect(), key=repr) == sorted(df.collect(), key=repr)
+    ids = [r["trip_id"] for r in layout.clustered(df, ["k"], 1, "trip_id").where("k < 9").collect()]
+    assert ids == [r[1] for r in sorted(rows[:40])]
+
+
 def test_line_items_keep_their_service_and_flag(spark, tmp_path):
     """Null return flags and line states are yellow and Y, as in the SQL."""
     for name in ("orders", "customer", "supplier"):
