@@ -81,3 +81,20 @@ def test_edge_cases(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_a_group_of_near_copies_does_not_make_all_its_pairs(spark, monkeypatch):
+    """Copies with two words of 40 exchanged: any two match, barely."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(240):
+        own = list(base)
+        for at in rng.sample(range(40), 2):
+            own[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(own)))
+    compared = []
+    original = line_dedup.verified
+    monkeypatch.setattr(line_dedup, "verified", lambda s, docs, classes, pairs, *a: compared.append(pairs.count()) or original(s, docs, classes, pairs, *a))
+    assert run(spark, rows) == sorted(brute(spark, rows), key=repr)
+    assert sum(compared) < 12 * len(rows)
