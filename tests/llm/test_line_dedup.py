@@ -98,3 +98,31 @@ def test_a_group_of_near_copies_does_not_make_all_its_pairs(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "verified", lambda s, docs, classes, pairs, *a: compared.append(pairs.count()) or original(s, docs, classes, pairs, *a))
     assert run(spark, rows) == sorted(brute(spark, rows), key=repr)
     assert sum(compared) < 12 * len(rows)
+
+
+def test_candidates_are_searched_once(spark, monkeypatch):
+    """Lines whose first partner passes the parity map but is no match (five words of 40 differ) search with all others."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(40)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 60):
+        own = list(base)
+        for at in rng.sample(range(40), 5):
+            own[at] = f"own{i}x{at}"
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own[1:]))]
+    searches = []
+    original = line_dedup.candidate_pairs
+    monkeypatch.setattr(line_dedup, "candidate_pairs", lambda *a: searches.append(1) or original(*a))
+    assert run(spark, rows) == sorted(brute(spark, rows), key=repr)
+    assert len(searches) == 1
+
+
+def test_lines_around_and_above_64_parity_bits(spark):
+    rng = random.Random(5)
+    rows = []
+    for g, n in enumerate([56, 59, 61, 66, 150, 400]):
+        base = [f"g{g}w{i}" for i in range(n)]
+        for i in range(12):
+            own = rng.sample(base, n - rng.randint(0, n // 6)) + [f"g{g}own{i}x{j}" for j in range(rng.randint(0, n // 8))]
+            rows.append((rng.randrange(10_000), " ".join(own)))
+    assert run(spark, rows) == sorted(brute(spark, rows), key=repr)
