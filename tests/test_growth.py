@@ -5,9 +5,9 @@ import re
 from helpers import SF001, trip, union_df
 from pyspark.sql import functions as F
 
-from tripstar.operators import loads, quality
+from tripstar.operators import gold, loads, quality
 from tripstar.plans import layout, loader
-from tripstar.plans.layers import Lakehouse, Tables, build_bronze
+from tripstar.plans.layers import Lakehouse, Tables, build_bronze, build_gold, build_silver
 from tripstar.session import sql_setting
 from tripstar.sources import fixture
 
@@ -111,3 +111,43 @@ def test_line_items_keep_their_service_and_flag(spark, tmp_path):
     got = {tuple(r) for r in fixture.trip_rows(spark, str(tmp_path)).select(
         F.col("PAYMENT_TYPE") % 3, "SERVICE", "STORE_AND_FWD_FLAG").distinct().collect()}
     assert got == {(0, "green", "Y"), (1, "yellow", "N"), (2, "yellow", "Y")}
+
+
+def test_the_fact_moves_in_words_and_keeps_its_values(spark, tmp_path):
+    n = F.col("id")
+    df = spark.range(300).select(
+        "id", (n % 7).cast("int").alias("k"), F.md5(n.cast("string")).alias("trip_id"), (n % 86400).cast("int").alias("pickup_time_sk"),
+        (n % 5 - 1).alias("vendor_sk"), (n / 10).alias("trip_distance"), F.when(n % 9 != 0, n * 1.5).alias("trip_duration_seconds"),
+        (F.lit(0.1) * n).alias("fare_amount"), (F.lit(1e-9) + n).alias("total_amount"))
+    speed = F.when(F.col("trip_duration_seconds") > 0, F.col("trip_distance") * 3600 / F.col("trip_duration_seconds"))
+    # the usual speed, another one, or none
+    df = df.withColumn("avg_speed_mph", F.when(n % 11 == 0, F.lit(3.5)).when(n % 13 != 0, speed)).drop("id")
+    layout.write_clustered(df, str(tmp_path / "f"), files=4, keys=["k"], usual={"avg_speed_mph": gold.usual_speed()}, words=gold.FACT_WORDS)
+    back = spark.read.parquet(str(tmp_path / "f"))
+    assert back.dtypes == df.dtypes and sorted(back.collect(), key=repr) == sorted(df.collect(), key=repr)
+
+
+def test_a_fact_row_takes_half_the_columns_on_its_way(spark, tmp_path, monkeypatch):
+    moved = []
+    original = layout.clustered
+    monkeypatch.setattr(layout, "clustered", lambda df, *a: moved.append(df) or original(df, *a))
+    tables = Tables(spark, str(tmp_path))
+    build_bronze(Lakehouse.from_fixture(spark, SF001), tables)
+    build_silver(tables, "warn")
+    build_gold(tables, "warn")
+    rows = moved[0]
+    assert {"avg_speed_mph", "trip_id", "_word_0"} <= set(rows.columns) and not {"tip_percentage", "fare_amount"} & set(rows.columns)
+    assert len([c for c in rows.columns if not c.endswith("_as_is")]) <= len(gold.FACT_COLUMNS) // 2 + 1
+    assert sorted(tables.fact.collect(), key=repr) == sorted(gold.fct_trips(tables.silver, tables.dims).collect(), key=repr)
+    assert dict(rows.dtypes)["avg_speed_mph"].startswith("struct")  # null where it follows from the row
+
+
+def test_shuffle_files_are_dropped_while_layers_are_built(spark, monkeypatch, tmp_path):
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    writer = type(spark.range(1).write)
+    original = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, path, *a, **k: seen.append((path, spark.conf.get(name, "false"))) or original(self, path, *a, **k))
+    before = spark.conf.get(name, None)
+    build_bronze(Lakehouse.from_fixture(spark, SF001), Tables(spark, str(tmp_path)))
+    assert {on for path, on in seen if "/bronze_" in path or "/raw_trips" in path} == {"true"}
+    assert spark.conf.get(name, None) == before
