@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tripstar.operators import quality
+from tripstar.operators import numbering, quality
 from tripstar.operators.bitmaps import flag_members, write_bitmaps
 from tripstar.operators.numbering import split_by_key
 from tripstar.session import checkpoint_dir
@@ -60,3 +60,17 @@ def test_values_that_occur_once_are_not_counted_again(spark, monkeypatch):
     monkeypatch.setattr(quality, "BROADCAST_ROWS", 10)
     assert {r["column"]: r["failing_rows"] for r in quality.run_checks(df, checks).collect()} == {"a": 40, "b": 30}
     assert 110 <= seen[0] <= 250  # 670 rows before
+
+
+def test_computed_keys_are_numbered_and_do_not_move(spark, monkeypatch):
+    rows = [(i % 4, float(i % 3), i % 5) for i in range(90)] + [(100 + i, -0.0, 1) for i in range(15)] + [(None, None, 2)] * 3
+    df = spark.createDataFrame(rows, "a int, w double, v int")
+    text = F.concat_ws("|", F.col("a").cast("string"), F.round("w", 1).cast("string"))
+    moved = []
+    original = numbering.pinned_ranges
+    monkeypatch.setattr(numbering, "pinned_ranges", lambda rows, *a: moved.append(rows.columns) or original(rows, *a))
+    for ranges, broadcast_rows in ((1, 1000), (6, 1000), (6, 0)):
+        got = numbering.number_within_key(df, ["t"], ["v", "a", "w"], ranges=ranges, broadcast_rows=broadcast_rows, computed={"t": text})
+        plain = numbering.number_within_key(df.withColumn("t", text), ["t"], ["v", "a", "w"], ranges=ranges)
+        assert got.columns == plain.columns and sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+    assert "t" not in moved[0] and "t" in moved[1]
